@@ -1,0 +1,69 @@
+"""Small hand-written transactions."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import types as T
+
+SOUND = {
+    "transaction_id": "t",
+    "account_id": "AC100001",
+    "transaction_type": "DEBIT",
+    "amount": 100.0,
+    "currency": "INR",
+    "balance_after_transaction": 5000.0,
+    "transaction_timestamp": "2026-01-02T03:04:05.000006",
+    "channel": "UPI",
+    "merchant_name": "M1",
+    "merchant_category": "FUEL",
+    "counterparty_account": "AC100002",
+    "counterparty_bank": "SBI",
+    "reference_number": "r1",
+    "transaction_status": "SUCCESS",
+    "branch_id": "BR100",
+}
+
+INGEST = {
+    "_ingestion_timestamp": "2026-01-02T03:04:06",
+    "_kafka_offset": 0,
+    "_kafka_partition": 0,
+}
+
+
+def txn(**changes) -> dict:
+    return {**SOUND, **changes}
+
+
+def raw(offset: int = 0, **changes) -> dict:
+    return {**SOUND, **INGEST, "_kafka_offset": offset, **changes}
+
+
+def as_text(rows: list[dict]) -> list[dict]:
+    return [{k: v if v is None else str(v) for k, v in r.items()} for r in rows]
+
+
+def frame(spark, rows: list[dict]):
+    """Rows with every value as text, as they come out of JSON."""
+    names = list(rows[0])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in as_text(rows)], schema)
+
+
+def messages(spark, values: list, start: int = 0):
+    """JSON messages with partition and offset; a ``str`` is taken as it is."""
+    rows = [
+        (v if isinstance(v, (str, type(None))) else json.dumps(v), 0, start + i)
+        for i, v in enumerate(values)
+    ]
+    return spark.createDataFrame(rows, "value string, partition int, offset bigint")
+
+
+def write_lines(folder: str, name: str, lines: list) -> str:
+    import os
+
+    os.makedirs(folder, exist_ok=True)
+    file = os.path.join(folder, name)
+    with open(file, "w", encoding="utf-8") as f:
+        f.write("\n".join(x if isinstance(x, str) else json.dumps(x) for x in lines))
+    return file

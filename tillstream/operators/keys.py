@@ -39,8 +39,12 @@ def dedupe_transactions(df: DataFrame, key: str = "transaction_id") -> DataFrame
 
 
 def not_seen_in(df: DataFrame, earlier: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Rows whose key ``earlier`` does not hold (de-duplication across loads)."""
-    return df.join(earlier.select(key), key, "left_anti")
+    """Rows whose key ``earlier`` does not hold (de-duplication across loads).
+
+    Copies of a key in ``earlier`` are folded map-side; the shuffle that folds the
+    rest also serves the join.
+    """
+    return df.join(earlier.select(key).distinct(), key, "left_anti")
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> list[Row]:

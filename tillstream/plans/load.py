@@ -13,7 +13,7 @@ from ..operators.keys import dedupe_transactions, not_seen_in
 from ..settings import Rules
 from ..sinks.zones import write_processed
 from ..sources.marks import read_mark, write_mark
-from ..sources.zones import read_processed, read_raw, split_bad
+from ..sources.zones import read_load, read_processed, read_raw, split_bad
 
 
 @dataclass(frozen=True)
@@ -57,11 +57,11 @@ def load_batch(
     if earlier is not None:
         rows = not_seen_in(rows, earlier.filter(F.col("load_id") != load_id))
     write_processed(rows, processed_path, load_id)
-    written = read_processed(spark, processed_path)
+    written = read_load(spark, processed_path, load_id)
     if written is None:
         return {}
-    # Counted from file footers of this load alone; as many rows as it has days.
-    counts = written.filter(F.col("load_id") == load_id).groupBy("transaction_date").count()
+    # Counted from the footers of this load's files; as many rows as it has days.
+    counts = written.groupBy("transaction_date").count()
     return {r["transaction_date"]: r["count"] for r in counts.collect()}
 
 

@@ -87,10 +87,15 @@ def split_bad(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 def read_processed(
     spark: SparkSession, path: str, dates: Sequence[date] | None = None
 ) -> DataFrame | None:
-    """The processed layer, pruned to whole days; None before the first load."""
+    """The processed layer, pruned to whole days; None where there is nothing."""
     return _read_days(spark, path, PROCESSED, dates)
 
 
+def read_load(spark: SparkSession, path: str, load_id: str) -> DataFrame | None:
+    """The rows one load wrote."""
+    return _read(spark, path, PROCESSED, f"/transaction_date=*/load_id={load_id}")
+
+
 def read_channel_category_summary(
     spark: SparkSession, curated: str, dates: Sequence[date] | None = None
 ) -> DataFrame | None:
@@ -104,11 +109,19 @@ def read_account_summary(
     return _read_days(spark, f"{curated}/account_summary", ACCOUNT_SUMMARY, dates)
 
 
-def _read_days(spark, path, schema, dates) -> DataFrame | None:
+def _read(spark, path, schema, below="") -> DataFrame | None:
     try:
-        df = spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("basePath", path).parquet(path + below)
     except AnalysisException as e:
         if is_missing_path(e):
             return None
         raise
-    return df if dates is None else df.filter(F.col("transaction_date").isin(list(dates)))
+
+
+def _read_days(spark, path, schema, dates) -> DataFrame | None:
+    if dates is None:
+        return _read(spark, path, schema)
+    # The pattern keeps Spark from listing the files of all other days.
+    days = ",".join(sorted(d.isoformat() for d in dates))
+    df = _read(spark, path, schema, f"/transaction_date={{{days}}}")
+    return df if df is None else df.filter(F.col("transaction_date").isin(list(dates)))
