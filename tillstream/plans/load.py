@@ -81,7 +81,7 @@ def run_load(
     mark it started at: a run that died before advancing the mark is replaced by
     the next. Without new rows nothing is written and the mark stays.
     """
-    started = now or datetime.now(timezone.utc)
+    started = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
     started = started.replace(microsecond=started.microsecond // 1000 * 1000)
     mark = read_mark(spark, mark_path)
     raw = read_raw(spark, raw_path, after=mark, until=started)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import iso_text
-from ..schemas import CORRUPT, EVENT
+from ..schemas import EVENT
 
 _TIMES = (T.TimestampType, T.TimestampNTZType)
 _NUMBERS = ("amount", "balance_after_transaction")
@@ -40,21 +40,27 @@ def decode(messages: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
     """
     value = F.col("value").cast("string")
     known = schema.fieldNames()
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(value, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
+    # Parsed as the only element of a list: on its own, an object followed by
+    # anything else would be read as if it stood alone.
+    listed = F.concat(F.lit("["), value, F.lit("]"))
+    parsed = F.from_json(listed, T.ArrayType(schema), {"allowSingleQuotes": "false"})
     others = F.map_filter(
         F.from_json(value, "map<string,variant>"), lambda name, _: ~name.isin(*known)
     )
-    bad = F.col("_e").isNull() | F.col(f"_e.{CORRUPT}").isNotNull()
+    # A generator rather than an index: Spark would push a later filter on an index
+    # below it and parse every message once more for the filter.
+    event = F.explode_outer(F.when(F.size("_l") == 1, F.col("_l")))
     kept = [F.col(c) for c in messages.columns if c != "value"]
     fields = [_field(n).alias(n) for n in known]
-    return messages.select(
-        *kept, value.alias("_v"), parsed.alias("_e"), others.alias("_o")
-    ).select(
-        *kept,
-        *fields,
-        F.when(F.size("_o") > 0, F.to_json("_o")).alias("_extra"),
-        F.when(bad, F.coalesce("_v", F.lit(""))).alias("_bad_value"),
+    return (
+        messages.select(*kept, value.alias("_v"), parsed.alias("_l"), others.alias("_o"))
+        .select(*kept, "_v", "_o", event.alias("_e"))
+        .select(
+            *kept,
+            *fields,
+            F.when(F.col("_e").isNotNull() & (F.size("_o") > 0), F.to_json("_o")).alias("_extra"),
+            F.when(F.col("_e").isNull(), F.coalesce("_v", F.lit(""))).alias("_bad_value"),
+        )
     )
 
 
