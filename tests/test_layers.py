@@ -5,11 +5,13 @@ import os
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.rows import raw, write_lines
 from tillstream.plans.catalog import register_tables, register_views
 from tillstream.plans.curate import build_curated
 from tillstream.plans.load import files_read, load_batch, run_load
+from tillstream.sinks.zones import write_processed
 from tillstream.sources.marks import EPOCH, read_mark, write_mark
 from tillstream.sources.master import read_master
 from tillstream.sources.zones import (
@@ -156,6 +158,30 @@ def test_processed_layout(spark, path, load):
     assert (row.transaction_date, row.load_id) == (DAY1, "m0")
 
 
+def test_a_big_day_is_written_by_many_tasks_and_small_days_by_few(spark, path):
+    n = F.col("id")
+    day = F.when(n % 3 == 0, F.lit("2026-01-01")).otherwise(F.date_add(F.lit("2026-02-01"), (n % 8).cast("int")))
+    rows = spark.range(60_000).select(
+        F.sha2(n.cast("string"), 256).alias("transaction_id"), F.to_date(day).alias("transaction_date")
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "400k")
+    try:
+        write_processed(rows.repartition(8), path("p"), "x")
+    finally:
+        spark.conf.set(size, before)
+
+    def files(day):
+        return len(glob.glob(f"{path('p')}/transaction_date={day}/*/*.parquet"))
+
+    assert files("2026-01-01") >= 3
+    # Eight tasks would leave eight files in each of nine days. Days that share a
+    # shuffle partition with the big one are split with it.
+    assert sum(files(f"2026-02-0{d}") for d in range(1, 9)) < 8 * 8 / 2
+    assert read_processed(spark, path("p")).count() == 60_000
+
+
 # --- curated ---------------------------------------------------------------
 
 

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from tests.rows import messages, raw, txn, write_lines
 from tillstream.operators.balances import current_balance
-from tillstream.operators.cleaning import typed
+from tillstream.operators.cleaning import processed, typed
+from tillstream.operators.keys import dedupe_transactions
+from tillstream.operators.summaries import account_summary
 from tillstream.sinks.outbox import read_batches
 from tillstream.sources.codec import decode, good
 from tillstream.sources.zones import (
@@ -130,7 +132,9 @@ def test_batches_before_the_first(spark, path):
 
 
 def test_load_stream_reads_each_file_once_and_refreshes_old_days(spark, path):
-    args = dict(curated_path=path("curated"), quarantine_path=path("bad"))
+    args = dict(
+        curated_path=path("curated"), quarantine_path=path("bad"), metrics_path=path("metrics")
+    )
 
     def run():
         loading(spark, path("raw"), path("processed"), path("ck"), **args).awaitTermination()
@@ -149,6 +153,8 @@ def test_load_stream_reads_each_file_once_and_refreshes_old_days(spark, path):
     }
     assert totals == {"2026-01-02": 107.0, "2026-01-05": 100.0}
     assert [r.bad_value for r in spark.read.parquet(path("bad")).collect()] == ["{bad"]
+    metrics = spark.read.parquet(path("metrics")).orderBy("batch_id").collect()
+    assert [(r.raw_rows, r.written_rows, r.dropped_rows) for r in metrics] == [(4, 2, 2), (1, 1, 0)]
 
 
 def test_load_stream_equals_the_batch_over_the_same_files(spark, path):
@@ -172,3 +178,31 @@ def test_repeats_across_micro_batches(spark, path):
     ).awaitTermination()
     rows = read_processed(spark, path("p")).collect()
     assert sorted(r.transaction_id for r in rows) == ["a", "b"]
+
+
+def test_messages_reach_the_curated_layer(spark, path, topic):
+    """Topic → raw → processed → curated gives what the operators give in one step."""
+    sent = [
+        txn(
+            transaction_id=str(i % 40),  # every event twice
+            account_id=f"A{i % 7}",
+            amount=i % 40 * 100 + 0.25,
+            channel=["UPI", None][i % 2],
+            transaction_timestamp=f"2026-01-0{i % 4 + 1}T10:00:0{i % 10}.5",
+        )
+        for i in range(80)
+    ]
+    topic.publish(*sent[:30], "{bad")
+    topic.publish(*sent[30:])
+    ingest(topic.open(), path("raw"), path("ck1")).awaitTermination()
+    loading(
+        spark, path("raw"), path("processed"), path("ck2"), curated_path=path("curated")
+    ).awaitTermination()
+
+    events = good(decode(messages(spark, sent).withColumnsRenamed(
+        {"partition": "_kafka_partition", "offset": "_kafka_offset"}
+    )))
+    expected = account_summary(dedupe_transactions(processed(events)))
+    got = read_account_summary(spark, path("curated")).select(*expected.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert read_processed(spark, path("processed")).count() == 40

@@ -36,6 +36,13 @@ class LoadResult:
     def dropped_rows(self) -> int:
         return self.raw_rows - self.written_rows
 
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """The totals as one row."""
+        row = (self.files, self.raw_rows, self.written_rows, self.dropped_rows)
+        return spark.createDataFrame(
+            [row], "files bigint, raw_rows bigint, written_rows bigint, dropped_rows bigint"
+        )
+
 
 def load_batch(
     raw: DataFrame,

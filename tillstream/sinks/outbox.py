@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..sources.zones import is_missing_path
+from ..sources.zones import exists
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -16,9 +15,6 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All batches so far, with ``batch_id``; empty before the first."""
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    try:
-        return spark.read.schema(full).parquet(path)
-    except AnalysisException as e:
-        if is_missing_path(e):
-            return spark.createDataFrame([], full)
-        raise
+    if not exists(spark, path):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path)

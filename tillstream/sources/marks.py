@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MARK
-from .zones import is_missing_path
+from .zones import exists
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -17,12 +16,9 @@ EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 def read_mark(spark: SparkSession, path: str) -> datetime:
     """The latest mark; 1970-01-01 UTC if none was written yet. Any other problem
     raises: taking an unreadable mark for a missing one would reload everything."""
-    try:
-        marks = spark.read.schema(MARK).option("mode", "FAILFAST").json(path)
-    except AnalysisException as e:
-        if is_missing_path(e):
-            return EPOCH
-        raise
+    if not exists(spark, path):
+        return EPOCH
+    marks = spark.read.schema(MARK).option("mode", "FAILFAST").json(path)
     latest = marks.agg(F.max("last_processed_timestamp")).first()[0]
     return datetime.fromisoformat(latest) if latest else EPOCH
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +14,11 @@ from ..schemas import ACCOUNT_SUMMARY, CHANNEL_CATEGORY_SUMMARY, CORRUPT, PROCES
 SUFFIX = "*.json"
 
 
-def is_missing_path(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or anything that matches a pattern, is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
 
 
 def _option_time(t: datetime) -> str:
@@ -110,12 +112,9 @@ def read_account_summary(
 
 
 def _read(spark, path, schema, below="") -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(path + below)
-    except AnalysisException as e:
-        if is_missing_path(e):
-            return None
-        raise
+    if not exists(spark, path + below):
+        return None
+    return spark.read.schema(schema).option("basePath", path).parquet(path + below)
 
 
 def _read_days(spark, path, schema, dates) -> DataFrame | None:

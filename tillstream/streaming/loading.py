@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.curate import build_curated
-from ..plans.load import load_batch
+from ..plans.load import LoadResult, load_batch
 from ..settings import Rules
 from ..sinks.outbox import write_batch
 from ..sources.zones import split_bad, stream_raw
@@ -20,26 +20,30 @@ def loading(
     checkpoint: str,
     curated_path: str | None = None,
     quarantine_path: str | None = None,
+    metrics_path: str | None = None,
     max_files: int | None = None,
     every: str | None = None,
     rules: Rules = Rules(),
     across_loads: bool = False,
 ) -> StreamingQuery:
     """Load every raw file once. With ``curated_path``, rebuild each day a load
-    touched, however old it is.
+    touched, however old it is; with ``metrics_path``, write one row of counts per
+    micro-batch.
 
     Transactions are de-duplicated within a micro-batch, which holds all new files
     unless ``max_files`` is set; with ``across_loads`` also against earlier loads.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        days = load_batch(
-            batch, processed_path, f"s{batch_id}", rules, across_loads=across_loads
-        )
+        spark, seen = batch.sparkSession, Observation()
+        days = load_batch(batch, processed_path, f"s{batch_id}", rules, across_loads, seen)
         if quarantine_path:
             write_batch(split_bad(batch)[1], quarantine_path, batch_id)
         if curated_path and days:
-            build_curated(batch.sparkSession, processed_path, curated_path, list(days))
+            build_curated(spark, processed_path, curated_path, list(days))
+        if metrics_path:
+            result = LoadResult(raw_rows=seen.get["rows"], rows_by_day=days)
+            write_batch(result.frame(spark), metrics_path, batch_id)
 
     stream = stream_raw(spark, raw_path, max_files)
     return start(stream.writeStream.foreachBatch(write), checkpoint, every)
