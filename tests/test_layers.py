@@ -164,21 +164,24 @@ def test_a_big_day_is_written_by_many_tasks_and_small_days_by_few(spark, path):
     rows = spark.range(60_000).select(
         F.sha2(n.cast("string"), 256).alias("transaction_id"), F.to_date(day).alias("transaction_date")
     )
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(size)
-    spark.conf.set(size, "400k")
+    conf = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "400k",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
     try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
         write_processed(rows.repartition(8), path("p"), "x")
     finally:
-        spark.conf.set(size, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
     def files(day):
         return len(glob.glob(f"{path('p')}/transaction_date={day}/*/*.parquet"))
 
     assert files("2026-01-01") >= 3
-    # Eight tasks would leave eight files in each of nine days. Days that share a
-    # shuffle partition with the big one are split with it.
-    assert sum(files(f"2026-02-0{d}") for d in range(1, 9)) < 8 * 8 / 2
+    assert all(files(f"2026-02-0{d}") == 1 for d in range(1, 9))
     assert read_processed(spark, path("p")).count() == 60_000
 
 
