@@ -192,6 +192,8 @@ def test_decode_is_lenient_about_types_and_keeps_unknown_fields(spark):
     assert (row.amount, row.balance_after_transaction) == ("12.5", "7")
     assert row._extra == '{"risk":{"score":[1,2.5]},"note":null}'
     assert good(decode(messages(spark, [txn()]))).first()._extra is None
+    event = txn(amount=float("nan"), risk=1)
+    assert good(decode(messages(spark, [event]))).first()._extra == '{"risk":1}'
 
 
 def test_encode_keeps_nulls_and_microseconds(spark):

@@ -44,8 +44,14 @@ def decode(messages: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
     # anything else would be read as if it stood alone.
     listed = F.concat(F.lit("["), value, F.lit("]"))
     parsed = F.from_json(listed, T.ArrayType(schema), {"allowSingleQuotes": "false"})
-    others = F.map_filter(
-        F.from_json(value, "map<string,variant>"), lambda name, _: ~name.isin(*known)
+    # Listing the keys is much cheaper than reading all values once more, which only
+    # messages with unknown fields need (or with NaN, whose keys are not listed).
+    unknown = F.exists(F.json_object_keys(value), lambda name: ~name.isin(*known))
+    others = F.when(
+        F.coalesce(unknown, F.lit(True)),
+        F.map_filter(
+            F.from_json(value, "map<string,variant>"), lambda name, _: ~name.isin(*known)
+        ),
     )
     # A generator rather than an index: Spark would push a later filter on an index
     # below it and parse every message once more for the filter.
