@@ -141,12 +141,35 @@ def test_repeats_across_loads(spark, path, load):
     assert ids(read_processed(spark, path("processed"))) == ["a", "a", "b"]
 
 
-def test_no_repeats_across_loads_on_request(spark, path, load):
+@pytest.mark.parametrize("scope,extra", [("day", ["a"]), ("table", [])])
+def test_no_repeats_across_loads_on_request(spark, path, load, scope, extra):
     write_lines(path("raw"), "1.json", [raw(transaction_id="a")])
-    load(across_loads=True)
-    write_lines(path("raw"), "2.json", [raw(transaction_id="a"), raw(transaction_id="b")])
-    assert load(across_loads=True).written_rows == 1
-    assert ids(read_processed(spark, path("processed"))) == ["a", "b"]
+    load(unique_within=scope)
+    lines = [
+        raw(transaction_id="a"),
+        raw(transaction_id="b"),
+        raw(transaction_id="b", transaction_timestamp=T2),
+    ]
+    write_lines(path("raw"), "2.json", lines)
+    assert load(unique_within=scope).written_rows == 1
+    # The same id on another day is a repeat for the table only.
+    write_lines(path("raw"), "3.json", [raw(transaction_id="a", transaction_timestamp=T2)])
+    load(unique_within=scope)
+    assert ids(read_processed(spark, path("processed"))) == sorted(["a", "b", *extra])
+
+
+@pytest.mark.parametrize("scope", ["day", "table"])
+def test_a_repeated_load_is_not_its_own_repeat(spark, path, scope):
+    write_lines(path("raw"), "1.json", [raw(transaction_id="a")])
+    for _ in range(2):
+        rows = load_batch(read_raw(spark, path("raw")), path("p"), "x", unique_within=scope)
+        assert rows == {DAY1: 1}
+    assert load_batch(read_raw(spark, path("raw")), path("p"), "y", unique_within=scope) == {}
+
+
+def test_unknown_scope(spark, path):
+    with pytest.raises(ValueError):
+        load_batch(read_raw(spark, [path("")]), path("p"), "x", unique_within="week")
 
 
 def test_processed_layout(spark, path, load):

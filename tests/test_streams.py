@@ -174,7 +174,7 @@ def test_repeats_across_micro_batches(spark, path):
     write_lines(path("raw"), "1.json", [raw(transaction_id="a")])
     write_lines(path("raw"), "2.json", [raw(transaction_id="a"), raw(transaction_id="b")])
     loading(
-        spark, path("raw"), path("p"), path("ck"), max_files=1, across_loads=True
+        spark, path("raw"), path("p"), path("ck"), max_files=1, unique_within="table"
     ).awaitTermination()
     rows = read_processed(spark, path("p")).collect()
     assert sorted(r.transaction_id for r in rows) == ["a", "b"]

@@ -38,13 +38,14 @@ def dedupe_transactions(df: DataFrame, key: str = "transaction_id") -> DataFrame
     return keep_first(df, [key], order)
 
 
-def not_seen_in(df: DataFrame, earlier: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Rows whose key ``earlier`` does not hold (de-duplication across loads).
+def not_seen_in(df: DataFrame, earlier: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose keys ``earlier`` does not hold (de-duplication across loads).
 
     Copies of a key in ``earlier`` are folded map-side; the shuffle that folds the
     rest also serves the join.
     """
-    return df.join(earlier.select(key).distinct(), key, "left_anti")
+    keys = keys or ("transaction_id",)
+    return df.join(earlier.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> list[Row]:

@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 
 from ..operators.cleaning import processed
 from ..operators.keys import dedupe_transactions, not_seen_in
+from ..session import scratch
 from ..settings import Rules
 from ..sinks.zones import write_processed
 from ..sources.marks import read_mark, write_mark
 from ..sources.zones import read_load, read_processed, read_raw, split_bad
 
+# How far a transaction must be unique
+LOAD, DAY, TABLE = "load", "day", "table"
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -49,20 +53,33 @@ def load_batch(
     processed_path: str,
     load_id: str,
     rules: Rules = Rules(),
-    across_loads: bool = False,
+    unique_within: str = LOAD,
     seen: Observation | None = None,
 ) -> dict[date, int]:
     """Write one batch of raw rows as load ``load_id``; returns its rows per day.
 
-    ``seen`` counts the raw ``rows`` on their way.
+    ``unique_within`` says how far a transaction is looked for: in this ``load``
+    only, in earlier loads on the same ``day`` too, or in the whole ``table``. A
+    delivery that is repeated has the same time, so ``day`` finds it, and reads the
+    days of the batch instead of all history. ``seen`` counts the raw ``rows`` on
+    their way.
     """
+    if unique_within not in (LOAD, DAY, TABLE):
+        raise ValueError(f"unique_within: {unique_within}")
     spark = raw.sparkSession
-    earlier = read_processed(spark, processed_path) if across_loads else None
     if seen is not None:
         raw = raw.observe(seen, F.count("*").alias("rows"))
     rows = dedupe_transactions(processed(split_bad(raw)[0], rules))
-    if earlier is not None:
-        rows = not_seen_in(rows, earlier.filter(F.col("load_id") != load_id))
+    if unique_within == TABLE:
+        rows = _new_rows(rows, read_processed(spark, processed_path), load_id)
+    elif unique_within == DAY:
+        # Written out, so that the raw files are not parsed again for their days.
+        path = scratch(spark, "load")
+        rows.write.parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
+        days = [r[0] for r in rows.select("transaction_date").distinct().collect()]
+        earlier = read_processed(spark, processed_path, days) if days else None
+        rows = _new_rows(rows, earlier, load_id, "transaction_date")
     write_processed(rows, processed_path, load_id)
     written = read_load(spark, processed_path, load_id)
     if written is None:
@@ -72,13 +89,20 @@ def load_batch(
     return {r["transaction_date"]: r["count"] for r in counts.collect()}
 
 
+def _new_rows(rows: DataFrame, earlier: DataFrame | None, load_id: str, *also: str) -> DataFrame:
+    if earlier is None:
+        return rows
+    # A load that runs again does not count as earlier than itself.
+    return not_seen_in(rows, earlier.filter(F.col("load_id") != load_id), "transaction_id", *also)
+
+
 def run_load(
     spark: SparkSession,
     raw_path: str,
     processed_path: str,
     mark_path: str,
     rules: Rules = Rules(),
-    across_loads: bool = False,
+    unique_within: str = LOAD,
     now: datetime | None = None,
 ) -> LoadResult:
     """Load the files that appeared since the last mark.
@@ -96,7 +120,7 @@ def run_load(
         return LoadResult()
     seen = Observation()
     load_id = f"m{int(mark.timestamp() * 1_000_000)}"
-    days = load_batch(raw, processed_path, load_id, rules, across_loads, seen)
+    days = load_batch(raw, processed_path, load_id, rules, unique_within, seen)
     write_mark(spark, mark_path, started)
     return LoadResult(len(raw.inputFiles()), seen.get["rows"], days)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.curate import build_curated
-from ..plans.load import LoadResult, load_batch
+from ..plans.load import LOAD, LoadResult, load_batch
 from ..settings import Rules
 from ..sinks.outbox import write_batch
 from ..sources.zones import split_bad, stream_raw
@@ -24,19 +24,19 @@ def loading(
     max_files: int | None = None,
     every: str | None = None,
     rules: Rules = Rules(),
-    across_loads: bool = False,
+    unique_within: str = LOAD,
 ) -> StreamingQuery:
     """Load every raw file once. With ``curated_path``, rebuild each day a load
     touched, however old it is; with ``metrics_path``, write one row of counts per
     micro-batch.
 
     Transactions are de-duplicated within a micro-batch, which holds all new files
-    unless ``max_files`` is set; with ``across_loads`` also against earlier loads.
+    unless ``max_files`` is set; ``unique_within`` extends that to earlier ones.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, seen = batch.sparkSession, Observation()
-        days = load_batch(batch, processed_path, f"s{batch_id}", rules, across_loads, seen)
+        days = load_batch(batch, processed_path, f"s{batch_id}", rules, unique_within, seen)
         if quarantine_path:
             write_batch(split_bad(batch)[1], quarantine_path, batch_id)
         if curated_path and days:

@@ -377,8 +377,8 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = transactions(spark, sf_dir)
     for part in (events.filter(n() % 2 == 0), events.filter((n() % 2 == 1) | (n() % 5 == 0))):
         as_raw(part).write.mode("append").json(f"{raw}/transactions")
-        run_load(spark, raw, out, mark, across_loads=True)
-    run_load(spark, raw, out, mark, across_loads=True)
+        run_load(spark, raw, out, mark, unique_within="day")
+    run_load(spark, raw, out, mark, unique_within="day")
     return read_processed(spark, out).select(
         "transaction_id", "account_id", "amount", shown_time(), "transaction_date", "amount_bucket"
     )
@@ -471,7 +471,7 @@ def sql_over_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = load_days(transactions_with_balance(spark, sf_dir), processed_path, "0")
     build_curated(spark, processed_path, curated, days)
     database = "curated_" + curated[-12:]
-    spark.sql(f"CREATE DATABASE {database}")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch(spark, database)}'")
     register_tables(spark, curated, database)
     return spark.sql(
         f"""
