@@ -1,0 +1,199 @@
+"""Random events with faults, through the operators and through plain loops."""
+
+from __future__ import annotations
+
+import json
+import math
+import random
+from collections import defaultdict
+from datetime import datetime
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+
+from tests.rows import messages, txn
+from tillstream.operators.alerts import alert_events, ok_events, unmatched_events
+from tillstream.operators.cleaning import processed
+from tillstream.operators.keys import dedupe_transactions
+from tillstream.operators.summaries import account_summary, channel_category_summary
+from tillstream.sources.codec import decode, good
+
+
+def random_events(seed: int, n: int = 400) -> list[dict]:
+    rng = random.Random(seed)
+
+    def amount():
+        edge = [0, 500, 3000, 8000, 8000.01, 9000, 9000.01, 100]
+        return rng.choice([rng.randint(1, 1_200_000) / 100, rng.choice(edge)])
+
+    events = []
+    for i in range(n):
+        event = txn(
+            transaction_id=str(rng.randint(0, int(n * 0.8))),
+            account_id=f"A{min(rng.randint(0, 12), rng.randint(0, 12))}",
+            amount=amount(),
+            balance_after_transaction=round(rng.uniform(-200, 400), 2),
+            transaction_type=rng.choice(["DEBIT", "CREDIT", "debit"]),
+            transaction_status=rng.choice(["SUCCESS", "FAILED", "failed", "PENDING"]),
+            transaction_timestamp=f"2026-01-0{rng.randint(1, 4)}T{rng.randint(0, 23):02}:00:0{rng.randint(0, 9)}",
+            channel=rng.choice(["UPI", "ATM", None]),
+            merchant_category=rng.choice(["FUEL", "TRAVEL"]),
+            merchant_name=rng.choice(["M1", "M2", "M3", None]),
+        )
+        if rng.random() < 0.15:
+            name = rng.choice(list(event))
+            event[name] = rng.choice([None, "abc"])
+        if rng.random() < 0.05:
+            event["amount"] = float("nan")
+        events.append(event)
+    return events
+
+
+def number(value):
+    try:
+        return float(value)
+    except (TypeError, ValueError):
+        return None
+
+
+def instant(value):
+    try:
+        return datetime.fromisoformat(value)
+    except (TypeError, ValueError):
+        return None
+
+
+def kept(events):
+    """Valid events, the first delivery of each transaction."""
+    seen = {}
+    for offset, e in enumerate(events):
+        a, ts = number(e["amount"]), instant(e["transaction_timestamp"])
+        if None in (a, ts, e["transaction_id"], e["account_id"], e["transaction_status"]):
+            continue
+        if math.isnan(a) or e["transaction_id"] in seen:
+            continue
+        seen[e["transaction_id"]] = {
+            **e,
+            "offset": offset,
+            "amount": a,
+            "balance": number(e["balance_after_transaction"]),
+            "ts": ts,
+            "bucket": next((b for b, top in (("LOW", 500), ("MEDIUM", 3000), ("HIGH", 8000)) if a < top), "VERY_HIGH"),
+        }
+    return list(seen.values())
+
+
+def cents(x, n=1):
+    return float((Decimal(x) / n / 100).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+def groups(rows, *keys):
+    out = defaultdict(list)
+    for r in rows:
+        out[tuple(k(r) for k in keys)].append(r)
+    return out
+
+
+def in_spark(spark, events):
+    return good(
+        decode(
+            messages(spark, [json.dumps(e) for e in events]).withColumnsRenamed(
+                {"partition": "_kafka_partition", "offset": "_kafka_offset"}
+            )
+        )
+    )
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_summaries(spark, seed):
+    events = random_events(seed)
+    rows = kept(events)
+    df = dedupe_transactions(processed(in_spark(spark, events))).cache()
+    assert sorted((r.transaction_id, r.amount, r.amount_bucket) for r in df.collect()) == sorted(
+        (r["transaction_id"], r["amount"], r["bucket"]) for r in rows
+    )
+
+    expected = []
+    by_day = groups(
+        rows,
+        lambda r: r["ts"].date(),
+        lambda r: r["channel"],
+        lambda r: r["merchant_category"],
+        lambda r: r["transaction_status"],
+        lambda r: r["bucket"],
+    )
+    for key, g in by_day.items():
+        total = sum(round(r["amount"] * 100) for r in g)
+        expected.append(
+            (
+                *key,
+                len(g),
+                cents(total),
+                cents(total, len(g)),
+                max(r["amount"] for r in g),
+                min(r["amount"] for r in g),
+                sum(r["amount"] > 8000 for r in g),
+                sum(r["transaction_status"] == "FAILED" for r in g),
+                sum(r["transaction_type"] == "DEBIT" for r in g),
+                len({r["account_id"] for r in g}),
+                len({r["merchant_name"] for r in g} - {None}),
+            )
+        )
+    got = [tuple(r) for r in channel_category_summary(df).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, expected))
+
+    expected = []
+    for key, g in groups(rows, lambda r: r["ts"].date(), lambda r: r["account_id"]).items():
+        failed = [r for r in g if r["transaction_status"] == "FAILED"]
+        known = [r["balance"] for r in g if r["balance"] is not None]
+        expected.append(
+            (
+                *key,
+                len(g),
+                cents(sum(round(r["amount"] * 100) for r in g)),
+                len(failed),
+                sum(r["amount"] > 8000 for r in g),
+                sum(r["transaction_type"] == "DEBIT" for r in g),
+                len(failed),
+                cents(sum(round(r["amount"] * 100) for r in failed)),
+                min(known, default=None),
+                max(known, default=None),
+                max(g, key=lambda r: (r["ts"], r["offset"]))["balance"],
+            )
+        )
+    got = [tuple(r) for r in account_summary(df).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, expected))
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": -1, "hot_rows": 40}])
+def test_alerts(spark, seed, options):
+    events = random_events(seed)
+    users = {f"A{i}": f"U{i}" for i in range(0, 13, 2)}
+    master = spark.createDataFrame(
+        [(a, u, f"{u}@example.com") for a, u in users.items()],
+        "account_id string, user_name string, user_email string",
+    )
+    alerts, fine, unknown = [], [], []
+    for offset, e in enumerate(events):
+        if e["account_id"] not in users:
+            unknown.append(offset)
+            continue
+        a = number(e["amount"]) or 0.0
+        b = number(e["balance_after_transaction"]) or 0.0
+        status, kind = (e["transaction_status"] or "").upper(), e["transaction_type"] or ""
+        low = kind == "DEBIT" and b < 100
+        if a > 9000:
+            alerts.append((offset, "HIGH_VALUE"))
+        if status == "FAILED":
+            alerts.append((offset, "FAILED_TXN"))
+        if low and status == "SUCCESS":
+            alerts.append((offset, "LOW_BALANCE"))
+        if a <= 9000 and status != "FAILED" and not low:
+            fine.append(offset)
+    df = in_spark(spark, events)
+    got = alert_events(df, master, **options).collect()
+    assert sorted((r._kafka_offset, r.alert_type) for r in got) == sorted(alerts)
+    assert all(users[r.account_id] == r.user_name for r in got)
+    assert sorted(r._kafka_offset for r in ok_events(df, master, **options).collect()) == fine
+    assert sorted(r._kafka_offset for r in unmatched_events(df, master, **options).collect()) == unknown

@@ -137,6 +137,9 @@ def load_metrics(raw: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def files_read(raw: DataFrame) -> DataFrame:
-    """One row: how many files the rows came from."""
-    return raw.agg(F.count_distinct("_metadata.file_path").alias("files_processed"))
+def raw_metrics(raw: DataFrame) -> DataFrame:
+    """One row: rows and files of a raw read."""
+    return raw.agg(
+        F.count("*").alias("raw_rows"),
+        F.count_distinct("_metadata.file_path").alias("files_processed"),
+    )

@@ -296,8 +296,7 @@ WITH {TXN}, {MESSY}
 SELECT count(*) AS raw_rows, count(*) FILTER ({VALID}) AS kept_rows,
        count(*) - count(*) FILTER ({VALID}) AS dropped_rows
 FROM f""",
-    "raw_files_read": """
-SELECT count(DISTINCT CAST(ts AS DATE)) AS files_processed FROM events""",
+    "raw_files_read": "SELECT count(*) AS raw_rows, true AS all_files FROM events",
     "raw_quarantine": f"""
 WITH {TXN}
 SELECT '{{"transaction_id":"' || transaction_id || '","account_id":"' || account_id

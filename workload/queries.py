@@ -22,7 +22,7 @@ from tillstream.operators.messages import with_messages
 from tillstream.operators.summaries import account_summary, channel_category_summary
 from tillstream.plans.catalog import register_tables
 from tillstream.plans.curate import build_curated
-from tillstream.plans.load import files_read, load_batch, load_metrics, run_load
+from tillstream.plans.load import load_batch, load_metrics, raw_metrics, run_load
 from tillstream.schemas import MASTER_FIELDS, RAW
 from tillstream.session import scratch
 from tillstream.sources.codec import decode, encode, good, quarantine
@@ -390,11 +390,14 @@ def load_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many files a raw read covers: here, one per day."""
+    """Rows of a raw read, and whether its file count is that of a plain listing."""
     raw = scratch(spark, "raw")
-    rows = transactions(spark, sf_dir).withColumn("day", F.to_date("transaction_timestamp"))
-    rows.repartition("day").write.partitionBy("day").json(raw)
-    return files_read(read_raw(spark, raw))
+    as_raw(transactions(spark, sf_dir)).write.json(raw)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(raw)
+    files = listed.select("path").count()
+    return raw_metrics(read_raw(spark, raw)).select(
+        "raw_rows", (F.col("files_processed") == files).alias("all_files")
+    )
 
 
 def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
