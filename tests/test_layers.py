@@ -241,6 +241,11 @@ def test_a_day_without_rows_is_not_written(spark, path, two_days):
     assert build_curated(*args, [date(2020, 1, 1)]) is None
     assert build_curated(spark, path("nowhere"), path("curated"), two_days) is None
     assert not os.path.exists(path("curated"))
+    # So is a day whose files hold no rows.
+    empty = path("empty")
+    days = read_processed(spark, path("processed")).filter("false").drop("transaction_date", "load_id")
+    days.write.parquet(f"{empty}/transaction_date=2026-01-02/load_id=0")
+    assert build_curated(spark, empty, path("curated2"), [DAY1]) is None
     # A missing day beside an existing one is no problem.
     assert build_curated(*args, [DAY1, date(2020, 1, 1)]).records == 1
 

@@ -30,16 +30,19 @@ def build_curated(
 ) -> CurateResult | None:
     """Rebuild ``dates`` from the processed layer; other days stay as they are.
 
-    None, and nothing written, where these days hold no rows.
+    None where these days hold no rows; such days are left alone.
     """
     days = read_processed(spark, processed_path, dates)
-    if days is None or days.isEmpty():
+    if days is None:
         return None
     write_days(channel_category_summary(days), f"{curated_path}/channel_category_summary")
     write_days(account_summary(days), f"{curated_path}/account_summary")
 
     # Counted from what was written: small, and right after any retry.
-    summary = read_channel_category_summary(spark, curated_path, dates).agg(
+    summaries = read_channel_category_summary(spark, curated_path, dates)
+    if summaries is None:
+        return None
+    summary = summaries.agg(
         F.sum("total_transactions").alias("records"), F.count("*").alias("n")
     ).first()
     accounts = read_account_summary(spark, curated_path, dates).count()
