@@ -212,8 +212,8 @@ def account_running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def account_running_balance_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the busiest accounts summed in slices, at most a thousand."""
-    split_rows = max(80, table(spark, sf_dir, "events").count() // 1000)
+    """The same with the busiest accounts summed in slices, at most 1,200 of them."""
+    split_rows = max(80, table(spark, sf_dir, "events").count() // 1200)
     return transactions_with_balance(spark, sf_dir, split_rows=split_rows).select(
         "transaction_id", "account_id", "balance_after_transaction"
     )
