@@ -15,6 +15,7 @@ from tillstream.sinks.zones import write_processed
 from tillstream.sources.marks import EPOCH, read_mark, write_mark
 from tillstream.sources.master import read_master
 from tillstream.sources.zones import (
+    days_between,
     read_account_summary,
     read_channel_category_summary,
     read_processed,
@@ -124,6 +125,35 @@ def test_files_from_after_the_start_wait_for_the_next_run(spark, path, load):
     assert ids(read_processed(spark, path("processed"))) == ["a", "b"]
 
 
+def test_hourly_layer_is_listed_by_day(spark, path, load):
+    now = datetime.now(timezone.utc)
+
+    def put(name, days_ago):
+        at = now - timedelta(days=days_ago)
+        folder = f"{path('raw')}/{at:year=%Y/month=%m/day=%d/hour=%H}"
+        os.utime(write_lines(folder, f"{name}.json", [raw(transaction_id=name)]), (at.timestamp(),) * 2)
+
+    for name, days_ago in (("a", 30), ("b", 3)):
+        put(name, days_ago)
+    load(now=now - timedelta(days=2), hourly=True)
+    put("c", 1)
+    dirs = days_between(spark, path("raw"), now - timedelta(days=2), now)
+    assert dirs == [f"{path('raw')}/{now - timedelta(days=d):year=%Y/month=%m/day=%d}" for d in (3, 1)]
+    load(now=now, hourly=True)
+    assert ids(read_processed(spark, path("processed"))) == ["a", "b", "c"]
+    assert days_between(spark, path("raw"), EPOCH, now) == [path("raw")]
+    assert days_between(spark, path("none"), now, now) == []
+    assert load(now=now + timedelta(days=9), hourly=True).raw_rows == 0
+
+
+def test_a_load_of_invalid_rows_only(spark, path, load):
+    write_lines(path("raw"), "1.json", [raw(amount=None), "{bad"])
+    for scope in ("load", "day", "table"):
+        result = load(unique_within=scope)
+        assert (result.raw_rows, result.written_rows) == (2, 0)
+        write_lines(path("raw"), f"{scope}.json", [raw(amount=None), "{bad"])
+
+
 def test_a_load_that_died_before_its_mark_is_replaced(spark, path, load):
     write_lines(path("raw"), "1.json", [raw(transaction_id="a")])
     mark = int(EPOCH.timestamp())

@@ -157,6 +157,16 @@ def test_load_stream_reads_each_file_once_and_refreshes_old_days(spark, path):
     assert [(r.raw_rows, r.written_rows, r.dropped_rows) for r in metrics] == [(4, 2, 2), (1, 1, 0)]
 
 
+def test_load_stream_of_invalid_rows_only(spark, path):
+    write_lines(path("raw"), "1.json", [raw(amount=None), "{bad"])
+    loading(
+        spark, path("raw"), path("p"), path("ck"), curated_path=path("c"), metrics_path=path("m")
+    ).awaitTermination()
+    row = spark.read.parquet(path("m")).first()
+    assert (row.raw_rows, row.written_rows, row.dropped_rows) == (2, 0, 2)
+    assert not os.path.exists(path("c"))
+
+
 def test_load_stream_equals_the_batch_over_the_same_files(spark, path):
     for i in range(3):
         rows = [raw(i * 10 + j, transaction_id=f"{i}-{j}", amount=j) for j in range(10)]

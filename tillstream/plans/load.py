@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from ..session import scratch
 from ..settings import Rules
 from ..sinks.zones import write_processed
 from ..sources.marks import read_mark, write_mark
-from ..sources.zones import read_load, read_processed, read_raw, split_bad
+from ..sources.zones import days_between, read_load, read_processed, read_raw, split_bad
 
 # How far a transaction must be unique
 LOAD, DAY, TABLE = "load", "day", "table"
@@ -48,6 +49,15 @@ class LoadResult:
         )
 
 
+def observed(watch: Observation, name: str):
+    """A metric of a finished action. None where Spark cut the watched part out of the
+    plan, as it does when it finds at run time that no rows come out of it."""
+    try:
+        return watch.get[name]
+    except Py4JJavaError:
+        return None
+
+
 def load_batch(
     raw: DataFrame,
     processed_path: str,
@@ -66,22 +76,25 @@ def load_batch(
     """
     if unique_within not in (LOAD, DAY, TABLE):
         raise ValueError(f"unique_within: {unique_within}")
-    spark = raw.sparkSession
+    spark, valid = raw.sparkSession, Observation()
     if seen is not None:
         raw = raw.observe(seen, F.count("*").alias("rows"))
-    rows = dedupe_transactions(processed(split_bad(raw)[0], rules))
+    rows = processed(split_bad(raw)[0], rules)
+    # A set, so a task that runs twice does no harm; and not longer than the calendar.
+    rows = rows.observe(valid, F.collect_set("transaction_date").alias("days"))
+    rows = dedupe_transactions(rows)
     if unique_within == TABLE:
         rows = _new_rows(rows, read_processed(spark, processed_path), load_id)
     elif unique_within == DAY:
-        # Written out, so that the raw files are not parsed again for their days.
+        # Written out, so that the raw files are not parsed again to learn their days.
         path = scratch(spark, "load")
         rows.write.parquet(path)
         rows = spark.read.schema(rows.schema).parquet(path)
         days = [r[0] for r in rows.select("transaction_date").distinct().collect()]
-        earlier = read_processed(spark, processed_path, days) if days else None
+        earlier = read_processed(spark, processed_path, days)
         rows = _new_rows(rows, earlier, load_id, "transaction_date")
     write_processed(rows, processed_path, load_id)
-    written = read_load(spark, processed_path, load_id)
+    written = read_load(spark, processed_path, load_id, observed(valid, "days"))
     if written is None:
         return {}
     # Counted from the footers of this load's files; as many rows as it has days.
@@ -104,6 +117,7 @@ def run_load(
     rules: Rules = Rules(),
     unique_within: str = LOAD,
     now: datetime | None = None,
+    hourly: bool = False,
 ) -> LoadResult:
     """Load the files that appeared since the last mark.
 
@@ -111,18 +125,29 @@ def run_load(
     runs neither skip a file nor read one twice. The load's name comes from the
     mark it started at: a run that died before advancing the mark is replaced by
     the next. Without new rows nothing is written and the mark stays.
+
+    ``hourly`` says that the raw layer has the hourly directories of ``ingest``; then
+    only those of the days since the mark are listed, not all that ever arrived.
     """
     started = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
     started = started.replace(microsecond=started.microsecond // 1000 * 1000)
     mark = read_mark(spark, mark_path)
-    raw = read_raw(spark, raw_path, after=mark, until=started)
+    paths = days_between(spark, raw_path, mark, started) if hourly else [raw_path]
+    if not paths:
+        return LoadResult()
+    raw = read_raw(spark, paths, after=mark, until=started)
     if raw.isEmpty():
         return LoadResult()
     seen = Observation()
     load_id = f"m{int(mark.timestamp() * 1_000_000)}"
     days = load_batch(raw, processed_path, load_id, rules, unique_within, seen)
     write_mark(spark, mark_path, started)
-    return LoadResult(len(raw.inputFiles()), seen.get["rows"], days)
+    return LoadResult(len(raw.inputFiles()), rows_seen(seen, raw), days)
+
+
+def rows_seen(seen: Observation, raw: DataFrame) -> int:
+    rows = observed(seen, "rows")
+    return raw_metrics(raw).first()["raw_rows"] if rows is None else rows
 
 
 def load_metrics(raw: DataFrame, rows: DataFrame) -> DataFrame:
@@ -138,7 +163,7 @@ def load_metrics(raw: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def raw_metrics(raw: DataFrame) -> DataFrame:
-    """One row: rows and files of a raw read."""
+    """One row: rows and files of a raw read, counted without parsing the rows."""
     return raw.agg(
         F.count("*").alias("raw_rows"),
         F.count_distinct("_metadata.file_path").alias("files_processed"),

@@ -56,6 +56,23 @@ def read_raw(
     return reader.json([paths] if isinstance(paths, str) else list(paths))
 
 
+def days_between(
+    spark: SparkSession, path: str, after: datetime, until: datetime, most: int = 400
+) -> list[str]:
+    """Day directories of an hourly raw layer that can hold files of that time.
+
+    A file may end up in the directory of the day before, where its batch began.
+    Over more than ``most`` days the whole layer is returned.
+    """
+    first = after.date() - timedelta(days=1) if after.year > 1970 else after.date()
+    count = (until.date() - first).days + 1
+    if count > most:
+        return [path]
+    days = (first + timedelta(days=i) for i in range(count))
+    below = [f"{path}/{d:year=%Y/month=%m/day=%d}" for d in days]
+    return [p for p in below if exists(spark, p)]
+
+
 def stream_raw(
     spark: SparkSession,
     path: str,
@@ -93,9 +110,12 @@ def read_processed(
     return _read_days(spark, path, PROCESSED, dates)
 
 
-def read_load(spark: SparkSession, path: str, load_id: str) -> DataFrame | None:
-    """The rows one load wrote."""
-    return _read(spark, path, PROCESSED, f"/transaction_date=*/load_id={load_id}")
+def read_load(
+    spark: SparkSession, path: str, load_id: str, dates: Sequence[date] | None = None
+) -> DataFrame | None:
+    """The rows one load wrote; quicker to find where its days are known."""
+    days = _days_pattern(dates) if dates else "/transaction_date=*"
+    return _read(spark, path, PROCESSED, f"{days}/load_id={load_id}")
 
 
 def read_channel_category_summary(
@@ -117,10 +137,15 @@ def _read(spark, path, schema, below="") -> DataFrame | None:
     return spark.read.schema(schema).option("basePath", path).parquet(path + below)
 
 
+def _days_pattern(dates: Sequence[date]) -> str:
+    return f"/transaction_date={{{','.join(sorted(d.isoformat() for d in dates))}}}"
+
+
 def _read_days(spark, path, schema, dates) -> DataFrame | None:
     if dates is None:
         return _read(spark, path, schema)
+    if not dates:
+        return None
     # The pattern keeps Spark from listing the files of all other days.
-    days = ",".join(sorted(d.isoformat() for d in dates))
-    df = _read(spark, path, schema, f"/transaction_date={{{days}}}")
+    df = _read(spark, path, schema, _days_pattern(dates))
     return df if df is None else df.filter(F.col("transaction_date").isin(list(dates)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.curate import build_curated
-from ..plans.load import LOAD, LoadResult, load_batch
+from ..plans.load import LOAD, LoadResult, load_batch, observed
 from ..settings import Rules
 from ..sinks.outbox import write_batch
 from ..sources.zones import split_bad, stream_raw
@@ -42,7 +42,8 @@ def loading(
         if curated_path and days:
             build_curated(spark, processed_path, curated_path, list(days))
         if metrics_path:
-            result = LoadResult(raw_rows=seen.get["rows"], rows_by_day=days)
+            rows = observed(seen, "rows")
+            result = LoadResult(raw_rows=batch.count() if rows is None else rows, rows_by_day=days)
             write_batch(result.frame(spark), metrics_path, batch_id)
 
     stream = stream_raw(spark, raw_path, max_files)
