@@ -19,6 +19,9 @@ from tillstream.operators.summaries import account_summary, channel_category_sum
 from tillstream.sources.codec import decode, good
 
 
+BUCKETS = (("LOW", 500), ("MEDIUM", 3000), ("HIGH", 8000))
+
+
 def random_events(seed: int, n: int = 400) -> list[dict]:
     rng = random.Random(seed)
 
@@ -35,7 +38,9 @@ def random_events(seed: int, n: int = 400) -> list[dict]:
             balance_after_transaction=round(rng.uniform(-200, 400), 2),
             transaction_type=rng.choice(["DEBIT", "CREDIT", "debit"]),
             transaction_status=rng.choice(["SUCCESS", "FAILED", "failed", "PENDING"]),
-            transaction_timestamp=f"2026-01-0{rng.randint(1, 4)}T{rng.randint(0, 23):02}:00:0{rng.randint(0, 9)}",
+            transaction_timestamp=(
+                f"2026-01-0{rng.randint(1, 4)}T{rng.randint(0, 23):02}:00:0{rng.randint(0, 9)}"
+            ),
             channel=rng.choice(["UPI", "ATM", None]),
             merchant_category=rng.choice(["FUEL", "TRAVEL"]),
             merchant_name=rng.choice(["M1", "M2", "M3", None]),
@@ -78,7 +83,7 @@ def kept(events):
             "amount": a,
             "balance": number(e["balance_after_transaction"]),
             "ts": ts,
-            "bucket": next((b for b, top in (("LOW", 500), ("MEDIUM", 3000), ("HIGH", 8000)) if a < top), "VERY_HIGH"),
+            "bucket": next((name for name, top in BUCKETS if a < top), "VERY_HIGH"),
         }
     return list(seen.values())
 

@@ -90,8 +90,13 @@ def load(spark, path):
 
 
 def test_load_counts_and_advances(spark, path, load):
-    lines = [raw(0, transaction_id="a"), raw(1, transaction_id="a"), raw(2, transaction_id="b", transaction_timestamp=T2),
-             raw(3, transaction_id=None), "{bad"]
+    lines = [
+        raw(0, transaction_id="a"),
+        raw(1, transaction_id="a"),
+        raw(2, transaction_id="b", transaction_timestamp=T2),
+        raw(3, transaction_id=None),
+        "{bad",
+    ]
     write_lines(path("raw"), "1.json", lines)
     result = load()
     assert (result.files, result.raw_rows, result.written_rows, result.dropped_rows) == (1, 5, 2, 3)
