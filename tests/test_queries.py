@@ -6,14 +6,14 @@ import pytest
 
 import __spark_entry__ as entry_module
 from tests.oracle import connect, spark_rows, sql_rows
-
-QUERIES = entry_module.queries()
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, sf_dir, name):
     columns, rows = spark_rows(QUERIES[name](spark, sf_dir))
-    sql_columns, expected = sql_rows(connect(sf_dir), entry_module.oracle_sql()[name])
+    sql_columns, expected = sql_rows(connect(sf_dir), ORACLES[name])
     assert columns == sql_columns
     assert rows == expected
     assert rows
