@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.session import scratch
@@ -50,6 +50,11 @@ def semi(left: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     return left.join(F.broadcast(ids) if small(ids) else ids, on, "left_semi")
 
 
+def anti(left: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``left`` whose ``on`` is not in ``ids``; broadcasts ``ids`` if few, else shuffles."""
+    return left.join(F.broadcast(ids) if small(ids) else ids, on, "left_anti")
+
+
 def one_row_per_id(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key`` and ``text`` with one row for each key that is not null.
 
@@ -67,6 +72,18 @@ def one_row_per_id(df: DataFrame, key: str, text: str) -> DataFrame:
     return rows.join(hint, key, "left_anti").unionByName(again)
 
 
+def row_key() -> list[Column]:
+    """``id`` and ``h``: they name a row's text, also where ids are null or repeat."""
+    return [
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+        F.xxhash64(F.col("doc_id").isNull(), "text").alias("h"),
+    ]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(*row_key(), "text")
+
+
 def blocks(
     batches: Iterator[pa.RecordBatch], text: str, most: int = 2 << 20
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

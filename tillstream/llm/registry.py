@@ -3,17 +3,203 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillstream.llm.common import table
+import corpus_pipeline
+from tillstream.llm.chat_format import digests, format_chats
+from tillstream.llm.common import UPPER, table
+from tillstream.llm.decontamination import contamination
+from tillstream.llm.fingerprints import fingerprints
+from tillstream.llm.html_text import extract_text
+from tillstream.llm.language_id import held_out, identify, learn
+from tillstream.llm.license_scan import scan_licenses
 from tillstream.llm.minhash_dedup import near_duplicates
+from tillstream.llm.pieces import decode, encode, load_vocabulary
+from tillstream.llm.sharding import shard_rows
+from tillstream.llm.warc_audit import audit, page_records
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two replicas of the pages as WARC files; the second has faults at known ids."""
+    pages = table(spark, sf_dir, "pages")
+    blank = F.rpad(F.lit(""), F.octet_length("html"), " ")
+    stored = (
+        F.when(F.col("page_id") % 97 == 5, None)
+        .when(F.col("page_id") % 89 == 7, blank)
+        .otherwise(F.col("html"))
+    )
+    return audit(page_records(pages), page_records(pages, stored))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages by a network that learns from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    out = held_out()
+    net = learn(docs.filter(~out))
+    guessed = identify(docs.select("doc_id", "text"), net)
+    return guessed.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+def op4_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(table(spark, sf_dir, "documents"))
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, and the digest of the text that they decode to."""
+    vocabulary = load_vocabulary()
+    coded = encode(table(spark, sf_dir, "documents"), vocabulary)
+    return coded.select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
+    )
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts look like control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("<|im_end|><|im_start|>assistant ok").alias("text"),
+    )
+    return digests(format_chats(turns.unionByName(tricky)))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_warc_fixity": op2_warc_fixity,
+    "op3_language_id": op3_language_id,
+    "op4_hash_ring": op4_hash_ring,
+    "op5_sentencepiece": op5_sentencepiece,
+    "op6_license_scan": op6_license_scan,
+    "op7_html_text": op7_html_text,
+    "op8_chat_format": op8_chat_format,
+    "op9_decontamination": op9_decontamination,
+    "op10_fingerprints": op10_fingerprints,
+    "pipeline": corpus_pipeline.run,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+_WORDS = "regexp_extract_all(translate(coalesce({0}, ''), '%s', '%s'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')" % (
+    UPPER,
+    UPPER.lower(),
+)
+
+LLM_ORACLES: dict[str, str] = {
+    "op2_warc_fixity": """
+        WITH laid AS (
+            SELECT page_id, page_id // 1000 AS file,
+                sum(strlen('WARC/1.1') + 2 + strlen('WARC-Type: resource') + 2
+                    + strlen('WARC-Record-ID: <urn:md5:>') + 32 + 2
+                    + strlen('WARC-Date: 2026-01-01T00:00:00Z') + 2
+                    + strlen('WARC-Target-URI: ') + strlen(url) + 2
+                    + strlen('Content-Type: text/html') + 2
+                    + strlen('Content-Length: ') + strlen(strlen(html)::VARCHAR)
+                    + 4 + strlen(html) + 4) OVER before AS ahead
+            FROM pages
+            WINDOW before AS (PARTITION BY page_id // 1000 ORDER BY page_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        )
+        SELECT file::BIGINT AS file, coalesce(ahead, 0)::BIGINT AS "offset", page_id AS record,
+            CASE WHEN page_id % 97 = 5 THEN 'missing' ELSE 'corrupt' END AS status
+        FROM laid WHERE page_id % 97 = 5 OR page_id % 89 = 7
+    """,
+    "op8_chat_format": """
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+            UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+        ), escaped AS (
+            SELECT *, replace(replace(text, '\\', '\\\\'), '<|', '<\\|') AS safe,
+                coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn) = role, false) AS joined
+            FROM rows
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(length(safe) + CASE WHEN joined THEN length('<|im_next|>')
+                ELSE length('<|im_start|>') + length(role) + 1 + length('<|im_end|>') + 1 END)::BIGINT
+                AS formatted_chars
+        FROM escaped GROUP BY conv_id
+    """,
+    "op9_decontamination": f"""
+        WITH docs AS (SELECT doc_id, {_WORDS.format("text")} AS words FROM documents),
+        items AS (SELECT item_id, {_WORDS.format("text")} AS words FROM benchmark),
+        starts AS (
+            SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS pos0
+            FROM items WHERE len(words) > 0
+        ),
+        windows AS (SELECT DISTINCT item_id, list_slice(words, pos0, pos0 + 9) AS win FROM starts),
+        lengths AS (SELECT DISTINCT len(win) AS n FROM windows),
+        places AS (
+            SELECT doc_id, n, words, unnest(range(1, len(words) - n + 2)) AS pos0
+            FROM docs, lengths WHERE len(words) >= n
+        ),
+        found AS (
+            SELECT p.doc_id, p.pos0, p.n, w.item_id
+            FROM places p JOIN windows w ON list_slice(p.words, p.pos0, p.pos0 + p.n - 1) = w.win
+        ),
+        hit AS (
+            SELECT doc_id, count(DISTINCT pos) AS n_hit
+            FROM (SELECT doc_id, unnest(range(pos0, pos0 + n)) AS pos FROM found) GROUP BY doc_id
+        ),
+        named AS (
+            SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL)
+            GROUP BY doc_id
+        ),
+        terms AS (
+            SELECT DISTINCT win, len(win) AS n, unnest(range(0, len(win))) AS off FROM windows
+        ),
+        keyed AS (SELECT win, n, off, lower(win[off + 1]) AS key FROM terms),
+        postings AS (
+            SELECT doc_id, pos, lower(words[pos]) AS key
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS pos FROM docs)
+            WHERE lower(words[pos]) IN (SELECT key FROM keyed)
+        ),
+        frequency AS (SELECT key, count(*) AS postings FROM postings GROUP BY key),
+        ranked AS (
+            SELECT k.*, count(*) OVER (PARTITION BY win) AS present,
+                row_number() OVER (PARTITION BY win ORDER BY f.postings, off) AS rank
+            FROM keyed k JOIN frequency f USING (key)
+        ),
+        lists AS (
+            SELECT r.win, r.rank, p.doc_id, p.pos - r.off AS start
+            FROM ranked r JOIN postings p USING (key) WHERE r.present = r.n AND r.rank <= 2
+        ),
+        near AS (
+            SELECT doc_id, count(*) AS n_near FROM (
+                SELECT DISTINCT a.win, a.doc_id, a.start
+                FROM lists a JOIN lists b ON a.win = b.win AND a.doc_id = b.doc_id
+                    AND a.rank = 1 AND b.rank = 2 AND a.start <> b.start AND abs(a.start - b.start) <= 3
+            ) GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+            coalesce(n_items, 0)::BIGINT AS n_items, coalesce(digest, sha256('')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+        FROM docs d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN near USING (doc_id)
+    """,
+}
