@@ -16,7 +16,7 @@ from tillstream.llm.minhash_dedup import near_duplicates
 from tillstream.llm.pieces import encode, load_vocabulary
 
 # A document stays if its best language is at least so probable.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.35
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -251,7 +251,7 @@ def _rare(frequent):
     """Each text's distinct units that are not frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frequent.value
+        known = Encoded(*frequent.value)
         for rows, data, offsets in blocks(batches, "text"):
             data, starts, ends, first = unit_spans(data, offsets)
             hashes = word_hashes(data, starts, ends)
@@ -283,7 +283,7 @@ def _assembled(frequent):
     """The pieces of each text, from the frequent units and its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frequent.value
+        known = Encoded(*frequent.value)
         expand = zstandard.ZstdDecompressor()
         for batch in batches:
             texts = [expand.decompress(x.as_py()) for x in batch.column("packed")]
@@ -336,9 +336,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     spark = docs.sparkSession
     texts = keyed(docs)
     known = encode_units(frequent_units(texts), vocabulary).toPandas()  # at most FREQUENT rows
-    frequent = spark.sparkContext.broadcast(
-        Encoded.of(_hash_of(list(known["unit"])), [np.asarray(x, np.int32) for x in known["ids"]])
-    )
+    coded = Encoded.of(_hash_of(list(known["unit"])), [np.asarray(x, np.int32) for x in known["ids"]])
+    frequent = spark.sparkContext.broadcast((coded.hashes, coded.offsets, coded.ids))
     wanted = kept(texts.mapInArrow(_rare(frequent), "unit string, id long, h long"), "rare-units")
     found = encode_units(wanted.select("unit").distinct(), vocabulary).withColumn(
         "hash", F.arrow_udf(_unit_hash, "long")("unit")
