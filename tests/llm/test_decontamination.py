@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import documents, syllables, words_of
+from tillstream.llm.decontamination import contamination, near_places, phrase_places
+
+
+def items_frame(spark, rows):
+    return spark.createDataFrame(rows, "item_id long, text string, doc_id string")
+
+
+def brute(docs, items, length=10):
+    out = []
+    for doc_id, text in docs:
+        words, hit, names = words_of(text), set(), set()
+        for item_id, item_text, _ in items:
+            item = words_of(item_text)
+            windows = [item[i : i + length] for i in range(max(len(item) - length + 1, 1))] if item else []
+            for window in windows:
+                for at in range(len(words) - len(window) + 1):
+                    if words[at : at + len(window)] == window:
+                        hit.update(range(at, at + len(window)))
+                        if item_id is not None:
+                            names.add(str(item_id))
+        digest = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+        out.append((doc_id, len(words), len(hit), len(names), digest, bool(hit)))
+    return sorted(out, key=str)
+
+
+def result(df):
+    rows = df.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
+    return sorted((tuple(r) for r in rows), key=str)
+
+
+def test_equals_brute_force(spark):
+    passage = syllables(1, 25)
+    common = ["the"] * 12
+    items = [
+        (1, " ".join(passage), "x"), (2, " ".join(passage[3:20]), "x"), (30, "Short one", "x"),
+        (4, None, "x"), (5, "", "x"), (6, " ".join(common), "x"), (7, "!!", "x"), (None, "no id here", "x"),
+        (1, " ".join(passage), "x"), (8, "Ünïcode ÉTÉ word", "x"),
+    ]
+    body = " ".join(syllables(2, 60))
+    docs = [
+        (1, body), (2, body + " " + " ".join(passage).upper() + ". " + body), (3, None), (4, ""), (5, "..."),
+        (6, " -- " + "; ".join(passage[2:14]) + "!"), (7, " ".join(passage[:9])), (8, "a short ONE, short one"),
+        (9, "the " * 40), (10, "no id here"), (11, "ünïcode été word"), (12, "Ünïcode ÉTÉ WORD"),
+        (13, " ".join(passage * 3)), (14, "Kelvin short one"), (15, " ".join(syllables(3, 40_000) + passage)),
+        (None, "short one"), (None, "nothing"), (16, "short one"), (16, "short one"), (16, "clean"),
+    ]
+    frame = documents(spark, docs, "n_hit words id h lang")
+    got = contamination(frame, items_frame(spark, items))
+    assert result(got) == brute(docs, items)
+
+
+def test_nothing_to_find(spark):
+    docs = documents(spark, [(1, "a b"), (2, None)])
+    none = items_frame(spark, [])
+    assert result(contamination(docs, none)) == brute([(1, "a b"), (2, None)], [])
+    assert contamination(documents(spark, []), items_frame(spark, [(1, "a b", "x")])).collect() == []
+
+
+def test_lists_meet_at_phrases_and_near_them(spark):
+    lists = spark.createDataFrame(
+        [
+            ("w", 10, 1, 1, 0, 5), ("w", 10, 2, 1, 0, 5),  # exact
+            ("w", 10, 1, 2, 0, 5), ("w", 10, 2, 2, 0, 8),  # three off
+            ("w", 10, 1, 3, 0, 5), ("w", 10, 2, 3, 0, 9),  # four off
+            ("v", 1, 1, 3, 0, 7),  # a window of one word has one list
+        ],
+        "wid string, len int, rank int, id long, h long, start int",
+    )
+    assert {(r.wid, r.id, r.start) for r in phrase_places(lists).collect()} == {("w", 1, 5), ("v", 3, 7)}
+    assert {(r.id, r.start) for r in near_places(lists).collect()} == {(2, 5)}
+
+
+def test_plan_has_no_python(spark, sf_dir):
+    docs = documents(spark, [(1, "a b")])
+    plan = contamination(docs, items_frame(spark, [(1, "a b", "x")])).select(F.col("*"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text
