@@ -58,10 +58,10 @@ def edited(words, changes, draw):
     return words
 
 
-@pytest.mark.parametrize("centres", [1, 16])
-def test_groups_at_the_threshold(spark, monkeypatch, centres):
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_groups_at_the_threshold(spark, monkeypatch, rounds):
     """Families whose members are near 0.75 of each other, chains and exact copies among them."""
-    monkeypatch.setattr(minhash_dedup, "CENTRES", centres)
+    monkeypatch.setattr(minhash_dedup, "ROUNDS", rounds)
     draw = random.Random(5)
     rows = []
     for family in range(6):

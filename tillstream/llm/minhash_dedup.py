@@ -7,13 +7,15 @@ estimated from them by XOR and bit counts, corrected for lanes that agree by cha
 What passes the estimate is confirmed on the full shingle sets.
 
 No bucket's pairs are ever all emitted. Documents with equal sets are one vertex from
-the start. Each document is first tried against the smallest estimated match of all
-its buckets, which settles large groups of copies with one pair per document. A bucket
-then matters only if its members lie in different components; its members are compared
-with its first centres, then with twice as many, and so on until no pair across
-components is untried. So no link between different components is lost, whatever the
-size of a bucket. Minima of four per band in 32 bands miss a pair of similarity 0.75
-with probability 5e-6.
+the start. In each bucket a document is compared with the first or the last member, and
+tried against the one that its estimates like best among all its buckets: one pair per
+document, which settles large groups of copies in a few rounds. A bucket then matters
+only if its members lie in different components. Links between those must share one of
+the rarest shingles of both ends (prefix filtering: a set of n that must share o has one
+of the shared ones among its n - o + 1 rarest), so members are joined on these alone.
+Nearly all of them are in one document or one component only, so few pairs are left to
+estimate and confirm, and none that could be a link is passed over. Minima of four per
+band in 32 bands miss a pair of similarity 0.75 with probability 5e-6.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ from tillstream.llm.common import (
     mixed,
     one_row_per_id,
     semi,
+    small,
     word_hashes,
     word_spans,
 )
@@ -47,7 +50,8 @@ BANDS, ROWS = 32, 4
 BITS = 4
 # An estimate may lie this far (five standard deviations) below the similarity asked for.
 MARGIN = 0.2
-CENTRES = 16
+# Rounds in which each document is tried once.
+ROUNDS = 3
 
 _LANES = 64 // BITS
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -203,6 +207,79 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     )
 
 
+def _exploded(words: int):
+    """A row for each distinct shingle of each document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in blocks(batches, "text"):
+            sets = shingles(data, offsets, words)
+            sizes = [len(x) for x in sets]
+            hashes = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
+            own = [np.repeat(np.asarray(rows.column(c)), sizes) for c in ("doc_id", "component")]
+            yield pa.record_batch(
+                [pa.array(hashes), *map(pa.array, own)], names=["shingle", "doc_id", "component"]
+            )
+
+    return run
+
+
+def _sharing(members: DataFrame, sets: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of members of different components that share a rare enough shingle.
+
+    A link of a set of n with one of at least ``least`` shares at least ``o`` shingles. In one
+    order for all, from the shingles that the fewest members hold, the sets' first n - o + 1
+    meet if the sets share so many.
+    """
+    sized = members.join(sets.select("doc_id", "n_shingles"), "doc_id")
+    least = sized.groupBy("key").agg(F.min("n_shingles").alias("least"))
+
+    def prefix(n: Column, other: Column) -> Column:
+        return n - F.ceil(percent * (n + other) / (100 + percent)) + 1
+
+    of_doc = kept(
+        sized.join(least, "key")
+        .groupBy("doc_id", "component", "n_shingles")
+        .agg(F.max(prefix(F.col("n_shingles"), F.col("least"))).alias("prefix")),
+        "members",
+    )
+    few = F.broadcast(of_doc) if small(of_doc) else of_doc
+    grams = docs.join(few.select("doc_id", "component"), "doc_id").mapInArrow(
+        _exploded(words), "shingle long, doc_id long, component long"
+    )
+    holders = grams.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"))
+    order = Window.partitionBy("doc_id").orderBy("holders", "shingle")
+    rarest = kept(
+        grams.join(holders, "shingle")
+        .withColumn("rank", F.row_number().over(order))
+        .join(few.select("doc_id", "n_shingles", "prefix"), "doc_id")
+        .filter("rank <= prefix and holders > 1")
+        .select("shingle", "doc_id", "component", "n_shingles", "rank"),
+        "rarest",
+    )
+    across = _across(rarest, "shingle")
+    one, two = (
+        across.select(
+            "shingle",
+            F.col("doc_id").alias(x),
+            F.col("component").alias(f"c{x}"),
+            F.col("n_shingles").alias(f"n{x}"),
+            F.col("rank").alias(f"r{x}"),
+        )
+        for x in "ab"
+    )
+    # The two sets' own sizes allow a shorter prefix than the least in their buckets.
+    near = (F.col("ra") <= prefix(F.col("na"), F.col("nb"))) & (
+        F.col("rb") <= prefix(F.col("nb"), F.col("na"))
+    )
+    return one.join(two, "shingle").filter("a < b and ca <> cb").filter(near).select("a", "b").distinct()
+
+
+def _across(rows: DataFrame, key: str = "key") -> DataFrame:
+    """Rows whose ``key`` occurs in more than one component."""
+    spread = rows.groupBy(key).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return rows.join(spread.filter("lo < hi").select(key), key)
+
+
 def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs ``a``, ``b``, those whose set sizes and signatures allow a link."""
     sigs = sets.select("doc_id", "n_shingles", "sig")
@@ -216,8 +293,9 @@ def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         pairs.join(one, "a")
         .join(two, "b")
         .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        .filter(estimate(F.col("sig_a"), F.col("sig_b")) >= percent / 100 - MARGIN)
-        .select("a", "b")
+        .withColumn("estimate", estimate(F.col("sig_a"), F.col("sig_b")))
+        .filter(F.col("estimate") >= percent / 100 - MARGIN)
+        .select(*pairs.columns, "estimate")
     )
 
 
@@ -249,57 +327,62 @@ def near_duplicates(
         .select("digest", "rep.*"),
         "sets",
     )
-    entries = sets.select(F.explode("bands").alias("key"), "doc_id")
-    shared = entries.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    buckets = kept(
-        entries.join(shared.filter("lo < hi").select("key", "lo"), "key"), "buckets"
-    )
+    buckets = sets.select(F.explode("bands").alias("key"), "doc_id")
+    edges = label = tried = None
+
+    def with_component(members: DataFrame) -> DataFrame:
+        if label is None:
+            return members.withColumn("component", F.col("doc_id"))
+        named_by = label.select(F.col("v").alias("doc_id"), F.col("component").alias("found"))
+        return members.join(named_by, "doc_id", "left").select(
+            *members.columns, F.coalesce("found", "doc_id").alias("component")
+        )
 
-    # One pair for each document: the smallest estimated match among its buckets' first.
-    first = buckets.filter("lo < doc_id").select(F.col("lo").alias("a"), F.col("doc_id").alias("b"))
-    likely = _likely(first.distinct(), sets, percent)
-    pairs = kept(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
-    edges = kept(confirmed(pairs, named, words, percent), "links")
-    label = components(edges)
-
-    done, width = 0, CENTRES
-    residual = buckets.select("key", "doc_id")
-    while True:
-        # Buckets whose members lie in more than one component.
-        own = residual.join(
-            label.select(F.col("v").alias("doc_id"), "component"), "doc_id", "left"
-        ).withColumn("component", F.coalesce("component", "doc_id"))
-        mixed_keys = own.groupBy("key").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi")
+    def link(pairs: DataFrame, best_of: bool = False) -> bool:
+        """Adds the links among ``pairs`` that were not tried before; whether there are any.
+
+        With ``best_of``, only the likeliest pair of each ``own`` document is tried.
+        """
+        nonlocal edges, label, tried
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = _likely(pairs, sets, percent)
+        if best_of:
+            pairs = pairs.groupBy("own").agg(
+                F.max(F.struct("estimate", (-F.col("a")).alias("a"), (-F.col("b")).alias("b"))).alias("best")
+            ).select((-F.col("best.a")).alias("a"), (-F.col("best.b")).alias("b")).distinct()
+        pairs = kept(pairs.select("a", "b"), "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = kept(confirmed(pairs, named, words, percent), "links")
+        if found.isEmpty():
+            return False
+        edges = found if edges is None else edges.unionByName(found)
+        label = components(edges)
+        return True
+
+    members = kept(_across(with_component(buckets)), "members")
+    for _ in range(ROUNDS):
+        ends = members.groupBy("key").agg(
+            F.min(F.struct("doc_id", "component")).alias("lo"), F.max(F.struct("doc_id", "component")).alias("hi")
         )
-        own = own.join(mixed_keys.filter("lo < hi").select("key"), "key")
-        if "rank" not in residual.columns:
-            own = own.withColumn(
-                "rank", F.row_number().over(Window.partitionBy("key").orderBy("doc_id")) - 1
-            )
-        own = kept(own, "residual")
-        if own.filter(F.col("rank") > done).isEmpty():
-            break
-        centres = own.filter(F.col("rank").between(done, done + width - 1)).select(
-            "key", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("rank").alias("ra")
+        end = F.when(F.col("lo.component") != F.col("component"), F.col("lo.doc_id")).when(
+            F.col("hi.component") != F.col("component"), F.col("hi.doc_id")
         )
         pairs = (
-            own.join(centres, "key")
-            .filter("ra < rank and ca <> component")
-            .select("a", F.col("doc_id").alias("b"))
+            members.join(ends, "key")
+            .select(end.alias("end"), F.col("doc_id").alias("own"))
+            .filter("end is not null")
+            .select(F.least("end", "own").alias("a"), F.greatest("end", "own").alias("b"), "own")
             .distinct()
         )
-        pairs = kept(_likely(pairs, sets, percent), "pairs")
-        if not pairs.isEmpty():
-            found = kept(confirmed(pairs, named, words, percent), "links")
-            if not found.isEmpty():
-                edges = edges.unionByName(found)
-                label = components(edges)
-        done, width = done + width, 2 * width
-        residual = own.select("key", "doc_id", "rank")
-
-    of_set = sets.join(label, sets.doc_id == label.v, "left").select(
-        "digest", F.coalesce("component", "doc_id").alias("component_id")
+        if not link(pairs, best_of=True):
+            break
+        members = kept(_across(with_component(members.drop("component"))), "members")
+    if not members.isEmpty():
+        link(_sharing(members, sets, named, words, percent))
+
+    of_set = with_component(sets.select("digest", "doc_id")).select(
+        "digest", F.col("component").alias("component_id")
     )
     out = signed.select("doc_id", "n_shingles", "digest").join(of_set, "digest", "left")
     out = out.select(
