@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import json
 import os
 from datetime import date, datetime, timedelta, timezone
 
@@ -9,13 +10,14 @@ from pyspark.sql import functions as F
 
 from tests.rows import raw, write_lines
 from tillstream.plans.catalog import register_tables, register_views
+from tillstream.plans.compact import compact_days
 from tillstream.plans.curate import build_curated
+from tillstream.plans.dirty import curate_dirty, enter_days
 from tillstream.plans.load import load_batch, raw_metrics, run_load
 from tillstream.sinks.zones import write_processed
 from tillstream.sources.marks import EPOCH, read_mark, write_mark
 from tillstream.sources.master import read_master
 from tillstream.sources.zones import (
-    days_between,
     read_account_summary,
     read_channel_category_summary,
     read_processed,
@@ -130,25 +132,87 @@ def test_files_from_after_the_start_wait_for_the_next_run(spark, path, load):
     assert ids(read_processed(spark, path("processed"))) == ["a", "b"]
 
 
-def test_hourly_layer_is_listed_by_day(spark, path, load):
-    now = datetime.now(timezone.utc)
+def test_files_are_found_by_what_was_loaded_not_by_time(spark, path, load):
+    def put(name, folder, days_ago):
+        at = (datetime.now(timezone.utc) - timedelta(days=days_ago)).timestamp()
+        os.utime(write_lines(f"{path('raw')}/{folder}", f"{name}.json", [raw(transaction_id=name)]), (at, at))
 
-    def put(name, days_ago):
-        at = now - timedelta(days=days_ago)
-        folder = f"{path('raw')}/{at:year=%Y/month=%m/day=%d/hour=%H}"
-        os.utime(write_lines(folder, f"{name}.json", [raw(transaction_id=name)]), (at.timestamp(),) * 2)
+    put("a", "year=2026/month=01/day=05/hour=00", 0)
+    load()
+    put("old-time", "year=2026/month=01/day=05/hour=01", 900)
+    put("old-directory", "year=2020/month=01/day=01/hour=00", 0)
+    assert load().files == 2
+    assert ids(read_processed(spark, path("processed"))) == ["a", "old-directory", "old-time"]
+    put("too-old", "year=2026/month=01/day=05/hour=01", 900)
+    assert load(lag=timedelta(days=30)).files == 0  # as was asked for
+    assert load().files == 1
+
+
+def test_what_a_stream_did_not_commit_is_not_loaded(spark, path, load):
+    spark.range(1).select(F.lit(json.dumps(raw(transaction_id="a"))).alias("value")).write.parquet(path("t"))
+    lines = spark.readStream.schema("value string").parquet(path("t"))
+    lines = lines.selectExpr("get_json_object(value, '$.transaction_id') AS transaction_id",
+                             "get_json_object(value, '$.account_id') AS account_id",
+                             "get_json_object(value, '$.amount') AS amount",
+                             "get_json_object(value, '$.transaction_status') AS transaction_status",
+                             "get_json_object(value, '$.transaction_timestamp') AS transaction_timestamp")
+    query = lines.writeStream.format("json").option("path", path("raw")).option("checkpointLocation", path("ck"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    write_lines(path("raw") + "/year=2026/month=01/day=01/hour=00", "orphan.json", [raw(transaction_id="orphan")])
+    assert load().raw_rows == 1
+    assert ids(read_processed(spark, path("processed"))) == ["a"]
 
-    for name, days_ago in (("a", 30), ("b", 3)):
-        put(name, days_ago)
-    load(now=now - timedelta(days=2), hourly=True)
-    put("c", 1)
-    dirs = days_between(spark, path("raw"), now - timedelta(days=2), now)
-    assert dirs == [f"{path('raw')}/{now - timedelta(days=d):year=%Y/month=%m/day=%d}" for d in (3, 1)]
-    load(now=now, hourly=True)
-    assert ids(read_processed(spark, path("processed"))) == ["a", "b", "c"]
-    assert days_between(spark, path("raw"), EPOCH, now) == [path("raw")]
-    assert days_between(spark, path("none"), now, now) == []
-    assert load(now=now + timedelta(days=9), hourly=True).raw_rows == 0
+
+def test_a_load_takes_the_oldest_files_and_the_next_goes_on(spark, path, load):
+    for k, name in enumerate("cab"):
+        os.utime(write_lines(path("raw"), f"{name}.json", [raw(transaction_id=name)]), (1000 + k, 1000 + k))
+    assert [load(most_files=2).files, load(most_files=2).files, load().files] == [2, 1, 0]
+    rows = read_processed(spark, path("processed")).collect()
+    assert {r.transaction_id: r.load_id for r in rows} == {"c": "m0", "a": "m0", "b": "m1"}
+
+
+def test_bad_lines_of_a_load_are_kept(spark, path, load):
+    good, other = json.dumps(raw(transaction_id="a")), json.dumps(raw(transaction_id="b"))
+    bad = [good + other, good + " x", f"[{good}]", f"{good}],[{other}", f"{good},{other}", "{bad", "7"]
+    write_lines(path("raw"), "1.json", [good, *bad])
+    result = load(quarantine_path=path("bad"))
+    assert (result.raw_rows, result.bad_rows, result.written_rows) == (8, 7, 1)
+    assert sorted(r.bad_value for r in spark.read.parquet(path("bad")).collect()) == sorted(bad)
+
+
+def test_a_replayed_load_keeps_no_stale_day(spark, path):
+    write_lines(path("raw"), "1.json", [raw(transaction_id="a"), raw(transaction_id="b", transaction_timestamp=T2)])
+    load_batch(read_raw(spark, path("raw")), path("p"), "x")
+    write_lines(path("raw2"), "1.json", [raw(transaction_id="a", transaction_timestamp=T2)])
+    load_batch(read_raw(spark, path("raw2")), path("p"), "x")
+    assert [(r.transaction_id, r.transaction_date) for r in read_processed(spark, path("p")).collect()] == [("a", DAY2)]
+
+
+def test_compaction(spark, path):
+    for k in range(3):
+        write_lines(path(f"raw{k}"), "1.json", [raw(transaction_id=f"{k}"), raw(transaction_id=f"{k}!", transaction_timestamp=T2)])
+        load_batch(read_raw(spark, path(f"raw{k}")), path("p"), f"{k}")
+    before = ids(read_processed(spark, path("p")))
+    compact_days(spark, path("p"), [DAY1])
+    assert len(glob.glob(path("p") + "/transaction_date=2026-01-02/load_id=*")) == 1
+    assert len(glob.glob(path("p") + "/transaction_date=2026-01-03/load_id=*")) == 3
+    assert ids(read_processed(spark, path("p"))) == before
+    # A run that died after staging is finished by the next.
+    staged = f"{path('p')}/_compacting"
+    rows = read_processed(spark, path("p"), [DAY2]).withColumn("load_id", F.lit("c"))
+    rows.coalesce(1).write.partitionBy("transaction_date", "load_id").parquet(staged)
+    compact_days(spark, path("p"), [])
+    assert len(glob.glob(path("p") + "/transaction_date=2026-01-03/load_id=*")) == 1
+    assert ids(read_processed(spark, path("p"))) == before and not os.path.exists(staged)
+
+
+def test_dirty_days_are_rebuilt_once(spark, path):
+    write_lines(path("raw"), "1.json", [raw(transaction_id="a"), raw(transaction_id="b", transaction_timestamp=T2)])
+    days = list(load_batch(read_raw(spark, path("raw")), path("p"), "x"))
+    enter_days(spark, path("dirty"), days)
+    enter_days(spark, path("dirty"), days[:1])
+    assert curate_dirty(spark, path("p"), path("c"), path("dirty")).records == 2
+    assert curate_dirty(spark, path("p"), path("c"), path("dirty")) is None
 
 
 def test_a_load_of_invalid_rows_only(spark, path, load):
@@ -161,8 +225,7 @@ def test_a_load_of_invalid_rows_only(spark, path, load):
 
 def test_a_load_that_died_before_its_mark_is_replaced(spark, path, load):
     write_lines(path("raw"), "1.json", [raw(transaction_id="a")])
-    mark = int(EPOCH.timestamp())
-    load_batch(read_raw(spark, path("raw")), path("processed"), f"m{mark}")  # no mark follows
+    load_batch(read_raw(spark, path("raw")), path("processed"), "m0")  # no ledger entry follows
     write_lines(path("raw"), "2.json", [raw(transaction_id="b")])
     load()
     assert ids(read_processed(spark, path("processed"))) == ["a", "b"]
@@ -321,7 +384,7 @@ def test_last_row_of_an_account_wins(spark, path):
     limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")  # many blocks per file
     try:
-        master = read_master(spark, path("m"))
+        master = read_master(spark, path("m"), multiline=False)
         assert master.columns == ["account_id", "user_name", "user_email"]
         got = {r.account_id: r.user_name for r in master.collect()}
     finally:
@@ -329,6 +392,16 @@ def test_last_row_of_an_account_wins(spark, path):
     assert got == {f"A{i % 50}": f"N{i}" for i in range(950, 1000)}
 
 
+def test_master_files_with_different_columns(spark, path):
+    write_lines(path("m"), "1.csv", ["account_id,user_name,user_email", "A,Ann,a@x"])
+    write_lines(path("m"), "2.csv", ["user_email,plan,user_name,account_id", 'b@x,gold,"Bo\nJr",B'])
+    got = sorted(tuple(r) for r in read_master(spark, path("m")).collect())
+    assert got == [("A", "Ann", "a@x"), ("B", "Bo\nJr", "b@x")]
+    write_lines(path("m"), "3.csv", ["account_id,user_name", "C,Cy"])
+    with pytest.raises(Exception):
+        read_master(spark, path("m"))
+
+
 def test_master_quoting(spark, path):
     write_lines(path("m"), "m.csv", ["account_id,user_name,user_email", 'A,"Rao, ""R""",r@example.com'])
     assert read_master(spark, path("m")).first().user_name == 'Rao, "R"'

@@ -23,7 +23,7 @@ from tillstream.sources.zones import (
     split_bad,
 )
 from tillstream.streaming.alerting import alerting
-from tillstream.streaming.balances import BALANCE, balances, read_balances
+from tillstream.streaming.balances import BALANCE, balances, compact_balances, read_balances
 from tillstream.streaming.ingest import ingest
 from tillstream.streaming.loading import loading
 
@@ -94,6 +94,8 @@ def test_alert_stream_equals_the_batch_and_replays_in_place(spark, path, topic):
             path("ck"),
             unmatched=path("unmatched"),
             metrics=path("metrics"),
+            bad=path("bad"),
+            deliver=lambda alerts: alerts.withColumn("delivered", F.col("alert_type") == "HIGH_VALUE"),
         ).awaitTermination()
         rows = spark.read.parquet(path("outbox")).collect()
         return sorted((r.batch_id, r.transaction_id, r.alert_type) for r in rows)
@@ -102,7 +104,9 @@ def test_alert_stream_equals_the_batch_and_replays_in_place(spark, path, topic):
     assert run() == expected
     assert spark.read.parquet(path("unmatched")).select("account_id").collect()[0][0] == "AC2"
     metrics = spark.read.parquet(path("metrics")).orderBy("batch_id").collect()
-    assert [(r.events_total, r.alerts_sent) for r in metrics] == [(1, 2), (2, 1)]
+    counts = [(r.events_total, r.alerts_sent, r.bad_messages, r.alerts_delivered) for r in metrics]
+    assert counts == [(1, 2, 1, 1), (2, 1, 0, 0)]
+    assert [r.bad_value for r in spark.read.parquet(path("bad")).collect()] == ["{bad"]
 
     # The last batch was written but not committed: it runs again, into its own place.
     os.unlink(path("ck") + "/commits/1")
@@ -127,6 +131,42 @@ def test_balance_stream_keeps_its_state(spark, path, topic):
     assert read_batches(spark, path("out"), BALANCE).select("batch_id").distinct().count() == 3
 
 
+def test_balances_of_two_streams_and_their_compaction(spark, path, topic):
+    def run(checkpoint, **options):
+        stream = typed(good(decode(topic.open().select("value"))))
+        balances(stream, F.lit(0), path("out"), checkpoint, **options).awaitTermination()
+        return {r.account_id: r.balance for r in read_balances(spark, path("out")).collect()}
+
+    topic.publish(txn(transaction_id="a", account_id="A", amount=1), txn(transaction_id="x", account_id=None))
+    assert run(path("ck1")) == {"A": -1.0}
+    topic.publish(txn(transaction_id="b", account_id="B", amount=2))
+    assert run(path("ck2")) == {"A": -1.0, "B": -2.0}
+    assert run(path("ck1")) == {"A": -1.0, "B": -2.0}
+    for _ in range(2):
+        compact_balances(spark, path("out"))
+        got = {r.account_id: r.balance for r in read_balances(spark, path("out")).collect()}
+        assert got == {"A": -1.0, "B": -2.0}
+    topic.publish(txn(transaction_id="c", account_id="A", amount=5))
+    assert run(path("ck1")) == {"A": -6.0, "B": -2.0}
+
+
+def test_a_repeated_delivery_moves_a_balance_once_on_request(spark, path, topic):
+    topic.publish(txn(transaction_id="a"), txn(transaction_id="a"))
+    topic.publish(txn(transaction_id="a"), txn(transaction_id="b"))
+    for name, expected, options in (("x", -400.0, {}), ("y", -200.0, {"unique_within": "1 hour"})):
+        stream = typed(good(decode(topic.open().select("value"))))
+        balances(stream, F.lit(0), path(name), path("ck" + name), **options).awaitTermination()
+        assert read_balances(spark, path(name)).first().balance == expected
+
+
+def test_two_loaders_and_a_new_checkpoint_overwrite_nothing(spark, path):
+    for name in "ab":
+        write_lines(path("raw-" + name), "1.json", [raw(transaction_id=name)])
+        loading(spark, path("raw-" + name), path("p"), path("ck-" + name)).awaitTermination()
+    loading(spark, path("raw-a"), path("p"), path("ck-new"), unique_within="table").awaitTermination()
+    assert sorted(r.transaction_id for r in read_processed(spark, path("p")).collect()) == ["a", "b"]
+
+
 def test_batches_before_the_first(spark, path):
     assert read_balances(spark, path("nothing")).count() == 0
 
@@ -139,7 +179,7 @@ def test_load_stream_reads_each_file_once_and_refreshes_old_days(spark, path):
     def run():
         loading(spark, path("raw"), path("processed"), path("ck"), **args).awaitTermination()
         rows = read_processed(spark, path("processed"))
-        return sorted((r.transaction_id, r.load_id) for r in rows.collect())
+        return sorted((r.transaction_id, "s" + r.load_id.split("-")[-1]) for r in rows.collect())
 
     write_lines(path("raw"), "1.json", [raw(0, transaction_id="a"), raw(1, transaction_id="a"), "{bad"])
     write_lines(path("raw"), "2.json", [raw(2, transaction_id="b", transaction_timestamp="2026-01-05T00:00:00")])

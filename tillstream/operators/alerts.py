@@ -106,14 +106,26 @@ def unmatched_events(events: DataFrame, master: DataFrame, **lookup_options) ->
     return lookup(coerced(events), master, "account_id", "left_anti", **lookup_options)
 
 
-def alert_metrics(events: DataFrame, alerts: DataFrame) -> DataFrame:
-    """One row: events seen, alerts raised, and alerts of each kind."""
-    kind = F.col("alert_type")
-    tagged = events.select(F.lit(None).cast("string").alias("alert_type")).unionAll(
-        alerts.select("alert_type")
+def alert_metrics(
+    events: DataFrame, alerts: DataFrame, bad: DataFrame | None = None
+) -> DataFrame:
+    """One row: events seen, alerts raised, and alerts of each kind.
+
+    With ``bad``, also the messages that could not be read; where ``alerts`` say whether
+    they were ``delivered``, also how many were.
+    """
+    nothing = F.lit(None).cast("string")
+    told = "delivered" in alerts.columns
+    tagged = events.select(F.lit("event").alias("what"), nothing.alias("kind"), F.lit(False).alias("sent")).unionAll(
+        alerts.select(F.lit("alert"), "alert_type", F.col("delivered") if told else F.lit(False))
     )
+    if bad is not None:
+        tagged = tagged.unionAll(bad.select(F.lit("bad"), nothing, F.lit(False)))
+    what, kind = F.col("what"), F.col("kind")
     return tagged.agg(
-        F.count_if(kind.isNull()).alias("events_total"),
-        F.count(kind).alias("alerts_sent"),
+        F.count_if(what == "event").alias("events_total"),
+        F.count_if(what == "alert").alias("alerts_sent"),
         *[F.count_if(kind == k).alias(f"{k.lower()}_alerts") for k in ALERT_KINDS],
+        *([F.count_if(what == "bad").alias("bad_messages")] if bad is not None else []),
+        *([F.count_if("sent").alias("alerts_delivered")] if told else []),
     )

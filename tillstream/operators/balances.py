@@ -39,7 +39,7 @@ def current_balance(df: DataFrame, opening: Column, rules: Rules = Rules()) -> D
 def running_balance(
     df: DataFrame,
     opening: Column,
-    order: tuple[str, ...] = ("transaction_timestamp", "transaction_id"),
+    order: tuple[str, ...] = ("transaction_timestamp", "_kafka_partition", "_kafka_offset"),
     rules: Rules = Rules(),
     split_rows: int = SPLIT_ROWS,
     out: str = "balance_after_transaction",

@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# A driver-side list of keys never grows past this, whatever the data.
-MAX_HOT_KEYS = 10_000
-
-
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the first in ``order``.
 
@@ -51,18 +47,11 @@ def not_seen_in(df: DataFrame, earlier: DataFrame, *keys: str) -> DataFrame:
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> list[Row]:
     """Keys with more than ``min_rows`` rows, as ``(key, count)``, largest first.
 
-    Counts are combined map-side, and the result is cut at ``MAX_HOT_KEYS``. A key
-    beyond the cut holds less than ``1 / MAX_HOT_KEYS`` of the rows, so callers treat
-    it like any other key: the cut moves rows between two ways, it loses none.
+    Counts are combined map-side. There are fewer such keys than rows / ``min_rows``,
+    which bounds the list that comes to the driver.
     """
-    return (
-        df.groupBy(key)
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > min_rows)
-        .orderBy(F.desc("n"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") > min_rows).orderBy(F.desc("n")).collect()
 
 
 def split_hot(df: DataFrame, key: str, hot: list[Row]) -> tuple[DataFrame, DataFrame]:

@@ -28,8 +28,8 @@ def lookup(
     """Join events to a dimension with one row per key (``inner`` or ``left_anti``).
 
     The dimension is broadcast when its measured size allows. Otherwise rows of
-    hot keys join a broadcast of just those dimension rows (at most
-    ``MAX_HOT_KEYS``), NULL keys skip the join, and the rest is shuffled by key.
+    hot keys join a broadcast of just those dimension rows (fewer than events /
+    ``hot_rows``), NULL keys skip the join, and the rest is shuffled by key.
     """
     if how not in ("inner", "left_anti"):
         raise ValueError(f"unsupported lookup: {how}")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -23,8 +26,14 @@ def register_views(spark: SparkSession, curated_path: str, prefix: str = "") ->
     return names
 
 
-def register_tables(spark: SparkSession, curated_path: str, database: str = "default") -> list[str]:
-    """External partitioned tables; call it again to pick up new days."""
+def register_tables(
+    spark: SparkSession,
+    curated_path: str,
+    database: str = "default",
+    days: Sequence[date] | None = None,
+) -> list[str]:
+    """External partitioned tables. Call it again to pick up new ``days``; without them
+    the whole layer is listed."""
     names = []
     for table, schema in CURATED.items():
         name = f"`{database}`.`{table}`"
@@ -34,6 +43,10 @@ def register_tables(spark: SparkSession, curated_path: str, database: str = "def
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
             f"PARTITIONED BY (transaction_date) LOCATION '{location}'"
         )
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        if days is None:
+            spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        elif days:
+            parts = " ".join(f"PARTITION (transaction_date = DATE'{d}')" for d in sorted(days))
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
         names.append(name)
     return names

@@ -1,36 +1,37 @@
-"""Raw → processed: select new files, transform, write, advance the mark."""
+"""Raw → processed: select new files, transform, write, enter them in the ledger."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import processed
 from ..operators.keys import dedupe_transactions, not_seen_in
-from ..session import scratch
 from ..settings import Rules
 from ..sinks.zones import write_processed
-from ..sources.marks import read_mark, write_mark
-from ..sources.zones import days_between, read_load, read_processed, read_raw, split_bad
+from ..sources.ledger import enter, next_load, read_ledger
+from ..sources.marks import EPOCH, read_mark, write_mark
+from ..sources.zones import exists, list_raw, read_load, read_processed, read_raw, split_bad
 
 # How far a transaction must be unique
 LOAD, DAY, TABLE = "load", "day", "table"
+# A load takes at most so many files, the oldest; the next load goes on with the rest.
+FILES_PER_LOAD = 100_000
 
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What a load read and wrote.
-
-    ``raw_rows`` is counted while the data passes; if Spark had to repeat a task
-    after losing an executor it may be too high. The other numbers are exact.
-    """
+    """What a load read and wrote. All numbers are counted from finished output."""
 
     files: int = 0
     raw_rows: int = 0
+    bad_rows: int = 0
     rows_by_day: dict[date, int] = field(default_factory=dict)
 
     @property
@@ -39,23 +40,29 @@ class LoadResult:
 
     @property
     def dropped_rows(self) -> int:
+        """Bad lines, invalid rows and repeats."""
         return self.raw_rows - self.written_rows
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """The totals as one row."""
-        row = (self.files, self.raw_rows, self.written_rows, self.dropped_rows)
-        return spark.createDataFrame(
-            [row], "files bigint, raw_rows bigint, written_rows bigint, dropped_rows bigint"
-        )
+        names = ("files", "raw_rows", "bad_rows", "written_rows", "dropped_rows")
+        row = tuple(getattr(self, n) for n in names)
+        return spark.createDataFrame([row], ", ".join(f"{n} bigint" for n in names))
 
 
-def observed(watch: Observation, name: str):
-    """A metric of a finished action. None where Spark cut the watched part out of the
-    plan, as it does when it finds at run time that no rows come out of it."""
+@contextmanager
+def parsed_once(raw: DataFrame) -> Iterator[DataFrame]:
+    """``raw`` kept on the executors' disks while it is read several times."""
+    raw = raw.persist(StorageLevel.DISK_ONLY)
     try:
-        return watch.get[name]
-    except Py4JJavaError:
-        return None
+        yield raw
+    finally:
+        raw.unpersist()
+
+
+def row_counts(raw: DataFrame) -> tuple[int, int]:
+    """(raw rows, rows among them that can't be read)."""
+    return raw.count(), split_bad(raw)[1].count()
 
 
 def load_batch(
@@ -64,37 +71,28 @@ def load_batch(
     load_id: str,
     rules: Rules = Rules(),
     unique_within: str = LOAD,
-    seen: Observation | None = None,
 ) -> dict[date, int]:
     """Write one batch of raw rows as load ``load_id``; returns its rows per day.
 
     ``unique_within`` says how far a transaction is looked for: in this ``load``
     only, in earlier loads on the same ``day`` too, or in the whole ``table``. A
     delivery that is repeated has the same time, so ``day`` finds it, and reads the
-    days of the batch instead of all history. ``seen`` counts the raw ``rows`` on
-    their way.
+    days of the batch instead of all history. ``raw`` is read more than once.
     """
     if unique_within not in (LOAD, DAY, TABLE):
         raise ValueError(f"unique_within: {unique_within}")
-    spark, valid = raw.sparkSession, Observation()
-    if seen is not None:
-        raw = raw.observe(seen, F.count("*").alias("rows"))
+    spark = raw.sparkSession
     rows = processed(split_bad(raw)[0], rules)
-    # A set, so a task that runs twice does no harm; and not longer than the calendar.
-    rows = rows.observe(valid, F.collect_set("transaction_date").alias("days"))
+    # Not longer than the calendar.
+    days = [r[0] for r in rows.select("transaction_date").distinct().collect()]
     rows = dedupe_transactions(rows)
     if unique_within == TABLE:
         rows = _new_rows(rows, read_processed(spark, processed_path), load_id)
     elif unique_within == DAY:
-        # Written out, so that the raw files are not parsed again to learn their days.
-        path = scratch(spark, "load")
-        rows.write.parquet(path)
-        rows = spark.read.schema(rows.schema).parquet(path)
-        days = [r[0] for r in rows.select("transaction_date").distinct().collect()]
         earlier = read_processed(spark, processed_path, days)
         rows = _new_rows(rows, earlier, load_id, "transaction_date")
     write_processed(rows, processed_path, load_id)
-    written = read_load(spark, processed_path, load_id, observed(valid, "days"))
+    written = read_load(spark, processed_path, load_id, days)
     if written is None:
         return {}
     # Counted from the footers of this load's files; as many rows as it has days.
@@ -109,6 +107,14 @@ def _new_rows(rows: DataFrame, earlier: DataFrame | None, load_id: str, *also: s
     return not_seen_in(rows, earlier.filter(F.col("load_id") != load_id), "transaction_id", *also)
 
 
+def new_files(
+    spark: SparkSession, raw_path: str, ledger_path: str, until: datetime, after: datetime | None
+) -> DataFrame:
+    """``path`` and ``modified`` of the files that no load has entered yet."""
+    listed = list_raw(spark, raw_path, after).filter(F.col("modified") <= F.lit(until))
+    return listed.join(read_ledger(spark, ledger_path, after).select("path"), "path", "left_anti")
+
+
 def run_load(
     spark: SparkSession,
     raw_path: str,
@@ -117,54 +123,46 @@ def run_load(
     rules: Rules = Rules(),
     unique_within: str = LOAD,
     now: datetime | None = None,
-    hourly: bool = False,
+    lag: timedelta | None = None,
+    quarantine_path: str | None = None,
+    most_files: int = FILES_PER_LOAD,
 ) -> LoadResult:
-    """Load the files that appeared since the last mark.
-
-    The mark is the start of the run, and files are read up to it, so consecutive
-    runs neither skip a file nor read one twice. The load's name comes from the
-    mark it started at: a run that died before advancing the mark is replaced by
-    the next. Without new rows nothing is written and the mark stays.
-
-    ``hourly`` says that the raw layer has the hourly directories of ``ingest``; then
-    only those of the days since the mark are listed, not all that ever arrived.
+    """Load the files that no earlier load has loaded.
+
+    What was loaded is in a ledger beside the mark (``<mark_path>_ledger``), so a file that
+    appears late, in an old directory or with an old time, is found all the same. A load
+    is entered there at its end; one that died before is run again under its number and
+    replaces what it wrote. The mark is the start of the last run. With a ``lag``, files
+    and ledger entries older than the mark by more than that are not looked at; it must be
+    longer than any file takes to appear. Without new rows nothing is written and the mark
+    stays. Bad lines go to ``quarantine_path``.
     """
     started = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
     started = started.replace(microsecond=started.microsecond // 1000 * 1000)
-    mark = read_mark(spark, mark_path)
-    paths = days_between(spark, raw_path, mark, started) if hourly else [raw_path]
-    if not paths:
+    ledger_path = f"{mark_path}_ledger"
+    if not exists(spark, raw_path):
         return LoadResult()
-    raw = read_raw(spark, paths, after=mark, until=started)
-    if raw.isEmpty():
+    mark = read_mark(spark, mark_path)
+    after = mark - lag if lag is not None and mark > EPOCH else None
+    files = new_files(spark, raw_path, ledger_path, started, after)
+    files = files.orderBy("modified", "path").limit(most_files).collect()
+    if not files:
         return LoadResult()
-    seen = Observation()
-    load_id = f"m{int(mark.timestamp() * 1_000_000)}"
-    days = load_batch(raw, processed_path, load_id, rules, unique_within, seen)
+    number = next_load(spark, ledger_path)
+    with parsed_once(read_raw(spark, [r.path for r in files])) as raw:
+        rows, bad = row_counts(raw)
+        if not rows:
+            return LoadResult()
+        days = load_batch(raw, processed_path, f"m{number}", rules, unique_within)
+        if quarantine_path and bad:
+            split_bad(raw)[1].write.mode("overwrite").parquet(f"{quarantine_path}/load={number}")
+    enter(spark.createDataFrame(files), ledger_path, number)
     write_mark(spark, mark_path, started)
-    return LoadResult(len(raw.inputFiles()), rows_seen(seen, raw), days)
-
-
-def rows_seen(seen: Observation, raw: DataFrame) -> int:
-    rows = observed(seen, "rows")
-    return raw_metrics(raw).first()["raw_rows"] if rows is None else rows
-
-
-def load_metrics(raw: DataFrame, rows: DataFrame) -> DataFrame:
-    """One row: raw, kept and dropped rows, counted exactly from the two layers."""
-    tagged = raw.select(F.lit(1).alias("raw"), F.lit(0).alias("kept")).unionAll(
-        rows.select(F.lit(0).alias("raw"), F.lit(1).alias("kept"))
-    )
-    return tagged.agg(
-        F.coalesce(F.sum("raw"), F.lit(0)).alias("raw_rows"),
-        F.coalesce(F.sum("kept"), F.lit(0)).alias("kept_rows"),
-        F.coalesce(F.sum("raw") - F.sum("kept"), F.lit(0)).alias("dropped_rows"),
-    )
+    return LoadResult(len(files), rows, bad, days)
 
 
 def raw_metrics(raw: DataFrame) -> DataFrame:
-    """One row: rows and files of a raw read, counted without parsing the rows."""
+    """One row: rows and files of a raw read."""
     return raw.agg(
-        F.count("*").alias("raw_rows"),
-        F.count_distinct("_metadata.file_path").alias("files_processed"),
+        F.count("*").alias("raw_rows"), F.count_distinct("_file").alias("files_processed")
     )

@@ -131,6 +131,14 @@ ACCOUNT_SUMMARY = T.StructType(
     ]
 )
 
+LEDGER = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("load", T.LongType()),
+    ]
+)
+
 MARK = T.StructType(
     [
         T.StructField("last_processed_timestamp", T.StringType()),

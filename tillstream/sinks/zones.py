@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import PROCESSED
+from ..sources.zones import drop_path
 
 
 def _overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
@@ -26,7 +27,9 @@ def _overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
 
 
 def write_processed(df: DataFrame, path: str, load_id: str) -> None:
-    """Append one load, by day. A load that runs again replaces its own rows only."""
+    """Append one load, by day. A load that runs again replaces its own rows only, all of
+    them: days it wrote the first time and has no rows for now are dropped too."""
+    drop_path(df.sparkSession, f"{path}/transaction_date=*/load_id={load_id}")
     for field in PROCESSED.fields:
         if field.name not in df.columns:
             df = df.withColumn(field.name, F.lit(None).cast(field.dataType))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -30,6 +31,26 @@ def encode(df: DataFrame, key: str = "account_id", keep: Sequence[str] = ()) ->
     return df.select(F.col(key).cast("string").alias("key"), value.alias("value"), *keep)
 
 
+def parsed(rows: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
+    """``rows`` with ``_event``: the object that ``text`` is, NULL if it is anything else.
+
+    The text is parsed as the first of a list of two, whose second element is a mark of
+    this plan's own. Both must be there: alone, an object followed by anything else would
+    be read as if that were not there.
+    """
+    mark = uuid.uuid4().hex
+    marked = T.StructType([*schema.fields, T.StructField("_mark", T.StringType())])
+    listed = F.concat(F.lit("["), F.col(text), F.lit(f',{{"_mark":"{mark}"}}]'))
+    options = {"allowSingleQuotes": "false"}
+    both = F.from_json(listed, T.ArrayType(marked), options)
+    rows = rows.withColumn("_both", both)
+    whole = (F.size("_both") == 2) & (F.get("_both", F.lit(1))["_mark"] == mark)
+    # A generator rather than an index: Spark would push a later filter on an index
+    # below it and parse every message once more for the filter.
+    event = F.explode_outer(F.when(whole, F.slice("_both", 1, 1)))
+    return rows.select(*[c for c in rows.columns if c != "_both"], event.alias("_event"))
+
+
 def decode(messages: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
     """Messages with a ``value`` → the schema's fields, plus
 
@@ -40,10 +61,6 @@ def decode(messages: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
     """
     value = F.col("value").cast("string")
     known = schema.fieldNames()
-    # Parsed as the only element of a list: on its own, an object followed by
-    # anything else would be read as if it stood alone.
-    listed = F.concat(F.lit("["), value, F.lit("]"))
-    parsed = F.from_json(listed, T.ArrayType(schema), {"allowSingleQuotes": "false"})
     # Listing the keys is much cheaper than reading all values once more, which only
     # messages with unknown fields need (or with NaN, whose keys are not listed).
     unknown = F.exists(F.json_object_keys(value), lambda name: ~name.isin(*known))
@@ -53,27 +70,22 @@ def decode(messages: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
             F.from_json(value, "map<string,variant>"), lambda name, _: ~name.isin(*known)
         ),
     )
-    # A generator rather than an index: Spark would push a later filter on an index
-    # below it and parse every message once more for the filter.
-    event = F.explode_outer(F.when(F.size("_l") == 1, F.col("_l")))
     kept = [F.col(c) for c in messages.columns if c != "value"]
     fields = [_field(n).alias(n) for n in known]
-    return (
-        messages.select(*kept, value.alias("_v"), parsed.alias("_l"), others.alias("_o"))
-        .select(*kept, "_v", "_o", event.alias("_e"))
-        .select(
-            *kept,
-            *fields,
-            F.when(F.col("_e").isNotNull() & (F.size("_o") > 0), F.to_json("_o")).alias("_extra"),
-            F.when(F.col("_e").isNull(), F.coalesce("_v", F.lit(""))).alias("_bad_value"),
-        )
+    rows = parsed(messages.select(*kept, value.alias("_v"), others.alias("_o")), schema, "_v")
+    bad = F.col("_event").isNull()
+    return rows.select(
+        *kept,
+        *fields,
+        F.when(~bad & (F.size("_o") > 0), F.to_json("_o")).alias("_extra"),
+        F.when(bad, F.coalesce("_v", F.lit(""))).alias("_bad_value"),
     )
 
 
 def _field(name: str) -> Column:
-    parsed = F.col(f"_e.{name}")
+    text = F.col(f"_event.{name}")
     # from_json quotes the bare words NaN and Infinity when it reads them as text.
-    return F.btrim(parsed, F.lit('"')) if name in _NUMBERS else parsed
+    return F.btrim(text, F.lit('"')) if name in _NUMBERS else text
 
 
 def good(decoded: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import ACCOUNT_SUMMARY, CHANNEL_CATEGORY_SUMMARY, CORRUPT, PROCESSED, RAW
+from .codec import parsed
 
 SUFFIX = "*.json"
 
@@ -21,12 +22,38 @@ def exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def drop_path(spark: SparkSession, pattern: str) -> None:
+    """Delete what matches a pattern, if anything does."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(path) or []:
+        files.delete(found.getPath(), True)
+
+
 def _option_time(t: datetime) -> str:
     if t.tzinfo is not None:
         t = t.astimezone(timezone.utc).replace(tzinfo=None)
     return t.isoformat(timespec="microseconds")
 
 
+def _raw_files(reader, suffix: str):
+    return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", suffix)
+
+
+def list_raw(
+    spark: SparkSession, path: str, after: datetime | None = None, suffix: str = SUFFIX
+) -> DataFrame:
+    """``path`` and ``modified`` of the layer's files, modified after ``after``.
+
+    Where a stream writes the layer, its commit log says which files there are: what a
+    micro-batch left that was never committed is not listed. Contents are not read.
+    """
+    reader = _raw_files(spark.read.format("binaryFile"), suffix)
+    if after is not None:
+        reader = reader.option("modifiedAfter", _option_time(after))
+    return reader.load(path).select("path", F.col("modificationTime").alias("modified"))
+
+
 def read_raw(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -38,39 +65,24 @@ def read_raw(
     """JSON lines below ``paths``: files named like ``suffix``, modified strictly
     after ``after`` and up to ``until`` (whole milliseconds, inclusive).
 
-    A line that is no JSON object keeps its text in ``_corrupt_record``. The
-    directory names (year, month, day, hour) are no columns.
+    A line that is not exactly one JSON object keeps its text in ``_corrupt_record``;
+    blank lines are no rows. The directory names (year, month, day, hour) are no columns.
     """
-    reader = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", suffix)
-        .option("timeZone", "UTC")
-    )
+    reader = _raw_files(spark.read, suffix)
     if after is not None:
         reader = reader.option("modifiedAfter", _option_time(after))
     if until is not None:
         reader = reader.option("modifiedBefore", _option_time(until + timedelta(milliseconds=1)))
-    return reader.json([paths] if isinstance(paths, str) else list(paths))
-
+    lines = reader.text([paths] if isinstance(paths, str) else list(paths))
+    return _decoded(lines, schema)
 
-def days_between(
-    spark: SparkSession, path: str, after: datetime, until: datetime, most: int = 400
-) -> list[str]:
-    """Day directories of an hourly raw layer that can hold files of that time.
 
-    A file may end up in the directory of the day before, where its batch began.
-    Over more than ``most`` days the whole layer is returned.
-    """
-    first = after.date() - timedelta(days=1) if after.year > 1970 else after.date()
-    count = (until.date() - first).days + 1
-    if count > most:
-        return [path]
-    days = (first + timedelta(days=i) for i in range(count))
-    below = [f"{path}/{d:year=%Y/month=%m/day=%d}" for d in days]
-    return [p for p in below if exists(spark, p)]
+def _decoded(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    known = T.StructType([f for f in schema.fields if f.name != CORRUPT])
+    lines = lines.select("value", F.col("_metadata.file_path").alias("_file"))
+    rows = parsed(lines.filter(F.trim("value") != ""), known)
+    corrupt = F.when(F.col("_event").isNull(), F.col("value")).alias(CORRUPT)
+    return rows.select(*[F.col(f"_event.{n}") for n in known.fieldNames()], corrupt, "_file")
 
 
 def stream_raw(
@@ -80,25 +92,19 @@ def stream_raw(
     schema: T.StructType = RAW,
 ) -> DataFrame:
     """The raw layer as a stream of files; the checkpoint remembers which were read."""
-    reader = (
-        spark.readStream.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", SUFFIX)
-    )
+    reader = _raw_files(spark.readStream, SUFFIX)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return _decoded(reader.text(path), schema)
 
 
 def split_bad(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable rows, quarantined rows as ``bad_value``)."""
     text = F.coalesce(CORRUPT, "_bad_value") if "_bad_value" in raw.columns else F.col(CORRUPT)
     return (
-        raw.filter(text.isNull()).drop(CORRUPT, "_bad_value"),
+        raw.filter(text.isNull()).drop(CORRUPT, "_bad_value", "_file"),
         raw.filter(text.isNotNull()).select(text.alias("bad_value"), *[
-            c for c in raw.columns if c not in (CORRUPT, "_bad_value")
+            c for c in raw.columns if c not in (CORRUPT, "_bad_value", "_file")
         ]),
     )
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.alerts import ALERT_COLUMNS, alert_events, alert_metrics, unmatched_events
 from ..operators.messages import with_messages
 from ..settings import Rules, Sender
-from ..sinks.outbox import write_batch
-from ..sources.codec import decode, good
+from ..sinks.outbox import batch_path, write_batch
+from ..sources.codec import decode, good, quarantine
 from .start import start
 
 
@@ -22,6 +24,8 @@ def alerting(
     checkpoint: str,
     unmatched: str | None = None,
     metrics: str | None = None,
+    bad: str | None = None,
+    deliver: Callable[[DataFrame], DataFrame] | None = None,
     every: str | None = None,
     rules: Rules = Rules(),
     sender: Sender = Sender(),
@@ -29,27 +33,37 @@ def alerting(
     """Write one outbox row, with its message, per alert.
 
     ``load_master`` is called for every micro-batch, so changes to the master are
-    seen. ``unmatched`` receives the events of unknown accounts, ``metrics`` one
-    row of counts per micro-batch.
+    seen. ``unmatched`` receives the events of unknown accounts, ``bad`` the messages
+    that are no JSON objects, ``metrics`` one row of counts per micro-batch.
+
+    ``deliver`` is given the alerts and returns them with ``delivered``, true where the
+    message went out; without it nothing is sent and ``delivered`` is NULL. A replayed
+    micro-batch is delivered again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        events = good(decode(batch.select("value")))
-        several = unmatched or metrics
-        if several:
-            events = events.persist()
+        spark = batch.sparkSession
+        messages = decode(batch.select("value")).persist(StorageLevel.DISK_ONLY)
+        master = load_master().persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            master = load_master()
+            events, poison = good(messages), quarantine(messages)
             alerts = alert_events(events, master, rules).select(*ALERT_COLUMNS)
-            write_batch(with_messages(alerts, rules, sender), outbox, batch_id)
+            alerts = with_messages(alerts, rules, sender)
+            if deliver:
+                alerts = deliver(alerts)
+            else:
+                alerts = alerts.withColumn("delivered", F.lit(None).cast("boolean"))
+            write_batch(alerts, outbox, batch_id)
             if unmatched:
                 write_batch(unmatched_events(events, master), unmatched, batch_id)
+            if bad:
+                write_batch(poison.select(F.col("_bad_value").alias("bad_value")), bad, batch_id)
             if metrics:
                 # What was sent is what the outbox now holds.
-                sent = events.sparkSession.read.parquet(f"{outbox}/batch_id={batch_id}")
-                write_batch(alert_metrics(events, sent), metrics, batch_id)
+                sent = spark.read.parquet(batch_path(spark, outbox, batch_id))
+                write_batch(alert_metrics(events, sent, poison), metrics, batch_id)
         finally:
-            if several:
-                events.unpersist()
+            messages.unpersist()
+            master.unpersist()
 
     return start(messages.writeStream.foreachBatch(write), checkpoint, every)

@@ -8,14 +8,21 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.balances import current_balance
+from ..operators.cleaning import valid_only
 from ..operators.keys import keep_first
 from ..settings import Rules
 from ..sinks.outbox import read_batches, write_batch
+from ..sources.zones import drop_path, exists
 from .start import start
 
 BALANCE = T.StructType(
     [T.StructField("account_id", T.StringType()), T.StructField("balance", T.DoubleType())]
 )
+SNAPSHOT = T.StructType([*BALANCE.fields, T.StructField("as_of", T.TimestampType())])
+SNAPSHOTS = "snapshot"
+
+# An event without any of these moves no balance.
+MOVING = ("transaction_id", "account_id", "amount", "transaction_status")
 
 
 def balances(
@@ -25,8 +32,17 @@ def balances(
     checkpoint: str,
     every: str | None = None,
     rules: Rules = Rules(),
+    unique_within: str | None = None,
 ) -> StreamingQuery:
-    """Write, per micro-batch, the new balance of every account it touched."""
+    """Write, per micro-batch, the new balance of every account it touched.
+
+    Each delivery counts. With ``unique_within``, such as "2 hours", a transaction that is
+    delivered again within that time counts once; its id is kept as state so long.
+    """
+    events = valid_only(events, MOVING)
+    if unique_within:
+        events = events.withWatermark("transaction_timestamp", unique_within)
+        events = events.dropDuplicatesWithinWatermark(["transaction_id"])
     return start(
         current_balance(events, opening, rules)
         .writeStream.outputMode("update")
@@ -36,7 +52,35 @@ def balances(
     )
 
 
+def _updates(spark: SparkSession, path: str) -> DataFrame:
+    """All updates with the time each was written, which a snapshot keeps."""
+    rows = read_batches(spark, path, SNAPSHOT)
+    if not exists(spark, path):
+        return rows
+    written = F.coalesce("as_of", F.col("_metadata.file_modification_time"))
+    return rows.withColumn("as_of", written)
+
+
 def read_balances(spark: SparkSession, path: str) -> DataFrame:
-    """The latest balance of every account."""
-    updates = read_batches(spark, path, BALANCE)
-    return keep_first(updates, ["account_id"], [F.desc("batch_id")]).drop("batch_id")
+    """The latest balance of every account: the one written last, by the later batch."""
+    latest = [F.desc("as_of"), F.desc("batch_id")]
+    return keep_first(_updates(spark, path), ["account_id"], latest).select(*BALANCE.fieldNames())
+
+
+def compact_balances(spark: SparkSession, path: str) -> None:
+    """Replace updates so far by one row per account.
+
+    Each stream's last batch stays, as the stream may still replay it. A batch that is
+    written meanwhile is neither read nor dropped.
+    """
+    if not exists(spark, path):
+        return
+    updates = _updates(spark, path)
+    seen = [(r.query_id, r.batch_id) for r in updates.select("query_id", "batch_id").distinct().collect()]
+    last = {q: max(b for x, b in seen if x == q) for q, _ in seen}
+    latest = keep_first(updates, ["account_id"], [F.desc("as_of"), F.desc("batch_id")])
+    number = max((b for q, b in seen if q == SNAPSHOTS), default=-1) + 1
+    latest.drop("query_id", "batch_id").write.parquet(f"{path}/query_id={SNAPSHOTS}/batch_id={number}")
+    for query, batch in seen:
+        if query == SNAPSHOTS or batch < last[query]:
+            drop_path(spark, f"{path}/query_id={query}/batch_id={batch}")

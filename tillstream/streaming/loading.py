@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.curate import build_curated
-from ..plans.load import LOAD, LoadResult, load_batch, observed
+from ..plans.dirty import enter_days
+from ..plans.load import LOAD, LoadResult, load_batch, parsed_once, row_counts
 from ..settings import Rules
-from ..sinks.outbox import write_batch
+from ..sinks.outbox import query_id, write_batch
 from ..sources.zones import split_bad, stream_raw
 from .start import start
 
@@ -19,6 +20,7 @@ def loading(
     processed_path: str,
     checkpoint: str,
     curated_path: str | None = None,
+    dirty_path: str | None = None,
     quarantine_path: str | None = None,
     metrics_path: str | None = None,
     max_files: int | None = None,
@@ -27,24 +29,32 @@ def loading(
     unique_within: str = LOAD,
 ) -> StreamingQuery:
     """Load every raw file once. With ``curated_path``, rebuild each day a load
-    touched, however old it is; with ``metrics_path``, write one row of counts per
-    micro-batch.
+    touched, however old it is; with ``dirty_path``, only enter it there, for
+    ``curate_dirty`` at a time of its own, which is what short intervals need. With
+    ``metrics_path``, write one row of counts per micro-batch.
+
+    Loads are named after the stream and its batch, so several streams can feed one
+    table, and a new checkpoint replaces nothing.
 
     Transactions are de-duplicated within a micro-batch, which holds all new files
     unless ``max_files`` is set; ``unique_within`` extends that to earlier ones.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, seen = batch.sparkSession, Observation()
-        days = load_batch(batch, processed_path, f"s{batch_id}", rules, unique_within, seen)
-        if quarantine_path:
-            write_batch(split_bad(batch)[1], quarantine_path, batch_id)
-        if curated_path and days:
+        spark = batch.sparkSession
+        load_id = f"s{query_id(spark)}-{batch_id}"
+        with parsed_once(batch) as raw:
+            rows, bad = row_counts(raw)
+            days = load_batch(raw, processed_path, load_id, rules, unique_within)
+            if quarantine_path:
+                write_batch(split_bad(raw)[1], quarantine_path, batch_id)
+            files = raw.select("_file").distinct().count() if metrics_path else 0
+        if days and dirty_path:
+            enter_days(spark, dirty_path, list(days))
+        elif days and curated_path:
             build_curated(spark, processed_path, curated_path, list(days))
         if metrics_path:
-            rows = observed(seen, "rows")
-            result = LoadResult(raw_rows=batch.count() if rows is None else rows, rows_by_day=days)
-            write_batch(result.frame(spark), metrics_path, batch_id)
+            write_batch(LoadResult(files, rows, bad, days).frame(spark), metrics_path, batch_id)
 
     stream = stream_raw(spark, raw_path, max_files)
     return start(stream.writeStream.foreachBatch(write), checkpoint, every)

@@ -93,12 +93,6 @@ SUMMARY = f"""
          count(DISTINCT merchant_name) AS unique_merchants
   FROM t GROUP BY ALL"""
 
-SUMMARY_SHOWN = f"""
-WITH {TXN}, s AS ({SUMMARY})
-SELECT transaction_date, channel, merchant_category, transaction_status, amount_bucket,
-       total_transactions, total_amount, avg_amount, unique_accounts, unique_merchants
-FROM s"""
-
 ACCOUNT_SUMMARY = f"""
 WITH {TXN}, {BALANCE}
 SELECT CAST(ts AS DATE) AS transaction_date, account_id, count(*) AS total_transactions,
@@ -208,16 +202,16 @@ def indented(body: str, blanks: int) -> str:
     return "'" + body.replace("\n", "\n" + " " * blanks) + "'"
 
 
-ALERT_MESSAGES = f"""
-WITH {TXN}, {BALANCE}, {THIRD_STATUS}, {MASTER}, {ALERTS.format(events="s")},
+MESSAGE_TEXTS = f"""
 x AS (
   SELECT *, '₹' || format('{{:,.2f}}', amount) AS amount_text,
          '₹' || format('{{:,.2f}}', balance) AS balance_text,
          CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
               ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS time_text
   FROM a
-)
-SELECT transaction_id, alert_type,
+),
+y AS (
+SELECT *,
        CASE alert_type
          WHEN 'HIGH_VALUE' THEN
            '🚨 Example Bank Alert: Large Transaction of ' || amount_text || ' on your account'
@@ -229,7 +223,23 @@ SELECT transaction_id, alert_type,
          WHEN 'FAILED_TXN' THEN {indented(FAILED_BODY, 8)}
          ELSE {indented(LOW_BALANCE_BODY, 16)}
        END AS body
-FROM x"""
+FROM x)"""
+
+ALERT_MESSAGES = f"""
+WITH {TXN}, {BALANCE}, {THIRD_STATUS}, {MASTER}, {ALERTS.format(events="s")}, {MESSAGE_TEXTS}
+SELECT transaction_id, alert_type, subject, body FROM y"""
+
+STREAM_ALERTS = f"""
+WITH {TXN}, {BALANCE}, {MASTER}, {ALERTS.format(events="b")}, {MESSAGE_TEXTS}
+SELECT transaction_id, account_id, user_name, user_email, alert_type, amount,
+       balance AS balance_after_transaction, transaction_status, subject, body
+FROM y"""
+
+MALFORMED = """CASE WHEN {n} % 17 = 0 THEN {t} || {t} WHEN {n} % 19 = 0 THEN {t} || ' x'
+     WHEN {n} % 23 = 0 THEN '[' || {t} || ']' WHEN {n} % 29 = 0 THEN {t} || '],[' || {t}
+     WHEN {n} % 31 = 0 THEN {t} || ',' || {t} END"""
+IS_MALFORMED = "(n % 17 = 0 OR n % 19 = 0 OR n % 23 = 0 OR n % 29 = 0 OR n % 31 = 0)"
+SHORT = """'{"transaction_id":"' || CAST(n AS VARCHAR) || '"}'"""
 
 ORACLES: dict[str, str] = {
     "txn_processed": f"WITH {TXN}, {MESSY} SELECT {SHOWN} FROM f WHERE {VALID}",
@@ -254,11 +264,16 @@ SELECT account_id AS key, transaction_id, account_id, transaction_type, amount,
        {TIME} AS transaction_timestamp, merchant_name, transaction_status,
        '{{"risk":' || CAST(n % 10 AS VARCHAR) || '}}' AS _extra
 FROM t""",
-    "json_quarantine": """
-SELECT event_id AS message,
-       CASE WHEN event_id % 7 = 0 THEN '{bad ' || CAST(event_id AS VARCHAR)
-            WHEN event_id % 11 = 0 THEN CAST(event_id AS VARCHAR) ELSE '' END AS bad_value
-FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0 OR event_id % 13 = 0""",
+    "json_quarantine": f"""
+WITH e AS (SELECT event_id AS n FROM events),
+q AS (
+  SELECT n AS message,
+         CASE WHEN n % 7 = 0 THEN '{{bad ' || CAST(n AS VARCHAR)
+              WHEN n % 11 = 0 THEN CAST(n AS VARCHAR) WHEN n % 13 = 0 THEN ''
+              ELSE {MALFORMED.format(n="n", t=SHORT)} END AS bad_value
+  FROM e
+)
+SELECT * FROM q WHERE bad_value IS NOT NULL""",
     "channel_category_summary": f"WITH {TXN} {SUMMARY}",
     "account_summary": ACCOUNT_SUMMARY,
     "account_running_balance": f"""
@@ -284,8 +299,40 @@ SELECT (SELECT count(*) FROM events) AS events_total, count(*) AS alerts_sent,
        count(*) FILTER (alert_type = 'FAILED_TXN') AS failed_txn_alerts,
        count(*) FILTER (alert_type = 'LOW_BALANCE') AS low_balance_alerts
 FROM a""",
-    "curated_day": SUMMARY_SHOWN,
-    "late_day_rebuild": SUMMARY_SHOWN,
+    "curated_day": f"WITH {TXN} {SUMMARY}",
+    "late_day_rebuild": f"WITH {TXN} {SUMMARY}",
+    "curate_run_metrics": f"""
+WITH {TXN}, s AS ({SUMMARY}), a AS (SELECT DISTINCT CAST(ts AS DATE), account_id FROM t)
+SELECT (SELECT count(*) FROM t) AS records, (SELECT count(*) FROM s) AS channel_category_rows,
+       (SELECT count(*) FROM a) AS account_rows""",
+    "compacted_day": f"""
+WITH {TXN}, d AS (SELECT CAST(ts AS DATE) AS day FROM t WHERE n % 3 = 2 GROUP BY 1),
+r AS (SELECT day, row_number() OVER (ORDER BY day) AS k FROM d)
+SELECT transaction_id, amount, CAST(ts AS DATE) AS transaction_date, coalesce(k % 2 = 1, false) AS compacted
+FROM t LEFT JOIN r ON r.day = CAST(ts AS DATE)""",
+    "replayed_load": f"""
+WITH {TXN}
+SELECT transaction_id, '0' AS load_id, CAST(ts AS DATE) AS transaction_date FROM t WHERE n % 2 = 0
+UNION ALL
+SELECT transaction_id, '1', CAST(ts AS DATE) FROM t WHERE n % 2 = 1 AND day(ts) % 2 = 1""",
+    "incremental_load_late_files": f"""
+WITH {TXN}
+SELECT transaction_id, amount, CASE WHEN n % 2 = 0 THEN 'm0' ELSE 'm1' END AS load_id FROM t""",
+    "stream_ingest_layout": f"""
+WITH {TXN}
+SELECT transaction_id, true AS in_run, true AS in_its_hour, true AS in_small_file FROM t""",
+    "two_streams_one_table": f"WITH {TXN} SELECT transaction_id, account_id, amount FROM t",
+    "alert_quarantine": f"""
+WITH {TXN}, {BALANCE}, {MASTER}, g AS (SELECT * FROM b WHERE NOT {IS_MALFORMED}),
+{ALERTS.format(events="g")}
+SELECT (SELECT count(*) FROM g) AS events_total, count(*) AS alerts_sent,
+       count(*) FILTER (alert_type = 'HIGH_VALUE') AS high_value_alerts,
+       count(*) FILTER (alert_type = 'FAILED_TXN') AS failed_txn_alerts,
+       count(*) FILTER (alert_type = 'LOW_BALANCE') AS low_balance_alerts,
+       (SELECT count(*) FROM b WHERE {IS_MALFORMED}) AS bad_messages,
+       count(*) FILTER (alert_type <> 'LOW_BALANCE') AS alerts_delivered,
+       (SELECT count(*) FROM b WHERE {IS_MALFORMED}) AS quarantined
+FROM a""",
     "incremental_load": f"""
 WITH {TXN}
 SELECT transaction_id, account_id, amount, {TIME} AS transaction_timestamp,
@@ -293,22 +340,28 @@ SELECT transaction_id, account_id, amount, {TIME} AS transaction_timestamp,
 FROM t""",
     "load_run_metrics": f"""
 WITH {TXN}, {MESSY}
-SELECT count(*) AS raw_rows, count(*) FILTER ({VALID}) AS kept_rows,
-       count(*) - count(*) FILTER ({VALID}) AS dropped_rows
+SELECT count(*) AS raw_rows, count(*) FILTER ({IS_MALFORMED}) AS bad_rows,
+       count(*) FILTER ({VALID} AND NOT {IS_MALFORMED}) AS written_rows,
+       count(*) - count(*) FILTER ({VALID} AND NOT {IS_MALFORMED}) AS dropped_rows
 FROM f""",
     "raw_files_read": "SELECT count(*) AS raw_rows, true AS all_files FROM events",
     "raw_quarantine": f"""
-WITH {TXN}
-SELECT '{{"transaction_id":"' || transaction_id || '","account_id":"' || account_id
-       || '","transaction_type":"' || transaction_type || '"' AS bad_value
-FROM t WHERE channel = 'ATM'""",
+WITH {TXN},
+q AS (
+  SELECT CASE WHEN channel = 'ATM'
+              THEN '{{"transaction_id":"' || transaction_id || '","account_id":"' || account_id
+                   || '","transaction_type":"' || transaction_type || '"'
+              ELSE {MALFORMED.format(n="n", t=SHORT)} END AS bad_value
+  FROM t
+)
+SELECT * FROM q WHERE bad_value IS NOT NULL""",
     "stream_ingest": f"""
 WITH {TXN}
 SELECT transaction_id, account_id, amount, {TIME} AS transaction_timestamp, merchant_name,
        n AS _kafka_offset, 0 AS _kafka_partition
 FROM t""",
     "stream_load": ACCOUNT_SUMMARY,
-    "stream_alerts": ALERT_EVENTS,
+    "stream_alerts": STREAM_ALERTS,
     "stream_balance": CURRENT_BALANCE,
     "sql_over_curated": f"""
 WITH {TXN},
@@ -327,4 +380,8 @@ SELECT 'AC' || CAST(c_custkey + 100000 AS VARCHAR) AS account_id,
        CASE WHEN c_custkey % 3 = 0 THEN c_name || ' (new)' ELSE c_name END AS user_name,
        CAST(c_custkey AS VARCHAR) || '@example.com' AS user_email
 FROM customer"""
-ORACLES["master_latest"] = ORACLES["master_csv"] = LATEST_MASTER
+ORACLES["master_latest"] = LATEST_MASTER
+ORACLES["master_csv"] = f"""
+SELECT account_id, user_name || CASE WHEN CAST(substr(account_id, 3) AS BIGINT) % 4 = 0
+       THEN chr(10) || 'Jr' ELSE '' END AS user_name, user_email
+FROM ({LATEST_MASTER})"""

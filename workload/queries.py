@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tillstream.operators.alerts import (
     ALERT_COLUMNS,
@@ -22,12 +23,15 @@ from tillstream.operators.messages import with_messages
 from tillstream.operators.summaries import account_summary, channel_category_summary
 from tillstream.plans.catalog import register_tables
 from tillstream.plans.curate import build_curated
-from tillstream.plans.load import load_batch, load_metrics, raw_metrics, run_load
-from tillstream.schemas import MASTER_FIELDS, RAW
+from tillstream.plans.compact import compact_days
+from tillstream.plans.dirty import curate_dirty
+from tillstream.plans.load import load_batch, parsed_once, raw_metrics, run_load
+from tillstream.schemas import CORRUPT, MASTER_FIELDS, RAW
 from tillstream.session import scratch
 from tillstream.sources.codec import decode, encode, good, quarantine
 from tillstream.sources.master import latest_per_account, read_master
 from tillstream.sources.zones import (
+    list_raw,
     read_account_summary,
     read_channel_category_summary,
     read_processed,
@@ -179,15 +183,27 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def malformed(text: Column, number: Column) -> Column:
+    """Some objects run together, followed by a word, in a list, or split over lists."""
+    return (
+        F.when(number % 17 == 0, F.concat(text, text))
+        .when(number % 19 == 0, F.concat(text, F.lit(" x")))
+        .when(number % 23 == 0, F.concat(F.lit("["), text, F.lit("]")))
+        .when(number % 29 == 0, F.concat(text, F.lit("],["), text))
+        .when(number % 31 == 0, F.concat(text, F.lit(","), text))
+    )
+
+
 def json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages that are no JSON objects: cut short, a bare number, empty."""
+    """Messages that are not exactly one JSON object."""
     messages = encode(transactions(spark, sf_dir), keep=SOURCE_COLUMNS)
+    short = F.concat(F.lit('{"transaction_id":"'), n().cast("string"), F.lit('"}'))
     broken = messages.withColumn(
         "value",
         F.when(n() % 7 == 0, F.concat(F.lit("{bad "), n().cast("string")))
         .when(n() % 11 == 0, n().cast("string"))
         .when(n() % 13 == 0, F.lit(""))
-        .otherwise(F.col("value")),
+        .otherwise(F.coalesce(malformed(short, n()), F.col("value"))),
     )
     return quarantine(decode(broken)).select(
         n().alias("message"), F.col("_bad_value").alias("bad_value")
@@ -212,9 +228,8 @@ def account_running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def account_running_balance_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the busiest accounts summed in slices, at most 1,200 of them."""
-    split_rows = max(80, table(spark, sf_dir, "events").count() // 1200)
-    return transactions_with_balance(spark, sf_dir, split_rows=split_rows).select(
+    """The same with accounts of over 80 events summed in slices."""
+    return transactions_with_balance(spark, sf_dir, split_rows=80).select(
         "transaction_id", "account_id", "balance_after_transaction"
     )
 
@@ -309,31 +324,20 @@ def master_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def master_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through CSV files, written in two goes, with columns out of order."""
+    """The same through CSV files, written in two goes with different columns; some names
+    hold a line break."""
     path = scratch(spark, "master")
-    rows = two_versions(spark, sf_dir).select("user_email", "number", *MASTER_FIELDS[:2], "version")
-    for version in (1, 2):
-        part = rows.filter(F.col("version") == version).drop("version")
+    name = F.when(F.col("number") % 4 == 0, F.concat("user_name", F.lit("\nJr"))).otherwise(F.col("user_name"))
+    rows = two_versions(spark, sf_dir).withColumn("user_name", name)
+    orders = {1: ("user_email", "number", "account_id", "user_name"), 2: ("user_name", "account_id", "user_email")}
+    for version, columns in orders.items():
+        part = rows.filter(F.col("version") == version).select(*columns)
         part.write.mode("append").option("header", "true").csv(path)
     return read_master(spark, path)
 
 
 # --- layers ----------------------------------------------------------------
 
-SUMMARY_SHOWN = (
-    "transaction_date",
-    "channel",
-    "merchant_category",
-    "transaction_status",
-    "amount_bucket",
-    "total_transactions",
-    "total_amount",
-    "avg_amount",
-    "unique_accounts",
-    "unique_merchants",
-)
-
-
 def as_raw(df: DataFrame) -> DataFrame:
     """Transactions as raw rows: text, with an ingest time."""
     ts = F.date_format("transaction_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -347,7 +351,8 @@ def as_raw(df: DataFrame) -> DataFrame:
 
 
 def load_days(df: DataFrame, path: str, load_id: str) -> list[date]:
-    return list(load_batch(as_raw(df), path, load_id))
+    with parsed_once(as_raw(df)) as raw:
+        return list(load_batch(raw, path, load_id))
 
 
 def curated_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,7 +361,43 @@ def curated_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = load_days(transactions(spark, sf_dir), processed_path, "0")
     build_curated(spark, processed_path, curated, days)
     build_curated(spark, processed_path, curated, [min(days)])
-    return read_channel_category_summary(spark, curated).select(*SUMMARY_SHOWN)
+    return read_channel_category_summary(spark, curated)
+
+
+def curate_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a rebuild of all days says it wrote."""
+    processed_path, curated = scratch(spark, "processed"), scratch(spark, "curated")
+    days = load_days(transactions(spark, sf_dir), processed_path, "0")
+    result = build_curated(spark, processed_path, curated, days)
+    return spark.createDataFrame([result], "records bigint, channel_category_rows bigint, account_rows bigint")
+
+
+def compacted_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days loaded in three goes, every second day then merged into one load."""
+    out = scratch(spark, "processed")
+    events = transactions(spark, sf_dir)
+    for part in range(3):
+        days = load_days(events.filter(n() % 3 == part), out, str(part))
+    compact_days(spark, out, sorted(days)[::2])
+    rows = read_processed(spark, out)
+    loads = Window.partitionBy("transaction_date")
+    return rows.select(
+        "transaction_id",
+        "amount",
+        "transaction_date",
+        (F.min("load_id").over(loads) == "c").alias("compacted"),
+    )
+
+
+def replayed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load runs again and no longer has rows for some of its days."""
+    out = scratch(spark, "processed")
+    events = transactions(spark, sf_dir)
+    load_days(events.filter(n() % 2 == 0), out, "0")
+    load_days(events, out, "1")
+    odd_days = F.dayofmonth("transaction_timestamp") % 2 == 1
+    load_days(events.filter((n() % 2 == 1) & odd_days), out, "1")
+    return read_processed(spark, out).select("transaction_id", "load_id", "transaction_date")
 
 
 def late_day_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,7 +408,7 @@ def late_day_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     build_curated(spark, processed_path, curated, on_time)
     touched = load_days(events.filter(n() % 10 == 0), processed_path, "1")
     build_curated(spark, processed_path, curated, touched)
-    return read_channel_category_summary(spark, curated).select(*SUMMARY_SHOWN)
+    return read_channel_category_summary(spark, curated)
 
 
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,9 +425,37 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def incremental_load_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A streamed raw layer, loaded; then a second batch of the stream whose files look old,
+    and files of a batch that was never committed, which are no data."""
+    path, raw, checkpoint = (scratch(spark, n) for n in ("topic", "raw", "checkpoint"))
+    out, mark = scratch(spark, "processed"), scratch(spark, "mark")
+    events = transactions(spark, sf_dir)
+    ingest(topic(spark, events.filter(n() % 2 == 0), path), raw, checkpoint).awaitTermination()
+    orphan = as_raw(events.filter(n() % 7 == 0)).withColumn("transaction_id", F.lit("orphan"))
+    orphan.write.json(f"{raw}/year=2020/month=01/day=01/hour=00")
+    run_load(spark, raw, out, mark)
+    ingest(topic(spark, events.filter(n() % 2 == 1), path), raw, checkpoint).awaitTermination()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for row in list_raw(spark, raw).select("path").collect():
+        file = hadoop.Path(row.path)
+        file.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(file, 1_000_000_000, -1)
+    run_load(spark, raw, out, mark)
+    return read_processed(spark, out).select("transaction_id", "amount", "load_id")
+
+
 def load_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load says of itself, over faulty rows and lines that can't be read."""
+    raw, out, mark = (scratch(spark, name) for name in ("raw", "processed", "mark"))
     rows = messy(transactions(spark, sf_dir))
-    return load_metrics(rows, dedupe_transactions(processed(rows)))
+    lines = rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"), n().cast("long").alias("n"))
+    value = F.coalesce(malformed(F.col("value"), F.col("n")), F.col("value"))
+    lines.select(value.alias("value")).write.text(raw)
+    for file in spark.read.text(raw).select("_metadata.file_path").distinct().collect():
+        old = spark._jvm.org.apache.hadoop.fs.Path(file[0])
+        new = spark._jvm.org.apache.hadoop.fs.Path(file[0].removesuffix(".txt") + ".json")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new)
+    return run_load(spark, raw, out, mark).frame(spark).drop("files")
 
 
 def raw_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,12 +470,13 @@ def raw_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of raw files that are no JSON objects: here, those of one channel."""
+    """Lines of raw files that are not one JSON object: cut short, or malformed."""
     raw = scratch(spark, "raw")
-    value = F.col("value")
+    value, number = F.col("value"), F.col("_kafka_offset")
     cut = F.when(value.contains('"channel":"ATM"'), F.substring_index(value, ",", 3))
-    lines = encode(transactions(spark, sf_dir)).select(F.coalesce(cut, value).alias("value"))
-    lines.write.text(raw)
+    lines = encode(transactions(spark, sf_dir), keep=("_kafka_offset",))
+    short = F.concat(F.lit('{"transaction_id":"'), number.cast("string"), F.lit('"}'))
+    lines.select(F.coalesce(cut, malformed(short, number), value).alias("value")).write.text(raw)
     return split_bad(read_raw(spark, raw, suffix="*.txt"))[1].select("bad_value")
 
 
@@ -440,23 +510,81 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_ingest_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event: written within the run, in the directory of that hour, in a small file."""
+    path, raw, checkpoint = (scratch(spark, n) for n in ("topic", "raw", "checkpoint"))
+    before = datetime.now(timezone.utc)
+    events = topic(spark, transactions(spark, sf_dir), path)
+    ingest(events, raw, checkpoint, max_records_per_file=50).awaitTermination()
+    after = datetime.now(timezone.utc)
+    rows = read_raw(spark, raw)
+    rows = typed(rows.drop(CORRUPT, "_bad_value"))
+    stamp = F.col("_ingestion_timestamp")
+    folder = F.date_format(stamp, "'/year='yyyy'/month='MM'/day='dd'/hour='HH'/'")
+    return rows.select(
+        "transaction_id",
+        stamp.between(F.lit(before - timedelta(seconds=1)), F.lit(after)).alias("in_run"),
+        F.col("_file").contains(folder).alias("in_its_hour"),
+        (F.count("*").over(Window.partitionBy("_file")) <= 50).alias("in_small_file"),
+    )
+
+
 def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files as a stream, in two runs, with curated days rebuilt as they change."""
-    raw, out, curated, checkpoint = (
-        scratch(spark, n) for n in ("raw", "processed", "curated", "checkpoint")
+    """Raw files as a stream, in two runs, then the days that changed rebuilt."""
+    raw, out, curated, dirty, checkpoint = (
+        scratch(spark, n) for n in ("raw", "processed", "curated", "dirty", "checkpoint")
     )
     events = transactions_with_balance(spark, sf_dir)
     for part in (events.filter(n() % 10 != 0), events.filter(n() % 10 == 0)):
         as_raw(part).write.mode("append").json(raw)
-        loading(spark, raw, out, checkpoint, curated_path=curated).awaitTermination()
+        loading(spark, raw, out, checkpoint, dirty_path=dirty).awaitTermination()
+    curate_dirty(spark, out, curated, dirty)
     return read_account_summary(spark, curated)
 
 
+def two_streams_one_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two raw layers, two streams, one processed layer; then the first starts anew."""
+    out, checkpoint = scratch(spark, "processed"), scratch(spark, "checkpoint")
+    events = transactions(spark, sf_dir)
+    raws = [scratch(spark, "raw") for _ in range(2)]
+    for k, raw in enumerate(raws):
+        as_raw(events.filter(n() % 2 == k)).write.json(raw)
+        loading(spark, raw, out, f"{checkpoint}-{k}").awaitTermination()
+    loading(spark, raws[0], out, f"{checkpoint}-2", unique_within="day").awaitTermination()
+    return read_processed(spark, out).select("transaction_id", "account_id", "amount")
+
+
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, outbox, checkpoint = (scratch(spark, n) for n in ("topic", "outbox", "checkpoint"))
     stream = topic(spark, transactions_with_balance(spark, sf_dir), path)
     alerting(stream, lambda: master(spark, sf_dir), outbox, checkpoint).awaitTermination()
-    return spark.read.parquet(outbox).select(*ALERT_SHOWN)
+    return spark.read.parquet(outbox).select(*ALERT_SHOWN, "subject", "body")
+
+
+def alert_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of an alert stream with malformed messages and a delivery that fails at times."""
+    path, outbox, checkpoint, bad, metrics = (
+        scratch(spark, n) for n in ("topic", "outbox", "checkpoint", "bad", "metrics")
+    )
+    messages = encode(transactions_with_balance(spark, sf_dir), keep=("_kafka_offset",))
+    value = F.coalesce(malformed(F.col("value"), n()), F.col("value"))
+    messages.select(value.alias("value")).write.parquet(path)
+
+    def deliver(alerts: DataFrame) -> DataFrame:
+        return alerts.withColumn("delivered", F.col("alert_type") != "LOW_BALANCE")
+
+    alerting(
+        spark.readStream.schema("value string").parquet(path),
+        lambda: master(spark, sf_dir),
+        outbox,
+        checkpoint,
+        bad=bad,
+        metrics=metrics,
+        deliver=deliver,
+    ).awaitTermination()
+    kept = spark.read.parquet(bad).select(F.count("*").alias("quarantined"))
+    sums = spark.read.parquet(metrics).drop("query_id", "batch_id")
+    return sums.agg(*[F.sum(c).alias(c) for c in sums.columns]).join(kept)
 
 
 def stream_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -475,8 +603,8 @@ def sql_over_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     build_curated(spark, processed_path, curated, days)
     database = "curated_" + curated[-12:]
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch(spark, database)}'")
-    register_tables(spark, curated, database)
-    return spark.sql(
+    register_tables(spark, curated, database, days)
+    out = spark.sql(
         f"""
         SELECT c.transaction_date, c.channel, c.transactions, c.failed, a.accounts
         FROM (SELECT transaction_date, channel, sum(total_transactions) AS transactions,
@@ -487,6 +615,10 @@ def sql_over_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
           ON a.transaction_date = c.transaction_date
         """
     )
+    result = scratch(spark, "result")
+    out.write.parquet(result)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.schema(out.schema).parquet(result)
 
 
 QUERIES: dict[str, Query] = {
@@ -514,13 +646,20 @@ QUERIES: dict[str, Query] = {
     "master_csv": master_csv,
     "curated_day": curated_day,
     "late_day_rebuild": late_day_rebuild,
+    "curate_run_metrics": curate_run_metrics,
+    "compacted_day": compacted_day,
+    "replayed_load": replayed_load,
     "incremental_load": incremental_load,
+    "incremental_load_late_files": incremental_load_late_files,
     "load_run_metrics": load_run_metrics,
     "raw_files_read": raw_files_read,
     "raw_quarantine": raw_quarantine,
     "stream_ingest": stream_ingest,
+    "stream_ingest_layout": stream_ingest_layout,
     "stream_load": stream_load,
+    "two_streams_one_table": two_streams_one_table,
     "stream_alerts": stream_alerts,
+    "alert_quarantine": alert_quarantine,
     "stream_balance": stream_balance,
     "sql_over_curated": sql_over_curated,
 }
