@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tests.llm.helpers import syllables
+from tests.llm.test_decontamination import brute as contaminated
+from tests.llm.test_minhash_dedup import brute as grouped
+from tillstream.llm.common import table
+from tillstream.llm.language_id import identify, learn
+from tillstream.llm.pieces import decode, load_vocabulary
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def docs_frame(spark, rows):
+    return spark.createDataFrame(
+        [(d, t, lang, "s", len(t or "")) for d, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+
+
+def test_stages_equal_brute_force(spark, sf_dir):
+    """Each stage on what its predecessor kept."""
+    docs = table(spark, sf_dir, "documents")
+    left = {r.doc_id: r.text for r in docs.collect()}
+
+    judged = identify(docs.select("doc_id", "text"), learn(docs)).collect()
+    left = {r.doc_id: left[r.doc_id] for r in judged if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_SCORE}
+    assert len(left) > 190
+    left = {d: left[d] for d, _, _, stays in grouped(list(left.items())) if stays}
+    items = [(r.item_id, r.text, None) for r in table(spark, sf_dir, "benchmark").collect()]
+    left = {r[0]: left[r[0]] for r in contaminated(list(left.items()), items) if not r[-1]}
+
+    got = corpus_pipeline.run(spark, sf_dir)
+    text = decode(F.col("ids"), load_vocabulary())
+    assert {r.doc_id: r.text for r in got.select("doc_id", text.alias("text")).collect()} == left
+
+
+def test_stages_keep_columns_and_odd_rows(spark, sf_dir):
+    body = " ".join(syllables(4, 80))
+    item = table(spark, sf_dir, "benchmark").orderBy("item_id").first().text
+    rows = [(i, f"{' '.join(syllables(i, 60))}", ["en", "fr"][i % 2]) for i in range(20, 40)]
+    rows += [(1, body, "en"), (2, body, "en"), (1, body, "en"), (3, body + f" {item}", "en"), (4, None, "en"), (5, "", None)]
+    rows += [(6, "12 34 ??", "en"), (None, body, "en"), (None, body, None), (7, f"{item}", "fr")]
+    docs = docs_frame(spark, rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.columns == COLUMNS, name
+        ids = [r.doc_id for r in docs.collect()]
+        if name == "language ID":
+            assert not {4, 5, 6} & set(ids)
+        if name == "near-duplicates":
+            assert ids.count(1) == 1 and 2 not in ids and ids.count(None) == 2
+    assert 3 not in ids and 7 not in ids and 1 in ids
+    coded = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert sorted(r.doc_id or 0 for r in coded.collect()) == sorted(i or 0 for i in ids)
+
+
+def test_an_empty_corpus(spark, sf_dir):
+    docs = docs_frame(spark, [])
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.collect() == []
+
+
+def test_registered(spark):
+    import __spark_entry__ as entry
+
+    assert entry.queries()["pipeline"] is corpus_pipeline.run
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "near-duplicates", "decontamination", "SentencePiece"]

@@ -226,7 +226,7 @@ def main_text(page: str) -> str:
             best = n
     kept_nodes = {id(best)}
     if best.tag not in ("article", "main", "body", "html") and best.parent is not None:
-        least = max(10.0, 0.2 * best.score)
+        least = 0.2 * best.score
         for n in candidates:
             if n.parent is best.parent and n.score * (1 - _density(n)) >= least:
                 kept_nodes.add(id(n))

@@ -3,11 +3,13 @@
 Exact phrases are found as words that stand consecutively. Short notices are found with
 up to ``errors`` edits: a notice is split into one seed more than that, so one seed of
 any match is untouched (pigeonhole). The seeds are searched exactly; around each hit the
-regex library's bounded-error matching decides, and gives the span and the edits.
+regex library's bounded-error matching decides, and gives the span and the edits. Of
+notices that overlap, the nearest counts.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -120,6 +122,17 @@ def _fuzzy(raw: bytes, notice: Notice, pattern: regex.Pattern) -> Iterator[tuple
                 yield m.start(), m.end(), sum(m.fuzzy_counts)
 
 
+def _best(spans: list[dict]) -> list[dict]:
+    """Of notices that overlap the one with the fewest edits, then the longest; in order."""
+    chosen: list[dict] = []  # in order, without overlaps
+    for s in sorted(spans, key=lambda s: (s["edits"], -len(s["text"]), s["first_word"], s["label"])):
+        at = bisect_left(chosen, s["first_word"], key=lambda c: c["first_word"])
+        after = at == len(chosen) or s["last_word"] < chosen[at]["first_word"]
+        if after and (not at or chosen[at - 1]["last_word"] < s["first_word"]):
+            chosen.insert(at, s)
+    return chosen
+
+
 _SPANS = pa.list_(
     pa.struct(
         [
@@ -178,11 +191,11 @@ def _scan(notices: tuple[Notice, ...]):
                             "text": raw[lo:hi].decode(errors="replace"),
                         }
                     )
-                    scores[line] = max(scores[line], 1 - edits / len(notice.text))
+                    spans[line][-1]["score"] = 1 - edits / len(notice.text)
             for i in range(count):
                 places = [p for p, _ in base[i]]
                 exact = {x for _, x in base[i]}
-                found = sorted(spans[i], key=lambda s: (s["first_word"], s["label"], s["last_word"]))
+                found = _best(spans[i])
                 values = (
                     int(first[i + 1] - first[i]),
                     len(places),
@@ -190,7 +203,7 @@ def _scan(notices: tuple[Notice, ...]):
                     max(places, default=None),
                     ",".join(sorted(exact)),
                     ",".join(sorted(exact | {s["label"] for s in found})),
-                    scores[i],
+                    max([scores[i], *(s.pop("score") for s in found)]),
                     found,
                 )
                 for column, value in zip(columns, values, strict=True):

@@ -26,10 +26,13 @@ SHARDS = 40
 
 
 def places(spark, shards: int, virtual: int = VIRTUAL) -> list[tuple[int, int]]:
-    """(cell, shard) of every virtual node, clockwise; ties go to the smaller shard."""
+    """(cell, shard) of every virtual node, clockwise; ties go to the smaller shard.
+
+    One more shard adds nodes of its own and moves none.
+    """
     nodes = spark.range(shards * virtual).select(
         F.pmod(F.xxhash64(F.lit("node"), "id"), F.lit(CELLS)).alias("cell"),
-        (F.col("id") % shards).alias("shard"),
+        F.floor(F.col("id") / virtual).alias("shard"),
     )
     return sorted((r.cell, r.shard) for r in nodes.collect())
 
