@@ -55,6 +55,12 @@ def anti(left: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
     return left.join(F.broadcast(ids) if small(ids) else ids, on, "left_anti")
 
 
+def repeats(df: DataFrame, key: str) -> bool:
+    """Whether ``key`` is null somewhere or occurs twice."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return not counts.filter(F.col(key).isNull() | (F.col("n") > 1)).isEmpty()
+
+
 def one_row_per_id(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key`` and ``text`` with one row for each key that is not null.
 

@@ -19,18 +19,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.llm.common import blocks, keyed, kept, row_key, word_hashes
+from tillstream.llm.common import blocks, kept, mixed, repeats, row_key, word_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Units longer than this many bytes are cut into units of at most so many.
 LONGEST = 256
-SAMPLE_ROWS = 20_000
-FREQUENT = 400_000
+SAMPLE_ROWS = 50_000
+FREQUENT = 800_000
+# Rare units are looked up in partitions of about as many documents.
+ROWS_PER_PART = 1_000
 # A character that is in no piece costs so much more than the worst piece.
 UNKNOWN_COST = 10.0
 
@@ -80,14 +83,20 @@ def load_vocabulary(model: str = MODEL) -> Vocabulary:
 # --- the lattice ---
 
 
+# An edge is one number: where it stops, where it starts, and its piece's id plus one (0 for a
+# character that is spelled), which sorts it and keeps what is grouped small.
+_STOP, _START = 40, 20
+_FIELD = (1 << 20) - 1
+
+
 def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``unit`` and ``ids`` of the best path for each row of ``units`` (distinct, not empty).
 
     Of paths with one score the one whose last differing piece starts earliest is taken.
+    Rows that come partitioned by ``unit`` are not shuffled.
     """
-    spark = units.sparkSession
     longest = vocabulary.longest
-    table = F.broadcast(vocabulary.table(spark))
+    table = F.broadcast(vocabulary.table(units.sparkSession))
     spans = (
         units.select("unit", F.length("unit").alias("size"))
         .select("unit", "size", F.explode(F.sequence(F.lit(1), F.col("size"))).alias("start"))
@@ -100,34 +109,34 @@ def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         )
         .select("unit", "start", "n", F.substring("unit", F.col("start"), F.col("n")).alias("piece"))
     )
-    edges = spans.join(table, "piece", "left").filter("id is not null or n = 1")
-    edge = F.struct(
-        (F.col("start") + F.col("n") - 1).alias("stop"),
-        (F.col("start") - 1).alias("start"),
-        F.coalesce("score", F.lit(vocabulary.unknown_score)).alias("score"),
-        F.col("id"),
+    start = F.col("start").cast("long") - 1
+    edge = (
+        F.shiftleft(start + F.col("n"), _STOP)
+        + F.shiftleft(start, _START)
+        + F.coalesce(F.col("id") + 1, F.lit(0))
     )
+    edges = spans.join(table, "piece", "left").filter("id is not null or n = 1")
     lattice = edges.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
+    # By id plus one; a text that is split is folded into an array once, as it is constant.
+    listed = ",".join(map(repr, (vocabulary.unknown_score, *vocabulary.scores)))
+    scores = F.split(F.lit(listed), ",").cast("array<double>")
+
     # best[i] is the score of the best path to position i and its last edge; edges come
     # sorted by where they stop, so what they start from is settled.
-    node = "struct<score:double,start:int,id:int>"
-    zero = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start"), F.lit(-1).alias("id")).cast(node))
-
     def extend(best: Column, e: Column) -> Column:
-        score = F.get(best, e["start"])["score"] + e["score"]
-        here = F.struct(score.alias("score"), e["start"].alias("start"), e["id"].alias("id")).cast(node)
-        reached = F.size(best) > e["stop"]
-        better = score > F.get(best, e["stop"])["score"]
+        stop = F.shiftright(e, _STOP).cast("int")
+        before = F.get(best, F.shiftright(e, _START).bitwiseAND(F.lit(_FIELD)).cast("int"))
+        score = before["score"] + F.get(scores, e.bitwiseAND(F.lit(_FIELD)).cast("int"))
+        here = F.struct(score.alias("score"), e.alias("edge"))
         return (
-            F.when(~reached, F.concat(best, F.array(here)))
-            .when(better, F.concat(F.slice(best, 1, e["stop"]), F.array(here)))
+            F.when(F.size(best) <= stop, F.concat(best, F.array(here)))
+            .when(score > F.get(best, stop)["score"], F.concat(F.slice(best, F.lit(1), stop), F.array(here)))
             .otherwise(best)
         )
 
     # Back from the end: each step puts the edge before the path found so far.
-    path = "struct<at:int,ids:array<int>>"
-    bytes_of = F.array(*[F.lit(i) for i in vocabulary.byte_ids])
+    bytes_of = F.split(F.lit(",".join(map(str, vocabulary.byte_ids))), ",").cast("array<int>")
 
     def spelled(position: Column) -> Column:
         digits = F.hex(F.encode(F.substring("unit", position + 1, F.lit(1)), "UTF-8"))
@@ -136,20 +145,20 @@ def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             lambda k: F.get(bytes_of, F.conv(F.substring(digits, k * 2 + 1, F.lit(2)), 16, 10).cast("int")),
         )
 
-    best = F.aggregate("edges", zero, extend)
-    found = lattice.select("unit", best.alias("best"))
-    steps = F.sequence(F.size("best") - 1, F.lit(1), F.lit(-1))
-
     def step(state: Column, i: Column) -> Column:
-        n = F.get("best", i)
-        ids = F.when(n["id"].isNull(), spelled(n["start"])).otherwise(F.array(n["id"]))
+        e = F.get("best", i)["edge"]
+        start = F.shiftright(e, _START).bitwiseAND(F.lit(_FIELD)).cast("int")
+        id_ = e.bitwiseAND(F.lit(_FIELD)).cast("int")
+        ids = F.when(id_ == 0, spelled(start)).otherwise(F.array(id_ - 1))
         return F.when(
-            state["at"] == i,
-            F.struct(n["start"].alias("at"), F.concat(ids, state["ids"]).alias("ids")).cast(path),
+            state["at"] == i, F.struct(start.alias("at"), F.concat(ids, state["ids"]).alias("ids"))
         ).otherwise(state)
 
-    start = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids")).cast(path)
-    return found.select("unit", F.aggregate(steps, start, step, lambda s: s["ids"]).alias("ids"))
+    nothing = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("edge")))
+    found = lattice.select("unit", F.aggregate("edges", nothing, extend).alias("best"))
+    end = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
+    steps = F.sequence(F.size("best") - 1, F.lit(1), F.lit(-1))
+    return found.select("unit", F.aggregate(steps, end, step, lambda s: s["ids"]).alias("ids"))
 
 
 # --- documents ---
@@ -184,21 +193,22 @@ def unit_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return data, starts, np.append(starts[1:], len(data)), np.searchsorted(starts, offsets)
 
 
-@dataclass(frozen=True)
 class Encoded:
     """Pieces of units by the units' sorted hashes."""
 
-    hashes: np.ndarray
-    offsets: np.ndarray
-    ids: np.ndarray
+    def __init__(self, hashes: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> None:
+        self.hashes, self.offsets, self.ids = hashes, offsets, ids
 
     @staticmethod
-    def of(hashes: np.ndarray, ids: list) -> Encoded:
-        order = np.argsort(hashes)
-        rows = [ids[k] for k in order]
-        sizes = np.array([len(r) for r in rows], np.int64)
-        flat = np.concatenate([np.asarray(r, np.int32) for r in rows]) if rows else np.empty(0, np.int32)
-        return Encoded(hashes[order], np.concatenate([[0], np.cumsum(sizes)]), flat.astype(np.int32))
+    def of(rows: pa.Table) -> Encoded:
+        """From columns ``hash`` and ``ids``."""
+        order = pc.sort_indices(rows, [("hash", "ascending")])
+        hashes = np.asarray(rows["hash"].combine_chunks().take(order)).view(np.uint64)
+        again = np.argsort(hashes)  # the numbers were sorted as signed ones
+        lists = rows["ids"].combine_chunks().take(order).take(pa.array(again))
+        sizes = np.asarray(pc.list_value_length(lists), np.int64)
+        ids = np.asarray(lists.flatten(), np.int32)
+        return Encoded(hashes[again], np.concatenate([[0], np.cumsum(sizes)]), ids)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The row of each hash, or -1."""
@@ -208,11 +218,11 @@ class Encoded:
         return np.where(self.hashes[at] == hashes, at, -1)
 
 
-def _hash_of(units: list[str]) -> np.ndarray:
-    raw = [u.encode() for u in units]
-    ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
-    starts = ends - np.array([len(r) for r in raw], np.int64)
-    return word_hashes(np.frombuffer(b"".join(raw), np.uint8), starts, ends)
+def _unit_hash(units: pa.Array) -> pa.Array:
+    raw = pc.fill_null(units, "").cast(pa.large_string())
+    offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
+    return pa.array(word_hashes(data, offsets[:-1], offsets[1:]).view(np.int64))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +232,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes(data, starts, ends)
         _, first, counts = np.unique(hashes, return_index=True, return_counts=True)
         raw = data.tobytes()
-        units = [raw[starts[k] : ends[k]].decode() for k in first]
+        spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
+        units = [raw[a:b].decode() for a, b in spans]
         yield pa.record_batch([pa.array(units, pa.string()), pa.array(counts, pa.int64())], names=["unit", "n"])
 
 
@@ -247,24 +258,42 @@ def frequent_units(texts: DataFrame, most: int = FREQUENT, sample: int = SAMPLE_
     return counts.filter(F.col("n") >= least).select("unit")
 
 
+def _rare_units(
+    hashes: np.ndarray, first: np.ndarray, known: Encoded
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block's units: the rows of ``known`` (-1: rare); the places of each text's distinct
+    rare units, in order; their texts; their numbers in them; and for each rare place its unit."""
+    at = known.find(hashes)
+    rare = np.flatnonzero(at < 0)
+    owner = np.searchsorted(first, rare, "right") - 1
+    named = mixed(hashes[rare] + mixed(owner.astype(np.uint64)))
+    _, once, which = np.unique(named, return_index=True, return_inverse=True)
+    order = np.argsort(once)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    texts = owner[once[order]]
+    numbers = np.arange(len(texts)) - np.searchsorted(texts, texts)
+    return at, rare[once[order]], texts, numbers, rank[which]
+
+
 def _rare(frequent):
-    """Each text's distinct units that are not frequent."""
+    """Each text's distinct units that are not frequent, numbered from 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Encoded(*frequent.value)
         for rows, data, offsets in blocks(batches, "text"):
             data, starts, ends, first = unit_spans(data, offsets)
-            hashes = word_hashes(data, starts, ends)
-            rare = np.flatnonzero(known.find(hashes) < 0)
-            owner = np.searchsorted(first, rare, "right") - 1
-            pairs = np.stack([owner.astype(np.uint64), hashes[rare]], axis=1)
-            _, at = np.unique(pairs, axis=0, return_index=True)
-            raw = data.tobytes()
-            units = [raw[starts[k] : ends[k]].decode() for k in rare[at]]
-            owners = pa.array(owner[at])
+            _, places, texts, numbers, _ = _rare_units(word_hashes(data, starts, ends), first, known)
+            raw, owners = data.tobytes(), pa.array(texts)
+            spans = zip(starts[places].tolist(), ends[places].tolist(), strict=True)
             yield pa.record_batch(
-                [pa.array(units, pa.string()), rows.column("id").take(owners), rows.column("h").take(owners)],
-                names=["unit", "id", "h"],
+                [
+                    pa.array([raw[a:b].decode() for a, b in spans], pa.string()),
+                    rows.column("id").take(owners),
+                    rows.column("h").take(owners),
+                    pa.array(numbers, pa.int32()),
+                ],
+                names=["unit", "id", "h", "number"],
             )
 
     return run
@@ -275,10 +304,6 @@ def _packed(texts: pa.Array) -> pa.Array:
     return pa.array([squeeze.compress((t.as_py() or "").encode()) for t in texts], pa.binary())
 
 
-def _unit_hash(units: pa.Array) -> pa.Array:
-    return pa.array(_hash_of(units.to_pylist()).view(np.int64))
-
-
 def _assembled(frequent):
     """The pieces of each text, from the frequent units and its own."""
 
@@ -286,41 +311,36 @@ def _assembled(frequent):
         known = Encoded(*frequent.value)
         expand = zstandard.ZstdDecompressor()
         for batch in batches:
-            texts = [expand.decompress(x.as_py()) for x in batch.column("packed")]
-            texts = pa.array(texts, pa.large_binary()).cast(pa.large_string())
+            texts = pa.array([expand.decompress(x.as_py()) for x in batch.column("packed")], pa.large_binary())
             whole = pa.record_batch(
-                [batch.column("doc_id"), texts, batch.column("own")], names=["doc_id", "text", "own"]
+                [batch.column("doc_id"), texts.cast(pa.large_string()), batch.column("own")],
+                names=["doc_id", "text", "own"],
             )
             for rows, data, offsets in blocks(iter([whole]), "text"):
                 data, starts, ends, first = unit_spans(data, offsets)
-                hashes = word_hashes(data, starts, ends)
-                own = pa.chunked_array([rows.column("own")]).combine_chunks().flatten()
-                keys = own.field("hash").to_numpy(zero_copy_only=False).view(np.uint64)
-                lists = own.field("ids")
-                _, once = np.unique(keys, return_index=True)
-                rare = Encoded.of(keys[once], lists.take(pa.array(once)).to_pylist() if len(once) else [])
-                at, other = known.find(hashes), rare.find(hashes)
-                if ((at < 0) & (other < 0)).any():
-                    raise ValueError("a unit of a text was not encoded")
+                at, _, texts_of, _, which = _rare_units(word_hashes(data, starts, ends), first, known)
+                own = rows.column("own")
+                sizes = np.asarray(pc.list_value_length(own))
+                if not np.array_equal(sizes, np.bincount(texts_of, minlength=len(sizes))):
+                    raise ValueError("not all units of a text were encoded")
+                own = own.flatten()
+                lead = np.repeat(np.cumsum(sizes) - sizes, sizes)
+                back = np.empty(len(own), np.int64)
+                back[lead + np.asarray(own.field("number"))] = np.arange(len(own))
+                lists = own.field("ids").take(pa.array(back))
+                length = np.asarray(pc.list_value_length(lists), np.int64)
                 # Both tables' pieces, one after the other.
-                flat = np.concatenate([known.ids, rare.ids]) if len(rare.ids) else known.ids
-                lo = np.where(at >= 0, known.offsets[at], 0)
-                size = np.where(at >= 0, known.offsets[np.minimum(at + 1, len(known.offsets) - 1)] - lo, 0)
-                if len(rare.hashes):
-                    rlo = rare.offsets[other]
-                    lo = np.where(at >= 0, lo, rlo + len(known.ids))
-                    size = np.where(at >= 0, size, rare.offsets[np.minimum(other + 1, len(rare.offsets) - 1)] - rlo)
-                ends_at = np.cumsum(size)
-                total = int(ends_at[-1]) if len(ends_at) else 0
-                index = np.arange(total) - np.repeat(ends_at - size, size) + np.repeat(lo, size)
-                bounds = np.concatenate([[0], ends_at])[first]
-                yield pa.record_batch(
-                    [
-                        rows.column("doc_id"),
-                        pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat[index], pa.int32())),
-                    ],
-                    names=["doc_id", "ids"],
-                )
+                pieces = np.concatenate([known.ids, np.asarray(lists.flatten(), np.int32)])
+                rare = at < 0
+                lo, size = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+                lo[~rare], size[~rare] = known.offsets[at[~rare]], np.diff(known.offsets)[at[~rare]]
+                lo[rare], size[rare] = (np.cumsum(length) - length + len(known.ids))[which], length[which]
+                end = np.cumsum(size)
+                total = int(end[-1]) if len(end) else 0
+                index = np.arange(total) - np.repeat(end - size, size) + np.repeat(lo, size)
+                bounds = np.concatenate([[0], end])[first]
+                ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(pieces[index], pa.int32()))
+                yield pa.record_batch([rows.column("doc_id"), ids], names=["doc_id", "ids"])
 
     return run
 
@@ -334,26 +354,26 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     bytes are cut; none of the text is dropped. Other columns are not looked at.
     """
     spark = docs.sparkSession
-    texts = keyed(docs)
-    known = encode_units(frequent_units(texts), vocabulary).toPandas()  # at most FREQUENT rows
-    coded = Encoded.of(_hash_of(list(known["unit"])), [np.asarray(x, np.int32) for x in known["ids"]])
-    frequent = spark.sparkContext.broadcast((coded.hashes, coded.offsets, coded.ids))
-    wanted = kept(texts.mapInArrow(_rare(frequent), "unit string, id long, h long"), "rare-units")
-    found = encode_units(wanted.select("unit").distinct(), vocabulary).withColumn(
-        "hash", F.arrow_udf(_unit_hash, "long")("unit")
-    )
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    key = row_key()
+    if not repeats(docs, "doc_id"):
+        key = [key[0], F.lit(0).cast("long").alias("h")]  # ids alone name the rows
+    texts = docs.select(*key, "text")
+    hashed = encode_units(frequent_units(texts), vocabulary)
+    # At most FREQUENT rows of a hash and a few numbers.
+    known = Encoded.of(hashed.select(F.arrow_udf(_unit_hash, "long")("unit").alias("hash"), "ids").toArrow())
+    frequent = spark.sparkContext.broadcast((known.hashes, known.offsets, known.ids))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // ROWS_PER_PART)
+    # Distinct units, their encoding and the join all use this one partitioning.
+    wanted = texts.mapInArrow(_rare(frequent), "unit string, id long, h long, number int")
+    wanted = wanted.repartition(parts, "unit")
     own = (
-        wanted.join(found, "unit")
-        .select("id", "h", "hash", "ids")
+        wanted.join(encode_units(wanted.select("unit").distinct(), vocabulary), "unit")
         .groupBy("id", "h")
-        .agg(F.collect_list(F.struct("hash", "ids")).alias("own"))
-    )
-    packed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        *row_key(),
-        F.arrow_udf(_packed, "binary")("text").alias("packed"),
+        .agg(F.collect_list(F.struct("number", "ids")).alias("own"))
     )
-    none = F.array().cast("array<struct<hash:long,ids:array<int>>>")
+    packed = docs.select("doc_id", *key, F.arrow_udf(_packed, "binary")("text").alias("packed"))
+    none = F.array().cast("array<struct<number:int,ids:array<int>>>")
     return (
         packed.join(own, ["id", "h"], "left")
         .select("doc_id", "packed", F.coalesce("own", none).alias("own"))
