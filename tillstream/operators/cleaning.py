@@ -45,6 +45,16 @@ def valid_only(df: DataFrame, required=REQUIRED) -> DataFrame:
     return df
 
 
+def is_valid(df: DataFrame, required=REQUIRED) -> Column:
+    """What ``valid_only`` keeps, as a condition that is never NULL."""
+    valid = F.lit(True)
+    for name in required:
+        valid = valid & F.col(name).isNotNull()
+        if df.schema[name].dataType.typeName() in ("double", "float"):
+            valid = valid & ~F.isnan(F.coalesce(name, F.lit(0.0)))
+    return valid
+
+
 def is_true(condition: Column) -> Column:
     """NULL counts as false."""
     return F.coalesce(condition, F.lit(False))

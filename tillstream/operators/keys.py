@@ -51,7 +51,8 @@ def hot_keys(df: DataFrame, key: str, min_rows: int) -> list[Row]:
     which bounds the list that comes to the driver.
     """
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    return counts.filter(F.col("n") > min_rows).orderBy(F.desc("n")).collect()
+    found = counts.filter(F.col("n") > min_rows).collect()
+    return sorted(found, key=lambda r: (-r["n"], str(r[key])))
 
 
 def split_hot(df: DataFrame, key: str, hot: list[Row]) -> tuple[DataFrame, DataFrame]:

@@ -42,8 +42,7 @@ def build_curated(
     summaries = read_channel_category_summary(spark, curated_path, dates)
     if summaries is None:
         return None
-    summary = summaries.agg(
-        F.sum("total_transactions").alias("records"), F.count("*").alias("n")
-    ).first()
-    accounts = read_account_summary(spark, curated_path, dates).count()
-    return CurateResult(summary["records"], summary["n"], accounts)
+    accounts = read_account_summary(spark, curated_path, dates)
+    written = summaries.select("total_transactions", F.lit(1).alias("group"), F.lit(0).alias("account"))
+    written = written.unionAll(accounts.select(F.lit(0).cast("bigint"), F.lit(0), F.lit(1)))
+    return CurateResult(*written.agg(F.sum("total_transactions"), F.sum("group"), F.sum("account")).first())

@@ -11,13 +11,21 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cleaning import processed
+from ..operators.cleaning import derived, is_valid, processed, typed
 from ..operators.keys import dedupe_transactions, not_seen_in
 from ..settings import Rules
 from ..sinks.zones import write_processed
 from ..sources.ledger import enter, next_load, read_ledger
 from ..sources.marks import EPOCH, read_mark, write_mark
-from ..sources.zones import exists, list_raw, read_load, read_processed, read_raw, split_bad
+from ..sources.zones import (
+    bad_text,
+    exists,
+    list_raw,
+    read_load,
+    read_processed,
+    read_raw,
+    split_bad,
+)
 
 # How far a transaction must be unique
 LOAD, DAY, TABLE = "load", "day", "table"
@@ -60,9 +68,23 @@ def parsed_once(raw: DataFrame) -> Iterator[DataFrame]:
         raw.unpersist()
 
 
-def row_counts(raw: DataFrame) -> tuple[int, int]:
-    """(raw rows, rows among them that can't be read)."""
-    return raw.count(), split_bad(raw)[1].count()
+@dataclass(frozen=True)
+class BatchSummary:
+    """What a batch of raw rows holds: rows, those that can't be read, days of valid ones."""
+
+    rows: int
+    bad: int
+    days: list[date]
+
+
+def summarise(raw: DataFrame, rules: Rules = Rules()) -> BatchSummary:
+    """One pass over ``raw``. The days are not more than the calendar has."""
+    typed_rows = derived(typed(raw.withColumn("_bad", bad_text(raw).isNotNull())), rules)
+    day = F.when(~F.col("_bad") & is_valid(typed_rows), F.col("transaction_date"))
+    row = typed_rows.agg(
+        F.count("*").alias("rows"), F.count_if("_bad").alias("bad"), F.collect_set(day).alias("days")
+    ).first()
+    return BatchSummary(row["rows"], row["bad"], row["days"])
 
 
 def load_batch(
@@ -71,21 +93,21 @@ def load_batch(
     load_id: str,
     rules: Rules = Rules(),
     unique_within: str = LOAD,
+    days: list[date] | None = None,
 ) -> dict[date, int]:
     """Write one batch of raw rows as load ``load_id``; returns its rows per day.
 
     ``unique_within`` says how far a transaction is looked for: in this ``load``
     only, in earlier loads on the same ``day`` too, or in the whole ``table``. A
     delivery that is repeated has the same time, so ``day`` finds it, and reads the
-    days of the batch instead of all history. ``raw`` is read more than once.
+    days of the batch instead of all history. ``days`` are those of its valid rows, if
+    they are known; else ``raw`` is read once more.
     """
     if unique_within not in (LOAD, DAY, TABLE):
         raise ValueError(f"unique_within: {unique_within}")
     spark = raw.sparkSession
-    rows = processed(split_bad(raw)[0], rules)
-    # Not longer than the calendar.
-    days = [r[0] for r in rows.select("transaction_date").distinct().collect()]
-    rows = dedupe_transactions(rows)
+    days = summarise(raw, rules).days if days is None else days
+    rows = dedupe_transactions(processed(split_bad(raw)[0], rules))
     if unique_within == TABLE:
         rows = _new_rows(rows, read_processed(spark, processed_path), load_id)
     elif unique_within == DAY:
@@ -150,15 +172,15 @@ def run_load(
         return LoadResult()
     number = next_load(spark, ledger_path)
     with parsed_once(read_raw(spark, [r.path for r in files])) as raw:
-        rows, bad = row_counts(raw)
-        if not rows:
+        batch = summarise(raw, rules)
+        if not batch.rows:
             return LoadResult()
-        days = load_batch(raw, processed_path, f"m{number}", rules, unique_within)
-        if quarantine_path and bad:
+        days = load_batch(raw, processed_path, f"m{number}", rules, unique_within, batch.days)
+        if quarantine_path and batch.bad:
             split_bad(raw)[1].write.mode("overwrite").parquet(f"{quarantine_path}/load={number}")
     enter(spark.createDataFrame(files), ledger_path, number)
     write_mark(spark, mark_path, started)
-    return LoadResult(len(files), rows, bad, days)
+    return LoadResult(len(files), batch.rows, batch.bad, days)
 
 
 def raw_metrics(raw: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,9 +98,14 @@ def stream_raw(
     return _decoded(reader.text(path), schema)
 
 
+def bad_text(raw: DataFrame) -> Column:
+    """The text of a raw row that could not be read, here or when it was ingested."""
+    return F.coalesce(CORRUPT, "_bad_value") if "_bad_value" in raw.columns else F.col(CORRUPT)
+
+
 def split_bad(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable rows, quarantined rows as ``bad_value``)."""
-    text = F.coalesce(CORRUPT, "_bad_value") if "_bad_value" in raw.columns else F.col(CORRUPT)
+    text = bad_text(raw)
     return (
         raw.filter(text.isNull()).drop(CORRUPT, "_bad_value", "_file"),
         raw.filter(text.isNotNull()).select(text.alias("bad_value"), *[

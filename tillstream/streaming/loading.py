@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.curate import build_curated
 from ..plans.dirty import enter_days
-from ..plans.load import LOAD, LoadResult, load_batch, parsed_once, row_counts
+from ..plans.load import LOAD, LoadResult, load_batch, parsed_once, summarise
 from ..settings import Rules
 from ..sinks.outbox import query_id, write_batch
 from ..sources.zones import split_bad, stream_raw
@@ -44,8 +44,8 @@ def loading(
         spark = batch.sparkSession
         load_id = f"s{query_id(spark)}-{batch_id}"
         with parsed_once(batch) as raw:
-            rows, bad = row_counts(raw)
-            days = load_batch(raw, processed_path, load_id, rules, unique_within)
+            seen = summarise(raw, rules)
+            days = load_batch(raw, processed_path, load_id, rules, unique_within, seen.days)
             if quarantine_path:
                 write_batch(split_bad(raw)[1], quarantine_path, batch_id)
             files = raw.select("_file").distinct().count() if metrics_path else 0
@@ -54,7 +54,7 @@ def loading(
         elif days and curated_path:
             build_curated(spark, processed_path, curated_path, list(days))
         if metrics_path:
-            write_batch(LoadResult(files, rows, bad, days).frame(spark), metrics_path, batch_id)
+            write_batch(LoadResult(files, seen.rows, seen.bad, days).frame(spark), metrics_path, batch_id)
 
     stream = stream_raw(spark, raw_path, max_files)
     return start(stream.writeStream.foreachBatch(write), checkpoint, every)
