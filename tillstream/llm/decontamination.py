@@ -178,16 +178,17 @@ def judged(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> DataFrame
         ),
         "places",
     )
-    rows = texts.select("id", "h", "text")
+    # The words are split off before the duplicates are dropped, which keeps Spark from
+    # splitting them again for each place.
+    lead = (F.element_at(split_words(F.col("text")), 1) == "").cast("int")
     ids = candidates.select("id", "h")
-    few = small(ids)
-    hit_texts = rows.join(F.broadcast(ids) if few else ids, ["id", "h"], "left_semi").dropDuplicates(
-        ["id", "h"]
+    hit_texts = (
+        texts.join(F.broadcast(ids) if small(ids) else ids, ["id", "h"], "left_semi")
+        .select("id", "h", exact_words(F.col("text")).alias("words"), lead.alias("lead"))
+        .dropDuplicates(["id", "h"])
     )
-    lead = (F.element_at(split_words(F.col("text")), 1) == "").cast("int")
     found = (
         hit_texts.join(candidates, ["id", "h"])
-        .select("id", "h", exact_words(F.col("text")).alias("words"), lead.alias("lead"), "places")
         .select(
             "id",
             "h",
