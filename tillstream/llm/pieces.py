@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-Texts are cut into units at which no piece can span the cut: a run of spaces with the
-word after it, or a line feed. For each distinct unit, all substrings up to the length
+Texts are cut into units at which no piece can span the cut: before a run of spaces, around
+a line feed and, where the vocabulary has no piece that joins them, between letters and
+ASCII marks or digits. For each distinct unit, all substrings up to the length
 of the longest piece are exploded and joined to the piece table; the edges found are
 grouped by unit and a higher-order ``aggregate`` folds them into the best-scored path
 (Viterbi). A character in no piece is spelled by its bytes.
@@ -14,6 +15,7 @@ distinct unit and document. Texts are moved once, compressed.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +25,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tillstream.llm.common import blocks, kept, mixed, repeats, row_key, word_hashes
 
@@ -54,6 +56,13 @@ class Vocabulary:
     def unknown_score(self) -> float:
         return min(self.scores) - UNKNOWN_COST
 
+    @property
+    def parts_marks(self) -> bool:
+        """Whether no piece holds a letter next to an ASCII mark or digit."""
+        letter, mark = "[A-Za-z\u00c0-\u03ff]", "[\x00-\x1f!-@\\[-`{-\x7f]"
+        joined = re.compile(f"{letter}{mark}|{mark}{letter}")
+        return not any(joined.search(p) for p in self.pieces)
+
     def table(self, spark: SparkSession) -> DataFrame:
         """``piece``, ``id``, ``score``; its size is fixed by the vocabulary file."""
         rows = [(p, i, s) for i, (p, s) in enumerate(zip(self.pieces, self.scores, strict=True)) if p]
@@ -164,7 +173,15 @@ def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 # --- documents ---
 
 
-def unit_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+# Classes of bytes; the second byte of a two-byte letter is one too.
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC3, 0xD0)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[:0x80] = ~_LETTER[:0x80]
+_MARK[[0x0A, 0x20]] = False
+
+
+def unit_spans(data: np.ndarray, offsets: np.ndarray, parts_marks: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The units of a block: bytes with a space before each text that is not empty, starts
     and ends of units in them, and each text's first unit (and an end)."""
     sizes = np.diff(offsets)
@@ -177,6 +194,10 @@ def unit_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     begins = feed.copy()
     begins[1:] |= space[1:] & ~space[:-1]
     begins[1:] |= ~space[1:] & feed[:-1]
+    if parts_marks:
+        letter, mark = _LETTER[data], _MARK[data]
+        letter[1:] |= (data[1:] & 0xC0 == 0x80) & (data[:-1] >= 0xC3) & (data[:-1] < 0xD0)
+        begins[1:] |= letter[1:] & mark[:-1] | mark[1:] & letter[:-1]
     begins[offsets[:-1][sizes > 0]] = True
     starts = np.flatnonzero(begins)
     lengths = np.diff(np.append(starts, len(data)))
@@ -225,27 +246,33 @@ def _unit_hash(units: pa.Array) -> pa.Array:
     return pa.array(word_hashes(data, offsets[:-1], offsets[1:]).view(np.int64))
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(parts_marks: bool):
     """The distinct units of each block, with counts."""
-    for _, data, offsets in blocks(batches, "text"):
-        data, starts, ends, _ = unit_spans(data, offsets)
-        hashes = word_hashes(data, starts, ends)
-        _, first, counts = np.unique(hashes, return_index=True, return_counts=True)
-        raw = data.tobytes()
-        spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
-        units = [raw[a:b].decode() for a, b in spans]
-        yield pa.record_batch([pa.array(units, pa.string()), pa.array(counts, pa.int64())], names=["unit", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, offsets in blocks(batches, "text"):
+            data, starts, ends, _ = unit_spans(data, offsets, parts_marks)
+            hashes = word_hashes(data, starts, ends)
+            _, first, counts = np.unique(hashes, return_index=True, return_counts=True)
+            raw = data.tobytes()
+            spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
+            units = pa.array([raw[a:b].decode() for a, b in spans], pa.string())
+            yield pa.record_batch([units, pa.array(counts, pa.int64())], names=["unit", "n"])
+
+    return run
 
 
-def frequent_units(texts: DataFrame, most: int = FREQUENT, sample: int = SAMPLE_ROWS) -> DataFrame:
+def frequent_units(
+    texts: DataFrame, parts_marks: bool, most: int = FREQUENT, sample: int | None = None
+) -> DataFrame:
     """The units that occur at least twice, or more often if that gives more than ``most``, in
     a sample of about ``sample`` rows. The sample only says which units are sent to all tasks."""
-    total = max(texts.count(), 1)
+    total, sample = max(texts.count(), 1), sample or SAMPLE_ROWS
     drawn = texts.filter(
         F.pmod(F.xxhash64("id", "h"), F.lit(1_000_000)) < int(min(1.0, sample / total) * 1_000_000)
     )
     counts = kept(
-        drawn.select("text").mapInArrow(_counted, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")),
+        drawn.select("text").mapInArrow(_counted(parts_marks), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")),
         "unit-counts",
     )
     spread = counts.filter("n > 1").groupBy(F.least("n", F.lit(10_000)).alias("n")).agg(F.count(F.lit(1)).alias("units"))
@@ -276,13 +303,13 @@ def _rare_units(
     return at, rare[once[order]], texts, numbers, rank[which]
 
 
-def _rare(frequent):
+def _rare(frequent, parts_marks: bool):
     """Each text's distinct units that are not frequent, numbered from 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Encoded(*frequent.value)
         for rows, data, offsets in blocks(batches, "text"):
-            data, starts, ends, first = unit_spans(data, offsets)
+            data, starts, ends, first = unit_spans(data, offsets, parts_marks)
             _, places, texts, numbers, _ = _rare_units(word_hashes(data, starts, ends), first, known)
             raw, owners = data.tobytes(), pa.array(texts)
             spans = zip(starts[places].tolist(), ends[places].tolist(), strict=True)
@@ -304,7 +331,7 @@ def _packed(texts: pa.Array) -> pa.Array:
     return pa.array([squeeze.compress((t.as_py() or "").encode()) for t in texts], pa.binary())
 
 
-def _assembled(frequent):
+def _assembled(frequent, parts_marks: bool):
     """The pieces of each text, from the frequent units and its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +344,7 @@ def _assembled(frequent):
                 names=["doc_id", "text", "own"],
             )
             for rows, data, offsets in blocks(iter([whole]), "text"):
-                data, starts, ends, first = unit_spans(data, offsets)
+                data, starts, ends, first = unit_spans(data, offsets, parts_marks)
                 at, _, texts_of, _, which = _rare_units(word_hashes(data, starts, ends), first, known)
                 own = rows.column("own")
                 sizes = np.asarray(pc.list_value_length(own))
@@ -353,31 +380,36 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     of rows may be null or repeat, and each row is encoded. Units of more than ``LONGEST``
     bytes are cut; none of the text is dropped. Other columns are not looked at.
     """
-    spark = docs.sparkSession
+    spark, parts_marks = docs.sparkSession, vocabulary.parts_marks
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    key = row_key()
-    if not repeats(docs, "doc_id"):
-        key = [key[0], F.lit(0).cast("long").alias("h")]  # ids alone name the rows
-    texts = docs.select(*key, "text")
-    hashed = encode_units(frequent_units(texts), vocabulary)
+    texts = docs.select(*row_key(), "text")
+    # Where ids are sound they alone name the rows.
+    key = ["id", "h"] if repeats(docs, "doc_id") else ["id"]
+    hashed = encode_units(frequent_units(texts, parts_marks), vocabulary)
     # At most FREQUENT rows of a hash and a few numbers.
     known = Encoded.of(hashed.select(F.arrow_udf(_unit_hash, "long")("unit").alias("hash"), "ids").toArrow())
     frequent = spark.sparkContext.broadcast((known.hashes, known.offsets, known.ids))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // ROWS_PER_PART)
-    # Distinct units, their encoding and the join all use this one partitioning.
-    wanted = texts.mapInArrow(_rare(frequent), "unit string, id long, h long, number int")
+    # The units once each, their encoding and the join all use this one shuffle. The first row
+    # of a unit is chosen by all columns, and the filter is what the join would add on its
+    # side only: with other columns or filters Spark would shuffle twice.
+    wanted = texts.mapInArrow(_rare(frequent, parts_marks), "unit string, id long, h long, number int")
+    wanted = kept(wanted.select("unit", *key, "number"), "rare-units")
+    wanted = wanted.filter(" and ".join(f"{c} is not null" for c in ("unit", *key)))
     wanted = wanted.repartition(parts, "unit")
+    once = Window.partitionBy("unit").orderBy(*key, "number")
+    distinct = wanted.withColumn("row", F.row_number().over(once)).filter("row = 1").select("unit")
     own = (
-        wanted.join(encode_units(wanted.select("unit").distinct(), vocabulary), "unit")
-        .groupBy("id", "h")
+        wanted.join(encode_units(distinct, vocabulary), "unit")
+        .groupBy(*key)
         .agg(F.collect_list(F.struct("number", "ids")).alias("own"))
     )
-    packed = docs.select("doc_id", *key, F.arrow_udf(_packed, "binary")("text").alias("packed"))
+    packed = docs.select("doc_id", *row_key(), F.arrow_udf(_packed, "binary")("text").alias("packed"))
     none = F.array().cast("array<struct<number:int,ids:array<int>>>")
     return (
-        packed.join(own, ["id", "h"], "left")
+        packed.join(own, key, "left")
         .select("doc_id", "packed", F.coalesce("own", none).alias("own"))
-        .mapInArrow(_assembled(frequent), "doc_id long, ids array<int>")
+        .mapInArrow(_assembled(frequent, parts_marks), "doc_id long, ids array<int>")
     )
 
 
