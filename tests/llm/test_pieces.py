@@ -33,7 +33,7 @@ def best_score(unit, vocabulary):
     best = [0.0] + [float("-inf")] * len(unit)
     of = {p: s for p, s in zip(vocabulary.pieces, vocabulary.scores, strict=True) if p}
     for end in range(1, len(unit) + 1):
-        for start in range(max(0, end - vocabulary.longest), end):
+        for start in range(max(0, end - 16), end):
             s = of.get(unit[start:end], vocabulary.unknown_score if end - start == 1 else None)
             if s is not None:
                 best[end] = max(best[end], best[start] + s)

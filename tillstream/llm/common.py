@@ -91,7 +91,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def blocks(
-    batches: Iterator[pa.RecordBatch], text: str, most: int = 2 << 20
+    batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 19
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Batches cut into runs of rows with at most ``most`` bytes of text, or one row.
 

@@ -246,7 +246,9 @@ def _sharing(members: DataFrame, sets: DataFrame, docs: DataFrame, words: int, p
     grams = docs.join(few.select("doc_id", "component"), "doc_id").mapInArrow(
         _exploded(words), "shingle long, doc_id long, component long"
     )
-    holders = grams.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"))
+    # Written out, so that the join has a plain shuffle on both sides and Spark can split a
+    # shingle that very many members hold.
+    holders = kept(grams.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")), "holders")
     order = Window.partitionBy("doc_id").orderBy("holders", "shingle")
     rarest = kept(
         grams.join(holders, "shingle")

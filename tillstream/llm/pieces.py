@@ -33,7 +33,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Units longer than this many bytes are cut into units of at most so many.
 LONGEST = 256
 SAMPLE_ROWS = 50_000
-FREQUENT = 800_000
+FREQUENT = 400_000
 # Rare units are looked up in partitions of about as many documents.
 ROWS_PER_PART = 1_000
 # A character that is in no piece costs so much more than the worst piece.
@@ -48,10 +48,6 @@ class Vocabulary:
     scores: tuple[float, ...]
     byte_ids: tuple[int, ...]
 
-    @property
-    def longest(self) -> int:
-        return max(map(len, self.pieces))
-
     @property
     def unknown_score(self) -> float:
         return min(self.scores) - UNKNOWN_COST
@@ -98,26 +94,32 @@ _STOP, _START = 40, 20
 _FIELD = (1 << 20) - 1
 
 
+# Substrings are as long as the longest piece that begins with the same characters, this many.
+_HEAD = 3
+
+
 def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``unit`` and ``ids`` of the best path for each row of ``units`` (distinct, not empty).
 
     Of paths with one score the one whose last differing piece starts earliest is taken.
     Rows that come partitioned by ``unit`` are not shuffled.
     """
-    longest = vocabulary.longest
-    table = F.broadcast(vocabulary.table(units.sparkSession))
-    spans = (
+    table = vocabulary.table(units.sparkSession)
+    head = F.substring("piece", F.lit(1), F.lit(_HEAD))
+    reach = table.filter(F.length("piece") >= _HEAD).groupBy(head.alias("head")).agg(
+        F.max(F.length("piece")).alias("reach")
+    )
+    starts = (
         units.select("unit", F.length("unit").alias("size"))
         .select("unit", "size", F.explode(F.sequence(F.lit(1), F.col("size"))).alias("start"))
-        .select(
-            "unit",
-            "start",
-            F.explode(
-                F.sequence(F.lit(1), F.least(F.lit(longest), F.col("size") - F.col("start") + 1))
-            ).alias("n"),
-        )
-        .select("unit", "start", "n", F.substring("unit", F.col("start"), F.col("n")).alias("piece"))
+        .select("unit", "size", "start", F.substring("unit", F.col("start"), F.lit(_HEAD)).alias("head"))
+        .join(F.broadcast(reach), "head", "left")
+    )
+    most = F.least(F.coalesce("reach", F.lit(_HEAD - 1)), F.col("size") - F.col("start") + 1)
+    spans = starts.select("unit", "start", F.explode(F.sequence(F.lit(1), most)).alias("n")).select(
+        "unit", "start", "n", F.substring("unit", F.col("start"), F.col("n")).alias("piece")
     )
+    table = F.broadcast(table)
     start = F.col("start").cast("long") - 1
     edge = (
         F.shiftleft(start + F.col("n"), _STOP)
@@ -337,7 +339,8 @@ def _assembled(frequent, parts_marks: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Encoded(*frequent.value)
         expand = zstandard.ZstdDecompressor()
-        for batch in batches:
+        few = (batch.slice(k, 200) for batch in batches for k in range(0, len(batch), 200))
+        for batch in few:
             texts = pa.array([expand.decompress(x.as_py()) for x in batch.column("packed")], pa.large_binary())
             whole = pa.record_batch(
                 [batch.column("doc_id"), texts.cast(pa.large_string()), batch.column("own")],
