@@ -32,8 +32,8 @@ from tillstream.llm.common import blocks, kept, mixed, repeats, row_key, word_ha
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Units longer than this many bytes are cut into units of at most so many.
 LONGEST = 256
-SAMPLE_ROWS = 50_000
-FREQUENT = 400_000
+SAMPLE_ROWS = 20_000
+FREQUENT = 150_000
 # Rare units are looked up in partitions of about as many documents.
 ROWS_PER_PART = 1_000
 # A character that is in no piece costs so much more than the worst piece.
@@ -392,6 +392,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     # At most FREQUENT rows of a hash and a few numbers.
     known = Encoded.of(hashed.select(F.arrow_udf(_unit_hash, "long")("unit").alias("hash"), "ids").toArrow())
     frequent = spark.sparkContext.broadcast((known.hashes, known.offsets, known.ids))
+    del known
+    pa.default_memory_pool().release_unused()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // ROWS_PER_PART)
     # The units once each, their encoding and the join all use this one shuffle. The first row
     # of a unit is chosen by all columns, and the filter is what the join would add on its
