@@ -27,6 +27,8 @@ FILTERS = 16
 EMBEDDING = 8
 # About so many texts of each language are learned from.
 SAMPLE_PER_LANGUAGE = 800
+# A label beyond the so many most frequent ones is taken for noise and not learned.
+MOST_LANGUAGES = 500
 EPOCHS = 12
 UNKNOWN = "und"
 
@@ -185,12 +187,15 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Ne
     Languages are counted over all rows; a row is drawn by a hash of its text and id, at
     the rate that gives about ``SAMPLE_PER_LANGUAGE`` rows of its language, so frequent
     languages don't crowd out rare ones. Of each text drawn, 4,000 characters from a
-    place that the hash tells go to the driver. These two numbers bound what is fitted.
+    place that the hash tells go to the driver. These numbers and ``MOST_LANGUAGES`` bound
+    what is fitted.
     """
     rows = docs.select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), "doc_id"
     ).filter("text is not null and text <> '' and lang is not null")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    counts = {r.lang: r.n for r in counts.collect()}
     if not counts:
         return train([], [])
     rate = F.create_map(
