@@ -48,6 +48,7 @@ def test_pages(source, expected):
 
 def test_a_deep_or_broken_page_ends():
     assert main_text("<div>" * 3000 + "x" * 100) == "x" * 100
+    assert len(main_text("<div>x" * 100_000)) > 0 and main_text("<div></b>" * 100_000) == ""
     assert main_text("<" * 5000 + "a='" * 2000) is not None
     assert len(main_text(page("<article>" + f"<p>{LONG}</p>" * 5000 + "</article>"))) == 5000 * (len(LONG) + 1) - 1
 

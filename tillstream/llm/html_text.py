@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -58,6 +59,8 @@ class Node:
     tag: str
     parent: Node | None
     dropped: bool
+    in_article: bool = False
+    kept: bool = False
     score: float = 0.0
     chars: int = 0
     link_chars: int = 0
@@ -88,20 +91,24 @@ def _unlikely(tag: str, attributes: str) -> bool:
     return False
 
 
-def _parsed(page: str) -> list[Block]:
-    """The page's blocks in order, each below a tree of elements."""
+def _parsed(page: str) -> tuple[list[Node], list[Block]]:
+    """The page's elements and blocks, both in page order. Linear in the page, however deep."""
     root = Node("html", None, False)
-    stack, blocks, block, links = [root], [], None, 0
+    nodes, stack, blocks, block, links = [root], [root], [], None, 0
+    opened: Counter[str] = Counter()
 
     def close(until: int) -> None:
         nonlocal links, block
         for node in stack[until:]:
+            opened[node.tag] -= 1
             links -= node.tag == "a"
             if node.tag in BLOCKS:
                 block = None
         del stack[until:]
 
     def close_same(tags, around) -> None:
+        if not any(opened[t] > 0 for t in tags):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in around:
                 return
@@ -145,13 +152,10 @@ def _parsed(page: str) -> list[Block]:
             continue
         at, closing, tag = m.end(), m[1], m[2].lower()
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
-            else:
-                if tag in BLOCKS:
-                    block = None
+            if opened[tag] > 0:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
+            elif tag in BLOCKS:
+                block = None
             continue
         if tag == "br":
             add(" ")
@@ -172,24 +176,28 @@ def _parsed(page: str) -> list[Block]:
             else:
                 at = size
             continue
-        inside = any(n.tag in ("article", "main") for n in stack)
+        up = stack[-1]
         dropped = (
-            stack[-1].dropped
+            up.dropped
             or tag in DROPPED
-            or tag == "header" and not inside
+            or tag == "header" and not up.in_article
             or _unlikely(tag, m[3])
         )
-        stack.append(Node(tag, stack[-1], dropped))
+        node = Node(tag, up, dropped, up.in_article or tag in ("article", "main"))
+        nodes.append(node)
+        stack.append(node)
+        opened[tag] += 1
         links += tag == "a"
     for b in blocks:
         b.text = _SPACES.sub(" ", "".join(b.pieces)).strip()
-    return [b for b in blocks if b.text]
+    return nodes, [b for b in blocks if b.text]
 
 
-def _up(node: Node | None):
-    while node is not None:
-        yield node
-        node = node.parent
+def _within(nodes: list[Node], blocks: list[Block], kept: set[int]) -> list[Block]:
+    """The blocks below any of the elements ``kept``, by their ``id``."""
+    for n in nodes:
+        n.kept = id(n) in kept or n.parent is not None and n.parent.kept
+    return [b for b in blocks if b.node.kept]
 
 
 def _density(node: Node) -> float:
@@ -198,13 +206,12 @@ def _density(node: Node) -> float:
 
 def main_text(page: str) -> str:
     """The blocks of the main text, one a line."""
-    blocks = _parsed(page)
+    nodes, blocks = _parsed(page)
     candidates: list[Node] = []
     for b in blocks:
         size = len(b.text)
-        for n in _up(b.node):
-            n.chars += size
-            n.link_chars += min(b.link_chars, size)
+        b.node.chars += size
+        b.node.link_chars += min(b.link_chars, size)
         if size >= 25 and b.node.tag in PARAGRAPHS | {"div", "section", "article", "main", "li", "body"}:
             points = 1 + sum(b.text.count(c) for c in ",،、，") + min(size / 100, 3)
             points *= 1 - min(b.link_chars, size) / size
@@ -214,16 +221,18 @@ def main_text(page: str) -> str:
                     if not node.score:
                         candidates.append(node)
                     node.score += share * points
+    for n in reversed(nodes[1:]):
+        n.parent.chars += n.chars
+        n.parent.link_chars += n.link_chars
     best = max(candidates, key=lambda n: n.score * (1 - _density(n)), default=None)
     if best is None:
         # No paragraph is long enough to count: an article element, or what isn't links.
-        kept_nodes = {id(n) for b in blocks for n in _up(b.node) if n.tag in ("article", "main")}
-        rest = [b for b in blocks if any(id(n) in kept_nodes for n in _up(b.node))]
+        rest = [b for b in blocks if b.node.in_article]
         rest = rest or [b for b in blocks if b.link_chars <= len(b.text) / 2]
         return "\n".join(b.text for b in rest)
-    for n in _up(best):
-        if n.tag in ("article", "main"):
-            best = n
+    if best.in_article:
+        while best.parent is not None and best.parent.in_article:
+            best = best.parent
     kept_nodes = {id(best)}
     if best.tag not in ("article", "main", "body", "html") and best.parent is not None:
         least = 0.2 * best.score
@@ -234,7 +243,7 @@ def main_text(page: str) -> str:
             alone = b.node.parent is best.parent and b.node.tag in PARAGRAPHS | {"h1", "h2", "h3"}
             if alone and b.link_chars <= len(b.text) / 4:
                 kept_nodes.add(id(b.node))
-    return "\n".join(b.text for b in blocks if any(id(n) in kept_nodes for n in _up(b.node)))
+    return "\n".join(b.text for b in _within(nodes, blocks, kept_nodes))
 
 
 def _extract(pages: pa.Array) -> pa.Array:
