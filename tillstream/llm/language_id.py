@@ -10,7 +10,6 @@ with the largest mean probability.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
