@@ -26,7 +26,7 @@ from tillstream.plans.curate import build_curated
 from tillstream.plans.compact import compact_days
 from tillstream.plans.dirty import curate_dirty
 from tillstream.plans.load import load_batch, parsed_once, raw_metrics, run_load
-from tillstream.schemas import CORRUPT, MASTER_FIELDS, RAW
+from tillstream.schemas import CORRUPT, RAW
 from tillstream.session import scratch
 from tillstream.sources.codec import decode, encode, good, quarantine
 from tillstream.sources.master import latest_per_account, read_master
