@@ -46,6 +46,33 @@ def test_pages(source, expected):
     assert main_text(source) == expected
 
 
+PAGE = f"<article><p>{LONG}</p></article>"
+
+
+@pytest.mark.parametrize(
+    "source,expected",
+    [
+        (f"<div class='page has-sidebar'>{PAGE}</div>", LONG),
+        (f"<div id='sidebar'><div class=related>{PAGE}</div></div>", LONG),
+        (f"<article><h2 id='related-work'>Related</h2><p>{LONG}</p><h3 class=search>S</h3></article>", f"Related\n{LONG}\nS"),
+        (f"<article><p>{LONG}</p><section id='side-effects'><p>Few.</p></section></article>", f"{LONG}\nFew."),
+        (f"<article><p>{LONG}</p><div class='side-by-side'><p>Few.</p></div></article>", f"{LONG}\nFew."),
+        (f"<article><p>{LONG} <a href='/hidden-gems'>gems</a> and <a href='/v?id=comment-5'>it</a>.</p></article>", f"{LONG} gems and it."),
+        (f"<article><p>{LONG}</p><p data-x='style=display:none' title='a hidden b'>Few.</p></article>", f"{LONG}\nFew."),
+        (f"<div class='side'><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG}\n{LONG}"),
+        (f"<article class='post has-comments'><p>{LONG}</p></article>", LONG),
+        ("<div class='notice'><p>Few.</p></div>", "Few."),
+        # what the names are for
+        (f"{PAGE}<div class='sidebar'><article><p>Few.</p></article></div>", LONG),
+        (f"<article><p>{LONG}</p><div id='comments'><article class='comment'>{f'<p>{LONG}</p>' * 9}</article></div></article>", LONG),
+        (f"{PAGE}<div class='cookie-consent'>{f'<p>{LONG}</p>' * 9}</div>", LONG),
+        (f"<article><p>{LONG}<span class='ad-box'>Buy</span></p><div class='social-share'>Share</div></article>", LONG),
+    ],
+)
+def test_names_that_hold_a_listed_word(source, expected):
+    assert main_text(page(source)) == expected
+
+
 def test_a_deep_or_broken_page_ends():
     assert main_text("<div>" * 3000 + "x" * 100) == "x" * 100
     assert len(main_text("<div>x" * 100_000)) > 0 and main_text("<div></b>" * 100_000) == ""

@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -37,7 +38,7 @@ SAME = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td",
 AROUND = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"table", "tr"},
           "th": {"table", "tr"}, "option": {"select"}}
 
-# Words in class, id or role that say an element isn't part of the text.
+# Words that are a class, an id or a role of an element that isn't part of the text.
 UNLIKELY = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner "
     "sidebar side aside nav navbar navigation menu breadcrumb breadcrumbs footer masthead topbar "
@@ -46,10 +47,23 @@ UNLIKELY = frozenset(
     "related recommended pagination pager widget toolbar search dialog complementary contentinfo "
     "skip hidden".split()
 )
+# Names of several words say so only if all are of the list above or of these.
+FRAME = frozenset(
+    "site page main post posts articles stories list item items wrapper wrap container box block area "
+    "section inner outer left right top bottom bar link links button buttons icon icons thread js".split()
+)
+# Words that say so only alone: in longer names they are used of text too.
+ALONE = frozenset("side hidden skip search notice notices alert".split())
+COMMENTS = frozenset("comment comments disqus replies respond".split())
+# Elements that are not left out by a name: headings are named after their text, and links stand in it.
+UNNAMED = frozenset("html body main h1 h2 h3 h4 h5 h6 a".split())
+# Elements whose own text, if it is long, speaks for the container.
+SCORED = PARAGRAPHS | {"div", "section", "article", "main", "li", "body"}
+LONG = 25
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)")
-_NAMED = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s/>=][^\s/>=]*+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _SPACES = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -59,11 +73,15 @@ class Node:
     tag: str
     parent: Node | None
     dropped: bool
+    named: bool = False
+    in_comments: bool = False
     in_article: bool = False
     kept: bool = False
     score: float = 0.0
     chars: int = 0
     link_chars: int = 0
+    long_chars: int = 0
+    article_chars: int = 0
 
 
 @dataclass(slots=True)
@@ -71,24 +89,53 @@ class Block:
     """Text that stands together, and the block element around it."""
 
     node: Node
-    pieces: list[str] = field(default_factory=list)
+    # each with the element it stands in, and whether that is in a link
+    pieces: list[tuple[str, Node, bool]] = field(default_factory=list)
     link_chars: int = 0
     text: str = ""
 
+    def read(self) -> None:
+        self.text = _SPACES.sub(" ", "".join(t for t, _, _ in self.pieces)).strip()
+        self.link_chars = sum(len(t.strip()) for t, _, in_link in self.pieces if in_link)
+
+
+def _attributes(source: str) -> dict[str, str]:
+    """Names and values; of names that repeat the first counts."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(source):
+        if value[:1] in ("'", '"') and value[-1] == value[0]:
+            value = value[1:-1]
+        found.setdefault(name.lower(), html.unescape(value))
+    return found
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    return (
+        "hidden" in attributes
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or _HIDDEN.search(attributes.get("style", "")) is not None
+    )
 
-def _unlikely(tag: str, attributes: str) -> bool:
-    for name, value in _NAMED.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "style" and _HIDDEN.search(value):
-            return True
-        if name in ("class", "id", "role") and tag not in ("html", "body", "article", "main"):
-            if UNLIKELY & set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())):
-                return True
-        if name in ("class", "id") and tag == "article" and re.search(r"(?i)\bcomments?\b", value):
-            return True
-    return False
+
+def _words(attributes: dict[str, str], *names: str) -> Iterator[set[str]]:
+    """The words of each class, id or role."""
+    for name in names:
+        for token in attributes.get(name, "").split():
+            words = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+            yield {w for w in words if w}
+
+
+def _unlikely(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether a name says that an element isn't part of the text."""
+    if tag in UNNAMED:
+        return False
+    if tag == "article":
+        return any(w & COMMENTS and w <= COMMENTS | FRAME for w in _words(attributes, "class", "id"))
+    return any(
+        w <= UNLIKELY if len(w) == 1 else w & UNLIKELY - ALONE and w <= UNLIKELY | FRAME
+        for w in _words(attributes, "class", "id", "role")
+        if w
+    )
 
 
 def _parsed(page: str) -> tuple[list[Node], list[Block]]:
@@ -124,9 +171,7 @@ def _parsed(page: str) -> tuple[list[Node], list[Block]]:
                 return
             block = Block(next(n for n in reversed(stack) if n.tag in BLOCKS))
             blocks.append(block)
-        block.pieces.append(text)
-        if links:
-            block.link_chars += len(text.strip())
+        block.pieces.append((text, stack[-1], links > 0))
 
     at, size = 0, len(page)
     while at < size:
@@ -177,22 +222,46 @@ def _parsed(page: str) -> tuple[list[Node], list[Block]]:
                 at = size
             continue
         up = stack[-1]
-        dropped = (
-            up.dropped
-            or tag in DROPPED
-            or tag == "header" and not up.in_article
-            or _unlikely(tag, m[3])
-        )
-        node = Node(tag, up, dropped, up.in_article or tag in ("article", "main"))
+        attributes = _attributes(m[3])
+        dropped = up.dropped or tag in DROPPED or tag == "header" and not up.in_article or _hidden(attributes)
+        named = not dropped and _unlikely(tag, attributes)
+        in_comments = up.in_comments or named and any(w & COMMENTS for w in _words(attributes, "class", "id"))
+        node = Node(tag, up, dropped, named, in_comments, up.in_article or tag in ("article", "main"))
         nodes.append(node)
         stack.append(node)
         opened[tag] += 1
         links += tag == "a"
     for b in blocks:
-        b.text = _SPACES.sub(" ", "".join(b.pieces)).strip()
+        b.read()
     return nodes, [b for b in blocks if b.text]
 
 
+def _without_named(nodes: list[Node], blocks: list[Block]) -> list[Block]:
+    """The blocks without what stands in elements that a name says aren't part of the text.
+
+    A name does not count for what is around the page's articles or ``main``. Without
+    these, and inside them, it does not count for what holds most of the long text.
+    """
+    for b in blocks:
+        if len(b.text) >= LONG and b.node.tag in SCORED and not b.node.in_comments:
+            b.node.long_chars += max(len(b.text) - b.link_chars, 0)
+    root = nodes[0]
+    for n in reversed(nodes[1:]):
+        if n.in_article and not n.parent.in_article and not n.dropped and not n.named:
+            n.article_chars = n.long_chars + 1
+        n.parent.long_chars += n.long_chars
+        n.parent.article_chars += n.article_chars
+    for n in nodes[1:]:
+        around = n.article_chars > 0 and 2 * n.article_chars >= root.article_chars
+        most = 2 * n.long_chars > root.long_chars and (n.in_article or not root.article_chars)
+        n.dropped = n.dropped or n.parent.dropped or n.named and not around and not most
+    for b in blocks:
+        if any(n.dropped for _, n, _ in b.pieces):
+            b.pieces = [p for p in b.pieces if not p[1].dropped]
+            b.read()
+    return [b for b in blocks if b.text]
+
+
 def _within(nodes: list[Node], blocks: list[Block], kept: set[int]) -> list[Block]:
     """The blocks below any of the elements ``kept``, by their ``id``."""
     for n in nodes:
@@ -207,12 +276,19 @@ def _density(node: Node) -> float:
 def main_text(page: str) -> str:
     """The blocks of the main text, one a line."""
     nodes, blocks = _parsed(page)
+    text = _main_text(nodes, _without_named(nodes, blocks))
+    if not text and any(n.named for n in nodes):
+        text = _main_text(*_parsed(page))
+    return text
+
+
+def _main_text(nodes: list[Node], blocks: list[Block]) -> str:
     candidates: list[Node] = []
     for b in blocks:
         size = len(b.text)
         b.node.chars += size
         b.node.link_chars += min(b.link_chars, size)
-        if size >= 25 and b.node.tag in PARAGRAPHS | {"div", "section", "article", "main", "li", "body"}:
+        if size >= LONG and b.node.tag in SCORED:
             points = 1 + sum(b.text.count(c) for c in ",،、，") + min(size / 100, 3)
             points *= 1 - min(b.link_chars, size) / size
             own = b.node.parent if b.node.tag in PARAGRAPHS | {"li"} else b.node
