@@ -59,7 +59,7 @@ PAGE = f"<article><p>{LONG}</p></article>"
         (f"<article><p>{LONG}</p><div class='side-by-side'><p>Few.</p></div></article>", f"{LONG}\nFew."),
         (f"<article><p>{LONG} <a href='/hidden-gems'>gems</a> and <a href='/v?id=comment-5'>it</a>.</p></article>", f"{LONG} gems and it."),
         (f"<article><p>{LONG}</p><p data-x='style=display:none' title='a hidden b'>Few.</p></article>", f"{LONG}\nFew."),
-        (f"<div class='side'><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG}\n{LONG}"),
+        (f"<div class='side'><p>{LONG}</p><p>{LONG}</p></div><div><p>Short.</p></div>", f"{LONG}\n{LONG}\nShort."),
         (f"<article class='post has-comments'><p>{LONG}</p></article>", LONG),
         ("<div class='notice'><p>Few.</p></div>", "Few."),
         # what the names are for
@@ -73,6 +73,29 @@ def test_names_that_hold_a_listed_word(source, expected):
     assert main_text(page(source)) == expected
 
 
+LONGER = f"<div>{f'<p>{LONG}</p>' * 10}</div>"
+
+
+@pytest.mark.parametrize(
+    "sibling,expected",
+    [
+        ("<div><p>One short section.</p></div>", ["One short section."]),
+        ("<ul><li>a</li><li>b</li></ul>", ["a", "b"]),
+        ("<ol><li>a</ol><dl><dt>b<dd>c</dl>", ["a", "b", "c"]),
+        ("<table><tr><td>a<td>b</table>", ["a", "b"]),
+        ("<figure><img src=x><figcaption>a</figcaption></figure>", ["a"]),
+        ("<h4>a</h4><h5>b</h5><h6>c</h6>", ["a", "b", "c"]),
+        ("words alone", ["words alone"]),
+        ("<ul><li><a href=x>a</a><li><a href=y>b</a></ul>", []),
+        ("<div class=sidebar><p>no</p></div>", []),
+    ],
+)
+def test_siblings_stay_however_long_the_best_is(sibling, expected):
+    for wrapped in (LONGER, f"<section>{LONGER}</section>"):
+        got = main_text(page(f"<div id=content>{wrapped}{sibling}</div>"))
+        assert got.split("\n") == [LONG] * 10 + expected
+
+
 def test_a_deep_or_broken_page_ends():
     assert main_text("<div>" * 3000 + "x" * 100) == "x" * 100
     assert len(main_text("<div>x" * 100_000)) > 0 and main_text("<div></b>" * 100_000) == ""

@@ -2,7 +2,7 @@
 
 Each paragraph gives its parent points for its length and its commas, and its
 grandparent half of them; points count less the more of a container's text is links.
-The best container and those of its siblings that look like more of the same are kept.
+The best container and those of its siblings that aren't mostly links are kept.
 If the best container lies in an ``article`` or ``main`` element, that element is taken.
 """
 
@@ -60,6 +60,8 @@ UNNAMED = frozenset("html body main h1 h2 h3 h4 h5 h6 a".split())
 # Elements whose own text, if it is long, speaks for the container.
 SCORED = PARAGRAPHS | {"div", "section", "article", "main", "li", "body"}
 LONG = 25
+# A sibling of the best container with a larger share of links is not text.
+MOST_LINKS = 0.5
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)")
@@ -263,10 +265,10 @@ def _without_named(nodes: list[Node], blocks: list[Block]) -> list[Block]:
 
 
 def _within(nodes: list[Node], blocks: list[Block], kept: set[int]) -> list[Block]:
-    """The blocks below any of the elements ``kept``, by their ``id``."""
+    """The blocks below any of the elements, and those blocks, that are in ``kept`` by their ``id``."""
     for n in nodes:
         n.kept = id(n) in kept or n.parent is not None and n.parent.kept
-    return [b for b in blocks if b.node.kept]
+    return [b for b in blocks if b.node.kept or id(b) in kept]
 
 
 def _density(node: Node) -> float:
@@ -309,17 +311,14 @@ def _main_text(nodes: list[Node], blocks: list[Block]) -> str:
     if best.in_article:
         while best.parent is not None and best.parent.in_article:
             best = best.parent
-    kept_nodes = {id(best)}
+    # What holds no more text than the best container stands for it, as then do its siblings.
+    while not best.in_article and best.parent is not None and best.parent.chars == best.chars:
+        best = best.parent
+    kept = {id(best)}
     if best.tag not in ("article", "main", "body", "html") and best.parent is not None:
-        least = 0.2 * best.score
-        for n in candidates:
-            if n.parent is best.parent and n.score * (1 - _density(n)) >= least:
-                kept_nodes.add(id(n))
-        for b in blocks:
-            alone = b.node.parent is best.parent and b.node.tag in PARAGRAPHS | {"h1", "h2", "h3"}
-            if alone and b.link_chars <= len(b.text) / 4:
-                kept_nodes.add(id(b.node))
-    return "\n".join(b.text for b in _within(nodes, blocks, kept_nodes))
+        kept |= {id(n) for n in nodes if n.parent is best.parent and n.chars and _density(n) <= MOST_LINKS}
+        kept |= {id(b) for b in blocks if b.node is best.parent and b.link_chars <= len(b.text) * MOST_LINKS}
+    return "\n".join(b.text for b in _within(nodes, blocks, kept))
 
 
 def _extract(pages: pa.Array) -> pa.Array:
