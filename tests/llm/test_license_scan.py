@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 
 from tests.llm.helpers import documents, syllables, words_of
-from tillstream.llm.license_scan import NOTICES, PHRASES, normalised, scan_licenses
+from tillstream.llm.license_scan import NOTICES, PHRASES, _best, normalised, scan_licenses
 
 
 def brute(text):
@@ -63,6 +63,61 @@ def test_every_single_edit_is_found(spark):
     assert [r.doc_id for r in got if "mit" not in r.labels] == []
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        above, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            above, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, above + (x != y))
+    return row[-1]
+
+
+def notices_by_hand(text):
+    """All runs of words that are near enough to a notice, and the nearest of those that overlap."""
+    words, found = words_of(text), []
+    for n in NOTICES:
+        for i in range(len(words)):
+            for k in range(i, len(words)):
+                run = " ".join(words[i : k + 1])
+                if abs(len(run) - len(n.text)) <= n.errors and (e := edits(run, n.text)) <= n.errors:
+                    found.append({"label": n.label, "first_word": i, "last_word": k, "edits": e, "text": run})
+    return [(s["label"], s["first_word"], s["last_word"], s["edits"], s["text"]) for s in _best(found)]
+
+
+def scanned(spark, texts):
+    got = scan_licenses(documents(spark, list(enumerate(texts))).coalesce(1)).collect()
+    return [[tuple(s) for s in r.spans] for r in sorted(got)], [(r.labels, r.score) for r in sorted(got)]
+
+
+def test_neighbours_do_not_matter(spark):
+    worse, better = "mozila public license", "mozilla public license"
+    texts = [worse, better, "some words", worse, "redistribution and use in sorce and binary forms", worse, better]
+    spans, marks = scanned(spark, texts)
+    assert spans == [notices_by_hand(t) for t in texts]
+    assert [s[0][3] for s in spans if s] == [1, 0, 1, 1, 1, 0]
+    assert marks[0] == marks[3] == marks[5] == ("mpl", 1 - 1 / 22)
+
+
+def test_repeated_notices_are_all_found(spark):
+    import random
+
+    draw = random.Random(6)
+    texts = ["mozila public license mozilla public license", "mozila public license x mozilla public licens mozilla public license"]
+    for _ in range(60):
+        parts = []
+        for _ in range(draw.randint(1, 4)):
+            n = draw.choice(NOTICES)
+            copy = list(n.text)
+            for _ in range(draw.randint(0, n.errors)):
+                at = draw.randrange(1, len(copy))
+                copy[at : at + 1] = draw.choice([[], ["q"], [copy[at], "q"], [" "]])
+            parts += ["".join(copy)] * draw.randint(1, 2) + draw.sample(["the", "and use", "license", ""], 1)
+        texts.append(" ".join(parts))
+    spans, _ = scanned(spark, texts)
+    assert [len(s) for s in spans[:2]] == [2, 3]
+    assert spans == [notices_by_hand(t) for t in texts]
+
+
 def test_normalised_block():
     texts = [" A-b  c.", "", "..", "x"]
     raw = [t.encode() for t in texts]

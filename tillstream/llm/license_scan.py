@@ -2,9 +2,9 @@
 
 Exact phrases are found as words that stand consecutively. Short notices are found with
 up to ``errors`` edits: a notice is split into one seed more than that, so one seed of
-any match is untouched (pigeonhole). The seeds are searched exactly; around each hit the
-regex library's bounded-error matching decides, and gives the span and the edits. Of
-notices that overlap, the nearest counts.
+any match is untouched (pigeonhole). The seeds are searched exactly; for every run of words
+that can hold a hit, the regex library's bounded-error matching decides alone, and gives the
+edits. Of notices that overlap, the nearest counts.
 """
 
 from __future__ import annotations
@@ -68,8 +68,6 @@ NOTICES = (
     Notice("free and unencumbered software released into the public domain", "unlicense"),
 )
 
-_WORD_BYTE = rb"[0-9a-z\x80-\xff]"
-
 
 def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
     """The texts of a block as lower-case words with one space between, a line feed after each.
@@ -103,23 +101,21 @@ def _whole_words(raw: bytes, lo: int, hi: int) -> bool:
 
 
 def _fuzzy(raw: bytes, notice: Notice, pattern: regex.Pattern) -> Iterator[tuple[int, int, int]]:
-    """Start, end and edits of the places of a notice."""
-    size, slack = len(notice.text), notice.errors
-    spans = sorted(
-        (max(at - off - slack, 0), min(at - off + size + slack, len(raw)))
+    """Start, end and edits of all runs of words of one text that are a notice with errors."""
+    size, slack = len(notice.text.encode()), notice.errors
+    starts = {
+        lo
         for off, seed in notice.seeds()
         for at in _hits(raw, seed)
-    )
-    merged: list[list[int]] = []
-    for lo, hi in spans:
-        if merged and lo <= merged[-1][1]:
-            merged[-1][1] = max(hi, merged[-1][1])
-        else:
-            merged.append([lo, hi])
-    for lo, hi in merged:
-        for m in pattern.finditer(raw, lo, hi):
-            if b"\n" not in m[0]:
-                yield m.start(), m.end(), sum(m.fuzzy_counts)
+        for lo in range(max(at - off - slack, 0), min(at - off + slack, at) + 1)
+        if raw[lo] not in b" \n" and (lo == 0 or raw[lo - 1] in b" \n")
+    }
+    for lo in sorted(starts):
+        for hi in range(lo + size - slack, min(lo + size + slack, len(raw)) + 1):
+            if raw[hi - 1] not in b" \n" and _whole_words(raw, lo, hi) and b"\n" not in raw[lo:hi]:
+                m = pattern.fullmatch(raw, lo, hi)
+                if m:
+                    yield lo, hi, sum(m.fuzzy_counts)
 
 
 def _best(spans: list[dict]) -> list[dict]:
@@ -153,11 +149,7 @@ RESULT = (
 
 def _scan(notices: tuple[Notice, ...]):
     patterns = [
-        regex.compile(
-            b"(?b)(?<!" + _WORD_BYTE + b")(?:" + regex.escape(n.text.encode()) + b"){e<=%d}(?!" % n.errors
-            + _WORD_BYTE + b")"
-        )
-        for n in notices
+        regex.compile(b"(?b)(?:" + regex.escape(n.text.encode()) + b"){e<=%d}" % n.errors) for n in notices
     ]
 
     def run(texts: pa.Array) -> pa.Array:
