@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import base64
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +82,50 @@ def test_scores_equal_the_library_in_unigram_mode(spark, sf_dir):
         assert score_of(ids, vocabulary, unit) == score_of(theirs, vocabulary, unit), unit
 
 
+def best_path(text, vocabulary):
+    """The ids of the best path of a text that is not cut at all."""
+    of = {p: (i, s) for i, (p, s) in enumerate(zip(vocabulary.pieces, vocabulary.scores, strict=True)) if p}
+    longest = max(map(len, of))
+    best = [(0.0, 0, [])]
+    for end in range(1, len(text) + 1):
+        paths = []
+        for start in range(max(0, end - longest), end):
+            id_, score = of.get(text[start:end], (None, vocabulary.unknown_score if end - start == 1 else None))
+            if score is not None:
+                spelled = [vocabulary.byte_ids[b] for b in text[start:end].encode()]
+                paths.append((best[start][0] + score, -start, spelled if id_ is None else [id_]))
+        best.append(max(paths, key=lambda p: p[:2]))
+    ids, end = [], len(text)
+    while end:
+        ids, end = best[end][2] + ids, -best[end][1]
+    return ids
+
+
+@pytest.mark.parametrize("sample", [1, 20_000])
+def test_long_units_equal_an_uncut_lattice(spark, monkeypatch, sample):
+    monkeypatch.setattr(pieces, "SAMPLE_ROWS", sample)
+    draw = random.Random(5)
+    vocabulary = load_vocabulary()
+    letters = ["abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшыэюя", "的一是不了人我在有他這中大來上國", "aé🙂ж日ÿ"]
+    texts = ["".join(draw.choices(a, k=600)) for a in letters for _ in range(8)]
+    texts += [base64.b64encode(draw.randbytes(900)).decode(), "x" * 5000, " " * 700 + "end", "🙂" * 300, "the" * 400]
+    texts += [f"short {texts[0]} and\n{texts[9]}.", "a" * 255, "a" * 256, "é" * 128, "information" * 24]
+    got = encode(documents(spark, list(enumerate(texts))), vocabulary).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.ids == best_path(" " + texts[r.doc_id], vocabulary), texts[r.doc_id][:40]
+
+
+def test_long_pieces_and_ties():
+    """Parts are at most so long unless one piece is longer, and cut only between best pieces."""
+    vocabulary = small_vocabulary(**{"a": -1, "b": -1, "aa": -2, "ab": -1, "b" * 300: -1})
+    for unit in ("a" * 1000, "ab" * 500, "a" * 400 + "b" * 300 + "a" * 400, "b" * 299 + "é" * 300):
+        cuts = pieces.long_cuts(unit, *vocabulary.lattice())
+        parts = [unit.encode()[a:b].decode() for a, b in zip([0, *cuts], [*cuts, None], strict=True)]
+        assert sum((best_path(p, vocabulary) for p in parts), []) == best_path(unit, vocabulary)
+        assert all(len(p.encode()) <= pieces.LONGEST or p == "b" * 300 for p in parts)
+
+
 @pytest.mark.parametrize("sample", [1, 20_000])
 def test_round_trip(spark, sf_dir, monkeypatch, sample):
     """Exact, whether units are sent to all tasks or looked up."""

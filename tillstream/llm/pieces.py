@@ -2,7 +2,8 @@
 
 Texts are cut into units at which no piece can span the cut: before a run of spaces, around
 a line feed and, where the vocabulary has no piece that joins them, between letters and
-ASCII marks or digits. For each distinct unit, all substrings up to the length
+ASCII marks or digits. Units that are long all the same are cut on their best path, which a
+task finds by itself. For each distinct unit, all substrings up to the length
 of the longest piece are exploded and joined to the piece table; the edges found are
 grouped by unit and a higher-order ``aggregate`` folds them into the best-scored path
 (Viterbi). A character in no piece is spelled by its bytes.
@@ -16,6 +17,7 @@ distinct unit and document. Texts are moved once, compressed.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +32,8 @@ from pyspark.sql.window import Window
 from tillstream.llm.common import blocks, kept, mixed, repeats, row_key, word_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-# Units longer than this many bytes are cut into units of at most so many.
+# Units longer than this many bytes are cut, between pieces of their best path, into units of
+# at most so many (or of one piece).
 LONGEST = 256
 SAMPLE_ROWS = 20_000
 FREQUENT = 150_000
@@ -64,6 +67,16 @@ class Vocabulary:
         rows = [(p, i, s) for i, (p, s) in enumerate(zip(self.pieces, self.scores, strict=True)) if p]
         return spark.createDataFrame(rows, "piece string, id int, score double")
 
+    def lattice(self) -> tuple[dict[str, float], dict[str, int], float]:
+        """Scores by piece, lengths of the longest pieces by their first ``_HEAD`` characters, and
+        the score of a character in no piece."""
+        scores = {p: s for p, s in zip(self.pieces, self.scores, strict=True) if p}
+        reach: dict[str, int] = {}
+        for p in scores:
+            if len(p) >= _HEAD:
+                reach[p[:_HEAD]] = max(reach.get(p[:_HEAD], 0), len(p))
+        return scores, reach, self.unknown_score
+
     def hex_by_id(self) -> list[str]:
         """The bytes of each id, as hex."""
         of_byte = {i: f"{b:02X}" for b, i in enumerate(self.byte_ids)}
@@ -183,9 +196,40 @@ _MARK[:0x80] = ~_LETTER[:0x80]
 _MARK[[0x0A, 0x20]] = False
 
 
-def unit_spans(data: np.ndarray, offsets: np.ndarray, parts_marks: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def long_cuts(unit: str, scores: dict[str, float], reach: dict[str, int], unknown: float) -> list[int]:
+    """Where to cut a long unit, in bytes: between pieces of its best path, so that the best paths
+    of the parts are that of the whole (ties are settled as in ``encode_units``)."""
+    size = len(unit)
+    # Scores are carried only as far as a piece reaches; of each position's best path only the
+    # length of its last piece is kept.
+    ring = 1 + max([_HEAD - 1, *reach.values()])
+    ahead: list[float | None] = [None] * ring
+    ahead[0] = 0.0
+    back = array("L", [0]) * (size + 1)
+    for i in range(size):
+        here, ahead[i % ring] = ahead[i % ring], None
+        for n in range(1, min(reach.get(unit[i : i + _HEAD], _HEAD - 1), size - i) + 1):
+            score = scores.get(unit[i : i + n], unknown if n == 1 else None)
+            if score is not None:
+                best = ahead[(i + n) % ring]
+                if best is None or here + score > best:
+                    ahead[(i + n) % ring], back[i + n] = here + score, n
+    cuts, at, stop, taken = [], len(unit.encode()), size, 0
+    while stop:
+        n = len(unit[stop - back[stop] : stop].encode())
+        if taken and taken + n > LONGEST:
+            cuts.append(at)
+            taken = 0
+        stop, at, taken = stop - back[stop], at - n, taken + n
+    return cuts[::-1]
+
+
+def unit_spans(
+    data: np.ndarray, offsets: np.ndarray, parts_marks: bool, lattice
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The units of a block: bytes with a space before each text that is not empty, starts
-    and ends of units in them, and each text's first unit (and an end)."""
+    and ends of units in them, and each text's first unit (and an end). ``lattice`` is the
+    broadcast ``Vocabulary.lattice``, which is read only if there are long units."""
     sizes = np.diff(offsets)
     data = np.insert(data, offsets[:-1][sizes > 0], 32)
     offsets = offsets + np.concatenate([[0], np.cumsum(sizes > 0)])
@@ -205,12 +249,7 @@ def unit_spans(data: np.ndarray, offsets: np.ndarray, parts_marks: bool) -> tupl
     lengths = np.diff(np.append(starts, len(data)))
     cuts = []
     for at, n in zip(starts[lengths > LONGEST], lengths[lengths > LONGEST], strict=True):
-        end, at = at + n, at + LONGEST
-        while at < end:
-            while data[at] & 0xC0 == 0x80:  # not inside a character
-                at -= 1
-            cuts.append(at)
-            at += LONGEST
+        cuts += [at + c for c in long_cuts(data[at : at + n].tobytes().decode(), *lattice.value)]
     if cuts:
         starts = np.sort(np.concatenate([starts, cuts]))
     return data, starts, np.append(starts[1:], len(data)), np.searchsorted(starts, offsets)
@@ -248,12 +287,12 @@ def _unit_hash(units: pa.Array) -> pa.Array:
     return pa.array(word_hashes(data, offsets[:-1], offsets[1:]).view(np.int64))
 
 
-def _counted(parts_marks: bool):
+def _counted(parts_marks: bool, lattice):
     """The distinct units of each block, with counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in blocks(batches, "text"):
-            data, starts, ends, _ = unit_spans(data, offsets, parts_marks)
+            data, starts, ends, _ = unit_spans(data, offsets, parts_marks, lattice)
             hashes = word_hashes(data, starts, ends)
             _, first, counts = np.unique(hashes, return_index=True, return_counts=True)
             raw = data.tobytes()
@@ -265,7 +304,7 @@ def _counted(parts_marks: bool):
 
 
 def frequent_units(
-    texts: DataFrame, parts_marks: bool, most: int = FREQUENT, sample: int | None = None
+    texts: DataFrame, parts_marks: bool, lattice, most: int = FREQUENT, sample: int | None = None
 ) -> DataFrame:
     """The units that occur at least twice, or more often if that gives more than ``most``, in
     a sample of about ``sample`` rows. The sample only says which units are sent to all tasks."""
@@ -274,7 +313,7 @@ def frequent_units(
         F.pmod(F.xxhash64("id", "h"), F.lit(1_000_000)) < int(min(1.0, sample / total) * 1_000_000)
     )
     counts = kept(
-        drawn.select("text").mapInArrow(_counted(parts_marks), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")),
+        drawn.select("text").mapInArrow(_counted(parts_marks, lattice), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")),
         "unit-counts",
     )
     spread = counts.filter("n > 1").groupBy(F.least("n", F.lit(10_000)).alias("n")).agg(F.count(F.lit(1)).alias("units"))
@@ -305,13 +344,13 @@ def _rare_units(
     return at, rare[once[order]], texts, numbers, rank[which]
 
 
-def _rare(frequent, parts_marks: bool):
+def _rare(frequent, parts_marks: bool, lattice):
     """Each text's distinct units that are not frequent, numbered from 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Encoded(*frequent.value)
         for rows, data, offsets in blocks(batches, "text"):
-            data, starts, ends, first = unit_spans(data, offsets, parts_marks)
+            data, starts, ends, first = unit_spans(data, offsets, parts_marks, lattice)
             _, places, texts, numbers, _ = _rare_units(word_hashes(data, starts, ends), first, known)
             raw, owners = data.tobytes(), pa.array(texts)
             spans = zip(starts[places].tolist(), ends[places].tolist(), strict=True)
@@ -333,7 +372,7 @@ def _packed(texts: pa.Array) -> pa.Array:
     return pa.array([squeeze.compress((t.as_py() or "").encode()) for t in texts], pa.binary())
 
 
-def _assembled(frequent, parts_marks: bool):
+def _assembled(frequent, parts_marks: bool, lattice):
     """The pieces of each text, from the frequent units and its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,7 +386,7 @@ def _assembled(frequent, parts_marks: bool):
                 names=["doc_id", "text", "own"],
             )
             for rows, data, offsets in blocks(iter([whole]), "text"):
-                data, starts, ends, first = unit_spans(data, offsets, parts_marks)
+                data, starts, ends, first = unit_spans(data, offsets, parts_marks, lattice)
                 at, _, texts_of, _, which = _rare_units(word_hashes(data, starts, ends), first, known)
                 own = rows.column("own")
                 sizes = np.asarray(pc.list_value_length(own))
@@ -380,15 +419,17 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     A space is put before a text that is not empty; nothing else is changed, so decoding
     gives the text back. A null or empty text has no ids. Equal texts get equal ids; ids
-    of rows may be null or repeat, and each row is encoded. Units of more than ``LONGEST``
-    bytes are cut; none of the text is dropped. Other columns are not looked at.
+    of rows may be null or repeat, and each row is encoded. Long units are cut only between
+    pieces of their best path, so the ids are those of the whole text's best path. Other
+    columns are not looked at.
     """
     spark, parts_marks = docs.sparkSession, vocabulary.parts_marks
+    lattice = spark.sparkContext.broadcast(vocabulary.lattice())
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = docs.select(*row_key(), "text")
     # Where ids are sound they alone name the rows.
     key = ["id", "h"] if repeats(docs, "doc_id") else ["id"]
-    hashed = encode_units(frequent_units(texts, parts_marks), vocabulary)
+    hashed = encode_units(frequent_units(texts, parts_marks, lattice), vocabulary)
     # At most FREQUENT rows of a hash and a few numbers.
     known = Encoded.of(hashed.select(F.arrow_udf(_unit_hash, "long")("unit").alias("hash"), "ids").toArrow())
     frequent = spark.sparkContext.broadcast((known.hashes, known.offsets, known.ids))
@@ -398,7 +439,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     # The units once each, their encoding and the join all use this one shuffle. The first row
     # of a unit is chosen by all columns, and the filter is what the join would add on its
     # side only: with other columns or filters Spark would shuffle twice.
-    wanted = texts.mapInArrow(_rare(frequent, parts_marks), "unit string, id long, h long, number int")
+    wanted = texts.mapInArrow(_rare(frequent, parts_marks, lattice), "unit string, id long, h long, number int")
     wanted = kept(wanted.select("unit", *key, "number"), "rare-units")
     wanted = wanted.filter(" and ".join(f"{c} is not null" for c in ("unit", *key)))
     wanted = wanted.repartition(parts, "unit")
@@ -414,7 +455,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return (
         packed.join(own, key, "left")
         .select("doc_id", "packed", F.coalesce("own", none).alias("own"))
-        .mapInArrow(_assembled(frequent, parts_marks), "doc_id long, ids array<int>")
+        .mapInArrow(_assembled(frequent, parts_marks, lattice), "doc_id long, ids array<int>")
     )
 
 
