@@ -171,6 +171,20 @@ def test_a_load_takes_the_oldest_files_and_the_next_goes_on(spark, path, load):
     assert {r.transaction_id: r.load_id for r in rows} == {"c": "m0", "a": "m0", "b": "m1"}
 
 
+@pytest.mark.parametrize("lag", [timedelta(0), timedelta(hours=1)])
+def test_what_a_load_with_a_lag_leaves_over_is_loaded_next(spark, path, load, lag):
+    now = datetime.now(timezone.utc).timestamp()
+    for name, days_ago in (("a", 900), ("b", 800), ("c", 800), ("d", 800), ("e", 10), ("f", 9)):
+        at = int(now) - days_ago * 86_400
+        os.utime(write_lines(path("raw"), f"{name}.json", [raw(transaction_id=name)]), (at, at))
+    assert [load(most_files=2, lag=lag).files for _ in range(4)] == [2, 2, 2, 0]
+    assert ids(read_processed(spark, path("processed"))) == list("abcdef")
+    start = datetime.now(timezone.utc) + timedelta(seconds=1)
+    write_lines(path("raw"), "g.json", [raw(transaction_id="g")])
+    assert load(most_files=2, lag=timedelta(hours=1), now=start).files == 1
+    assert abs(read_mark(spark, path("mark")) - start) < timedelta(milliseconds=1)
+
+
 def test_bad_lines_of_a_load_are_kept(spark, path, load):
     good, other = json.dumps(raw(transaction_id="a")), json.dumps(raw(transaction_id="b"))
     bad = [good + other, good + " x", f"[{good}]", f"{good}],[{other}", f"{good},{other}", "{bad", "7"]

@@ -154,7 +154,8 @@ def run_load(
     What was loaded is in a ledger beside the mark (``<mark_path>_ledger``), so a file that
     appears late, in an old directory or with an old time, is found all the same. A load
     is entered there at its end; one that died before is run again under its number and
-    replaces what it wrote. The mark is the start of the last run. With a ``lag``, files
+    replaces what it wrote. The mark is the start of the last run or, if that took as many
+    files as it may, just before the last of them. With a ``lag``, files
     and ledger entries older than the mark by more than that are not looked at; it must be
     longer than any file takes to appear. Without new rows nothing is written and the mark
     stays. Bad lines go to ``quarantine_path``.
@@ -179,7 +180,10 @@ def run_load(
         if quarantine_path and batch.bad:
             split_bad(raw)[1].write.mode("overwrite").parquet(f"{quarantine_path}/load={number}")
     enter(spark.createDataFrame(files), ledger_path, number)
-    write_mark(spark, mark_path, started)
+    # What was left over is not older than the last file taken, but may be as old.
+    left_over = len(files) == most_files
+    read_until = files[-1].modified.astimezone(timezone.utc) - timedelta(milliseconds=1)
+    write_mark(spark, mark_path, read_until if left_over else started)
     return LoadResult(len(files), batch.rows, batch.bad, days)
 
 
