@@ -185,6 +185,14 @@ def test_what_a_load_with_a_lag_leaves_over_is_loaded_next(spark, path, load, la
     assert abs(read_mark(spark, path("mark")) - start) < timedelta(milliseconds=1)
 
 
+def test_files_without_rows_do_not_hold_up_newer_ones(spark, path, load):
+    for k, lines in enumerate(([], [""], [" ", ""], [raw(transaction_id="a")], [])):
+        os.utime(write_lines(path("raw"), f"{k}.json", lines), (1000 + k, 1000 + k))
+    got = [load(most_files=2) for _ in range(4)]
+    assert [(r.files, r.written_rows) for r in got] == [(2, 0), (2, 1), (1, 0), (0, 0)]
+    assert ids(read_processed(spark, path("processed"))) == ["a"]
+
+
 def test_bad_lines_of_a_load_are_kept(spark, path, load):
     good, other = json.dumps(raw(transaction_id="a")), json.dumps(raw(transaction_id="b"))
     bad = [good + other, good + " x", f"[{good}]", f"{good}],[{other}", f"{good},{other}", "{bad", "7"]

@@ -157,8 +157,8 @@ def run_load(
     replaces what it wrote. The mark is the start of the last run or, if that took as many
     files as it may, just before the last of them. With a ``lag``, files
     and ledger entries older than the mark by more than that are not looked at; it must be
-    longer than any file takes to appear. Without new rows nothing is written and the mark
-    stays. Bad lines go to ``quarantine_path``.
+    longer than any file takes to appear. Without new rows the mark stays and nothing is
+    written but the ledger, so that files without rows aren't taken again. Bad lines go to ``quarantine_path``.
     """
     started = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
     started = started.replace(microsecond=started.microsecond // 1000 * 1000)
@@ -175,7 +175,8 @@ def run_load(
     with parsed_once(read_raw(spark, [r.path for r in files])) as raw:
         batch = summarise(raw, rules)
         if not batch.rows:
-            return LoadResult()
+            enter(spark.createDataFrame(files), ledger_path, number)
+            return LoadResult(len(files))
         days = load_batch(raw, processed_path, f"m{number}", rules, unique_within, batch.days)
         if quarantine_path and batch.bad:
             split_bad(raw)[1].write.mode("overwrite").parquet(f"{quarantine_path}/load={number}")
