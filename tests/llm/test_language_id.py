@@ -85,3 +85,22 @@ def test_the_sample_draws_on_all_languages(spark):
     assert net.labels == ("en", "fr")
     got = identify(docs.filter("doc_id < 10"), net).collect()
     assert all(r.lang_pred == r.lang for r in got)
+
+
+def test_every_label_is_learned(spark, monkeypatch):
+    docs = documents(spark, [(i, f"text {i} " * 3) for i in range(520)]).withColumn("lang", F.concat(F.lit("l"), "doc_id"))
+    net = learn(docs)
+    assert set(net.labels) == {f"l{i}" for i in range(520)}
+    monkeypatch.setattr("tillstream.llm.language_id.SAMPLE", 100)
+    more = documents(spark, [(i, f"text {i}") for i in range(1500)]).withColumn("lang", (F.col("doc_id") % 30).cast("string"))
+    assert len(learn(more).labels) == 30
+
+
+def test_slices_of_many_labels_do_not_matter(spark, monkeypatch, learned):
+    docs, net = learned
+    docs = docs.select("doc_id", "text").filter("doc_id < 40")
+    whole = sorted(tuple(r) for r in identify(docs, net).collect())
+    monkeypatch.setattr("tillstream.llm.language_id.PROBABILITIES", 12)
+    found = sorted(tuple(r) for r in identify(docs, net).collect())
+    assert [r[:3] for r in found] == [r[:3] for r in whole]
+    assert np.allclose([r[3] for r in found], [r[3] for r in whole], atol=1e-5)

@@ -26,8 +26,12 @@ FILTERS = 16
 EMBEDDING = 8
 # About so many texts of each language are learned from.
 SAMPLE_PER_LANGUAGE = 800
-# A label beyond the so many most frequent ones is taken for noise and not learned.
-MOST_LANGUAGES = 500
+# About so many texts are learned from in all: of each of many languages there are fewer, but not
+# fewer than the least.
+SAMPLE = 400_000
+LEAST_PER_LANGUAGE = 20
+# So many probabilities are held at once.
+PROBABILITIES = 5_000_000
 EPOCHS = 12
 UNKNOWN = "und"
 
@@ -134,7 +138,8 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Network:
         np.zeros(len(labels), np.float32),
     )
     raw = [LOWER[np.frombuffer(t.encode(), np.uint8)] for t in texts]
-    wanted = np.array([labels.index(x) for x in langs], int)
+    number = {x: k for k, x in enumerate(labels)}
+    wanted = np.array([number[x] for x in langs], int)
     weights = [net.embedding, net.filters, net.bias, net.output, net.output_bias]
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
     # Rare languages count as much as frequent ones.
@@ -185,24 +190,24 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Ne
 
     Languages are counted over all rows; a row is drawn by a hash of its text and id, at
     the rate that gives about ``SAMPLE_PER_LANGUAGE`` rows of its language, so frequent
-    languages don't crowd out rare ones. Of each text drawn, 4,000 characters from a
-    place that the hash tells go to the driver. These numbers and ``MOST_LANGUAGES`` bound
-    what is fitted.
+    languages don't crowd out rare ones; with more than ``SAMPLE / SAMPLE_PER_LANGUAGE``
+    languages the rate is lower, but each is learned. Of each text drawn, 4,000 characters from a
+    place that the hash tells go to the driver. These numbers bound what
+    is fitted.
     """
     rows = docs.select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), "doc_id"
     ).filter("text is not null and text <> '' and lang is not null")
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
     counts = {r.lang: r.n for r in counts.collect()}
     if not counts:
         return train([], [])
-    rate = F.create_map(
-        *[x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(SAMPLE_PER_LANGUAGE / n))]
-    )
+    wanted = min(SAMPLE_PER_LANGUAGE, max(LEAST_PER_LANGUAGE, SAMPLE // len(counts)))
+    rates = [(k, wanted / n) for k, n in sorted(counts.items())]
+    rates = F.broadcast(docs.sparkSession.createDataFrame(rates, "lang string, rate double"))
     draw = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - 4000, F.lit(1))) + 1
-    drawn = rows.filter(draw < rate[F.col("lang")]).select(
+    drawn = rows.join(rates, "lang").filter(draw < F.col("rate")).select(
         "lang", F.substring("text", start.cast("int"), F.lit(4000)).alias("text")
     )
     found = sorted((r.text, r.lang) for r in drawn.collect())
@@ -219,7 +224,9 @@ def _classify(net: Network):
         langs: list[str | None] = []
         scores: list[float] = []
         batch = pa.record_batch([texts], names=["text"])
-        for _, data, offsets in blocks(iter([batch]), "text", 1 << 20):
+        few = max(PROBABILITIES // max(len(net.labels), 1), 1)
+        batches = (batch.slice(k, few) for k in range(0, len(batch), few))
+        for _, data, offsets in blocks(batches, "text", min(1 << 20, few * WINDOW)):
             windows, owner = cut(data, offsets)
             total = np.zeros((len(offsets) - 1, len(net.labels)))
             if len(windows) and net.labels:
