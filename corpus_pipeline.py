@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import anti, kept, row_key, semi, table
+from tillstream.llm.common import anti, kept, row_key, small, table
 from tillstream.llm.decontamination import judged
 from tillstream.llm.language_id import UNKNOWN, identify, learn
 from tillstream.llm.minhash_dedup import near_duplicates
@@ -32,21 +32,25 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates.
 
-    Rows that repeat an id are one document, and one of them stays. Rows without an id
-    are nobody's copy and stay.
+    Where ids repeat, every text of an id is judged as a document of its own, and one row of
+    each group stays. Rows without an id are nobody's copy and stay.
     """
-    groups = near_duplicates(docs)
-    gone = kept(groups.filter("doc_id is not null and not kept").select("doc_id"), "copies")
     counts = docs.filter("doc_id is not null").groupBy("doc_id").count()
-    repeated = kept(counts.filter("count > 1").select("doc_id"), "repeated-ids")
-    stay = anti(docs, gone, ["doc_id"])
-    if repeated.isEmpty():
-        return stay
-    # The row that was judged: the one with the smallest text.
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    row = F.struct(F.col("text").isNull().alias("no_text"), "text", *rest)
-    one = semi(stay, repeated, "doc_id").groupBy("doc_id").agg(F.min(row).alias("row"))
-    return anti(stay, repeated, ["doc_id"]).unionByName(one.select("doc_id", "row.text", *(f"row.{c}" for c in rest)))
+    if counts.filter("count > 1").isEmpty():
+        groups = near_duplicates(docs)
+        gone = kept(groups.filter("doc_id is not null and not kept").select("doc_id"), "copies")
+        return anti(docs, gone, ["doc_id"])
+    # Texts get numbers, which are sound ids.
+    texts = docs.filter("doc_id is not null").select(*row_key(), "text").dropDuplicates(["id", "h"])
+    texts = kept(texts.withColumn("number", F.monotonically_increasing_id()), "numbered-texts")
+    groups = near_duplicates(texts, "number").select(F.col("doc_id").alias("number"), "component_id")
+    first = texts.select("number", "id", "h").join(groups, "number").groupBy("component_id")
+    first = kept(first.agg(F.min(F.struct("id", "h")).alias("first")).select("first.*"), "first-texts")
+    row = F.struct(*docs.columns).alias("row")
+    few = F.broadcast(first) if small(first) else first
+    stay = docs.filter("doc_id is not null").select(row, *row_key()).join(few, ["id", "h"], "left_semi")
+    one = stay.groupBy("id", "h").agg(F.min("row").alias("row")).select("row.*")
+    return docs.filter("doc_id is null").unionByName(one)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

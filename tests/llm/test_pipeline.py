@@ -56,6 +56,17 @@ def test_stages_keep_columns_and_odd_rows(spark, sf_dir):
     assert sorted(r.doc_id or 0 for r in coded.collect()) == sorted(i or 0 for i in ids)
 
 
+def test_rows_that_repeat_an_id_are_judged_by_their_texts(spark, sf_dir):
+    a, b, c, d = (" ".join(syllables(k, 80)) for k in range(4))
+    rows = [(1, a, "en"), (1, b, "en"), (2, b + " more", "en"), (3, c, "en"), (3, c, "fr"), (0, d, "en"), (3, d, "en")]
+    rows += [(4, None, "en"), (4, "", "en"), (None, a, "en")]
+    got = corpus_pipeline.one_of_each_group(spark, docs_frame(spark, rows), sf_dir)
+    assert got.columns == COLUMNS
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "")
+    stay = [(0, d), (1, a), (1, b), (3, c), (4, ""), (4, None), (None, a)]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=key) == sorted(stay, key=key)
+
+
 def test_an_empty_corpus(spark, sf_dir):
     docs = docs_frame(spark, [])
     for _, stage in corpus_pipeline.STAGES:
