@@ -1,0 +1,221 @@
+from __future__ import annotations
+
+import math
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import documents, syllables, words_of
+from tillstream.llm import toxicity
+from tillstream.llm.common import table
+from tillstream.llm.registry import LLM_QUERIES
+from tillstream.llm.toxicity import BLOCK, BlockMaxIndex, Vectors, calibrated, learn, logit, score, term_counts
+
+
+def sparse(rng, n, terms, most):
+    """Random vectors, some empty, many alike; their products are exact."""
+    sizes = rng.integers(0, most + 1, n)
+    cols = [np.sort(rng.choice(terms, size=k, replace=False)) for k in sizes]
+    weights = rng.integers(1, 5, sizes.sum()) / 8
+    return Vectors(np.concatenate([[0], np.cumsum(sizes)]), np.concatenate([*cols, np.empty(0, int)]).astype(int), weights)
+
+
+def scan(index_vectors, queries, k):
+    """Every example compared with every query."""
+    numbers, cosines = [], []
+    for q in range(len(queries)):
+        a = slice(queries.first[q], queries.first[q + 1])
+        mine = dict(zip(queries.terms[a], queries.weights[a], strict=True))
+        found = []
+        for e in range(len(index_vectors)):
+            b = slice(index_vectors.first[e], index_vectors.first[e + 1])
+            total = sum(mine.get(t, 0.0) * w for t, w in zip(index_vectors.terms[b], index_vectors.weights[b], strict=True))
+            if total > 0:
+                found.append((-total, e))
+        found = sorted(found)[:k]
+        numbers.append([e for _, e in found])
+        cosines.append([-s for s, _ in found])
+    return numbers, cosines
+
+
+@pytest.mark.parametrize("n,terms,most,k,cells", [(400, 12, 3, 5, 1 << 20), (300, 60, 20, 25, 50), (10, 5, 2, 25, 1), (1, 1, 1, 1, 1)])
+def test_search_equals_a_scan(monkeypatch, n, terms, most, k, cells):
+    monkeypatch.setattr(toxicity, "CELLS", cells)
+    rng = np.random.default_rng(n)
+    examples, queries = sparse(rng, n, terms, most), sparse(rng, 60, terms, most)
+    numbers, cosines = BlockMaxIndex(examples, terms).nearest(queries, k)
+    expected_numbers, expected = scan(examples, queries, k)
+    for q in range(len(queries)):
+        there = cosines[q] > 0
+        assert cosines[q][there].tolist() == expected[q] and numbers[q][there].tolist() == expected_numbers[q]
+
+
+def test_blocks_below_the_bound_are_not_scored():
+    rng = np.random.default_rng(1)
+    terms = np.repeat(np.arange(64), 2 * BLOCK)  # two blocks each of one heavy term, and a common light one
+    rows = np.arange(len(terms))
+    both = Vectors.of(np.repeat(rows, 2), np.stack([terms, np.full(len(terms), 64)], axis=1).ravel(),
+                      np.ones(2 * len(rows), int), np.concatenate([np.full(64, 9.0), [1.0]]), len(rows))
+    index = BlockMaxIndex(both, 65)
+    pick = rng.integers(len(rows), size=100)
+    queries = Vectors(np.arange(101) * 2, both.terms.reshape(-1, 2)[pick].ravel(), both.weights.reshape(-1, 2)[pick].ravel())
+    numbers, cosines = index.nearest(queries, 5)
+    assert index.scored <= 2 * 100
+    assert np.array_equal(numbers[:, 0], terms[pick] * 2 * BLOCK) and np.allclose(cosines[:, 0], 1)
+
+
+def test_term_counts():
+    texts = ["Ab ab! c", "", "c", "x"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    rows, hashes, counts = term_counts(data, offsets)
+    assert rows.tolist() == [0, 0, 2, 3] and sorted(counts[:2].tolist()) == [1, 2] and counts[2:].tolist() == [1, 1]
+    vocabulary = np.unique(hashes[:2])
+    rows, terms, counts = term_counts(data, offsets, vocabulary)
+    assert rows.tolist() == [0, 0, 2] and counts.sum() == 4
+    assert term_counts(data, offsets, vocabulary[:0])[0].tolist() == []
+
+
+def test_calibration_recovers_a_curve():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=20_000) * 2
+    y = (rng.random(len(x)) < 1 / (1 + np.exp(-(0.5 * x - 1)))).astype(float)
+    slope, shift = calibrated(x, y, np.ones(len(x)))
+    assert abs(slope - 0.5) < 0.05 and abs(shift + 1) < 0.07
+    assert logit(np.array([0.5]))[0] == 0
+
+
+RUDE = ["dolt", "oaf"]
+
+
+def corpus(n=300):
+    """Every fifth text holds rude words; labels of three in four, some of them wrong."""
+    rows, labels = [], []
+    for i in range(n):
+        words = syllables(i, 40)
+        if i % 5 == 0:
+            words[3 :: 10] = [RUDE[i // 5 % 2].upper()] * len(words[3::10])
+        rows.append((i, " ".join(words)))
+        if i % 4:
+            labels.append((i, 1 - int(i % 5 == 0) if i % 31 == 1 else int(i % 5 == 0)))
+    return rows, labels
+
+
+def labels_frame(spark, labels):
+    return spark.createDataFrame([(*x, "e") for x in labels], "doc_id long, toxic int, text string")
+
+
+def brute(rows, labels, texts):
+    """Dictionaries over the same terms: scores before calibration."""
+    label = dict(labels)
+    learned = [(i, words_of(t), label[i]) for i, t in rows if i in label]
+    ones = sum(y for *_, y in learned)
+    zeros = len(learned) - ones
+    chosen = {}
+    for w in {w for _, ws, _ in learned for w in ws}:
+        a = sum(y for _, ws, y in learned if w in ws)
+        b = sum(1 - y for _, ws, y in learned if w in ws)
+        c, d = ones - a, zeros - b
+        chi = (ones + zeros) * (a * d - b * c) ** 2 / max((a + b) * (c + d) * ones * zeros, 1)
+        if chi >= toxicity.SIGNIFICANT and a * zeros > b * ones:
+            chosen[w] = math.log((1 + len(rows)) / (1 + sum(w in words_of(t) for _, t in rows))) + 1
+
+    def vector(words):
+        v = {w: (1 + math.log(words.count(w))) * chosen[w] for w in set(words) & set(chosen)}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / size for w, x in v.items()}
+
+    examples = [(vector(ws), y) for _, ws, y in learned if set(ws) & set(chosen)]
+    mean, out = ones / len(learned), []
+    for text in texts:
+        q = vector(words_of(text))
+        near = sorted((-sum(x * e.get(w, 0) for w, x in q.items()), k) for k, (e, _) in enumerate(examples))
+        near = [(-s, examples[k][1]) for s, k in near if s < 0]
+        out.append((near, mean))
+    return chosen, out
+
+
+def test_scores_equal_brute_force(spark):
+    rows, labels = corpus()
+    # All examples are neighbours, so ties at the last one don't matter.
+    model = learn(documents(spark, rows, "score label id"), labels_frame(spark, labels))
+    chosen, expected = brute(rows, labels, [t for _, t in rows])
+    assert set(RUDE) <= set(chosen) and len(model.vocabulary) == len(chosen)
+    assert np.allclose(sorted(model.idf), sorted(chosen.values()))
+    everyone = len(model.ids)
+    got = {r.doc_id: r for r in score(documents(spark, rows), model, neighbours=everyone).collect()}
+    for (i, _), (near, mean) in zip(rows, expected, strict=True):
+        weight = [0.05 / (0.05 + 1 - min(1, s)) for s, _ in near]
+        vote = (sum(w * y for w, (_, y) in zip(weight, near, strict=True)) + mean) / (sum(weight) + 1)
+        p = 1 / (1 + math.exp(-(model.slope * math.log(vote / (1 - vote)) + model.shift)))
+        assert math.isclose(got[i].score, p, rel_tol=1e-9), i
+        assert got[i].predicted == int(p >= 0.5) == int(i % 5 == 0)
+        assert np.allclose([e.cosine for e in got[i].evidence], [s for s, _ in near[: toxicity.EVIDENCE]])
+        assert all(e.label == dict(labels)[e.example] for e in got[i].evidence)
+
+
+def test_odd_rows(spark):
+    rows, labels = corpus(150)
+    rows += [(1000, None), (1001, ""), (1002, "!? 12"), (None, rows[0][1]), (None, None), (5, rows[0][1]), (0, rows[0][1])]
+    rows += [(1003, " ".join(syllables(7, 200_000)) + " Dolt"), (1004, rows[0][1])]
+    labels += [(7, 1), (7, 0), (7, 0), (8, None), (9, 5), (None, 1), (99_999, 1), (5, 1), (5, 0)]
+    model = learn(documents(spark, rows, "score evidence"), labels_frame(spark, labels))
+    got = score(documents(spark, rows, "score evidence"), model).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got}
+    assert by[1000].score == by[1001].score == by[1002].score < 0.5 and by[1000].evidence == []
+    same = [r.score for r in got if r.score == by[1004].score]
+    assert len(same) >= 4 and by[1004].predicted == 1
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == sorted(i for i, _ in rows if i is not None)
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+@pytest.mark.parametrize("labels,expected", [([], 0.0), ([(1, 1), (2, 1)], 1.0), ([(1, 0)], 0.0)])
+def test_labels_that_teach_nothing(spark, labels, expected):
+    rows = [(1, "a b c"), (2, "a d"), (3, None)]
+    model = learn(documents(spark, rows), labels_frame(spark, labels))
+    assert [r.score for r in score(documents(spark, rows), model).collect()] == [expected] * 3
+
+
+def test_empty_tables(spark):
+    model = learn(documents(spark, []), labels_frame(spark, [(1, 1), (2, 0)]))
+    assert score(documents(spark, []), model).collect() == []
+    assert score(documents(spark, [(1, "a")]), model).first().score == 0.5
+
+
+def test_examples_are_bounded_and_stand_for_the_rest(spark):
+    rows, labels = corpus(400)
+    model = learn(documents(spark, rows), labels_frame(spark, labels), most_examples=40, most_terms=2)
+    assert len(model.vocabulary) <= 2 and len(model.ids) <= 80
+    ones = sum(y for _, y in labels)
+    assert set(model.stands_for) <= {ones / 40, (len(labels) - ones) / 40}
+    held = [r for r in score(documents(spark, rows), model).collect() if r.doc_id % 4 == 0]
+    assert all(r.predicted == int(r.doc_id % 5 == 0) for r in held)
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.1"
+    got = LLM_QUERIES["op11_toxicity"](spark, sf)
+    assert got.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
+    rows = got.join(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    rows = rows.join(table(spark, sf, "labels").select("doc_id", "toxic"), "doc_id", "left").collect()
+    assert len(rows) == 10_000
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert all(r.predicted == int(r.score >= 0.5) and 0 <= r.score <= 1 for r in rows)
+    held = [r for r in rows if r.held_out and r.toxic is not None]
+    ranked = np.argsort([r.score for r in held], kind="stable")
+    position = np.empty(len(held))
+    position[ranked] = np.arange(len(held))
+    one = np.array([r.toxic == 1 for r in held])
+    area = (position[one].sum() - one.sum() * (one.sum() - 1) / 2) / (one.sum() * (~one).sum())
+    assert area > 0.9
+    # Labels are also given at random; what was predicted is mostly so labelled.
+    said = [r.toxic for r in held if r.predicted]
+    assert len(said) > 40 and np.mean(said) > 0.9
+    # Scores are calibrated: their mean is about the share of labels.
+    assert abs(np.mean([r.score for r in held]) - one.mean()) < 0.03
+    by_text = {}
+    for r in rows:
+        assert by_text.setdefault(r.text, r.score) == r.score

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.session import scratch
+from tillstream.sources.zones import drop_path
 
 # Broadcasts are only asked for below this many rows of a few numbers each.
 BROADCAST_ROWS = 500_000
@@ -32,12 +33,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read back: lineage ends there."""
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared scratch folder and read back, and where it is."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: lineage ends there."""
+    return written(df, name)[0]
+
+
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        drop_path(spark, path)
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tillstream.llm import toxicity
+from tillstream.llm.centroids import centroid_clusters
 from tillstream.llm.chat_format import digests, format_chats
 from tillstream.llm.common import UPPER, table
 from tillstream.llm.decontamination import contamination
@@ -16,6 +18,7 @@ from tillstream.llm.license_scan import scan_licenses
 from tillstream.llm.minhash_dedup import near_duplicates
 from tillstream.llm.pieces import decode, encode, load_vocabulary
 from tillstream.llm.sharding import shard_rows
+from tillstream.llm.vector_codes import compressed
 from tillstream.llm.warc_audit import audit, page_records
 
 
@@ -88,6 +91,21 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores by nearest examples, learned from the labels that are not held out."""
+    docs, out = table(spark, sf_dir, "documents"), toxicity.held_out()
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~out), corpus=docs)
+    return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted", "evidence")
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compressed(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_warc_fixity": op2_warc_fixity,
@@ -99,6 +117,9 @@ LLM_QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_decontamination": op9_decontamination,
     "op10_fingerprints": op10_fingerprints,
+    "op11_toxicity": op11_toxicity,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -107,7 +128,102 @@ _WORDS = "regexp_extract_all(translate(coalesce({0}, ''), '%s', '%s'), '[^\\x00-
     UPPER.lower(),
 )
 
+# Integer vectors as rows of (row, vec_id, label, component number, value).
+_INTEGERS = """
+        kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, label,
+                list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS x
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND {length}
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+        ),
+        comp AS MATERIALIZED (SELECT r, unnest(range(len(x))) AS d, unnest(x) AS v FROM kept)"""
+
+
+def _floor_mean(total: str, n: str) -> str:
+    return f"(({total} - (({total} % {n}) + {n}) % {n}) // {n})::BIGINT"
+
+
+def _centroid_sql(k: int = 8, rounds: int = 10) -> str:
+    """Every round written out, with all distances computed anew."""
+    steps = [
+        f"""c0 AS MATERIALIZED (
+            SELECT c, unnest(range(64)) AS d, unnest(x) AS v FROM (
+                SELECT x, row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR), x) - 1 AS c FROM kept
+            ) WHERE c < {k})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+            SELECT r, arg_min(c, (distance, c)) AS c, min(distance) AS distance FROM (
+                SELECT r, c, sum((comp.v - c{i}.v) * (comp.v - c{i}.v))::BIGINT AS distance
+                FROM comp JOIN c{i} USING (d) GROUP BY r, c
+            ) GROUP BY r)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""s{i} AS (
+            SELECT c, d, sum(v)::BIGINT AS total, count(*) AS n FROM comp JOIN a{i} USING (r) GROUP BY c, d),
+        c{i + 1} AS MATERIALIZED (
+            SELECT c, d, CASE WHEN n IS NULL THEN v ELSE {_floor_mean("total", "n")} END AS v
+            FROM c{i} LEFT JOIN s{i} USING (c, d))"""
+            )
+    return f"""
+        WITH {_INTEGERS.format(scale=1024, length="len(embedding) = 64")},
+        {", ".join(steps)}
+        SELECT vec_id, c::INT AS cluster, distance,
+            (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+            (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+        FROM a{rounds} JOIN kept USING (r) JOIN (
+            SELECT c, sha256(string_agg(v::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c
+        ) USING (c)
+    """
+
+
+def _code_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every round written out, with all distances computed."""
+    steps = [
+        f"""part AS MATERIALIZED (
+            SELECT r, d // width AS p, d % width AS pos, v
+            FROM comp, (SELECT len(x) // {parts} AS width FROM kept ORDER BY vec_id, x LIMIT 1)),
+        b0 AS MATERIALIZED (
+            SELECT e, p, pos, v FROM part JOIN (
+                SELECT r, row_number() OVER (ORDER BY vec_id, x) - 1 AS e FROM kept
+            ) USING (r) WHERE e < {entries})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+            SELECT r, p, arg_min(e, (distance, e)) AS e, min(distance) AS distance FROM (
+                SELECT r, p, e, sum((part.v - b{i}.v) * (part.v - b{i}.v))::BIGINT AS distance
+                FROM part JOIN b{i} USING (p, pos) GROUP BY r, p, e
+            ) GROUP BY r, p)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""s{i} AS (
+            SELECT e, p, pos, sum(v)::BIGINT AS total, count(*) AS n
+            FROM part JOIN a{i} USING (r, p) GROUP BY e, p, pos),
+        b{i + 1} AS MATERIALIZED (
+            SELECT e, p, pos, CASE WHEN n IS NULL THEN v ELSE {_floor_mean("total", "n")} END AS v
+            FROM b{i} LEFT JOIN s{i} USING (e, p, pos))"""
+            )
+    same_length = "len(embedding) = (SELECT len(embedding) FROM embeddings WHERE len(embedding) > 0 ORDER BY vec_id LIMIT 1)"
+    return f"""
+        WITH {_INTEGERS.format(scale=4096, length=same_length)},
+        {", ".join(steps)},
+        coded AS (
+            SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(distance)::BIGINT AS error
+            FROM a{rounds} GROUP BY r)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+            (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY p, e, pos)) FROM b{rounds}) AS codebooks_sha256
+        FROM coded JOIN kept USING (r)
+    """
+
+
 LLM_ORACLES: dict[str, str] = {
+    "op12_centroid_clusters": _centroid_sql(),
+    "op13_vector_codes": _code_sql(),
     "op2_warc_fixity": """
         WITH laid AS (
             SELECT page_id, page_id // 1000 AS file,
