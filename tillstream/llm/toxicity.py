@@ -12,40 +12,45 @@ order of that bound until it is below the score of the last of the nearest examp
 Bounds are widened beyond rounding and ties go to the lower number, so the result is that of
 comparing with every example.
 
-The nearest examples vote with weights that fall with their distance, each for as many
-labelled documents as it stands for. How often votes are right is learned from the examples
-themselves, each judged by the others, and maps a vote to the score.
+How many terms there are is chosen by how well examples are judged by the others. The nearest
+examples vote with weights that fall with their distance, each for as many labelled documents
+as it stands for. How often votes are right is learned from the examples too, each judged by
+the others, and maps a vote to the score.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tillstream.llm.common import LOWER, LOWERED_PUNCTUATION, blocks, kept, mixed, word_hashes, word_spans
 
-# At most so many examples of each label, and so many terms.
+# At most so many examples of each label.
 EXAMPLES = 5_000
-TERMS = 1_000
+# Numbers of terms that are tried; the one that judges examples best by the others is taken.
+TERMS = (32, 128, 512)
+# Examples that are judged for that.
+TRIED = 2_000
 # Chi-square of a term with one degree of freedom, at one in a thousand.
 SIGNIFICANT = 10.83
 NEIGHBOURS = 25
 # Examples of a block of the index.
 BLOCK = 64
-# Bounds are widened by this share, far more than sums of a thousand products round.
+# Bounds are widened by this share, far more than sums of some hundred products round.
 SLACK = 1e-9
 # What votes fall to at distance 1 is about this share of what they are at distance 0.
 FLOOR = 0.05
 # Votes of the labelled documents' mean that every text has beside its neighbours'.
 PRIOR = 1.0
 EVIDENCE = 5
+# Examples are drawn by so many buckets of their ids.
+BUCKETS = 1 << 14
 # Queries whose bounds are computed together, by their number of terms times blocks.
 CELLS = 1 << 20
 
@@ -103,7 +108,7 @@ class BlockMaxIndex:
         where the cosine is 0 there is none."""
         numbers = np.full((len(queries), k), self.size)
         cosines = np.zeros((len(queries), k))
-        if self.size:
+        if self.size and queries.first[-1]:
             cut = np.searchsorted(queries.first, np.arange(0, queries.first[-1], max(1, CELLS // self.blocks)))
             for a, b in zip(cut, [*cut[1:], len(queries)], strict=True):
                 if a < b:
@@ -142,7 +147,9 @@ class BlockMaxIndex:
                 np.repeat(weights[entry], n) * self.weights[posting],
                 minlength=len(active) * BLOCK,
             ).reshape(-1, BLOCK)
-            here = rows[active]
+            # Only blocks with a score that is good enough change what was found.
+            better = found.max(axis=1) >= cosines[rows[active], k - 1]
+            here, found, block = rows[active[better]], found[better], block[better]
             score = np.concatenate([cosines[here], found], axis=1)
             number = np.concatenate([numbers[here], block[:, None] * BLOCK + np.arange(BLOCK)], axis=1)
             best = np.lexsort((number, -score), axis=1)[:, :k]
@@ -266,25 +273,92 @@ def examples(docs: DataFrame, labels: DataFrame, key: str, label: str, most: int
     """``id``, ``label`` and ``text`` of at most ``most`` documents of each label, and how many
     documents have it.
 
-    They are those with the smallest hashes of their ids. Labels other than 0 and 1 don't
+    They are drawn by hashes of their ids; where there are more, a few less than ``most`` may be
+    drawn, as a bucket of ids is taken whole or not at all. Labels other than 0 and 1 don't
     count, and an id whose rows name both equally often has none. The choice reads no text;
     of rows that repeat an id the smallest text counts.
     """
     named = labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).cast("long").alias("id"))
     voted = named.agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(-1)).alias("sum")).filter("sum <> 0")
-    voted = voted.select("id", (F.col("sum") > 0).cast("int").alias("label"))
+    voted = kept(voted.select("id", (F.col("sum") > 0).cast("int").alias("label")), "labels")
     totals = {r.label: r["count"] for r in voted.groupBy("label").count().collect()}
-    # Most rows are left out before they are ranked.
+    # About twice as many as are needed are dealt to fine buckets, of which the first are taken.
     share = F.lit(0.0)
     for value, total in totals.items():
         share = F.when(F.col("label") == value, min(1.0, (2 * most + 100) / total)).otherwise(share)
-    drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30)
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
-    chosen = voted.filter(drawn).withColumn("rank", rank).filter(F.col("rank") <= most).drop("rank")
+    drawn = voted.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
+    dealt = drawn.withColumn("bucket", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(BUCKETS)).cast("int"))
+    room, limit = {v: most for v in totals}, {v: 0 for v in totals}
+    for r in sorted(dealt.groupBy("bucket", "label").count().collect()):
+        room[r.label] -= r["count"]
+        if room[r.label] >= 0:
+            limit[r.label] = r.bucket + 1
+    taken = F.lit(False)
+    for value, end in limit.items():
+        taken = taken | (F.col("label") == value) & (F.col("bucket") < end)
+    chosen = dealt.filter(taken).select("id", "label")
     texts = docs.select(F.col(key).cast("long").alias("id"), "text").join(F.broadcast(chosen), "id")
     return texts.groupBy("id", "label").agg(F.min("text").alias("text")), totals
 
 
+@dataclass(frozen=True)
+class Fitted:
+    """Examples as rows (example, term, count), with terms from the one with the largest chi-square
+    on; their ids and labels; how many examples of label 0 and 1 there are, and for how many
+    documents each stands."""
+
+    owner: np.ndarray
+    term: np.ndarray
+    count: np.ndarray
+    ids: np.ndarray
+    labels: np.ndarray
+    found: np.ndarray
+    stands: np.ndarray
+    mean: float
+
+    def model(self, hashes: np.ndarray, idf: np.ndarray) -> tuple[Toxicity, Vectors]:
+        """The index over the examples that hold one of these terms, not yet calibrated."""
+        by_hash = np.argsort(hashes)
+        place = np.empty(len(hashes), np.int64)
+        place[by_hash] = np.arange(len(hashes))
+        held = self.term < len(hashes)
+        term, count = place[self.term[held]], self.count[held]
+        there, owner = np.unique(self.owner[held], return_inverse=True)
+        ids, labels, idf = self.ids[there], self.labels[there], idf[by_hash]
+        # Examples with the same heaviest term stand together, within it in an order by hash.
+        weights = (1 + np.log(count)) * idf[term]
+        order = np.lexsort((term, -weights, owner))
+        heaviest = term[order[np.searchsorted(owner[order], np.arange(len(ids)))]]
+        ranked = np.lexsort((mixed(ids.astype(np.uint64)), heaviest))
+        number = np.empty(len(ids), np.int64)
+        number[ranked] = np.arange(len(ids))
+        ids, labels, owner = ids[ranked], labels[ranked], number[owner]
+        order = np.lexsort((term, owner))
+        vectors = Vectors.of(owner[order], term[order], count[order], idf, len(ids))
+        index = BlockMaxIndex(vectors, max(len(hashes), 1))
+        return Toxicity(hashes[by_hash], idf, index, ids, labels, self.stands[labels], self.mean), vectors
+
+    def judged(self, model: Toxicity, vectors: Vectors, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Votes (as logits), labels and weights of at most ``most`` of the model's examples, each
+        judged by the others, and of all examples without a term, which have one vote."""
+        n = len(model.ids)
+        rows = np.arange(0, n, max(1, -(-n // most)))
+        first, last = vectors.first[rows], vectors.first[rows + 1]
+        at = _ragged(first, last - first)
+        queries = Vectors(np.concatenate([[0], np.cumsum(last - first)]), vectors.terms[at], vectors.weights[at])
+        numbers, cosines = model.index.nearest(queries, NEIGHBOURS + 1)
+        itself = numbers == rows[:, None]
+        itself[~itself.any(axis=1), -1] = True
+        numbers, cosines = numbers[~itself].reshape(len(rows), NEIGHBOURS), cosines[~itself].reshape(len(rows), NEIGHBOURS)
+        without = np.maximum(self.found - np.bincount(model.labels, minlength=2), 0) * self.stands
+        none = model.votes(np.full((2, 1), n), np.zeros((2, 1)))
+        return (
+            logit(np.concatenate([model.votes(numbers, cosines), none])),
+            np.concatenate([model.labels[rows], [0, 1]]).astype(float),
+            np.concatenate([model.stands_for[rows] * (n / max(1, len(rows))), without]),
+        )
+
+
 def learn(
     docs: DataFrame,
     labels: DataFrame,
@@ -292,13 +366,14 @@ def learn(
     key: str = "doc_id",
     label: str = "toxic",
     most_examples: int = EXAMPLES,
-    most_terms: int = TERMS,
+    most_terms: tuple[int, ...] = TERMS,
 ) -> Toxicity:
     """What ``labels`` say of ``docs``; document frequencies are those of ``corpus``, all texts.
 
-    At most ``most_examples`` documents of each label and ``most_terms`` terms are fitted on and
-    sent to all tasks; the terms with the largest chi-square stay. Without labels, or with
-    one label only, there are no terms and every text gets the mean label (0 without any).
+    At most ``most_examples`` documents of each label are fitted on; of the terms those with the
+    largest chi-square are used, as many of ``most_terms`` as judge the examples best. Both bound
+    what is sent to all tasks. Without labels, or with one label only, there are no terms and
+    every text gets the mean label (0 without any).
     """
     chosen, totals = examples(docs, labels, key, label, most_examples)
     words = kept(chosen.mapInArrow(_example_terms, "id long, label int, term long, n long"), "example-terms")
@@ -311,51 +386,41 @@ def learn(
     a, b, c, d = F.col("a"), F.col("b"), ones - F.col("a"), zeros - F.col("b")
     ratio = (ones + zeros) * F.pow(a * d - b * c, F.lit(2.0)) / F.greatest((a + b) * (c + d) * ones * zeros, F.lit(1.0))
     marked = held.withColumn("chi", ratio).filter((F.col("chi") >= SIGNIFICANT) & (a * zeros > b * ones))
-    terms = marked.orderBy(F.desc("chi"), "term").limit(most_terms).select("term").collect()
-    vocabulary = np.sort(np.array([r.term for r in terms], np.int64).view(np.uint64))
+    terms = marked.orderBy(F.desc("chi"), "term").limit(max(most_terms)).select("term").collect()
+    hashes = np.array([r.term for r in terms], np.int64).view(np.uint64)
 
-    holders = (corpus if corpus is not None else docs).select("text").mapInArrow(_holders(vocabulary), "term long, n long")
-    counts = np.zeros(len(vocabulary) + 1, np.int64)
+    by_hash = np.argsort(hashes)
+    holders = (corpus if corpus is not None else docs).select("text")
+    holders = holders.mapInArrow(_holders(hashes[by_hash]), "term long, n long")
+    counts = np.zeros(len(hashes) + 1, np.int64)
     for row in holders.groupBy("term").agg(F.sum("n").alias("n")).collect():
         counts[row.term] = row.n
-    idf = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1
+    idf = np.empty(len(hashes))
+    idf[by_hash] = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1
 
-    few = docs.sparkSession.createDataFrame([(int(t),) for t in vocabulary.view(np.int64)], "term long")
-    # At most 2 * most_examples * most_terms rows.
-    rows = words.join(F.broadcast(few), "term").select("id", "label", "term", "n").toArrow()
+    few = docs.sparkSession.createDataFrame([(int(t), i) for i, t in enumerate(hashes.view(np.int64))], "term long, rank long")
+    # At most 2 * most_examples * max(most_terms) rows.
+    rows = words.join(F.broadcast(few), "term").select("id", "label", "rank", "n").toArrow()
     ids, owner = np.unique(np.asarray(rows["id"]), return_inverse=True)
-    term = np.searchsorted(vocabulary, np.asarray(rows["term"]).view(np.uint64))
-    weights = (1 + np.log(np.asarray(rows["n"]))) * idf[term]
     said = np.zeros(len(ids), np.int64)
     said[owner] = np.asarray(rows["label"])
-    # Examples with the same heaviest term stand together, within it in an order by hash.
-    order = np.lexsort((term, -weights, owner))
-    heaviest = term[order[np.searchsorted(owner[order], np.arange(len(ids)))]] if len(ids) else ids
-    place = np.empty(len(ids), np.int64)
-    place[np.lexsort((mixed(ids.astype(np.uint64)), heaviest))] = np.arange(len(ids))
-    owner = place[owner]
-    order = np.lexsort((term, owner))
-    vectors = Vectors.of(owner[order], term[order], np.asarray(rows["n"])[order], idf, len(ids))
-    back = np.argsort(place)
-    ids, said = ids[back], said[back]
     stands = np.array([totals.get(v, 0) / max(1, found.get(v, 0)) for v in (0, 1)])
-    model = Toxicity(vocabulary, idf, BlockMaxIndex(vectors, max(len(vocabulary), 1)), ids, said, stands[said], mean)
+    term, count = np.asarray(rows["rank"]), np.asarray(rows["n"])
+    fitted = Fitted(owner, term, count, ids, said, np.array([zeros, ones]), stands, mean)
 
     if not len(ids):
-        return model
-    # Each example judged by the others; those without a term all get the vote of the mean.
-    numbers, cosines = model.index.nearest(vectors, NEIGHBOURS + 1)
-    itself = numbers == np.arange(len(ids))[:, None]
-    itself[~itself.any(axis=1), -1] = True
-    numbers, cosines = numbers[~itself].reshape(len(ids), -1), cosines[~itself].reshape(len(ids), -1)
-    without = np.array([zeros - (said == 0).sum(), ones - (said == 1).sum()])
-    none = model.votes(np.full((2, 1), len(ids)), np.zeros((2, 1)))
-    slope, shift = calibrated(
-        logit(np.concatenate([model.votes(numbers, cosines), none])),
-        np.concatenate([said, [0, 1]]).astype(float),
-        np.concatenate([stands[said], without * stands]),
-    )
-    return Toxicity(vocabulary, idf, model.index, ids, said, model.stands_for, mean, slope, shift)
+        return fitted.model(hashes[:0], idf[:0])[0]
+    losses = {}
+    for n in sorted({min(n, len(hashes)) for n in most_terms}):
+        model, vectors = fitted.model(hashes[:n], idf[:n])
+        x, y, weights = fitted.judged(model, vectors, TRIED)
+        slope, shift = calibrated(x, y, weights)
+        p = 1 / (1 + np.exp(-(slope * x + shift)))
+        losses[n] = -np.average(np.log(np.maximum(np.where(y > 0, p, 1 - p), 1e-9)), weights=weights)
+    n = min(losses, key=losses.get)
+    model, vectors = fitted.model(hashes[:n], idf[:n])
+    slope, shift = calibrated(*fitted.judged(model, vectors, len(ids)))
+    return replace(model, slope=slope, shift=shift)
 
 
 def _scored(broadcast, neighbours: int):
