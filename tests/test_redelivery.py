@@ -1,0 +1,86 @@
+"""Alerts that fail are tried again until they are sent, or given up."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.rows import messages, txn
+from tillstream.plans.redeliver import open_alerts, redeliver
+from tillstream.streaming.alerting import alerting
+
+
+@pytest.fixture
+def stream(spark, path):
+    """``stream(ids, fails)`` runs the alert stream over new messages; ``fails`` are not sent."""
+    master = spark.createDataFrame([("AC100001", "Asha", "a@x")], "account_id string, user_name string, user_email string")
+
+    def run(ids, fails=()):
+        df = messages(spark, [txn(transaction_id=i, amount=9500) for i in ids])
+        df.coalesce(1).write.mode("append").parquet(path("topic"))
+        opened = spark.readStream.schema("value string, partition int, offset bigint").parquet(path("topic"))
+        alerting(opened, lambda: master, path("outbox"), path("ck"), deliver=deliver(fails)).awaitTermination()
+
+    return run
+
+
+def deliver(fails=()):
+    return lambda alerts: alerts.withColumn("delivered", ~F.col("transaction_id").isin(list(fails)))
+
+
+def sent(spark, path):
+    rows = spark.read.option("mergeSchema", "true").parquet(path("outbox"))
+    return {r.transaction_id: (r.tried, r.sent) for r in rows.groupBy("transaction_id").agg(
+        F.count("*").alias("tried"), F.count_if("delivered").alias("sent")).collect()}
+
+
+def test_failed_alerts_are_sent_once_in_the_end(spark, path, stream):
+    stream(["a", "b", "c"], ["b", "c"])
+    assert {r.transaction_id: r.attempts for r in open_alerts(spark, path("outbox")).collect()} == {"b": 1, "c": 1}
+    first = redeliver(spark, path("outbox"), deliver(["c"]))
+    assert (first.tried, first.delivered, first.given_up) == (2, 1, 0)
+    stream(["d", "e"], ["e"])
+    second = redeliver(spark, path("outbox"), deliver())
+    assert (second.tried, second.delivered) == (2, 2)
+    third = redeliver(spark, path("outbox"), deliver())
+    assert (third.tried, third.delivered) == (0, 0)
+    assert sent(spark, path) == {"a": (1, 1), "b": (2, 1), "c": (3, 1), "d": (1, 1), "e": (2, 1)}
+
+
+def test_what_a_run_has_seen_is_not_read_again(spark, path, stream):
+    import shutil
+
+    stream(["a", "b"], ["b"])
+    redeliver(spark, path("outbox"), deliver(["b"]))
+    for folder in __import__("glob").glob(path("outbox") + "/query_id=*"):
+        if not folder.endswith("=redelivery"):
+            shutil.rmtree(folder)
+    assert redeliver(spark, path("outbox"), deliver()).delivered == 1
+
+
+def test_a_message_that_came_twice_is_not_sent_again(spark, path, stream):
+    stream(["a"], ["a"])
+    stream(["a"])
+    assert redeliver(spark, path("outbox"), deliver()).tried == 0
+
+
+def test_alerts_are_given_up_after_some_attempts(spark, path, stream):
+    stream(["a"], ["a"])
+    results = [redeliver(spark, path("outbox"), deliver(["a"]), most_attempts=3) for _ in range(3)]
+    assert [(r.tried, r.given_up) for r in results] == [(1, 0), (1, 1), (0, 0)]
+    assert sent(spark, path) == {"a": (3, 0)}
+
+
+def test_a_run_that_died_is_done_again(spark, path, stream, monkeypatch):
+    stream(["a", "b"], ["b"])
+    with monkeypatch.context() as m:
+        m.setattr("tillstream.plans.redeliver.write_text", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            redeliver(spark, path("outbox"), deliver())
+    assert redeliver(spark, path("outbox"), deliver()).delivered == 1
+    assert sent(spark, path) == {"a": (1, 1), "b": (2, 1)}
+
+
+def test_an_outbox_without_deliveries(spark, path):
+    assert open_alerts(spark, path("nowhere")) is None
+    assert redeliver(spark, path("nowhere"), deliver()).tried == 0

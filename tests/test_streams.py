@@ -4,13 +4,15 @@ import glob
 import json
 import os
 import re
-from datetime import datetime, timezone
+import threading
+import time
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.rows import messages, raw, txn, write_lines
-from tillstream.operators.balances import current_balance
+from tillstream.operators.balances import current_balance, running_balance
 from tillstream.operators.cleaning import processed, typed
 from tillstream.operators.keys import dedupe_transactions
 from tillstream.operators.summaries import account_summary
@@ -23,9 +25,12 @@ from tillstream.sources.zones import (
     split_bad,
 )
 from tillstream.streaming.alerting import alerting
-from tillstream.streaming.balances import BALANCE, balances, compact_balances, read_balances
+from tillstream.streaming import event_balances as event_balances_module
+from tillstream.streaming.balances import BALANCE, balances, balances_in_state, compact_balances, read_balances
+from tillstream.streaming.event_balances import event_balances
 from tillstream.streaming.ingest import ingest
 from tillstream.streaming.loading import loading
+from tillstream.streaming.start import stop_when_idle
 
 
 @pytest.fixture
@@ -256,3 +261,77 @@ def test_messages_reach_the_curated_layer(spark, path, topic):
     got = read_account_summary(spark, path("curated")).select(*expected.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
     assert read_processed(spark, path("processed")).count() == 40
+
+
+# --- balances from state and per event, idle streams -------------------------
+
+
+@pytest.mark.parametrize("options", [{}, {"unique_within": "1 hour"}])
+def test_balances_are_read_from_the_state(spark, path, topic, options):
+    for part in ([("a", "A", 1), ("b", "B", 2)], [("c", "A", 5), ("d", None, 9)]):
+        topic.publish(*[txn(transaction_id=t, account_id=a, amount=x) for t, a, x in part])
+        stream = typed(good(decode(topic.open().select("value"))))
+        balances(stream, F.lit(10_00), None, path("ck"), **options).awaitTermination()
+    got = {r.account_id: r.balance for r in balances_in_state(spark, path("ck"), F.lit(10_00)).collect()}
+    assert got == {"A": 4.0, "B": 8.0}
+
+
+def rows_with_order(df):
+    decoded = good(decode(df.select("value", "partition", "offset")))
+    return typed(decoded.withColumnsRenamed({"partition": "_kafka_partition", "offset": "_kafka_offset"}))
+
+
+def test_balances_per_event_equal_the_batch_over_many_micro_batches(spark, path, topic, monkeypatch):
+    monkeypatch.setattr(event_balances_module, "SNAPSHOT_EVERY", 2)
+    moves = [
+        txn(
+            transaction_id=str(i),
+            account_id=["A", "A", "B", f"C{i}", None][i % 5],
+            amount=i + 0.25,
+            transaction_type=["DEBIT", "CREDIT"][i % 2],
+            transaction_status=["SUCCESS", "SUCCESS", "FAILED"][i % 3],
+            transaction_timestamp=f"2026-01-02T00:00:{i:02d}",
+        )
+        for i in range(42)
+    ]
+    for k in range(0, 42, 7):
+        topic.publish(*moves[k : k + 7])
+
+    def run():
+        event_balances(rows_with_order(topic.open()), F.lit(500), path("out"), path("ck"), split_rows=2).awaitTermination()
+        return sorted(map(str, spark.read.parquet(path("out") + "/events").select(*shown).collect()))
+
+    shown = ["transaction_id", "account_id", "balance_after_transaction"]
+    batch = rows_with_order(messages(spark, moves)).filter("account_id is not null")
+    expected = sorted(map(str, running_balance(batch, F.lit(500)).select(*shown).collect()))
+    assert run() == expected
+    # Old states are dropped, and a micro-batch that runs again gives the same.
+    assert len(glob.glob(path("out") + "/state/query_id=*/batch_id=*")) <= 4
+    for name in ("5", ".5.crc"):
+        if os.path.exists(f"{path('ck')}/commits/{name}"):
+            os.unlink(f"{path('ck')}/commits/{name}")
+    assert run() == expected
+
+
+def test_a_stream_stops_when_no_message_comes(spark, path, topic):
+    topic.publish(txn(transaction_id="a"))
+    query = ingest(topic.open(), path("raw"), path("ck"), every="100 milliseconds")
+    late = [threading.Timer(k, topic.publish, [txn(transaction_id=str(k))]) for k in (1.0, 2.5)]
+    began = time.monotonic()
+    for push in late:
+        push.start()
+    assert stop_when_idle(query, timedelta(seconds=3)) == 3
+    assert time.monotonic() - began >= 5.0 and not query.isActive
+    assert read_raw(spark, path("raw")).count() == 3
+
+
+def test_waiting_for_a_stream_that_fails_raises(spark, path):
+    spark.range(1).write.parquet(path("t"))
+    stream = spark.readStream.schema("id long").parquet(path("t"))
+
+    def fail(batch, batch_id):
+        raise RuntimeError("no")
+
+    query = stream.writeStream.foreachBatch(fail).option("checkpointLocation", path("ck")).start()
+    with pytest.raises(Exception):
+        stop_when_idle(query, timedelta(seconds=5))

@@ -15,15 +15,10 @@ def flag_count(name: str) -> Column:
     return F.sum(F.col(name).cast("int")).alias(name)
 
 
-def channel_category_summary(df: DataFrame) -> DataFrame:
-    """Totals per day, channel, category, status and bucket; NULL keys form groups.
-
-    The two exact distinct counts are planned as one expanded aggregate whose
-    first shuffle is keyed by group *and* distinct value, after a partial
-    aggregate: neither a big group nor a hot account lands in one task.
-    """
+def group_aggregates() -> list[Column]:
+    """Everything but the distinct counts; each of these can be merged (``operators.partials``)."""
     amount = F.col("amount")
-    parts = df.groupBy(*CHANNEL_CATEGORY_KEYS).agg(
+    return [
         F.count("*").alias("total_transactions"),
         *money_parts(amount, "amount"),
         F.max(amount).alias("_max"),
@@ -31,9 +26,11 @@ def channel_category_summary(df: DataFrame) -> DataFrame:
         flag_count("is_high_value"),
         flag_count("is_failed"),
         flag_count("is_debit"),
-        F.count_distinct("account_id").alias("unique_accounts"),
-        F.count_distinct("merchant_name").alias("unique_merchants"),
-    )
+    ]
+
+
+def group_columns(parts: DataFrame) -> DataFrame:
+    """The summary from its aggregates and ``unique_accounts``, ``unique_merchants``."""
     return parts.select(
         *CHANNEL_CATEGORY_KEYS,
         "total_transactions",
@@ -49,6 +46,21 @@ def channel_category_summary(df: DataFrame) -> DataFrame:
     )
 
 
+def channel_category_summary(df: DataFrame) -> DataFrame:
+    """Totals per day, channel, category, status and bucket; NULL keys form groups.
+
+    The two exact distinct counts are planned as one expanded aggregate whose
+    first shuffle is keyed by group *and* distinct value, after a partial
+    aggregate: neither a big group nor a hot account lands in one task.
+    """
+    parts = df.groupBy(*CHANNEL_CATEGORY_KEYS).agg(
+        *group_aggregates(),
+        F.count_distinct("account_id").alias("unique_accounts"),
+        F.count_distinct("merchant_name").alias("unique_merchants"),
+    )
+    return group_columns(parts)
+
+
 def order_in_day() -> Column:
     """Time, then partition, then offset of an event within its day, as one number.
 
@@ -64,15 +76,10 @@ def order_in_day() -> Column:
     return high.cast("decimal(19,0)") * F.lit(Decimal(10**19)) + offset.cast("decimal(19,0)")
 
 
-def account_summary(df: DataFrame) -> DataFrame:
-    """Totals and balances per day and account.
-
-    ``total_failed_amount`` is a count, as its users know it; the sum that its
-    name promises is ``failed_amount``. ``latest_balance`` is the balance of the
-    last event by time, then partition, then offset.
-    """
+def account_aggregates() -> list[Column]:
+    """What an account's day is made of."""
     amount, balance = F.col("amount"), F.col("balance_after_transaction")
-    parts = df.groupBy(*ACCOUNT_KEYS).agg(
+    return [
         F.count("*").alias("total_transactions"),
         *money_parts(amount, "amount"),
         *money_parts(F.when(F.col("is_failed"), amount), "failed"),
@@ -82,7 +89,11 @@ def account_summary(df: DataFrame) -> DataFrame:
         F.min(balance).alias("_min"),
         F.max(balance).alias("_max"),
         F.max_by(balance, order_in_day()).alias("_latest"),
-    )
+    ]
+
+
+def account_columns(parts: DataFrame) -> DataFrame:
+    """The summary from its aggregates."""
     return parts.select(
         *ACCOUNT_KEYS,
         "total_transactions",
@@ -96,3 +107,13 @@ def account_summary(df: DataFrame) -> DataFrame:
         F.round("_max", 2).alias("max_balance"),
         F.round("_latest", 2).alias("latest_balance"),
     )
+
+
+def account_summary(df: DataFrame) -> DataFrame:
+    """Totals and balances per day and account.
+
+    ``total_failed_amount`` is a count, as its users know it; the sum that its
+    name promises is ``failed_amount``. ``latest_balance`` is the balance of the
+    last event by time, then partition, then offset.
+    """
+    return account_columns(df.groupBy(*ACCOUNT_KEYS).agg(*account_aggregates()))

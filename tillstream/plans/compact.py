@@ -1,4 +1,4 @@
-"""Few files for old days, few batches for old balances."""
+"""Few files for old days."""
 
 from __future__ import annotations
 
@@ -6,48 +6,15 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from ..schemas import PROCESSED
-from ..sources.zones import drop_path, exists, read_processed
+from ..sources.live import merge_loads
 
-STAGED = "_compacting"
 
-
-def compact_days(spark: SparkSession, processed_path: str, days: Sequence[date]) -> None:
-    """Merge all loads of ``days`` into one load ``c``. For days that get no more rows.
-
-    The merged rows are written beside the layer first. A day's loads are dropped and its
-    merged rows moved into their place only when all days are staged; a run that died
-    meanwhile is finished by the next, whatever days that one is given.
-    """
-    _finish(spark, processed_path)
-    rows = read_processed(spark, processed_path, list(days)) if days else None
-    if rows is None:
-        return
-    staged = f"{processed_path}/{STAGED}"
-    drop_path(spark, staged)
-    (
-        rows.withColumn("load_id", F.lit("c"))
-        .select(*PROCESSED.fieldNames())
-        .hint("rebalance", "transaction_date")
-        .write.option("compression", "snappy")
-        .partitionBy("transaction_date", "load_id")
-        .parquet(staged)
-    )
-    _finish(spark, processed_path)
-
-
-def _finish(spark: SparkSession, processed_path: str) -> None:
-    """Put staged days in place, if staging them was completed."""
-    staged = f"{processed_path}/{STAGED}"
-    if not exists(spark, f"{staged}/_SUCCESS"):
-        return
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in files.globStatus(hadoop.Path(f"{staged}/transaction_date=*/load_id=c")) or []:
-        day = found.getPath().getParent().getName()
-        drop_path(spark, f"{processed_path}/{day}/load_id=*")
-        files.mkdirs(hadoop.Path(f"{processed_path}/{day}"))
-        files.rename(found.getPath(), hadoop.Path(f"{processed_path}/{day}/load_id=c"))
-    drop_path(spark, staged)
+def compact_days(
+    spark: SparkSession, processed_path: str, days: Sequence[date], keep_merged: bool = False
+) -> None:
+    """Merge all loads of each of ``days`` into one directory. Days may get rows later all the
+    same, and loads in them may run again; see ``merge_loads``."""
+    values = [d.isoformat() for d in days]
+    merge_loads(spark, processed_path, PROCESSED, "transaction_date", values, keep_merged)

@@ -12,7 +12,7 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
-from ..sources.zones import drop_path, exists
+from ..sources.files import drop_path, exists
 from .curate import CurateResult, build_curated
 
 
@@ -23,7 +23,11 @@ def enter_days(spark: SparkSession, path: str, days: Sequence[date]) -> None:
 
 
 def curate_dirty(
-    spark: SparkSession, processed_path: str, curated_path: str, path: str
+    spark: SparkSession,
+    processed_path: str,
+    curated_path: str,
+    path: str,
+    partials_path: str | None = None,
 ) -> CurateResult | None:
     """Rebuild each day entered since the last time, once. None if there was none.
 
@@ -34,7 +38,8 @@ def curate_dirty(
         return None
     rows = spark.read.schema("day date, entry string").parquet(path)
     found = [(r.entry, r.day) for r in rows.distinct().collect()]
-    result = build_curated(spark, processed_path, curated_path, sorted({d for _, d in found}))
+    days = sorted({d for _, d in found})
+    result = build_curated(spark, processed_path, curated_path, days, partials_path)
     for entry in {e for e, _ in found}:
         drop_path(spark, f"{path}/entry={entry}")
     return result

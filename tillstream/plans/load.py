@@ -13,19 +13,23 @@ from pyspark.sql import functions as F
 
 from ..operators.cleaning import derived, is_valid, processed, typed
 from ..operators.keys import dedupe_transactions, not_seen_in
+from ..schemas import PROCESSED
 from ..settings import Rules
 from ..sinks.zones import write_processed
+from ..sources.files import exists
 from ..sources.ledger import enter, next_load, read_ledger
+from ..sources.live import begin_load, end_loads
 from ..sources.marks import EPOCH, read_mark, write_mark
+from ..sources.seen import keep_ids, kept_ids, loaded_before, write_ids
 from ..sources.zones import (
     bad_text,
-    exists,
     list_raw,
     read_load,
     read_processed,
     read_raw,
     split_bad,
 )
+from .partials import drop_partials, write_partials
 
 # How far a transaction must be unique
 LOAD, DAY, TABLE = "load", "day", "table"
@@ -60,7 +64,7 @@ class LoadResult:
 
 @contextmanager
 def parsed_once(raw: DataFrame) -> Iterator[DataFrame]:
-    """``raw`` kept on the executors' disks while it is read several times."""
+    """``raw`` (or other rows) kept on the executors' disks while it is read several times."""
     raw = raw.persist(StorageLevel.DISK_ONLY)
     try:
         yield raw
@@ -94,29 +98,44 @@ def load_batch(
     rules: Rules = Rules(),
     unique_within: str = LOAD,
     days: list[date] | None = None,
+    partials_path: str | None = None,
 ) -> dict[date, int]:
     """Write one batch of raw rows as load ``load_id``; returns its rows per day.
 
     ``unique_within`` says how far a transaction is looked for: in this ``load``
     only, in earlier loads on the same ``day`` too, or in the whole ``table``. A
     delivery that is repeated has the same time, so ``day`` finds it, and reads the
-    days of the batch instead of all history. ``days`` are those of its valid rows, if
-    they are known; else ``raw`` is read once more.
+    days of the batch. ``table`` keeps the ids of all loads by bucket, and reads those of the
+    buckets that the batch's ids are in. ``days`` are those of the batch's valid rows, if they
+    are known; else ``raw`` is read once more. With ``partials_path`` the load leaves there what
+    it adds to the summaries of its days.
     """
     if unique_within not in (LOAD, DAY, TABLE):
         raise ValueError(f"unique_within: {unique_within}")
     spark = raw.sparkSession
     days = summarise(raw, rules).days if days is None else days
+    again = not begin_load(spark, processed_path, load_id)
     rows = dedupe_transactions(processed(split_bad(raw)[0], rules))
     if unique_within == TABLE:
-        rows = _new_rows(rows, read_processed(spark, processed_path), load_id)
-    elif unique_within == DAY:
-        earlier = read_processed(spark, processed_path, days)
-        rows = _new_rows(rows, earlier, load_id, "transaction_date")
-    write_processed(rows, processed_path, load_id)
+        keep_ids(spark, processed_path)
+        with parsed_once(rows) as rows:
+            repeats = loaded_before(rows, processed_path, load_id)
+            write_processed(rows if repeats is None else not_seen_in(rows, repeats), processed_path, load_id, again)
+    else:
+        if unique_within == DAY:
+            earlier = read_processed(spark, processed_path, days)
+            rows = _new_rows(rows, earlier, load_id, "transaction_date")
+        write_processed(rows, processed_path, load_id, again)
     written = read_load(spark, processed_path, load_id, days)
+    if kept_ids(spark, processed_path):
+        ids = written if written is not None else spark.createDataFrame([], PROCESSED)
+        write_ids(ids, processed_path, load_id, again)
     if written is None:
+        if partials_path:
+            drop_partials(spark, partials_path, load_id, again)
         return {}
+    if partials_path:
+        write_partials(written, partials_path, load_id, again)
     # Counted from the footers of this load's files; as many rows as it has days.
     counts = written.groupBy("transaction_date").count()
     return {r["transaction_date"]: r["count"] for r in counts.collect()}
@@ -148,6 +167,7 @@ def run_load(
     lag: timedelta | None = None,
     quarantine_path: str | None = None,
     most_files: int = FILES_PER_LOAD,
+    partials_path: str | None = None,
 ) -> LoadResult:
     """Load the files that no earlier load has loaded.
 
@@ -177,10 +197,13 @@ def run_load(
         if not batch.rows:
             enter(spark.createDataFrame(files), ledger_path, number)
             return LoadResult(len(files))
-        days = load_batch(raw, processed_path, f"m{number}", rules, unique_within, batch.days)
+        days = load_batch(
+            raw, processed_path, f"m{number}", rules, unique_within, batch.days, partials_path
+        )
         if quarantine_path and batch.bad:
             split_bad(raw)[1].write.mode("overwrite").parquet(f"{quarantine_path}/load={number}")
     enter(spark.createDataFrame(files), ledger_path, number)
+    end_loads(spark, processed_path, [f"m{number}"])
     # What was left over is not older than the last file taken, but may be as old.
     left_over = len(files) == most_files
     read_until = files[-1].modified.astimezone(timezone.utc) - timedelta(milliseconds=1)

@@ -131,6 +131,60 @@ ACCOUNT_SUMMARY = T.StructType(
     ]
 )
 
+
+def _typed(**kinds: T.DataType) -> list[T.StructField]:
+    return [T.StructField(name, kind) for name, kind in kinds.items()]
+
+
+def _money(*names: str) -> list[T.StructField]:
+    """The columns of ``functions.money_parts``."""
+    return [
+        field
+        for n in names
+        for field in _typed(
+            **{f"_{n}_cents": T.LongType(), f"_{n}_exact": T.LongType(), f"_{n}_sum": T.DoubleType(), f"_{n}_n": T.LongType()}
+        )
+    ]
+
+
+_GROUP_KEYS = _strings(CHANNEL_CATEGORY_KEYS[1:]).fields
+_OF_A_LOAD = _typed(transaction_date=T.DateType(), load_id=T.StringType())
+_FLAGS = _typed(is_high_value=T.LongType(), is_failed=T.LongType(), is_debit=T.LongType())
+
+# What each load adds to the summaries of its days; see ``operators.partials``.
+GROUP_PARTIALS = T.StructType(
+    [
+        *_GROUP_KEYS,
+        *_typed(total_transactions=T.LongType()),
+        *_money("amount"),
+        *_typed(_max=T.DoubleType(), _min=T.DoubleType()),
+        *_FLAGS,
+        *_OF_A_LOAD,
+    ]
+)
+ACCOUNT_PARTIALS = T.StructType(
+    [
+        *_typed(account_id=T.StringType(), total_transactions=T.LongType()),
+        *_money("amount", "failed"),
+        *_FLAGS,
+        *_typed(_min=T.DoubleType(), _max=T.DoubleType(), _latest=T.DoubleType(), _latest_order=T.DecimalType(38, 0)),
+        *_OF_A_LOAD,
+    ]
+)
+# Bits of the numbers that a group's accounts or merchants have; see ``sources.numbers``.
+MEMBER_PARTIALS = T.StructType(
+    [
+        *_GROUP_KEYS,
+        *_typed(member=T.StringType(), part=T.IntegerType(), bucket=T.LongType(), bits=T.BinaryType()),
+        *_OF_A_LOAD,
+    ]
+)
+
+# Transaction ids that were loaded, by a hash of them.
+LOADED_IDS = T.StructType(
+    _typed(transaction_id=T.StringType(), bucket=T.IntegerType(), load_id=T.StringType())
+)
+
 LEDGER = T.StructType(
     [
         T.StructField("path", T.StringType()),

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -17,6 +20,8 @@ DEFAULTS = {
     # Rebalanced writes aim at files of about this size.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Lists of new ids reach the row groups' Bloom filters.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # State larger than the heap: balances are kept per account.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -39,6 +44,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
+    """Run independent jobs at the same time, so that small ones don't wait for each other's
+    start; raises what the first that failed raised, after all have ended."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    for job in running:
+        job.result()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..sources.zones import exists
+from ..sources.files import exists
 
 KEYS = T.StructType(
     [T.StructField("query_id", T.StringType()), T.StructField("batch_id", T.LongType())]

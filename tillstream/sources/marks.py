@@ -8,7 +8,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MARK
-from .zones import exists
+from .files import drop_path, exists, found_paths
+
+# So many marks are kept at most before all but the last are deleted.
+MOST_MARKS = 20
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -26,5 +29,9 @@ def read_mark(spark: SparkSession, path: str) -> datetime:
 def write_mark(spark: SparkSession, path: str, at: datetime) -> None:
     """Append a mark. ISO text of one zone and width sorts by time."""
     at = at.astimezone(timezone.utc)
+    old = found_paths(spark, f"{path}/*.json")
     row = (at.isoformat(timespec="microseconds"), at.strftime("%Y-%m-%d %H:%M:%S UTC"))
     spark.createDataFrame([row], MARK).coalesce(1).write.mode("append").json(path)
+    if len(old) >= MOST_MARKS and read_mark(spark, path) == at:
+        for file in old:
+            drop_path(spark, file)

@@ -11,25 +11,12 @@ from pyspark.sql import types as T
 
 from ..schemas import ACCOUNT_SUMMARY, CHANNEL_CATEGORY_SUMMARY, CORRUPT, PROCESSED, RAW
 from .codec import parsed
+from .files import exists
+from .live import read_loads
 
 SUFFIX = "*.json"
 
 
-def exists(spark: SparkSession, pattern: str) -> bool:
-    """Whether a path, or anything that matches a pattern, is there."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
-
-
-def drop_path(spark: SparkSession, pattern: str) -> None:
-    """Delete what matches a pattern, if anything does."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in files.globStatus(path) or []:
-        files.delete(found.getPath(), True)
-
-
 def _option_time(t: datetime) -> str:
     if t.tzinfo is not None:
         t = t.astimezone(timezone.utc).replace(tzinfo=None)
@@ -46,7 +33,8 @@ def list_raw(
     """``path`` and ``modified`` of the layer's files, modified after ``after``.
 
     Where a stream writes the layer, its commit log says which files there are: what a
-    micro-batch left that was never committed is not listed. Contents are not read.
+    micro-batch left that was never committed is not listed. Contents are not read. Files of
+    0 bytes are not listed, as Spark lists none.
     """
     reader = _raw_files(spark.read.format("binaryFile"), suffix)
     if after is not None:
@@ -118,13 +106,16 @@ def read_processed(
     spark: SparkSession, path: str, dates: Sequence[date] | None = None
 ) -> DataFrame | None:
     """The processed layer, pruned to whole days; None where there is nothing."""
-    return _read_days(spark, path, PROCESSED, dates)
+    days = None if dates is None else [d.isoformat() for d in dates]
+    rows = read_loads(spark, path, PROCESSED, "transaction_date", days)
+    return rows if rows is None or dates is None else rows.filter(F.col("transaction_date").isin(list(dates)))
 
 
 def read_load(
     spark: SparkSession, path: str, load_id: str, dates: Sequence[date] | None = None
 ) -> DataFrame | None:
-    """The rows one load wrote; quicker to find where its days are known."""
+    """The rows one load wrote and that were not merged since; quicker to find where its days
+    are known."""
     days = _days_pattern(dates) if dates else "/transaction_date=*"
     return _read(spark, path, PROCESSED, f"{days}/load_id={load_id}")
 

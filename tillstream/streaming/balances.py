@@ -12,7 +12,7 @@ from ..operators.cleaning import valid_only
 from ..operators.keys import keep_first
 from ..settings import Rules
 from ..sinks.outbox import read_batches, write_batch
-from ..sources.zones import drop_path, exists
+from ..sources.files import drop_path, exists, found_paths
 from .start import start
 
 BALANCE = T.StructType(
@@ -28,13 +28,14 @@ MOVING = ("transaction_id", "account_id", "amount", "transaction_status")
 def balances(
     events: DataFrame,
     opening: Column,
-    path: str,
+    path: str | None,
     checkpoint: str,
     every: str | None = None,
     rules: Rules = Rules(),
     unique_within: str | None = None,
 ) -> StreamingQuery:
-    """Write, per micro-batch, the new balance of every account it touched.
+    """Write, per micro-batch, the new balance of every account it touched; without ``path``
+    only keep them as state, for ``balances_in_state``.
 
     Each delivery counts. With ``unique_within``, such as "2 hours", a transaction that is
     delivered again within that time counts once; its id is kept as state so long.
@@ -43,13 +44,12 @@ def balances(
     if unique_within:
         events = events.withWatermark("transaction_timestamp", unique_within)
         events = events.dropDuplicatesWithinWatermark(["transaction_id"])
-    return start(
-        current_balance(events, opening, rules)
-        .writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id)),
-        checkpoint,
-        every,
-    )
+    writer = current_balance(events, opening, rules).writeStream.outputMode("update")
+    if path is None:
+        writer = writer.format("noop")
+    else:
+        writer = writer.foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
+    return start(writer, checkpoint, every)
 
 
 def _updates(spark: SparkSession, path: str) -> DataFrame:
@@ -76,11 +76,27 @@ def compact_balances(spark: SparkSession, path: str) -> None:
     if not exists(spark, path):
         return
     updates = _updates(spark, path)
-    seen = [(r.query_id, r.batch_id) for r in updates.select("query_id", "batch_id").distinct().collect()]
-    last = {q: max(b for x, b in seen if x == q) for q, _ in seen}
+    # As many rows as there are streams.
+    last = {r.query_id: r.last for r in updates.groupBy("query_id").agg(F.max("batch_id").alias("last")).collect()}
     latest = keep_first(updates, ["account_id"], [F.desc("as_of"), F.desc("batch_id")])
-    number = max((b for q, b in seen if q == SNAPSHOTS), default=-1) + 1
+    number = last.get(SNAPSHOTS, -1) + 1
     latest.drop("query_id", "batch_id").write.parquet(f"{path}/query_id={SNAPSHOTS}/batch_id={number}")
-    for query, batch in seen:
-        if query == SNAPSHOTS or batch < last[query]:
-            drop_path(spark, f"{path}/query_id={query}/batch_id={batch}")
+    for folder in found_paths(spark, f"{path}/query_id=*/batch_id=*"):
+        query, batch = (part.split("=", 1)[1] for part in folder.rsplit("/", 2)[1:])
+        if int(batch) < last.get(query, -1) + (query == SNAPSHOTS):
+            drop_path(spark, folder)
+
+
+def balances_in_state(spark: SparkSession, checkpoint: str, opening: Column) -> DataFrame:
+    """The balance of every account from the stream's own state, which has one row for each.
+
+    No update that was written is read, so ``balances`` need not write any. It is the state
+    as of the last micro-batch that was committed.
+    """
+    operators = spark.read.format("state-metadata").load(checkpoint)
+    # The other state, where there is one, holds ids.
+    sums = operators.filter("operatorName = 'stateStoreSave'").select("operatorId").first()[0]
+    state = spark.read.format("statestore").option("operatorId", sums).load(checkpoint)
+    (moved,) = state.schema["value"].dataType.fieldNames()
+    rows = state.select(F.col("key.account_id").alias("account_id"), F.col(f"value.`{moved}`").alias("_moved"))
+    return rows.select("account_id", ((opening + F.col("_moved")).cast("double") / 100).alias("balance"))

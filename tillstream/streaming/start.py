@@ -1,7 +1,10 @@
-"""Starting streaming queries."""
+"""Starting streaming queries, and stopping those that have nothing left to do."""
 
 from __future__ import annotations
 
+import time
+from datetime import timedelta
+
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
@@ -10,3 +13,25 @@ def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -
     writer = writer.option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
+
+
+def stop_when_idle(
+    query: StreamingQuery, idle: timedelta = timedelta(seconds=60), check_every: float = 0.5
+) -> int:
+    """Wait until no message came for ``idle``, then stop ``query``; returns its rows so far.
+
+    For queries that run at an interval. Time counts from the end of the last micro-batch
+    that had rows; while there is data, a micro-batch is never interrupted. Failures raise.
+    """
+    rows, batches, since = 0, set(), time.monotonic()
+    while not query.awaitTermination(check_every):
+        for progress in query.recentProgress:
+            if progress.numInputRows and progress.batchId not in batches:
+                batches.add(progress.batchId)
+                rows += progress.numInputRows
+                since = time.monotonic()
+        if query.status["isDataAvailable"]:
+            since = time.monotonic()
+        elif time.monotonic() - since >= idle.total_seconds():
+            query.stop()
+    return rows

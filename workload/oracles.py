@@ -306,15 +306,23 @@ WITH {TXN}, s AS ({SUMMARY}), a AS (SELECT DISTINCT CAST(ts AS DATE), account_id
 SELECT (SELECT count(*) FROM t) AS records, (SELECT count(*) FROM s) AS channel_category_rows,
        (SELECT count(*) FROM a) AS account_rows""",
     "compacted_day": f"""
-WITH {TXN}, d AS (SELECT CAST(ts AS DATE) AS day FROM t WHERE n % 3 = 2 GROUP BY 1),
+WITH {TXN},
+x AS (SELECT *, CASE WHEN n % 10 = 0 THEN 'late' ELSE CAST(n % 3 AS VARCHAR) END AS load_id FROM t),
+d AS (SELECT CAST(ts AS DATE) AS day FROM x WHERE load_id = '2' GROUP BY 1),
 r AS (SELECT day, row_number() OVER (ORDER BY day) AS k FROM d)
-SELECT transaction_id, amount, CAST(ts AS DATE) AS transaction_date, coalesce(k % 2 = 1, false) AS compacted
-FROM t LEFT JOIN r ON r.day = CAST(ts AS DATE)""",
+SELECT transaction_id, amount, CAST(ts AS DATE) AS transaction_date, load_id,
+       coalesce(k % 3 = 1 OR k % 2 = 1 AND load_id IN ('0', '2'), false) AS merged
+FROM x LEFT JOIN r ON r.day = CAST(ts AS DATE) WHERE load_id <> '1' OR n % 2 = 0""",
     "replayed_load": f"""
 WITH {TXN}
 SELECT transaction_id, '0' AS load_id, CAST(ts AS DATE) AS transaction_date FROM t WHERE n % 2 = 0
 UNION ALL
 SELECT transaction_id, '1', CAST(ts AS DATE) FROM t WHERE n % 2 = 1 AND day(ts) % 2 = 1""",
+    "incremental_load_unique_table": f"""
+WITH {TXN}
+SELECT transaction_id, amount, CAST(ts AS DATE) AS transaction_date,
+       CASE WHEN n % 2 = 0 THEN 'm0' ELSE 'm1' END AS load_id
+FROM t""",
     "incremental_load_late_files": f"""
 WITH {TXN}
 SELECT transaction_id, amount, CASE WHEN n % 2 = 0 THEN 'm0' ELSE 'm1' END AS load_id FROM t""",
@@ -342,7 +350,8 @@ FROM t""",
 WITH {TXN}, {MESSY}
 SELECT count(*) AS raw_rows, count(*) FILTER ({IS_MALFORMED}) AS bad_rows,
        count(*) FILTER ({VALID} AND NOT {IS_MALFORMED}) AS written_rows,
-       count(*) - count(*) FILTER ({VALID} AND NOT {IS_MALFORMED}) AS dropped_rows
+       count(*) - count(*) FILTER ({VALID} AND NOT {IS_MALFORMED}) AS dropped_rows,
+       true AS all_files
 FROM f""",
     "raw_files_read": "SELECT count(*) AS raw_rows, true AS all_files FROM events",
     "raw_quarantine": f"""
@@ -363,6 +372,15 @@ FROM t""",
     "stream_load": ACCOUNT_SUMMARY,
     "stream_alerts": STREAM_ALERTS,
     "stream_balance": CURRENT_BALANCE,
+    "stream_balance_state": CURRENT_BALANCE,
+    "stream_idle_stop": f"""
+WITH {TXN} SELECT transaction_id, (SELECT count(*) FROM t) AS rows FROM t""",
+    "alert_redelivery": f"""
+WITH {TXN}, {BALANCE}, {MASTER}, {ALERTS.format(events="b")}
+SELECT transaction_id, alert_type,
+       CAST(CASE WHEN alert_type <> 'LOW_BALANCE' THEN 1 WHEN n % 2 = 1 THEN 2 ELSE 3 END AS BIGINT) AS tried,
+       CAST(1 AS BIGINT) AS sent
+FROM a""",
     "sql_over_curated": f"""
 WITH {TXN},
 c AS (SELECT CAST(ts AS DATE) AS transaction_date, channel, count(*) AS transactions,
@@ -373,6 +391,7 @@ a AS (SELECT CAST(ts AS DATE) AS transaction_date, count(DISTINCT account_id) AS
 SELECT c.transaction_date, channel, transactions, failed, accounts
 FROM c JOIN a ON a.transaction_date = c.transaction_date""",
 }
+ORACLES["stream_event_balances"] = ORACLES["account_running_balance"]
 ORACLES["account_running_balance_split"] = ORACLES["account_running_balance"]
 
 LATEST_MASTER = """

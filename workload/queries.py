@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from datetime import date, datetime, timedelta, timezone
 
@@ -26,9 +27,11 @@ from tillstream.plans.curate import build_curated
 from tillstream.plans.compact import compact_days
 from tillstream.plans.dirty import curate_dirty
 from tillstream.plans.load import load_batch, parsed_once, raw_metrics, run_load
-from tillstream.schemas import CORRUPT, RAW
+from tillstream.plans.redeliver import redeliver
+from tillstream.schemas import CORRUPT, PROCESSED, RAW
 from tillstream.session import scratch
 from tillstream.sources.codec import decode, encode, good, quarantine
+from tillstream.sources.live import read_loads
 from tillstream.sources.master import latest_per_account, read_master
 from tillstream.sources.zones import (
     list_raw,
@@ -39,11 +42,14 @@ from tillstream.sources.zones import (
     split_bad,
 )
 from tillstream.streaming.alerting import alerting
-from tillstream.streaming.balances import balances, read_balances
+from tillstream.streaming.balances import balances, balances_in_state, read_balances
+from tillstream.streaming.event_balances import event_balances
 from tillstream.streaming.ingest import ingest
 from tillstream.streaming.loading import loading
+from tillstream.streaming.start import stop_when_idle
 
 from .adapter import (
+    EVENT_ORDER,
     master,
     master_rows,
     opening_cents,
@@ -350,9 +356,9 @@ def as_raw(df: DataFrame) -> DataFrame:
     )
 
 
-def load_days(df: DataFrame, path: str, load_id: str) -> list[date]:
+def load_days(df: DataFrame, path: str, load_id: str, partials: str | None = None) -> list[date]:
     with parsed_once(as_raw(df)) as raw:
-        return list(load_batch(raw, path, load_id))
+        return list(load_batch(raw, path, load_id, partials_path=partials))
 
 
 def curated_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,19 +379,24 @@ def curate_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compacted_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days loaded in three goes, every second day then merged into one load."""
+    """All days loaded in three goes, and every second day merged. Then a late load comes, one
+    that was merged runs again with fewer rows, and every third day is merged."""
     out = scratch(spark, "processed")
     events = transactions(spark, sf_dir)
+    late = n() % 10 == 0
     for part in range(3):
-        days = load_days(events.filter(n() % 3 == part), out, str(part))
+        days = load_days(events.filter((n() % 3 == part) & ~late), out, str(part))
     compact_days(spark, out, sorted(days)[::2])
-    rows = read_processed(spark, out)
-    loads = Window.partitionBy("transaction_date")
+    load_days(events.filter(late), out, "late")
+    load_days(events.filter((n() % 3 == 1) & ~late & (n() % 2 == 0)), out, "1")
+    compact_days(spark, out, sorted(days)[::3])
+    rows = read_loads(spark, out, PROCESSED, "transaction_date", origin=True)
     return rows.select(
         "transaction_id",
         "amount",
         "transaction_date",
-        (F.min("load_id").over(loads) == "c").alias("compacted"),
+        F.coalesce("_origin", "load_id").alias("load_id"),
+        F.col("load_id").startswith("c-").alias("merged"),
     )
 
 
@@ -401,13 +412,14 @@ def replayed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def late_day_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth event arrives in a second load; the days it touches are rebuilt."""
-    processed_path, curated = scratch(spark, "processed"), scratch(spark, "curated")
+    """Every tenth event arrives in a second load; the days it touches are rebuilt from what
+    both loads left for the summaries."""
+    processed_path, curated, partials = (scratch(spark, n) for n in ("processed", "curated", "partials"))
     events = transactions(spark, sf_dir)
-    on_time = load_days(events.filter(n() % 10 != 0), processed_path, "0")
-    build_curated(spark, processed_path, curated, on_time)
-    touched = load_days(events.filter(n() % 10 == 0), processed_path, "1")
-    build_curated(spark, processed_path, curated, touched)
+    on_time = load_days(events.filter(n() % 10 != 0), processed_path, "0", partials)
+    build_curated(spark, processed_path, curated, on_time, partials)
+    touched = load_days(events.filter(n() % 10 == 0), processed_path, "1", partials)
+    build_curated(spark, processed_path, curated, touched, partials)
     return read_channel_category_summary(spark, curated)
 
 
@@ -425,6 +437,20 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def incremental_load_unique_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, the second repeating some events of the first with another day."""
+    raw, out, mark = (scratch(spark, n) for n in ("raw", "processed", "mark"))
+    events = transactions(spark, sf_dir)
+    later = F.when(n() % 10 == 0, F.col("transaction_timestamp") + F.expr("INTERVAL 40 DAYS"))
+    again = events.filter((n() % 2 == 1) | (n() % 5 == 0)).withColumn(
+        "transaction_timestamp", F.coalesce(later, "transaction_timestamp")
+    )
+    for part in (events.filter(n() % 2 == 0), again):
+        as_raw(part).write.mode("append").json(f"{raw}/transactions")
+        run_load(spark, raw, out, mark, unique_within="table")
+    return read_processed(spark, out).select("transaction_id", "amount", "transaction_date", "load_id")
+
+
 def incremental_load_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A streamed raw layer, loaded; then a second batch of the stream whose files look old,
     and files of a batch that was never committed, which are no data."""
@@ -455,7 +481,9 @@ def load_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         old = spark._jvm.org.apache.hadoop.fs.Path(file[0])
         new = spark._jvm.org.apache.hadoop.fs.Path(file[0].removesuffix(".txt") + ".json")
         old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new)
-    return run_load(spark, raw, out, mark).frame(spark).drop("files")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(raw).select("path").count()
+    result = run_load(spark, raw, out, mark).frame(spark)
+    return result.withColumn("all_files", F.col("files") == listed).drop("files")
 
 
 def raw_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -531,14 +559,14 @@ def stream_ingest_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files as a stream, in two runs, then the days that changed rebuilt."""
-    raw, out, curated, dirty, checkpoint = (
-        scratch(spark, n) for n in ("raw", "processed", "curated", "dirty", "checkpoint")
+    raw, out, curated, dirty, partials, checkpoint = (
+        scratch(spark, n) for n in ("raw", "processed", "curated", "dirty", "partials", "checkpoint")
     )
     events = transactions_with_balance(spark, sf_dir)
     for part in (events.filter(n() % 10 != 0), events.filter(n() % 10 == 0)):
         as_raw(part).write.mode("append").json(raw)
-        loading(spark, raw, out, checkpoint, dirty_path=dirty).awaitTermination()
-    curate_dirty(spark, out, curated, dirty)
+        loading(spark, raw, out, checkpoint, dirty_path=dirty, partials_path=partials).awaitTermination()
+    curate_dirty(spark, out, curated, dirty, partials)
     return read_account_summary(spark, curated)
 
 
@@ -597,6 +625,64 @@ def stream_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_balances(spark, out)
 
 
+def stream_balance_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the stream's state; no update is written."""
+    path, checkpoint = scratch(spark, "topic"), scratch(spark, "checkpoint")
+    opening = opening_cents(F.col("account_id"))
+    events = transactions(spark, sf_dir)
+    for part in (events.filter(n() % 2 == 0), events.filter(n() % 2 == 1)):
+        decoded = typed(good(decode(topic(spark, part, path).select("value"))))
+        balances(decoded, opening, None, checkpoint).awaitTermination()
+    return balances_in_state(spark, checkpoint, opening)
+
+
+def stream_event_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's balance over three micro-batches, accounts of over 30 events in slices."""
+    path, out, checkpoint = (scratch(spark, n) for n in ("topic", "balances", "checkpoint"))
+    events = transactions(spark, sf_dir)
+    third = F.least(F.floor((F.dayofmonth("transaction_timestamp") - 1) / 10), F.lit(2))
+    for part in range(3):
+        messages = topic(spark, events.filter(third == part), path)
+        decoded = decode(messages.select("value", "partition", "offset"))
+        rows = typed(good(decoded).withColumnsRenamed({"partition": "_kafka_partition", "offset": "_kafka_offset"}))
+        opening = opening_cents(F.col("account_id"))
+        event_balances(rows, opening, out, checkpoint, EVENT_ORDER, split_rows=30).awaitTermination()
+    return spark.read.parquet(f"{out}/events").select("transaction_id", "account_id", "balance_after_transaction")
+
+
+def stream_idle_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ingest stream that gets messages in two more goes while it runs, and ends some time
+    after the last."""
+    path, raw, checkpoint = (scratch(spark, n) for n in ("topic", "raw", "checkpoint"))
+    events = transactions(spark, sf_dir)
+    query = ingest(topic(spark, events.filter(n() % 3 == 0), path), raw, checkpoint, every="200 milliseconds")
+    late = [threading.Timer(1.5 * k, topic, (spark, events.filter(n() % 3 == k), path)) for k in (1, 2)]
+    for push in late:
+        push.start()
+    rows = stop_when_idle(query, timedelta(seconds=4))
+    for push in late:
+        push.join()
+    return read_raw(spark, raw).select("transaction_id", F.lit(rows).cast("long").alias("rows"))
+
+
+def alert_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each alert was tried and sent, where some are sent at the second or third try."""
+    path, outbox, checkpoint = (scratch(spark, n) for n in ("topic", "outbox", "checkpoint"))
+    odd = F.col("transaction_id").cast("bigint") % 2 == 1
+
+    def sent_if(condition: Column) -> Callable[[DataFrame], DataFrame]:
+        return lambda alerts: alerts.withColumn("delivered", condition)
+
+    stream = topic(spark, transactions_with_balance(spark, sf_dir), path)
+    low = F.col("alert_type") == "LOW_BALANCE"
+    alerting(stream, lambda: master(spark, sf_dir), outbox, checkpoint, deliver=sent_if(~low)).awaitTermination()
+    for condition in (odd, F.lit(True), F.lit(True)):
+        redeliver(spark, outbox, sent_if(condition))
+    return spark.read.parquet(outbox).groupBy("transaction_id", "alert_type").agg(
+        F.count("*").alias("tried"), F.count_if("delivered").alias("sent")
+    )
+
+
 def sql_over_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     processed_path, curated = scratch(spark, "processed"), scratch(spark, "curated")
     days = load_days(transactions_with_balance(spark, sf_dir), processed_path, "0")
@@ -650,6 +736,7 @@ QUERIES: dict[str, Query] = {
     "compacted_day": compacted_day,
     "replayed_load": replayed_load,
     "incremental_load": incremental_load,
+    "incremental_load_unique_table": incremental_load_unique_table,
     "incremental_load_late_files": incremental_load_late_files,
     "load_run_metrics": load_run_metrics,
     "raw_files_read": raw_files_read,
@@ -660,6 +747,10 @@ QUERIES: dict[str, Query] = {
     "two_streams_one_table": two_streams_one_table,
     "stream_alerts": stream_alerts,
     "alert_quarantine": alert_quarantine,
+    "alert_redelivery": alert_redelivery,
     "stream_balance": stream_balance,
+    "stream_balance_state": stream_balance_state,
+    "stream_event_balances": stream_event_balances,
+    "stream_idle_stop": stream_idle_stop,
     "sql_over_curated": sql_over_curated,
 }
