@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.session import scratch
-from tillstream.sources.zones import drop_path
+from tillstream.sources.files import drop_path
 
 # Broadcasts are only asked for below this many rows of a few numbers each.
 BROADCAST_ROWS = 500_000
