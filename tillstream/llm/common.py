@@ -57,6 +57,14 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def even_keys(spark: SparkSession, n: int) -> list[int]:
+    """``n`` numbers, one for each of ``n`` partitions that Spark's hash deals them to."""
+    tried = spark.range(n * 20).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("part"))
+    first = {r.part: r.id for r in tried.groupBy("part").agg(F.min("id").alias("id")).collect()}
+    spare = iter(set(range(2 * n)) - set(first.values()))
+    return [first[p] if p in first else next(spare) for p in range(n)]
+
+
 def semi(left: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     """Rows of ``left`` whose ``on`` is in ``ids``; broadcasts ``ids`` if few, else shuffles."""
     return left.join(F.broadcast(ids) if small(ids) else ids, on, "left_semi")

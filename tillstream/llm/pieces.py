@@ -3,15 +3,16 @@
 Texts are cut into units at which no piece can span the cut: before a run of spaces, around
 a line feed and, where the vocabulary has no piece that joins them, between letters and
 ASCII marks or digits. Units that are long all the same are cut on their best path, which a
-task finds by itself. For each distinct unit, all substrings up to the length
+task finds by itself, once a text. For each distinct unit, all substrings up to the length
 of the longest piece are exploded and joined to the piece table; the edges found are
 grouped by unit and a higher-order ``aggregate`` folds them into the best-scored path
 (Viterbi). A character in no piece is spelled by its bytes.
 
 Most occurrences are of few units, so the units of a bounded sample are encoded first
 and their pieces are sent to all tasks as three sorted arrays (at most ``FREQUENT``
-units). Only what a document has beside them is looked up by a shuffle, once for each
-distinct unit and document. Texts are moved once, compressed.
+units). Texts are dealt to blocks and moved once, compressed. Each block names the units it
+has beside the frequent ones, once each; these are encoded, and their pieces come back to the
+block by the hash of the unit.
 """
 
 from __future__ import annotations
@@ -29,16 +30,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillstream.llm.common import blocks, kept, mixed, repeats, row_key, word_hashes
+from tillstream.llm.common import blocks, even_keys, kept, mixed, row_key, word_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Units longer than this many bytes are cut, between pieces of their best path, into units of
 # at most so many (or of one piece).
 LONGEST = 256
 SAMPLE_ROWS = 20_000
+# Up to so many blocks, each is a task of its own; more are dealt to tasks by hash.
+MOST_NAMED = 20_000
 FREQUENT = 150_000
-# Rare units are looked up in partitions of about as many documents.
-ROWS_PER_PART = 1_000
+# A block has about as many documents.
+ROWS_PER_BLOCK = 2_000
 # A character that is in no piece costs so much more than the worst piece.
 UNKNOWN_COST = 10.0
 
@@ -224,18 +227,16 @@ def long_cuts(unit: str, scores: dict[str, float], reach: dict[str, int], unknow
     return cuts[::-1]
 
 
-def unit_spans(
-    data: np.ndarray, offsets: np.ndarray, parts_marks: bool, lattice
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The units of a block: bytes with a space before each text that is not empty, starts
-    and ends of units in them, and each text's first unit (and an end). ``lattice`` is the
-    broadcast ``Vocabulary.lattice``, which is read only if there are long units."""
+def unit_starts(
+    data: np.ndarray, offsets: np.ndarray, parts_marks: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a block with a space before each text that is not empty, the offset of each
+    text in them, and the starts of units, of which some may be long."""
     sizes = np.diff(offsets)
     data = np.insert(data, offsets[:-1][sizes > 0], 32)
     offsets = offsets + np.concatenate([[0], np.cumsum(sizes > 0)])
     if not len(data):
-        none = np.empty(0, np.int64)
-        return data, none, none, np.zeros(len(offsets), np.int64)
+        return data, offsets, np.empty(0, np.int64)
     space, feed = data == 32, data == 10
     begins = feed.copy()
     begins[1:] |= space[1:] & ~space[:-1]
@@ -245,14 +246,26 @@ def unit_spans(
         letter[1:] |= (data[1:] & 0xC0 == 0x80) & (data[:-1] >= 0xC3) & (data[:-1] < 0xD0)
         begins[1:] |= letter[1:] & mark[:-1] | mark[1:] & letter[:-1]
     begins[offsets[:-1][sizes > 0]] = True
-    starts = np.flatnonzero(begins)
+    return data, offsets, np.flatnonzero(begins)
+
+
+def cuts_of(data: np.ndarray, starts: np.ndarray, lattice) -> np.ndarray:
+    """Where the long units of a block are cut. ``lattice`` is the broadcast
+    ``Vocabulary.lattice``, which is read only if there are such units."""
     lengths = np.diff(np.append(starts, len(data)))
     cuts = []
     for at, n in zip(starts[lengths > LONGEST], lengths[lengths > LONGEST], strict=True):
         cuts += [at + c for c in long_cuts(data[at : at + n].tobytes().decode(), *lattice.value)]
-    if cuts:
+    return np.array(cuts, np.int64)
+
+
+def with_cuts(
+    data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, cuts: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of units, and each text's first unit (and an end)."""
+    if len(cuts):
         starts = np.sort(np.concatenate([starts, cuts]))
-    return data, starts, np.append(starts[1:], len(data)), np.searchsorted(starts, offsets)
+    return starts, np.append(starts[1:], len(data)) if len(starts) else starts, np.searchsorted(starts, offsets)
 
 
 class Encoded:
@@ -292,7 +305,8 @@ def _counted(parts_marks: bool, lattice):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in blocks(batches, "text"):
-            data, starts, ends, _ = unit_spans(data, offsets, parts_marks, lattice)
+            data, offsets, starts = unit_starts(data, offsets, parts_marks)
+            starts, ends, _ = with_cuts(data, offsets, starts, cuts_of(data, starts, lattice))
             hashes = word_hashes(data, starts, ends)
             _, first, counts = np.unique(hashes, return_index=True, return_counts=True)
             raw = data.tobytes()
@@ -326,90 +340,105 @@ def frequent_units(
     return counts.filter(F.col("n") >= least).select("unit")
 
 
-def _rare_units(
-    hashes: np.ndarray, first: np.ndarray, known: Encoded
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a block's units: the rows of ``known`` (-1: rare); the places of each text's distinct
-    rare units, in order; their texts; their numbers in them; and for each rare place its unit."""
-    at = known.find(hashes)
-    rare = np.flatnonzero(at < 0)
-    owner = np.searchsorted(first, rare, "right") - 1
-    named = mixed(hashes[rare] + mixed(owner.astype(np.uint64)))
-    _, once, which = np.unique(named, return_index=True, return_inverse=True)
-    order = np.argsort(once)
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    texts = owner[once[order]]
-    numbers = np.arange(len(texts)) - np.searchsorted(texts, texts)
-    return at, rare[once[order]], texts, numbers, rank[which]
-
-
-def _rare(frequent, parts_marks: bool, lattice):
-    """Each text's distinct units that are not frequent, numbered from 0."""
+def _packed(parts_marks: bool, lattice):
+    """Compressed texts, and where their long units are cut, from the start of the text's units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Encoded(*frequent.value)
-        for rows, data, offsets in blocks(batches, "text"):
-            data, starts, ends, first = unit_spans(data, offsets, parts_marks, lattice)
-            _, places, texts, numbers, _ = _rare_units(word_hashes(data, starts, ends), first, known)
-            raw, owners = data.tobytes(), pa.array(texts)
-            spans = zip(starts[places].tolist(), ends[places].tolist(), strict=True)
+        squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True)
+        for rows, raw, offsets in blocks(batches, "text"):
+            data, spaced, starts = unit_starts(raw, offsets, parts_marks)
+            cuts = cuts_of(data, starts, lattice)
+            at = np.searchsorted(cuts, spaced)
+            relative = cuts - np.repeat(spaced[:-1], np.diff(at))
+            texts = [raw[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.record_batch(
                 [
-                    pa.array([raw[a:b].decode() for a, b in spans], pa.string()),
-                    rows.column("id").take(owners),
-                    rows.column("h").take(owners),
-                    pa.array(numbers, pa.int32()),
+                    rows.column("block"),
+                    rows.column("doc_id"),
+                    pa.array([squeeze.compress(t) for t in texts], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(relative, pa.int32())),
                 ],
-                names=["unit", "id", "h", "number"],
+                names=["block", "doc_id", "packed", "cuts"],
             )
 
     return run
 
 
-def _packed(texts: pa.Array) -> pa.Array:
-    squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True)
-    return pa.array([squeeze.compress((t.as_py() or "").encode()) for t in texts], pa.binary())
+def _unpacked(
+    batches: Iterator[pa.RecordBatch], parts_marks: bool
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows, a few at a time, with the bytes of their texts' units, starts and ends of these, and
+    each text's first unit (and an end)."""
+    expand = zstandard.ZstdDecompressor()
+    for batch in (batch.slice(k, 200) for batch in batches for k in range(0, len(batch), 200)):
+        texts = pa.array([expand.decompress(x.as_py()) for x in batch.column("packed")], pa.large_binary())
+        whole = pa.record_batch(
+            [batch.column("block"), batch.column("doc_id"), texts.cast(pa.large_string()), batch.column("cuts")],
+            names=["block", "doc_id", "text", "cuts"],
+        )
+        for rows, raw, offsets in blocks(iter([whole]), "text"):
+            data, offsets, starts = unit_starts(raw, offsets, parts_marks)
+            own = rows.column("cuts")
+            cuts = np.asarray(own.flatten(), np.int64)
+            cuts = cuts + np.repeat(offsets[:-1], np.asarray(pc.list_value_length(own)))
+            yield rows, data, *with_cuts(data, offsets, starts, cuts)
 
 
-def _assembled(frequent, parts_marks: bool, lattice):
-    """The pieces of each text, from the frequent units and its own."""
+def _rare(frequent, parts_marks: bool):
+    """The units of each block that are not frequent. They are told apart within the task, which
+    has whole blocks; the next stage does so for good."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Encoded(*frequent.value)
-        expand = zstandard.ZstdDecompressor()
-        few = (batch.slice(k, 200) for batch in batches for k in range(0, len(batch), 200))
-        for batch in few:
-            texts = pa.array([expand.decompress(x.as_py()) for x in batch.column("packed")], pa.large_binary())
-            whole = pa.record_batch(
-                [batch.column("doc_id"), texts.cast(pa.large_string()), batch.column("own")],
-                names=["doc_id", "text", "own"],
+        seen = np.empty(0, np.uint64)
+        for rows, data, starts, ends, first in _unpacked(batches, parts_marks):
+            hashes = word_hashes(data, starts, ends)
+            rare = np.flatnonzero(known.find(hashes) < 0)
+            owner = np.searchsorted(first, rare, "right") - 1
+            block = np.asarray(rows.column("block"))[owner]
+            named = mixed(hashes[rare] + mixed(block.astype(np.uint64)))
+            names, once = np.unique(named, return_index=True)
+            new = ~np.isin(names, seen, assume_unique=True)
+            seen, once = np.concatenate([seen, names[new]]), once[new]
+            raw, places = data.tobytes(), rare[once]
+            spans = zip(starts[places].tolist(), ends[places].tolist(), strict=True)
+            yield pa.record_batch(
+                [
+                    pa.array([raw[a:b].decode() for a, b in spans], pa.string()),
+                    pa.array(block[once]),
+                    pa.array(hashes[places].view(np.int64)),
+                ],
+                names=["unit", "block", "hash"],
             )
-            for rows, data, offsets in blocks(iter([whole]), "text"):
-                data, starts, ends, first = unit_spans(data, offsets, parts_marks, lattice)
-                at, _, texts_of, _, which = _rare_units(word_hashes(data, starts, ends), first, known)
-                own = rows.column("own")
-                sizes = np.asarray(pc.list_value_length(own))
-                if not np.array_equal(sizes, np.bincount(texts_of, minlength=len(sizes))):
-                    raise ValueError("not all units of a text were encoded")
-                own = own.flatten()
-                lead = np.repeat(np.cumsum(sizes) - sizes, sizes)
-                back = np.empty(len(own), np.int64)
-                back[lead + np.asarray(own.field("number"))] = np.arange(len(own))
-                lists = own.field("ids").take(pa.array(back))
-                length = np.asarray(pc.list_value_length(lists), np.int64)
-                # Both tables' pieces, one after the other.
-                pieces = np.concatenate([known.ids, np.asarray(lists.flatten(), np.int32)])
-                rare = at < 0
-                lo, size = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
-                lo[~rare], size[~rare] = known.offsets[at[~rare]], np.diff(known.offsets)[at[~rare]]
-                lo[rare], size[rare] = (np.cumsum(length) - length + len(known.ids))[which], length[which]
-                end = np.cumsum(size)
-                total = int(end[-1]) if len(end) else 0
-                index = np.arange(total) - np.repeat(end - size, size) + np.repeat(lo, size)
-                bounds = np.concatenate([[0], end])[first]
-                ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(pieces[index], pa.int32()))
-                yield pa.record_batch([rows.column("doc_id"), ids], names=["doc_id", "ids"])
+
+    return run
+
+
+def _assembled(frequent, parts_marks: bool):
+    """The pieces of each text of a block, from the frequent units and the block's own."""
+
+    def run(texts: pa.Table, units: pa.Table) -> pa.Table:
+        known, own = Encoded(*frequent.value), Encoded.of(units)
+        pieces = np.concatenate([known.ids, own.ids])
+        # Both tables' places, one after the other.
+        lo = np.concatenate([known.offsets[:-1], own.offsets[:-1] + len(known.ids)])
+        size = np.concatenate([np.diff(known.offsets), np.diff(own.offsets)])
+        out = [pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})]
+        for rows, data, starts, ends, first in _unpacked(iter(texts.to_batches()), parts_marks):
+            hashes = word_hashes(data, starts, ends)
+            at = known.find(hashes)
+            rare = np.flatnonzero(at < 0)
+            found = own.find(hashes[rare])
+            if (found < 0).any():
+                raise ValueError("not all units of a text were encoded")
+            at[rare] = found + len(known.hashes)
+            end = np.cumsum(size[at])
+            total = int(end[-1]) if len(end) else 0
+            index = np.arange(total) - np.repeat(end - size[at], size[at]) + np.repeat(lo[at], size[at])
+            bounds = np.concatenate([[0], end])[first]
+            ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(pieces[index], pa.int32()))
+            out.append(pa.table({"doc_id": rows.column("doc_id"), "ids": ids}))
+        return pa.concat_tables(out)
 
     return run
 
@@ -421,42 +450,37 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     gives the text back. A null or empty text has no ids. Equal texts get equal ids; ids
     of rows may be null or repeat, and each row is encoded. Long units are cut only between
     pieces of their best path, so the ids are those of the whole text's best path. Other
-    columns are not looked at.
+    columns are not looked at. A block of texts and its units are one task's, whatever they are.
     """
     spark, parts_marks = docs.sparkSession, vocabulary.parts_marks
     lattice = spark.sparkContext.broadcast(vocabulary.lattice())
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = docs.select(*row_key(), "text")
-    # Where ids are sound they alone name the rows.
-    key = ["id", "h"] if repeats(docs, "doc_id") else ["id"]
-    hashed = encode_units(frequent_units(texts, parts_marks, lattice), vocabulary)
+    sample = docs.select(*row_key(), "text")
+    hashed = encode_units(frequent_units(sample, parts_marks, lattice), vocabulary)
     # At most FREQUENT rows of a hash and a few numbers.
     known = Encoded.of(hashed.select(F.arrow_udf(_unit_hash, "long")("unit").alias("hash"), "ids").toArrow())
     frequent = spark.sparkContext.broadcast((known.hashes, known.offsets, known.ids))
     del known
     pa.default_memory_pool().release_unused()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // ROWS_PER_PART)
+
+    # Rows are dealt to blocks by their place, so rows that repeat are spread too.
+    blocks_ = max(1, docs.count() // ROWS_PER_BLOCK)
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks_)).cast("int")
+    block = F.get(F.array(*map(F.lit, even_keys(spark, blocks_))), dealt) if blocks_ <= MOST_NAMED else dealt
+    texts = docs.withColumn("block", block.cast("long")).mapInArrow(
+        _packed(parts_marks, lattice), "block long, doc_id long, packed binary, cuts array<int>"
+    )
+    texts = texts.repartition(blocks_, "block")
     # The units once each, their encoding and the join all use this one shuffle. The first row
     # of a unit is chosen by all columns, and the filter is what the join would add on its
     # side only: with other columns or filters Spark would shuffle twice.
-    wanted = texts.mapInArrow(_rare(frequent, parts_marks, lattice), "unit string, id long, h long, number int")
-    wanted = kept(wanted.select("unit", *key, "number"), "rare-units")
-    wanted = wanted.filter(" and ".join(f"{c} is not null" for c in ("unit", *key)))
-    wanted = wanted.repartition(parts, "unit")
-    once = Window.partitionBy("unit").orderBy(*key, "number")
+    wanted = texts.mapInArrow(_rare(frequent, parts_marks), "unit string, block long, hash long")
+    wanted = wanted.filter("unit is not null and block is not null").repartition(blocks_, "unit")
+    once = Window.partitionBy("unit").orderBy("block", "hash")
     distinct = wanted.withColumn("row", F.row_number().over(once)).filter("row = 1").select("unit")
-    own = (
-        wanted.join(encode_units(distinct, vocabulary), "unit")
-        .groupBy(*key)
-        .agg(F.collect_list(F.struct("number", "ids")).alias("own"))
-    )
-    packed = docs.select("doc_id", *row_key(), F.arrow_udf(_packed, "binary")("text").alias("packed"))
-    none = F.array().cast("array<struct<number:int,ids:array<int>>>")
-    return (
-        packed.join(own, key, "left")
-        .select("doc_id", "packed", F.coalesce("own", none).alias("own"))
-        .mapInArrow(_assembled(frequent, parts_marks, lattice), "doc_id long, ids array<int>")
-    )
+    own = wanted.join(encode_units(distinct, vocabulary), "unit").select("block", "hash", "ids")
+    both = texts.groupBy("block").cogroup(own.groupBy("block"))
+    return both.applyInArrow(_assembled(frequent, parts_marks), "doc_id long, ids array<int>")
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
