@@ -126,10 +126,15 @@ def test_long_pieces_and_ties():
         assert all(len(p.encode()) <= pieces.LONGEST or p == "b" * 300 for p in parts)
 
 
-@pytest.mark.parametrize("sample", [1, 20_000])
-def test_round_trip(spark, sf_dir, monkeypatch, sample):
-    """Exact, whether units are sent to all tasks or looked up."""
+@pytest.mark.parametrize("sample,named", [(1, 20_000), (20_000, 20_000), (1, 1)])
+def test_round_trip(spark, sf_dir, monkeypatch, sample, named):
+    """Exact, whether units are sent to all tasks or looked up, in many blocks; ``named`` is 1
+    where tasks have several blocks."""
     monkeypatch.setattr(pieces, "SAMPLE_ROWS", sample)
+    monkeypatch.setattr(pieces, "ROWS_PER_BLOCK", 20)
+    monkeypatch.setattr(pieces, "RUN", 7)
+    monkeypatch.setattr(pieces, "MOST_NAMED", named)
+    monkeypatch.setattr(pieces, "PACKED_ROWS", 500)
     vocabulary = load_vocabulary()
     odd = [
         (1, None), (2, ""), (3, " "), (4, "\n"), (5, "  two  spaces \n\n and lines\n"), (6, "▁ literal mark ▁"),

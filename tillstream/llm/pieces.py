@@ -10,9 +10,9 @@ grouped by unit and a higher-order ``aggregate`` folds them into the best-scored
 
 Most occurrences are of few units, so the units of a bounded sample are encoded first
 and their pieces are sent to all tasks as three sorted arrays (at most ``FREQUENT``
-units). Texts are dealt to blocks and moved once, compressed. Each block names the units it
-has beside the frequent ones, once each; these are encoded, and their pieces come back to the
-block by the hash of the unit.
+units). Texts are dealt to blocks and moved once, compressed by runs. Each block names the units
+it has beside the frequent ones, once each and by number; these are encoded, and the pieces of
+all numbers of a block come back to it, packed by the tasks that encoded them.
 """
 
 from __future__ import annotations
@@ -28,9 +28,8 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tillstream.llm.common import blocks, even_keys, kept, mixed, row_key, word_hashes
+from tillstream.llm.common import blocks, even_keys, kept, row_key, word_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Units longer than this many bytes are cut, between pieces of their best path, into units of
@@ -40,8 +39,9 @@ SAMPLE_ROWS = 20_000
 # Up to so many blocks, each is a task of its own; more are dealt to tasks by hash.
 MOST_NAMED = 20_000
 FREQUENT = 150_000
-# A block has about as many documents.
+# A block has about as many documents, and gets them in runs of so many.
 ROWS_PER_BLOCK = 2_000
+RUN = 200
 # A character that is in no piece costs so much more than the worst piece.
 UNKNOWN_COST = 10.0
 
@@ -277,13 +277,12 @@ class Encoded:
     @staticmethod
     def of(rows: pa.Table) -> Encoded:
         """From columns ``hash`` and ``ids``."""
-        order = pc.sort_indices(rows, [("hash", "ascending")])
-        hashes = np.asarray(rows["hash"].combine_chunks().take(order)).view(np.uint64)
-        again = np.argsort(hashes)  # the numbers were sorted as signed ones
-        lists = rows["ids"].combine_chunks().take(order).take(pa.array(again))
+        hashes = np.asarray(rows["hash"]).view(np.uint64)
+        order = np.argsort(hashes)
+        lists = rows["ids"].combine_chunks().take(pa.array(order))
         sizes = np.asarray(pc.list_value_length(lists), np.int64)
         ids = np.asarray(lists.flatten(), np.int32)
-        return Encoded(hashes[again], np.concatenate([[0], np.cumsum(sizes)]), ids)
+        return Encoded(hashes[order], np.concatenate([[0], np.cumsum(sizes)]), ids)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The row of each hash, or -1."""
@@ -340,104 +339,161 @@ def frequent_units(
     return counts.filter(F.col("n") >= least).select("unit")
 
 
+RUNS = "block long, doc_ids array<long>, sizes array<int>, packed binary, cuts array<int>"
+
+
 def _packed(parts_marks: bool, lattice):
-    """Compressed texts, and where their long units are cut, from the start of the text's units."""
+    """Runs of rows of one block: their texts, compressed together, and where long units are cut,
+    from the start of the run's units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True)
         for rows, raw, offsets in blocks(batches, "text"):
             data, spaced, starts = unit_starts(raw, offsets, parts_marks)
             cuts = cuts_of(data, starts, lattice)
-            at = np.searchsorted(cuts, spaced)
-            relative = cuts - np.repeat(spaced[:-1], np.diff(at))
-            texts = [raw[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            block = np.asarray(rows.column("block"))
+            ids = rows.column("doc_id")
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
+            at = np.searchsorted(cuts, spaced[edges])
+            relative = cuts - np.repeat(spaced[edges[:-1]], np.diff(at))
+            texts = [raw[offsets[a] : offsets[b]].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            lists = pa.array(edges, pa.int32())
             yield pa.record_batch(
                 [
-                    rows.column("block"),
-                    rows.column("doc_id"),
+                    pa.array(block[edges[:-1]]),
+                    pa.ListArray.from_arrays(lists, ids),
+                    pa.ListArray.from_arrays(lists, pa.array(np.diff(offsets), pa.int32())),
                     pa.array([squeeze.compress(t) for t in texts], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(relative, pa.int32())),
                 ],
-                names=["block", "doc_id", "packed", "cuts"],
+                names=[c.split()[0] for c in RUNS.split(", ")],
             )
 
     return run
 
 
-def _unpacked(
-    batches: Iterator[pa.RecordBatch], parts_marks: bool
-) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows, a few at a time, with the bytes of their texts' units, starts and ends of these, and
-    each text's first unit (and an end)."""
+def _runs(batches: Iterator[pa.RecordBatch], parts_marks: bool):
+    """Of each run: its block and ids, the bytes of its units, starts and ends of these, and each
+    text's first unit (and an end)."""
     expand = zstandard.ZstdDecompressor()
-    for batch in (batch.slice(k, 200) for batch in batches for k in range(0, len(batch), 200)):
-        texts = pa.array([expand.decompress(x.as_py()) for x in batch.column("packed")], pa.large_binary())
-        whole = pa.record_batch(
-            [batch.column("block"), batch.column("doc_id"), texts.cast(pa.large_string()), batch.column("cuts")],
-            names=["block", "doc_id", "text", "cuts"],
-        )
-        for rows, raw, offsets in blocks(iter([whole]), "text"):
+    for batch in batches:
+        for k in range(len(batch)):
+            block, ids, sizes, packed, cuts = (batch.column(i)[k] for i in range(5))
+            raw = np.frombuffer(expand.decompress(packed.as_py()), np.uint8)
+            offsets = np.concatenate([[0], np.cumsum(np.asarray(sizes.values, np.int64))])
             data, offsets, starts = unit_starts(raw, offsets, parts_marks)
-            own = rows.column("cuts")
-            cuts = np.asarray(own.flatten(), np.int64)
-            cuts = cuts + np.repeat(offsets[:-1], np.asarray(pc.list_value_length(own)))
-            yield rows, data, *with_cuts(data, offsets, starts, cuts)
+            yield block.as_py(), ids.values, data, *with_cuts(data, offsets, starts, np.asarray(cuts.values, np.int64))
 
 
 def _rare(frequent, parts_marks: bool):
-    """The units of each block that are not frequent. They are told apart within the task, which
-    has whole blocks; the next stage does so for good."""
+    """The units of each block that are not frequent, numbered in the order of their hashes. A
+    task has whole blocks and keeps their units' hashes and texts until their end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Encoded(*frequent.value)
-        seen = np.empty(0, np.uint64)
-        for rows, data, starts, ends, first in _unpacked(batches, parts_marks):
+        found: dict[int, tuple[np.ndarray, list[str]]] = {}
+        for block, _, data, starts, ends, _ in _runs(batches, parts_marks):
             hashes = word_hashes(data, starts, ends)
             rare = np.flatnonzero(known.find(hashes) < 0)
-            owner = np.searchsorted(first, rare, "right") - 1
-            block = np.asarray(rows.column("block"))[owner]
-            named = mixed(hashes[rare] + mixed(block.astype(np.uint64)))
-            names, once = np.unique(named, return_index=True)
-            new = ~np.isin(names, seen, assume_unique=True)
-            seen, once = np.concatenate([seen, names[new]]), once[new]
-            raw, places = data.tobytes(), rare[once]
-            spans = zip(starts[places].tolist(), ends[places].tolist(), strict=True)
-            yield pa.record_batch(
-                [
-                    pa.array([raw[a:b].decode() for a, b in spans], pa.string()),
-                    pa.array(block[once]),
-                    pa.array(hashes[places].view(np.int64)),
-                ],
-                names=["unit", "block", "hash"],
-            )
+            own, once = np.unique(hashes[rare], return_index=True)
+            seen, units = found.get(block, (np.empty(0, np.uint64), []))
+            new = ~np.isin(own, seen, assume_unique=True)
+            places, raw = rare[once[new]], data.tobytes()
+            units += [raw[a:b].decode() for a, b in zip(starts[places].tolist(), ends[places].tolist(), strict=True)]
+            found[block] = np.concatenate([seen, own[new]]), units
+        for block, (hashes, units) in found.items():
+            number = np.empty(len(hashes), np.int32)
+            number[np.argsort(hashes)] = np.arange(len(hashes))
+            texts = pa.array(units, pa.string())
+            # In alphabetical order the shuffle's compression finds more.
+            order = pc.sort_indices(texts)
+            columns = [texts.take(order), pa.array(np.full(len(units), block)), pa.array(number).take(order)]
+            yield pa.record_batch(columns, names=["unit", "block", "number"])
 
     return run
 
 
+# Rows that are packed together at most.
+PACKED_ROWS = 1 << 20
+
+
+def _pack(blocks_: np.ndarray, numbers: np.ndarray, lists: pa.ListArray) -> pa.RecordBatch:
+    """Rows of (block, number, ids) as one value for each block."""
+    squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True)
+    order = np.lexsort((numbers, blocks_))
+    lists = lists.take(pa.array(order))
+    blocks_, numbers = blocks_[order], numbers[order].astype(np.int32)
+    sizes = np.asarray(pc.list_value_length(lists), np.int32)
+    ids, ends = np.asarray(lists.flatten(), np.int32), np.concatenate([[0], np.cumsum(sizes)])
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(blocks_)) + 1, [len(blocks_)]]) if len(blocks_) else np.zeros(1, int)
+    out = []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        steps = np.diff(numbers[a:b], prepend=np.int32(0))
+        out.append(squeeze.compress(np.concatenate([[b - a], steps, sizes[a:b], ids[ends[a] : ends[b]]]).astype(np.int32).tobytes()))
+    return pa.record_batch([pa.array(blocks_[edges[:-1]], pa.int64()), pa.array(out, pa.binary())], names=["block", "units"])
+
+
+def _unpack(values: list[bytes], hashes: np.ndarray) -> Encoded:
+    """The pieces of a block's units, of which ``hashes`` are those, by number."""
+    expand = zstandard.ZstdDecompressor()
+    numbers, sizes, ids = [], [], []
+    for value in values:
+        row = np.frombuffer(expand.decompress(value), np.int32)
+        n = int(row[0])
+        numbers.append(np.cumsum(row[1 : n + 1]))
+        sizes.append(row[n + 1 : 2 * n + 1])
+        ids.append(row[2 * n + 1 :])
+    none = [np.empty(0, np.int32)]
+    number, size, flat = (np.concatenate(none + x).astype(np.int64) for x in (numbers, sizes, ids))
+    order = np.argsort(number)
+    if not np.array_equal(number[order], np.arange(len(hashes))):
+        raise ValueError("not all units of a block were encoded")
+    lo, n = (np.cumsum(size) - size)[order], size[order]
+    end = np.cumsum(n)
+    index = np.arange(int(end[-1]) if len(end) else 0) - np.repeat(end - n, n) + np.repeat(lo, n)
+    return Encoded(hashes, np.concatenate([[0], end]), flat[index].astype(np.int32))
+
+
+def _returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a task encoded, as one value for each block that asked."""
+    held: list[pa.RecordBatch] = []
+
+    def flush() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        ids = rows["ids"].combine_chunks()
+        return _pack(np.asarray(rows["block"]), np.asarray(rows["number"]), ids)
+
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= PACKED_ROWS:
+            yield flush()
+    if held:
+        yield flush()
+
+
 def _assembled(frequent, parts_marks: bool):
     """The pieces of each text of a block, from the frequent units and the block's own."""
 
     def run(texts: pa.Table, units: pa.Table) -> pa.Table:
-        known, own = Encoded(*frequent.value), Encoded.of(units)
+        known = Encoded(*frequent.value)
+        runs = [(ids, word_hashes(data, a, b), first) for _, ids, data, a, b, first in _runs(iter(texts.to_batches()), parts_marks)]
+        rare = [h[known.find(h) < 0] for _, h, _ in runs]
+        own = _unpack(units["units"].to_pylist(), np.unique(np.concatenate([np.empty(0, np.uint64), *rare])))
         pieces = np.concatenate([known.ids, own.ids])
         # Both tables' places, one after the other.
         lo = np.concatenate([known.offsets[:-1], own.offsets[:-1] + len(known.ids)])
         size = np.concatenate([np.diff(known.offsets), np.diff(own.offsets)])
         out = [pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})]
-        for rows, data, starts, ends, first in _unpacked(iter(texts.to_batches()), parts_marks):
-            hashes = word_hashes(data, starts, ends)
+        for ids, hashes, first in runs:
             at = known.find(hashes)
-            rare = np.flatnonzero(at < 0)
-            found = own.find(hashes[rare])
-            if (found < 0).any():
-                raise ValueError("not all units of a text were encoded")
-            at[rare] = found + len(known.hashes)
+            at = np.where(at < 0, own.find(hashes) + len(known.hashes), at)
             end = np.cumsum(size[at])
             total = int(end[-1]) if len(end) else 0
             index = np.arange(total) - np.repeat(end - size[at], size[at]) + np.repeat(lo[at], size[at])
             bounds = np.concatenate([[0], end])[first]
-            ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(pieces[index], pa.int32()))
-            out.append(pa.table({"doc_id": rows.column("doc_id"), "ids": ids}))
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(pieces[index], pa.int32()))
+            out.append(pa.table({"doc_id": ids, "ids": lists}))
         return pa.concat_tables(out)
 
     return run
@@ -463,22 +519,23 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     del known
     pa.default_memory_pool().release_unused()
 
-    # Rows are dealt to blocks by their place, so rows that repeat are spread too.
-    blocks_ = max(1, docs.count() // ROWS_PER_BLOCK)
-    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks_)).cast("int")
-    block = F.get(F.array(*map(F.lit, even_keys(spark, blocks_))), dealt) if blocks_ <= MOST_NAMED else dealt
-    texts = docs.withColumn("block", block.cast("long")).mapInArrow(
-        _packed(parts_marks, lattice), "block long, doc_id long, packed binary, cuts array<int>"
-    )
+    # Runs of rows are dealt to blocks by their place, so rows that repeat are spread too.
+    blocks_ = max(2, docs.count() // ROWS_PER_BLOCK)
+    place = F.floor(F.monotonically_increasing_id() / RUN)
+    block = F.pmod(F.xxhash64(place), F.lit(blocks_)).cast("int")
+    if blocks_ <= MOST_NAMED:
+        block = F.get(F.array(*map(F.lit, even_keys(spark, blocks_))), block)
+    texts = docs.withColumn("block", block.cast("long")).mapInArrow(_packed(parts_marks, lattice), RUNS)
     texts = texts.repartition(blocks_, "block")
-    # The units once each, their encoding and the join all use this one shuffle. The first row
-    # of a unit is chosen by all columns, and the filter is what the join would add on its
-    # side only: with other columns or filters Spark would shuffle twice.
-    wanted = texts.mapInArrow(_rare(frequent, parts_marks), "unit string, block long, hash long")
-    wanted = wanted.filter("unit is not null and block is not null").repartition(blocks_, "unit")
-    once = Window.partitionBy("unit").orderBy("block", "hash")
-    distinct = wanted.withColumn("row", F.row_number().over(once)).filter("row = 1").select("unit")
-    own = wanted.join(encode_units(distinct, vocabulary), "unit").select("block", "hash", "ids")
+    # The units once each, their encoding and the join all use this one shuffle. The units are
+    # told apart with all columns, and the filter is what the join would add on its side only:
+    # with other columns or filters Spark would shuffle twice.
+    wanted = texts.mapInArrow(_rare(frequent, parts_marks), "unit string, block long, number int")
+    wanted = wanted.filter("unit is not null").repartition(blocks_, "unit")
+    distinct = wanted.groupBy("unit").agg(F.max("block").alias("b"), F.max("number").alias("n"))
+    distinct = distinct.filter("b is not null or n is not null").select("unit")
+    coded = encode_units(distinct, vocabulary).hint("shuffle_hash")
+    own = wanted.join(coded, "unit").select("block", "number", "ids").mapInArrow(_returned, "block long, units binary")
     both = texts.groupBy("block").cogroup(own.groupBy("block"))
     return both.applyInArrow(_assembled(frequent, parts_marks), "doc_id long, ids array<int>")
 
