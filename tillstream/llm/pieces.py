@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-Texts are cut into units at which no piece can span the cut: before a run of spaces, around
-a line feed and, where the vocabulary has no piece that joins them, between letters and
-ASCII marks or digits. Units that are long all the same are cut on their best path, which a
+Texts are cut into units wherever no piece of the vocabulary has the two characters side by
+side (told by the last byte of the one and the first of the other), so no piece spans a cut:
+before spaces, around line feeds, mostly between letters and marks. Units that are long all the same are cut on their best path, which a
 task finds by itself, once a text. For each distinct unit, all substrings up to the length
 of the longest piece are exploded and joined to the piece table; the edges found are
 grouped by unit and a higher-order ``aggregate`` folds them into the best-scored path
@@ -17,7 +17,6 @@ all numbers of a block come back to it, packed by the tasks that encoded them.
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,13 +28,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import blocks, even_keys, kept, row_key, word_hashes
+from tillstream.llm.common import blocks, even_keys, kept, mixed, row_key
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Units longer than this many bytes are cut, between pieces of their best path, into units of
 # at most so many (or of one piece).
 LONGEST = 256
 SAMPLE_ROWS = 20_000
+# Units of a task that are grouped in memory.
+IN_MEMORY, MOST_GROUPS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", 200_000
 # Up to so many blocks, each is a task of its own; more are dealt to tasks by hash.
 MOST_NAMED = 20_000
 FREQUENT = 150_000
@@ -58,12 +59,14 @@ class Vocabulary:
     def unknown_score(self) -> float:
         return min(self.scores) - UNKNOWN_COST
 
-    @property
-    def parts_marks(self) -> bool:
-        """Whether no piece holds a letter next to an ASCII mark or digit."""
-        letter, mark = "[A-Za-z\u00c0-\u03ff]", "[\x00-\x1f!-@\\[-`{-\x7f]"
-        joined = re.compile(f"{letter}{mark}|{mark}{letter}")
-        return not any(joined.search(p) for p in self.pieces)
+    def joined(self) -> np.ndarray:
+        """For the last byte of a character and the first of the next: whether a piece joins them."""
+        out = np.zeros((256, 256), bool)
+        for piece in self.pieces:
+            raw = np.frombuffer(piece.encode(), np.uint8)
+            first = np.flatnonzero(raw[1:] & 0xC0 != 0x80) + 1
+            out[raw[first - 1], raw[first]] = True
+        return out
 
     def table(self, spark: SparkSession) -> DataFrame:
         """``piece``, ``id``, ``score``; its size is fixed by the vocabulary file."""
@@ -191,14 +194,6 @@ def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 # --- documents ---
 
 
-# Classes of bytes; the second byte of a two-byte letter is one too.
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC3, 0xD0)]] = True
-_MARK = np.zeros(256, bool)
-_MARK[:0x80] = ~_LETTER[:0x80]
-_MARK[[0x0A, 0x20]] = False
-
-
 def long_cuts(unit: str, scores: dict[str, float], reach: dict[str, int], unknown: float) -> list[int]:
     """Where to cut a long unit, in bytes: between pieces of its best path, so that the best paths
     of the parts are that of the whole (ties are settled as in ``encode_units``)."""
@@ -228,7 +223,7 @@ def long_cuts(unit: str, scores: dict[str, float], reach: dict[str, int], unknow
 
 
 def unit_starts(
-    data: np.ndarray, offsets: np.ndarray, parts_marks: bool
+    data: np.ndarray, offsets: np.ndarray, joined: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The bytes of a block with a space before each text that is not empty, the offset of each
     text in them, and the starts of units, of which some may be long."""
@@ -237,14 +232,9 @@ def unit_starts(
     offsets = offsets + np.concatenate([[0], np.cumsum(sizes > 0)])
     if not len(data):
         return data, offsets, np.empty(0, np.int64)
-    space, feed = data == 32, data == 10
-    begins = feed.copy()
-    begins[1:] |= space[1:] & ~space[:-1]
-    begins[1:] |= ~space[1:] & feed[:-1]
-    if parts_marks:
-        letter, mark = _LETTER[data], _MARK[data]
-        letter[1:] |= (data[1:] & 0xC0 == 0x80) & (data[:-1] >= 0xC3) & (data[:-1] < 0xD0)
-        begins[1:] |= letter[1:] & mark[:-1] | mark[1:] & letter[:-1]
+    begins = np.zeros(len(data), bool)
+    pair = (data[:-1].astype(np.uint16) << 8) | data[1:]
+    begins[1:] = ~joined.ravel()[pair] & (data[1:] & 0xC0 != 0x80)
     begins[offsets[:-1][sizes > 0]] = True
     return data, offsets, np.flatnonzero(begins)
 
@@ -268,11 +258,43 @@ def with_cuts(
     return starts, np.append(starts[1:], len(data)) if len(starts) else starts, np.searchsorted(starts, offsets)
 
 
+_FACTOR = 0x9E3779B97F4A7C15
+_POWERS = np.cumprod(np.full(1 << 20, _FACTOR, np.uint64))
+_INVERSES = np.cumprod(np.full(1 << 20, pow(_FACTOR, -1, 1 << 64), np.uint64))
+
+
+def unit_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes; spans are in order and do not overlap.
+
+    Sums of bytes times powers are taken over the whole block; a span's difference of sums is
+    divided by the power at its start.
+    """
+    out = np.empty(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        # As many spans as the powers reach; one that is longer is a part of its own.
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + len(_POWERS), "right")))
+        base, end = int(starts[a]), int(ends[b - 1])
+        powers = _POWERS if end - base <= len(_POWERS) else np.cumprod(np.full(end - base, _FACTOR, np.uint64))
+        sums = np.zeros(end - base + 1, np.uint64)
+        np.cumsum((data[base:end].astype(np.uint64) + np.uint64(1)) * powers[: end - base], out=sums[1:])
+        own = sums[ends[a:b] - base] - sums[starts[a:b] - base]
+        out[a:b] = own * _INVERSES[starts[a:b] - base] + (ends[a:b] - starts[a:b]).astype(np.uint64)
+        a = b
+    return mixed(out)
+
+
 class Encoded:
     """Pieces of units by the units' sorted hashes."""
 
     def __init__(self, hashes: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> None:
         self.hashes, self.offsets, self.ids = hashes, offsets, ids
+        # Where hashes with the same leading bits begin; few share them.
+        bits = max(1, min(22, int(len(hashes)).bit_length() + 2))
+        self.shift = np.uint64(64 - bits)
+        lead = (hashes >> self.shift).astype(np.int64)
+        self.begin = np.searchsorted(lead, np.arange((1 << bits) + 1))
+        self.most = int(np.diff(self.begin).max(initial=0))
 
     @staticmethod
     def of(rows: pa.Table) -> Encoded:
@@ -286,27 +308,34 @@ class Encoded:
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The row of each hash, or -1."""
+        out = np.full(len(hashes), -1)
         if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+            return out
+        lead = (hashes >> self.shift).astype(np.int64)
+        at, end = self.begin[lead], self.begin[lead + 1]
+        for _ in range(self.most):
+            open_ = at < end
+            hit = open_ & (self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes)
+            out[hit] = at[hit]
+            at = at + 1
+        return out
 
 
 def _unit_hash(units: pa.Array) -> pa.Array:
     raw = pc.fill_null(units, "").cast(pa.large_string())
     offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
     data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
-    return pa.array(word_hashes(data, offsets[:-1], offsets[1:]).view(np.int64))
+    return pa.array(unit_hashes(data, offsets[:-1], offsets[1:]).view(np.int64))
 
 
-def _counted(parts_marks: bool, lattice):
+def _counted(joined: np.ndarray, lattice):
     """The distinct units of each block, with counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in blocks(batches, "text"):
-            data, offsets, starts = unit_starts(data, offsets, parts_marks)
+            data, offsets, starts = unit_starts(data, offsets, joined)
             starts, ends, _ = with_cuts(data, offsets, starts, cuts_of(data, starts, lattice))
-            hashes = word_hashes(data, starts, ends)
+            hashes = unit_hashes(data, starts, ends)
             _, first, counts = np.unique(hashes, return_index=True, return_counts=True)
             raw = data.tobytes()
             spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
@@ -317,7 +346,7 @@ def _counted(parts_marks: bool, lattice):
 
 
 def frequent_units(
-    texts: DataFrame, parts_marks: bool, lattice, most: int = FREQUENT, sample: int | None = None
+    texts: DataFrame, joined: np.ndarray, lattice, most: int = FREQUENT, sample: int | None = None
 ) -> DataFrame:
     """The units that occur at least twice, or more often if that gives more than ``most``, in
     a sample of about ``sample`` rows. The sample only says which units are sent to all tasks."""
@@ -326,7 +355,7 @@ def frequent_units(
         F.pmod(F.xxhash64("id", "h"), F.lit(1_000_000)) < int(min(1.0, sample / total) * 1_000_000)
     )
     counts = kept(
-        drawn.select("text").mapInArrow(_counted(parts_marks, lattice), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")),
+        drawn.select("text").mapInArrow(_counted(joined, lattice), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")),
         "unit-counts",
     )
     spread = counts.filter("n > 1").groupBy(F.least("n", F.lit(10_000)).alias("n")).agg(F.count(F.lit(1)).alias("units"))
@@ -342,14 +371,14 @@ def frequent_units(
 RUNS = "block long, doc_ids array<long>, sizes array<int>, packed binary, cuts array<int>"
 
 
-def _packed(parts_marks: bool, lattice):
+def _packed(joined: np.ndarray, lattice):
     """Runs of rows of one block: their texts, compressed together, and where long units are cut,
     from the start of the run's units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True)
         for rows, raw, offsets in blocks(batches, "text"):
-            data, spaced, starts = unit_starts(raw, offsets, parts_marks)
+            data, spaced, starts = unit_starts(raw, offsets, joined)
             cuts = cuts_of(data, starts, lattice)
             block = np.asarray(rows.column("block"))
             ids = rows.column("doc_id")
@@ -372,7 +401,7 @@ def _packed(parts_marks: bool, lattice):
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch], parts_marks: bool):
+def _runs(batches: Iterator[pa.RecordBatch], joined: np.ndarray):
     """Of each run: its block and ids, the bytes of its units, starts and ends of these, and each
     text's first unit (and an end)."""
     expand = zstandard.ZstdDecompressor()
@@ -381,19 +410,19 @@ def _runs(batches: Iterator[pa.RecordBatch], parts_marks: bool):
             block, ids, sizes, packed, cuts = (batch.column(i)[k] for i in range(5))
             raw = np.frombuffer(expand.decompress(packed.as_py()), np.uint8)
             offsets = np.concatenate([[0], np.cumsum(np.asarray(sizes.values, np.int64))])
-            data, offsets, starts = unit_starts(raw, offsets, parts_marks)
+            data, offsets, starts = unit_starts(raw, offsets, joined)
             yield block.as_py(), ids.values, data, *with_cuts(data, offsets, starts, np.asarray(cuts.values, np.int64))
 
 
-def _rare(frequent, parts_marks: bool):
+def _rare(frequent, joined: np.ndarray):
     """The units of each block that are not frequent, numbered in the order of their hashes. A
     task has whole blocks and keeps their units' hashes and texts until their end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Encoded(*frequent.value)
         found: dict[int, tuple[np.ndarray, list[str]]] = {}
-        for block, _, data, starts, ends, _ in _runs(batches, parts_marks):
-            hashes = word_hashes(data, starts, ends)
+        for block, _, data, starts, ends, _ in _runs(batches, joined):
+            hashes = unit_hashes(data, starts, ends)
             rare = np.flatnonzero(known.find(hashes) < 0)
             own, once = np.unique(hashes[rare], return_index=True)
             seen, units = found.get(block, (np.empty(0, np.uint64), []))
@@ -472,22 +501,25 @@ def _returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _assembled(frequent, parts_marks: bool):
+def _assembled(frequent, joined: np.ndarray):
     """The pieces of each text of a block, from the frequent units and the block's own."""
 
     def run(texts: pa.Table, units: pa.Table) -> pa.Table:
         known = Encoded(*frequent.value)
-        runs = [(ids, word_hashes(data, a, b), first) for _, ids, data, a, b, first in _runs(iter(texts.to_batches()), parts_marks)]
-        rare = [h[known.find(h) < 0] for _, h, _ in runs]
-        own = _unpack(units["units"].to_pylist(), np.unique(np.concatenate([np.empty(0, np.uint64), *rare])))
+        runs, rare = [], [np.empty(0, np.uint64)]
+        for _, ids, data, starts, ends, first in _runs(iter(texts.to_batches()), joined):
+            hashes = unit_hashes(data, starts, ends)
+            at = known.find(hashes)
+            runs.append((ids, at, first))
+            rare.append(hashes[at < 0])
+        own = _unpack(units["units"].to_pylist(), np.unique(np.concatenate(rare)))
         pieces = np.concatenate([known.ids, own.ids])
         # Both tables' places, one after the other.
         lo = np.concatenate([known.offsets[:-1], own.offsets[:-1] + len(known.ids)])
         size = np.concatenate([np.diff(known.offsets), np.diff(own.offsets)])
         out = [pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})]
-        for ids, hashes, first in runs:
-            at = known.find(hashes)
-            at = np.where(at < 0, own.find(hashes) + len(known.hashes), at)
+        for (ids, at, first), hashes in zip(runs, rare[1:], strict=True):
+            at[at < 0] = own.find(hashes) + len(known.hashes)
             end = np.cumsum(size[at])
             total = int(end[-1]) if len(end) else 0
             index = np.arange(total) - np.repeat(end - size[at], size[at]) + np.repeat(lo[at], size[at])
@@ -508,40 +540,55 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     pieces of their best path, so the ids are those of the whole text's best path. Other
     columns are not looked at. A block of texts and its units are one task's, whatever they are.
     """
-    spark, parts_marks = docs.sparkSession, vocabulary.parts_marks
+    spark, joined = docs.sparkSession, vocabulary.joined()
     lattice = spark.sparkContext.broadcast(vocabulary.lattice())
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sample = docs.select(*row_key(), "text")
-    hashed = encode_units(frequent_units(sample, parts_marks, lattice), vocabulary)
+    hashed = encode_units(frequent_units(sample, joined, lattice), vocabulary)
     # At most FREQUENT rows of a hash and a few numbers.
     known = Encoded.of(hashed.select(F.arrow_udf(_unit_hash, "long")("unit").alias("hash"), "ids").toArrow())
     frequent = spark.sparkContext.broadcast((known.hashes, known.offsets, known.ids))
     del known
     pa.default_memory_pool().release_unused()
 
+    # A task has the units of one block or so, so they can be grouped in memory; by default Spark
+    # sorts their edges when there are more than 128 of them.
+    if spark.conf.get(IN_MEMORY) == "128":
+        spark.conf.set(IN_MEMORY, str(MOST_GROUPS))
     # Runs of rows are dealt to blocks by their place, so rows that repeat are spread too.
     blocks_ = max(2, docs.count() // ROWS_PER_BLOCK)
     place = F.floor(F.monotonically_increasing_id() / RUN)
     block = F.pmod(F.xxhash64(place), F.lit(blocks_)).cast("int")
     if blocks_ <= MOST_NAMED:
         block = F.get(F.array(*map(F.lit, even_keys(spark, blocks_))), block)
-    texts = docs.withColumn("block", block.cast("long")).mapInArrow(_packed(parts_marks, lattice), RUNS)
+    texts = docs.withColumn("block", block.cast("long")).mapInArrow(_packed(joined, lattice), RUNS)
     texts = texts.repartition(blocks_, "block")
     # The units once each, their encoding and the join all use this one shuffle. The units are
     # told apart with all columns, and the filter is what the join would add on its side only:
     # with other columns or filters Spark would shuffle twice.
-    wanted = texts.mapInArrow(_rare(frequent, parts_marks), "unit string, block long, number int")
+    wanted = texts.mapInArrow(_rare(frequent, joined), "unit string, block long, number int")
     wanted = wanted.filter("unit is not null").repartition(blocks_, "unit")
     distinct = wanted.groupBy("unit").agg(F.max("block").alias("b"), F.max("number").alias("n"))
     distinct = distinct.filter("b is not null or n is not null").select("unit")
     coded = encode_units(distinct, vocabulary).hint("shuffle_hash")
     own = wanted.join(coded, "unit").select("block", "number", "ids").mapInArrow(_returned, "block long, units binary")
     both = texts.groupBy("block").cogroup(own.groupBy("block"))
-    return both.applyInArrow(_assembled(frequent, parts_marks), "doc_id long, ids array<int>")
+    return both.applyInArrow(_assembled(frequent, joined), "doc_id long, ids array<int>")
+
+
+# Stands in no piece.
+_SEPARATOR = "\ue000"
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
-    """The text of ``ids``: their bytes put together, without the space before the text."""
-    table = F.split(F.lit(",".join(vocabulary.hex_by_id())), ",")
-    digits = F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")
-    return F.substring(F.decode(F.unhex(digits), "UTF-8"), F.lit(2), F.length(digits))
+    """The text of ``ids``: their pieces put together, or where one is a byte the bytes of all,
+    without the space before the text."""
+    hexes = F.split(F.lit(",".join(vocabulary.hex_by_id())), ",")
+    digits = F.array_join(F.transform(ids, lambda i: F.get(hexes, i)), "")
+    text = F.decode(F.unhex(digits), "UTF-8")
+    low, high = min(vocabulary.byte_ids), max(vocabulary.byte_ids)
+    if high - low == 255 and not any(_SEPARATOR in p for p in vocabulary.pieces):
+        pieces = F.split(F.lit(_SEPARATOR.join(vocabulary.pieces)), _SEPARATOR)
+        plain = F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "")
+        text = F.when(F.exists(ids, lambda i: i.between(low, high)), text).otherwise(plain)
+    return F.substring(text, F.lit(2), F.length(text))
