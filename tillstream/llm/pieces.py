@@ -259,8 +259,17 @@ def with_cuts(
 
 
 _FACTOR = 0x9E3779B97F4A7C15
-_POWERS = np.cumprod(np.full(1 << 20, _FACTOR, np.uint64))
-_INVERSES = np.cumprod(np.full(1 << 20, pow(_FACTOR, -1, 1 << 64), np.uint64))
+_SPAN = 1 << 18
+# Powers of the factor and of its inverse; made in each process, as functions are sent with what
+# they refer to.
+_TABLES: dict[str, np.ndarray] = {}
+
+
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    if not _TABLES:
+        _TABLES["inverses"] = np.cumprod(np.full(_SPAN, pow(_FACTOR, -1, 1 << 64), np.uint64))
+        _TABLES["powers"] = np.cumprod(np.full(_SPAN, _FACTOR, np.uint64))
+    return _TABLES["powers"], _TABLES["inverses"]
 
 
 def unit_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -269,17 +278,18 @@ def unit_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     Sums of bytes times powers are taken over the whole block; a span's difference of sums is
     divided by the power at its start.
     """
+    table, inverses = _powers()
     out = np.empty(len(starts), np.uint64)
     a = 0
     while a < len(starts):
         # As many spans as the powers reach; one that is longer is a part of its own.
-        b = max(a + 1, int(np.searchsorted(ends, starts[a] + len(_POWERS), "right")))
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + len(table), "right")))
         base, end = int(starts[a]), int(ends[b - 1])
-        powers = _POWERS if end - base <= len(_POWERS) else np.cumprod(np.full(end - base, _FACTOR, np.uint64))
+        powers = table if end - base <= len(table) else np.cumprod(np.full(end - base, _FACTOR, np.uint64))
         sums = np.zeros(end - base + 1, np.uint64)
         np.cumsum((data[base:end].astype(np.uint64) + np.uint64(1)) * powers[: end - base], out=sums[1:])
         own = sums[ends[a:b] - base] - sums[starts[a:b] - base]
-        out[a:b] = own * _INVERSES[starts[a:b] - base] + (ends[a:b] - starts[a:b]).astype(np.uint64)
+        out[a:b] = own * inverses[starts[a:b] - base] + (ends[a:b] - starts[a:b]).astype(np.uint64)
         a = b
     return mixed(out)
 
@@ -576,19 +586,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return both.applyInArrow(_assembled(frequent, joined), "doc_id long, ids array<int>")
 
 
-# Stands in no piece.
-_SEPARATOR = "\ue000"
-
-
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
-    """The text of ``ids``: their pieces put together, or where one is a byte the bytes of all,
-    without the space before the text."""
-    hexes = F.split(F.lit(",".join(vocabulary.hex_by_id())), ",")
-    digits = F.array_join(F.transform(ids, lambda i: F.get(hexes, i)), "")
-    text = F.decode(F.unhex(digits), "UTF-8")
-    low, high = min(vocabulary.byte_ids), max(vocabulary.byte_ids)
-    if high - low == 255 and not any(_SEPARATOR in p for p in vocabulary.pieces):
-        pieces = F.split(F.lit(_SEPARATOR.join(vocabulary.pieces)), _SEPARATOR)
-        plain = F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "")
-        text = F.when(F.exists(ids, lambda i: i.between(low, high)), text).otherwise(plain)
-    return F.substring(text, F.lit(2), F.length(text))
+    """The text of ``ids``: their bytes put together, without the space before the text."""
+    table = F.split(F.lit(",".join(vocabulary.hex_by_id())), ",")
+    digits = F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")
+    return F.substring(F.decode(F.unhex(digits), "UTF-8"), F.lit(2), F.length(digits))
