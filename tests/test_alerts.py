@@ -211,3 +211,26 @@ def test_a_message_is_parsed_once(spark, master):
     alerts = alert_events(events, master).select(*ALERT_COLUMNS)
     plan = alerts._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_a_bucketed_master_is_not_shuffled(spark):
+    from tillstream.operators.lookups import lookup
+    from tillstream.sources.master import save_master
+
+    rows = [(f"A{i}", f"N{i}", f"{i}@x") for i in range(200)]
+    save_master(spark.createDataFrame(rows, "account_id string, user_name string, user_email string"), "big_master", 8)
+    events = spark.createDataFrame([(i, f"A{i % 300}") for i in range(900)] + [(901, None)], "n int, account_id string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a large one
+    try:
+        for how, expected in (("inner", 600), ("left_anti", 301)):
+            found = lookup(events, spark.table("big_master"), "account_id", how, broadcast_bytes=0, hot_rows=10**6)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            scan = next(i for i, line in enumerate(plan.splitlines()) if "big_master" in line)
+            exchanges = [i for i, line in enumerate(plan.splitlines()) if "Exchange" in line]
+            # One exchange, on the side of the events, above which the master's scan does not lie.
+            assert len(exchanges) == 1 and exchanges[0] < scan and "Bucketed: true" in plan, plan
+            assert "SortMergeJoin" in plan and found.count() == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql("DROP TABLE big_master")

@@ -27,15 +27,17 @@ def lookup(
 ) -> DataFrame:
     """Join events to a dimension with one row per key (``inner`` or ``left_anti``).
 
-    The dimension is broadcast when its measured size allows. Otherwise rows of
+    The dimension is broadcast when its measured size allows (0 means never, and then it is not
+    measured). Otherwise rows of
     hot keys join a broadcast of just those dimension rows (fewer than events /
-    ``hot_rows``), NULL keys skip the join, and the rest is shuffled by key.
+    ``hot_rows``), NULL keys skip the join, and the rest is shuffled by key. A dimension that is
+    a table bucketed by the key stays where it is; only events are shuffled to its buckets.
     """
     if how not in ("inner", "left_anti"):
         raise ValueError(f"unsupported lookup: {how}")
     if how == "left_anti":
         dim = dim.select(key)
-    if size_in_bytes(dim) <= broadcast_bytes:
+    if broadcast_bytes > 0 and size_in_bytes(dim) <= broadcast_bytes:
         return events.join(F.broadcast(dim), key, how)
 
     keyed = events.filter(F.col(key).isNotNull())

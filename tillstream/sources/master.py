@@ -60,3 +60,19 @@ def read_master(spark: SparkSession, path: str, multiline: bool = True) -> DataF
     rows = reduce(DataFrame.unionByName, frames)
     order = [F.col(c) for c in ("_file_time", "_file", "_block", "_row")]
     return latest_per_account(rows, order)
+
+
+def save_master(master: DataFrame, table: str, buckets: int) -> None:
+    """Keep a large master as a table bucketed by account, in place of an older one.
+
+    Lookups then shuffle events only. Give as many buckets as the session has shuffle partitions
+    or more: Spark prefers the side with more partitions.
+    """
+    (
+        master.select(*MASTER_FIELDS)
+        .repartition(buckets, "account_id")  # one file a bucket
+        .write.mode("overwrite")
+        .bucketBy(buckets, "account_id")
+        .sortBy("account_id")
+        .saveAsTable(table)
+    )

@@ -29,11 +29,13 @@ def alerting(
     every: str | None = None,
     rules: Rules = Rules(),
     sender: Sender = Sender(),
+    large_master: bool = False,
 ) -> StreamingQuery:
     """Write one outbox row, with its message, per alert.
 
     ``load_master`` is called for every micro-batch, so changes to the master are
-    seen. ``unmatched`` receives the events of unknown accounts, ``bad`` the messages
+    seen. With ``large_master`` it is neither measured nor kept meanwhile; where it reads a table
+    that ``save_master`` wrote, it is not shuffled either. ``unmatched`` receives the events of unknown accounts, ``bad`` the messages
     that are no JSON objects, ``metrics`` one row of counts per micro-batch.
 
     ``deliver`` is given the alerts and returns them with ``delivered``, true where the
@@ -44,10 +46,12 @@ def alerting(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         messages = decode(batch.select("value")).persist(StorageLevel.DISK_ONLY)
-        master = load_master().persist(StorageLevel.MEMORY_AND_DISK)
+        master, options = load_master(), {"broadcast_bytes": 0} if large_master else {}
+        if not large_master:
+            master = master.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             events, poison = good(messages), quarantine(messages)
-            alerts = alert_events(events, master, rules).select(*ALERT_COLUMNS)
+            alerts = alert_events(events, master, rules, **options).select(*ALERT_COLUMNS)
             alerts = with_messages(alerts, rules, sender)
             if deliver:
                 alerts = deliver(alerts)
@@ -55,7 +59,7 @@ def alerting(
                 alerts = alerts.withColumn("delivered", F.lit(None).cast("boolean"))
             write_batch(alerts, outbox, batch_id)
             if unmatched:
-                write_batch(unmatched_events(events, master), unmatched, batch_id)
+                write_batch(unmatched_events(events, master, **options), unmatched, batch_id)
             if bad:
                 write_batch(poison.select(F.col("_bad_value").alias("bad_value")), bad, batch_id)
             if metrics:
@@ -64,6 +68,7 @@ def alerting(
                 write_batch(alert_metrics(events, sent, poison), metrics, batch_id)
         finally:
             messages.unpersist()
-            master.unpersist()
+            if not large_master:
+                master.unpersist()
 
     return start(messages.writeStream.foreachBatch(write), checkpoint, every)

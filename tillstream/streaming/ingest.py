@@ -11,6 +11,8 @@ from ..schemas import EVENT
 from ..sources.codec import decode
 from .start import start
 
+# The name of what an ingest stream counts while it writes; see ``streaming.progress``.
+OBSERVED = "ingest"
 HOUR_KEYS = ("year", "month", "day", "hour")
 
 
@@ -47,10 +49,12 @@ def ingest(
     """Append a message stream to the raw layer as JSON lines in hourly directories.
 
     The size of a micro-batch is an option of the source; the last, smaller one is
-    written like any other.
+    written like any other. Rows and unreadable messages are observed as ``OBSERVED``.
     """
+    counts = F.count("*").alias("rows"), F.count("_bad_value").alias("bad_rows")
     writer = (
         raw_rows(messages, schema)
+        .observe(OBSERVED, *counts)
         .writeStream.format("json")
         .outputMode("append")
         .partitionBy(*HOUR_KEYS)

@@ -282,6 +282,7 @@ SELECT transaction_id, account_id, balance AS balance_after_transaction FROM b""
     "account_current_balance": CURRENT_BALANCE,
     "alert_events": ALERT_EVENTS,
     "alert_events_large_master": ALERT_EVENTS,
+    "alert_events_bucketed_master": ALERT_EVENTS,
     "alert_messages": ALERT_MESSAGES,
     "alert_unmatched": UNMATCHED,
     "alert_unmatched_large_master": UNMATCHED,
@@ -368,6 +369,11 @@ SELECT * FROM q WHERE bad_value IS NOT NULL""",
 WITH {TXN}
 SELECT transaction_id, account_id, amount, {TIME} AS transaction_timestamp, merchant_name,
        n AS _kafka_offset, 0 AS _kafka_partition
+FROM t""",
+    "stream_ingest_metrics": f"""
+WITH {TXN}
+SELECT CAST(2 AS BIGINT) AS batches, count(*) AS input_rows, count(*) AS rows,
+       count(*) FILTER ({IS_MALFORMED}) AS bad_rows
 FROM t""",
     "stream_load": ACCOUNT_SUMMARY,
     "stream_alerts": STREAM_ALERTS,

@@ -32,7 +32,7 @@ from tillstream.schemas import CORRUPT, PROCESSED, RAW
 from tillstream.session import scratch
 from tillstream.sources.codec import decode, encode, good, quarantine
 from tillstream.sources.live import read_loads
-from tillstream.sources.master import latest_per_account, read_master
+from tillstream.sources.master import latest_per_account, read_master, save_master
 from tillstream.sources.zones import (
     list_raw,
     read_account_summary,
@@ -46,6 +46,7 @@ from tillstream.streaming.balances import balances, balances_in_state, read_bala
 from tillstream.streaming.event_balances import event_balances
 from tillstream.streaming.ingest import ingest
 from tillstream.streaming.loading import loading
+from tillstream.streaming.progress import ProgressLog, read_progress
 from tillstream.streaming.start import stop_when_idle
 
 from .adapter import (
@@ -281,6 +282,18 @@ def alert_events_large_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*ALERT_SHOWN)
 
 
+def alert_events_bucketed_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a master kept as a table with a bucket for each shuffle partition."""
+    events = transactions_with_balance(spark, sf_dir)
+    name = "master_" + scratch(spark, "master")[-12:]
+    save_master(master(spark, sf_dir), name, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = alert_events(events, spark.table(name), broadcast_bytes=0, hot_rows=60)
+    result = scratch(spark, "alerts")
+    found.select(*ALERT_SHOWN).write.parquet(result)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(found.select(*ALERT_SHOWN).schema).parquet(result)
+
+
 def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = with_third_status(transactions_with_balance(spark, sf_dir))
     alerts = alert_events(events, master(spark, sf_dir)).select(*ALERT_COLUMNS)
@@ -557,6 +570,28 @@ def stream_ingest_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an ingest stream counted while it wrote, some messages being malformed."""
+    path, raw, checkpoint, log = (scratch(spark, n) for n in ("topic", "raw", "checkpoint", "progress"))
+    listener = ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        for k in range(2):
+            messages = topic(spark, transactions(spark, sf_dir).filter(n() % 2 == k), path)
+            value = F.coalesce(malformed(F.col("value"), F.col("offset")), F.col("value"))
+            ingest(messages.withColumn("value", value), raw, checkpoint).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+    counts = F.col("observed")["ingest"]
+    return read_progress(spark, log).agg(
+        F.count("*").alias("batches"),
+        F.sum("input_rows").alias("input_rows"),
+        F.sum(counts["rows"]).alias("rows"),
+        F.sum(counts["bad_rows"]).alias("bad_rows"),
+    )
+
+
 def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files as a stream, in two runs, then the days that changed rebuilt."""
     raw, out, curated, dirty, partials, checkpoint = (
@@ -723,6 +758,7 @@ QUERIES: dict[str, Query] = {
     "account_current_balance": account_current_balance,
     "alert_events": q_alert_events,
     "alert_events_large_master": alert_events_large_master,
+    "alert_events_bucketed_master": alert_events_bucketed_master,
     "alert_messages": alert_messages,
     "alert_unmatched": alert_unmatched,
     "alert_unmatched_large_master": alert_unmatched_large_master,
@@ -743,6 +779,7 @@ QUERIES: dict[str, Query] = {
     "raw_quarantine": raw_quarantine,
     "stream_ingest": stream_ingest,
     "stream_ingest_layout": stream_ingest_layout,
+    "stream_ingest_metrics": stream_ingest_metrics,
     "stream_load": stream_load,
     "two_streams_one_table": two_streams_one_table,
     "stream_alerts": stream_alerts,
