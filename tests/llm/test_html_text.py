@@ -73,6 +73,90 @@ def test_names_that_hold_a_listed_word(source, expected):
     assert main_text(page(source)) == expected
 
 
+NAMES = """ad-slot ad-unit google_ads dfp-ad sponsored-content nav-primary primary-menu site-header page-header
+login-form newsletter-form cookie-law-info comment-form user-comments right-rail most-popular trending adBox
+ad-wrapper top-ads advertisement banner-ad sidebar left-sidebar widget-area main-nav navbar navigation-menu
+breadcrumbs site-footer comments comment-list disqus_thread cookie-banner cookie-consent gdpr-popup modal-overlay
+newsletter-signup subscribe-box social-share share-buttons related-posts recommended pagination site-search
+reader-comments promo-box sponsor-links menu""".split()
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_usual_names_of_what_is_not_text(name):
+    """Beside the text and inside it, without and with an article element."""
+    extra = f"<div class='{name}'><p>Few words.</p><a href=x>Go</a></div>"
+    for around in ("article", "div"):
+        assert main_text(page(f"{extra}<{around}><p>{LONG}</p><p>{LONG}</p></{around}>")) == f"{LONG}\n{LONG}"
+        if name not in ("site-header", "page-header"):
+            assert main_text(page(f"<{around}><p>{LONG}</p>{extra}<p>{LONG}</p></{around}>")) == f"{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize("name", ["ad-hoc-methods", "menu-engineering", "share-of-market", "comments-on-law-x", "nav-history"])
+def test_long_text_with_such_a_name_stays(name):
+    text = f"<section id='{name}'><p>{LONG}</p></section>"
+    if not name.startswith("comments"):
+        assert main_text(page(f"<article><p>{LONG}</p>{text}</article>")) == f"{LONG}\n{LONG}"
+
+
+def test_what_stands_within_a_line_does_not_end_it():
+    within = ["<svg><path d=x /><text>t</text></svg>", "<script>var a = '<p>';</script>", "<input value=x>", "<button>b</button>",
+              "<math><mi>x</mi></math>", "<style>p{}</style>", "<label>l</label>", "<noscript>n</noscript>"]
+    for x in within:
+        for around in ("article", "div"):
+            source = f"<{around}><p>Some {x} words, here {x}and {x} there.</p><p>{LONG}</p></{around}>"
+            assert main_text(page(source)) == f"Some words, here and there.\n{LONG}", x
+    assert main_text(page(f"<article><p>{LONG}<nav>n</nav>{LONG}<aside>a</aside></article>")) == f"{LONG}\n{LONG}"
+
+
+def test_all_articles_of_a_page():
+    teaser = "<article><a href=x>More of this to read on another page, it says</a></article>"
+    source = f"<article><p>{LONG}</p></article><article><p>{LONG}</p><p>Two.</p></article>{teaser}"
+    assert main_text(page(source)) == f"{LONG}\n{LONG}\nTwo."
+    assert main_text(page(f"<main><p>{LONG}</p></main><article><p>Few.</p></article>")) == LONG
+
+
+def plain_best(source):
+    """The container with the most points, by regular expressions, for pages of divs and paragraphs."""
+    points, size, links, stack, parent = {}, {}, {}, [], {}
+    for m in re.finditer(r"<div id=(\w+)>|</div>|<p>(.*?)</p>", source):
+        if m[1]:
+            parent[m[1]] = stack[-1] if stack else None
+            stack.append(m[1])
+        elif m[2] is None:
+            stack.pop()
+        else:
+            text, linked = re.sub(r"<[^>]*>", "", m[2]), sum(map(len, re.findall(r"<a[^>]*>(.*?)</a>", m[2])))
+            for d in stack:
+                size[d], links[d] = size.get(d, 0) + len(text), links.get(d, 0) + linked
+            if len(text) >= 25:
+                score = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
+                points[stack[-1]] = points.get(stack[-1], 0) + score
+                if parent[stack[-1]]:
+                    points[parent[stack[-1]]] = points.get(parent[stack[-1]], 0) + score / 2
+    return max(points, key=lambda d: points[d] * (1 - links[d] / size[d]))
+
+
+def test_pages_without_article_take_the_best_container():
+    """Points, link density and siblings decide, as in a plain scoring."""
+    import random
+
+    draw = random.Random(9)
+    for _ in range(60):
+        parts, texts = [], {}
+        for k in range(draw.randint(2, 4)):
+            paragraphs = []
+            for j in range(draw.randint(1, 5)):
+                words = ", ".join(f"w{k}x{j}y{i}" for i in range(draw.randint(1, 30)))
+                paragraphs.append(f"<p><a href=x>{words}</a></p>" if draw.random() < 0.4 else f"<p>{words}</p>")
+            texts[f"d{k}"] = paragraphs
+            parts.append(f"<div id=o{k}><div id=d{k}>{''.join(paragraphs)}</div></div>")
+        source = "".join(parts)
+        got = main_text(page(source)).split("\n")
+        best = plain_best(source).replace("o", "d")
+        for p in texts[best]:
+            assert re.sub(r"<[^>]*>", "", p) in got, (best, source)
+
+
 LONGER = f"<div>{f'<p>{LONG}</p>' * 10}</div>"
 
 

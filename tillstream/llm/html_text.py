@@ -3,7 +3,8 @@
 Each paragraph gives its parent points for its length and its commas, and its
 grandparent half of them; points count less the more of a container's text is links.
 The best container and those of its siblings that aren't mostly links are kept.
-If the best container lies in an ``article`` or ``main`` element, that element is taken.
+If the best container lies in an ``article`` or ``main`` element, that element is taken, and
+with an article all others of the page that aren't mostly links.
 """
 
 from __future__ import annotations
@@ -26,12 +27,19 @@ DROPPED = frozenset(
     "head nav footer aside form button select option input textarea label fieldset dialog "
     "menu svg math object canvas audio video".split()
 ) | RAW | RAW_WITH_REFERENCES
+# Of these, what stands within a line and does not end it.
+WITHIN = frozenset(
+    "button select option input textarea label svg math object canvas audio video script style noscript "
+    "template iframe noembed noframes".split()
+)
+# What a form is made of.
+CONTROLS = frozenset("form input select textarea button".split())
 PARAGRAPHS = frozenset("p pre td blockquote dd".split())
 BLOCKS = PARAGRAPHS | frozenset(
     "html body article main section div header h1 h2 h3 h4 h5 h6 ul ol li dl dt table thead "
     "tbody tfoot tr th caption figure figcaption hr address hgroup details summary center".split()
-) | DROPPED
-CLOSES_P = BLOCKS - {"td", "dd", "dt", "li", "option", "label", "input", "button", "svg", "math"}
+) | DROPPED - WITHIN
+CLOSES_P = BLOCKS - {"td", "dd", "dt", "li"}
 # An element of these ends an open one of the same group, within the list or table around.
 SAME = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
@@ -45,13 +53,27 @@ UNLIKELY = frozenset(
     "comment comments disqus replies respond cookie cookies consent gdpr notice notices notification "
     "alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
     "related recommended pagination pager widget toolbar search dialog complementary contentinfo "
-    "skip hidden".split()
+    "skip hidden popular trending signin paywall".split()
 )
-# Names of several words say so only if all are of the list above or of these.
+# Names of several words say so if all are of the list above or of these.
 FRAME = frozenset(
     "site page main post posts articles stories list item items wrapper wrap container box block area "
-    "section inner outer left right top bottom bar link links button buttons icon icons thread js".split()
+    "section inner outer left right top bottom bar link links button buttons icon icons thread js "
+    "slot slots unit units google dfp primary secondary form forms law info user users rail content text "
+    "message msg panel zone region global mobile desktop field fields label title holder more most read "
+    "policy reader readers visitor".split()
+)
+# Names that begin or end with one of these say so of what holds a form, or no long text but links.
+STRONG = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo sidebar nav navbar "
+    "navigation menu breadcrumb breadcrumbs comment comments disqus cookie cookies gdpr popup modal "
+    "newsletter subscribe signup login signin share sharing rail trending popular paywall toolbar "
+    "pagination search".split()
 )
+# Names of a state, not of what an element holds.
+STATES = frozenset("has with no not is without".split())
+# A header outside the articles that is no header element.
+HEADERS = frozenset("header masthead topbar".split())
 # Words that say so only alone: in longer names they are used of text too.
 ALONE = frozenset("side hidden skip search notice notices alert".split())
 COMMENTS = frozenset("comment comments disqus replies respond".split())
@@ -76,6 +98,8 @@ class Node:
     parent: Node | None
     dropped: bool
     named: bool = False
+    maybe: bool = False
+    controls: int = 0
     in_comments: bool = False
     in_article: bool = False
     kept: bool = False
@@ -119,24 +143,37 @@ def _hidden(attributes: dict[str, str]) -> bool:
     )
 
 
-def _words(attributes: dict[str, str], *names: str) -> Iterator[set[str]]:
-    """The words of each class, id or role."""
+def _names(attributes: dict[str, str], *names: str) -> Iterator[list[str]]:
+    """The words of each class, id or role, in order."""
     for name in names:
         for token in attributes.get(name, "").split():
             words = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
-            yield {w for w in words if w}
+            if any(words):
+                yield [w for w in words if w]
 
 
-def _unlikely(tag: str, attributes: dict[str, str]) -> bool:
+def _unlikely(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     """Whether a name says that an element isn't part of the text."""
     if tag in UNNAMED:
         return False
     if tag == "article":
-        return any(w & COMMENTS and w <= COMMENTS | FRAME for w in _words(attributes, "class", "id"))
+        return any(set(w) & COMMENTS and set(w) <= COMMENTS | FRAME for w in _names(attributes, "class", "id"))
+    for words in _names(attributes, "class", "id", "role"):
+        own = set(words)
+        if not in_article and own & HEADERS and own <= HEADERS | FRAME:
+            return True
+        if own <= UNLIKELY if len(words) == 1 else own & UNLIKELY - ALONE and own <= UNLIKELY | FRAME:
+            return True
+    return False
+
+
+def _maybe_unlikely(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether a name may say so; what the element holds decides."""
+    if tag in UNNAMED or tag == "article":
+        return False
     return any(
-        w <= UNLIKELY if len(w) == 1 else w & UNLIKELY - ALONE and w <= UNLIKELY | FRAME
-        for w in _words(attributes, "class", "id", "role")
-        if w
+        words[0] not in STATES and (words[0] in STRONG or words[-1] in STRONG)
+        for words in _names(attributes, "class", "id", "role")
     )
 
 
@@ -213,6 +250,8 @@ def _parsed(page: str) -> tuple[list[Node], list[Block]]:
             close_same(SAME[tag], AROUND[tag])
         if tag in BLOCKS:
             block = None
+        if tag in CONTROLS:
+            stack[-1].controls += 1
         if tag in VOID:
             continue
         if tag in RAW or tag in RAW_WITH_REFERENCES:
@@ -226,9 +265,11 @@ def _parsed(page: str) -> tuple[list[Node], list[Block]]:
         up = stack[-1]
         attributes = _attributes(m[3])
         dropped = up.dropped or tag in DROPPED or tag == "header" and not up.in_article or _hidden(attributes)
-        named = not dropped and _unlikely(tag, attributes)
-        in_comments = up.in_comments or named and any(w & COMMENTS for w in _words(attributes, "class", "id"))
-        node = Node(tag, up, dropped, named, in_comments, up.in_article or tag in ("article", "main"))
+        named = not dropped and _unlikely(tag, attributes, up.in_article)
+        maybe = not dropped and not named and _maybe_unlikely(tag, attributes)
+        comments = (named or maybe) and any(COMMENTS & set(w) for w in _names(attributes, "class", "id"))
+        in_article = up.in_article or tag in ("article", "main")
+        node = Node(tag, up, dropped, named, maybe, 0, up.in_comments or comments, in_article)
         nodes.append(node)
         stack.append(node)
         opened[tag] += 1
@@ -253,10 +294,12 @@ def _without_named(nodes: list[Node], blocks: list[Block]) -> list[Block]:
             n.article_chars = n.long_chars + 1
         n.parent.long_chars += n.long_chars
         n.parent.article_chars += n.article_chars
+        n.parent.controls += n.controls
     for n in nodes[1:]:
         around = n.article_chars > 0 and 2 * n.article_chars >= root.article_chars
         most = 2 * n.long_chars > root.long_chars and (n.in_article or not root.article_chars)
-        n.dropped = n.dropped or n.parent.dropped or n.named and not around and not most
+        named = n.named or n.maybe and (n.in_comments or n.controls > 0 or not n.long_chars)
+        n.dropped = n.dropped or n.parent.dropped or named and not around and not most
     for b in blocks:
         if any(n.dropped for _, n, _ in b.pieces):
             b.pieces = [p for p in b.pieces if not p[1].dropped]
@@ -279,7 +322,7 @@ def main_text(page: str) -> str:
     """The blocks of the main text, one a line."""
     nodes, blocks = _parsed(page)
     text = _main_text(nodes, _without_named(nodes, blocks))
-    if not text and any(n.named for n in nodes):
+    if not text and any(n.named or n.maybe for n in nodes):
         text = _main_text(*_parsed(page))
     return text
 
@@ -315,6 +358,12 @@ def _main_text(nodes: list[Node], blocks: list[Block]) -> str:
     while not best.in_article and best.parent is not None and best.parent.chars == best.chars:
         best = best.parent
     kept = {id(best)}
+    if best.tag == "article":
+        # All articles of the page, but lists of links.
+        kept |= {
+            id(n) for n in nodes
+            if n.tag == "article" and n.parent is not None and not n.parent.in_article and n.chars and _density(n) <= MOST_LINKS
+        }
     if best.tag not in ("article", "main", "body", "html") and best.parent is not None:
         kept |= {id(n) for n in nodes if n.parent is best.parent and n.chars and _density(n) <= MOST_LINKS}
         kept |= {id(b) for b in blocks if b.node is best.parent and b.link_chars <= len(b.text) * MOST_LINKS}
