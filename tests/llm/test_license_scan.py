@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from tests.llm.helpers import documents, syllables, words_of
 from tillstream.llm.license_scan import NOTICES, PHRASES, _best, normalised, scan_licenses
@@ -54,10 +55,12 @@ def test_notices_with_errors(spark):
     assert got[7].spans[0].edits == 0 and got[7].score == 1.0
 
 
-def test_every_single_edit_is_found(spark):
+def test_every_single_edit_outside_the_name_is_found(spark):
     notice = NOTICES[0]
-    variants = [notice.text[:i] + "q" + notice.text[i + 1 :] for i, c in enumerate(notice.text) if c != " "]
-    variants += [notice.text[:i] + notice.text[i + 1 :] for i in range(1, len(notice.text) - 1)]
+    name = range(notice.text.index(" mit "), notice.text.index(" mit ") + 5)
+    places = [i for i in range(len(notice.text)) if i not in name]
+    variants = [notice.text[:i] + "q" + notice.text[i + 1 :] for i in places if notice.text[i] != " "]
+    variants += [notice.text[:i] + notice.text[i + 1 :] for i in places[1:-1]]
     rows = list(enumerate(f"some words {v} and more" for v in variants))
     got = scan_licenses(documents(spark, rows)).collect()
     assert [r.doc_id for r in got if "mit" not in r.labels] == []
@@ -72,6 +75,43 @@ def edits(a, b):
     return row[-1]
 
 
+def named(run, names):
+    """All names in order; longer ones with one edit behind the first letter."""
+    words, at = run.split(), 0
+    for name in names:
+        fits = [w == name or len(name) > 3 and w[0] == name[0] and edits(w, name) == 1 for w in words[at:]]
+        if True not in fits:
+            return False
+        at += fits.index(True) + 1
+    return True
+
+
+@pytest.mark.parametrize(
+    "text,labels",
+    [
+        ("Licensed under the MPL license", "mpl"),
+        ("released under the NIST license", ""),
+        ("licensed under the ms license", ""),
+        ("Licensed under CC BY-ND 4.0", "cc-by,cc-by-nd"),
+        ("licensed under cc by sb 4 0", "cc-by"),
+        ("released undr the mit licence", "mit"),
+        ("mozila public license", "mpl"),
+        ("ozilla public license", ""),
+        ("eclpse public license", "epl"),
+        ("released under the mitt license", ""),
+    ],
+)
+def test_names_of_other_licenses(spark, text, labels):
+    assert scanned(spark, [text])[1][0][0] == labels
+
+
+def test_no_notice_is_taken_for_another(spark):
+    _, marks = scanned(spark, [n.text for n in NOTICES])
+    for notice, (labels, _) in zip(NOTICES, marks, strict=True):
+        base = brute(notice.text)[-1]
+        assert set(labels.split(",")) == {notice.label, *filter(None, base.split(","))}
+
+
 def notices_by_hand(text):
     """All runs of words that are near enough to a notice, and the nearest of those that overlap."""
     words, found = words_of(text), []
@@ -79,7 +119,7 @@ def notices_by_hand(text):
         for i in range(len(words)):
             for k in range(i, len(words)):
                 run = " ".join(words[i : k + 1])
-                if abs(len(run) - len(n.text)) <= n.errors and (e := edits(run, n.text)) <= n.errors:
+                if abs(len(run) - len(n.text)) <= n.errors and (e := edits(run, n.text)) <= n.errors and (not e or named(run, n.names)):
                     found.append({"label": n.label, "first_word": i, "last_word": k, "edits": e, "text": run})
     return [(s["label"], s["first_word"], s["last_word"], s["edits"], s["text"]) for s in _best(found)]
 

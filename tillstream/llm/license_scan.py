@@ -4,7 +4,8 @@ Exact phrases are found as words that stand consecutively. Short notices are fou
 up to ``errors`` edits: a notice is split into one seed more than that, so one seed of
 any match is untouched (pigeonhole). The seeds are searched exactly; for every run of words
 that can hold a hit, the regex library's bounded-error matching decides alone, and gives the
-edits. Of notices that overlap, the nearest counts.
+edits. Of notices that overlap, the nearest counts. The words that tell a license from others
+must be there: no edit may turn one license's name into another's.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ class Notice:
 
     text: str
     label: str
+    # what tells it from other licenses; words of the text, in its order
+    names: tuple[str, ...] = ()
 
     @property
     def errors(self) -> int:
@@ -49,23 +52,54 @@ class Notice:
         return [(a, raw[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def _named(word: str, name: str) -> bool:
+    """Whether ``word`` is ``name``; if that has over three letters, with one edit behind the first."""
+    if len(name) <= 3 or word == name or not word or word[0] != name[0]:
+        return word == name
+    k = next((i for i, (a, b) in enumerate(zip(word, name)) if a != b), min(len(word), len(name)))
+    rest, own = word[k:], name[k:]
+    return rest[1:] == own[1:] or rest == own[1:] or rest[1:] == own
+
+
+def told_apart(run: str, notice: Notice) -> bool:
+    """Whether all names of ``notice`` stand in a run of words, in order."""
+    words = iter(run.split(" "))
+    return all(any(_named(word, name) for word in words) for name in notice.names)
+
+
 # fixed values: short notices that are searched with errors
 NOTICES = (
-    Notice("released under the mit license", "mit"),
-    Notice("licensed under the mit license", "mit"),
-    Notice("licensed under the apache license version 2 0", "apache"),
-    Notice("licensed under the gnu general public license", "gpl"),
-    Notice("gnu lesser general public license", "lgpl"),
-    Notice("gnu affero general public license", "agpl"),
-    Notice("licensed under cc by nc 4 0", "cc-by-nc"),
-    Notice("licensed under cc by sa 4 0", "cc-by-sa"),
-    Notice("creative commons attribution", "cc-by"),
-    Notice("mozilla public license", "mpl"),
-    Notice("eclipse public license", "epl"),
-    Notice("redistribution and use in source and binary forms", "bsd"),
-    Notice("licensed under the bsd 3 clause license", "bsd"),
-    Notice("permission to use copy modify and or distribute this software", "isc"),
-    Notice("free and unencumbered software released into the public domain", "unlicense"),
+    Notice("released under the mit license", "mit", ("mit",)),
+    Notice("licensed under the mit license", "mit", ("mit",)),
+    Notice("licensed under the apache license version 2 0", "apache", ("apache",)),
+    Notice("released under the apache license", "apache", ("apache",)),
+    Notice("licensed under the gnu general public license", "gpl", ("gnu", "general")),
+    Notice("released under the gnu general public license", "gpl", ("gnu", "general")),
+    Notice("licensed under the gpl license", "gpl", ("gpl",)),
+    Notice("released under the gpl license", "gpl", ("gpl",)),
+    Notice("gnu lesser general public license", "lgpl", ("gnu", "lesser")),
+    Notice("licensed under the lgpl license", "lgpl", ("lgpl",)),
+    Notice("gnu affero general public license", "agpl", ("gnu", "affero")),
+    Notice("licensed under the agpl license", "agpl", ("agpl",)),
+    Notice("licensed under cc by 4 0", "cc-by", ("cc", "by")),
+    Notice("licensed under cc by nc 4 0", "cc-by-nc", ("cc", "by", "nc")),
+    Notice("licensed under cc by sa 4 0", "cc-by-sa", ("cc", "by", "sa")),
+    Notice("licensed under cc by nd 4 0", "cc-by-nd", ("cc", "by", "nd")),
+    Notice("licensed under cc by nc sa 4 0", "cc-by-nc-sa", ("cc", "by", "nc", "sa")),
+    Notice("licensed under cc by nc nd 4 0", "cc-by-nc-nd", ("cc", "by", "nc", "nd")),
+    Notice("creative commons attribution", "cc-by", ("creative", "commons", "attribution")),
+    Notice("mozilla public license", "mpl", ("mozilla",)),
+    Notice("licensed under the mpl license", "mpl", ("mpl",)),
+    Notice("released under the mpl license", "mpl", ("mpl",)),
+    Notice("eclipse public license", "epl", ("eclipse",)),
+    Notice("licensed under the epl license", "epl", ("epl",)),
+    Notice("redistribution and use in source and binary forms", "bsd", ("source", "binary")),
+    Notice("licensed under the bsd 3 clause license", "bsd", ("bsd",)),
+    Notice("licensed under the bsd license", "bsd", ("bsd",)),
+    Notice("released under the bsd license", "bsd", ("bsd",)),
+    Notice("licensed under the isc license", "isc", ("isc",)),
+    Notice("permission to use copy modify and or distribute this software", "isc", ("copy", "modify", "distribute")),
+    Notice("free and unencumbered software released into the public domain", "unlicense", ("unencumbered",)),
 )
 
 
@@ -172,6 +206,8 @@ def _scan(notices: tuple[Notice, ...]):
                         scores[line] = 1.0
             for notice, pattern in zip(notices, patterns, strict=True):
                 for lo, hi, edits in _fuzzy(raw, notice, pattern):
+                    if edits and not told_apart(raw[lo:hi].decode(errors="replace"), notice):
+                        continue
                     line = int(np.searchsorted(lines, lo, "right")) - 1
                     lead = int(first[line])
                     spans[line].append(
