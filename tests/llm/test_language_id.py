@@ -104,3 +104,39 @@ def test_slices_of_many_labels_do_not_matter(spark, monkeypatch, learned):
     found = sorted(tuple(r) for r in identify(docs, net).collect())
     assert [r[:3] for r in found] == [r[:3] for r in whole]
     assert np.allclose([r[3] for r in found], [r[3] for r in whole], atol=1e-5)
+
+
+def test_the_sample_is_bounded_and_ids_do_not_matter(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr("tillstream.llm.language_id.train", lambda texts, langs: taken.append(sorted(langs)))
+    monkeypatch.setattr("tillstream.llm.language_id.SAMPLE", 40)
+    lang = (F.col("n") % 4).cast("string")
+    rows = spark.range(4000).select(F.col("id").alias("n"), F.lit(None).cast("long").alias("doc_id"))
+    rows = rows.select("doc_id", lang.alias("lang"), F.format_string("text %05d", "n").alias("text"))
+    learn(rows)  # null ids and one length
+    learn(rows.withColumn("doc_id", F.lit(7)).withColumn("text", F.lit("same")))  # copies of one row
+    assert taken == [sorted("0123" * 10)] * 2
+    many = spark.range(300).select("id", F.col("id").alias("doc_id"), F.lit("text").alias("text"))
+    learn(many.withColumn("lang", F.when(F.col("id") < 20, "often").otherwise(F.col("id").cast("string"))))
+    assert len(taken[2]) == 40 and "often" in taken[2]
+
+
+def test_a_forward_pass_equals_loops():
+    """Embedding, filters of three widths, maximum, ReLU and softmax, one number at a time."""
+    net = train(["abcd efgh", "ijkl mnop", "qrst uvwx"] * 4, ["a", "b", "c"] * 4)
+    windows, _ = cut(np.frombuffer(b"abc mnop" + b"qrst", np.uint8), np.array([0, 8, 12]), 8)
+    for window, got in zip(windows, probabilities(net, windows), strict=True):
+        padded = [*window.tolist(), *[NO_BYTE] * 3]
+        hidden = []
+        for f in range(net.filters.shape[1]):
+            best = -np.inf
+            for at in range(len(window)):
+                total = 0.0
+                for k in range(4):
+                    for e in range(net.embedding.shape[1]):
+                        total += float(net.embedding[padded[at + k], e]) * float(net.filters[k * net.embedding.shape[1] + e, f])
+                best = max(best, total)
+            hidden.append(max(best + float(net.bias[f]), 0.0))
+        out = [sum(h * float(net.output[i, c]) for i, h in enumerate(hidden)) + float(net.output_bias[c]) for c in range(3)]
+        whole = sum(np.exp(o - max(out)) for o in out)
+        assert np.allclose(got, [np.exp(o - max(out)) / whole for o in out], atol=1e-4)

@@ -10,6 +10,7 @@ with the largest mean probability.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tillstream.llm.common import LOWER, blocks
 
@@ -24,12 +26,11 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
-# About so many texts of each language are learned from.
+# At most so many texts of each language are learned from,
 SAMPLE_PER_LANGUAGE = 800
-# About so many texts are learned from in all: of each of many languages there are fewer, but not
-# fewer than the least.
-SAMPLE = 400_000
-LEAST_PER_LANGUAGE = 20
+# and at most so many in all: of many languages fewer of each, and of more languages than this
+# the most frequent ones.
+SAMPLE = 40_000
 # So many probabilities are held at once.
 PROBABILITIES = 5_000_000
 EPOCHS = 12
@@ -188,29 +189,39 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Network:
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Network:
     """A network trained on a bounded sample of the rows of ``docs`` that have both values.
 
-    Languages are counted over all rows; a row is drawn by a hash of its text and id, at
-    the rate that gives about ``SAMPLE_PER_LANGUAGE`` rows of its language, so frequent
-    languages don't crowd out rare ones; with more than ``SAMPLE / SAMPLE_PER_LANGUAGE``
-    languages the rate is lower, but each is learned. Of each text drawn, 4,000 characters from a
-    place that the hash tells go to the driver. These numbers bound what
-    is fitted.
+    Languages are counted over all rows. Of each the rows with the smallest hashes of id and
+    text are drawn, ``SAMPLE_PER_LANGUAGE`` of them or, where all would be more than ``SAMPLE``,
+    equally fewer; beyond ``SAMPLE`` languages only the most frequent ones are learned. Of each
+    text drawn, 4,000 characters from a place that the hash tells go to the driver. These
+    numbers bound what is fitted, and what the driver holds; ids may be null or repeat.
     """
+    hashed = F.xxhash64("doc_id", "text")
     rows = docs.select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), "doc_id"
     ).filter("text is not null and text <> '' and lang is not null")
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    counts = {r.lang: r.n for r in counts.collect()}
+    counts = {r.lang: r.n for r in counts.orderBy(F.desc("n"), "lang").limit(SAMPLE).collect()}
     if not counts:
         return train([], [])
-    wanted = min(SAMPLE_PER_LANGUAGE, max(LEAST_PER_LANGUAGE, SAMPLE // len(counts)))
-    rates = [(k, wanted / n) for k, n in sorted(counts.items())]
-    rates = F.broadcast(docs.sparkSession.createDataFrame(rates, "lang string, rate double"))
-    draw = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - 4000, F.lit(1))) + 1
-    drawn = rows.join(rates, "lang").filter(draw < F.col("rate")).select(
-        "lang", F.substring("text", start.cast("int"), F.lit(4000)).alias("text")
-    )
-    found = sorted((r.text, r.lang) for r in drawn.collect())
+    wanted = min(SAMPLE_PER_LANGUAGE, max(1, SAMPLE // len(counts)))
+    start = F.pmod(F.shiftright("hash", 30), F.greatest(F.length("text") - 4000, F.lit(1))) + 1
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+
+    def drawn(rates: list[tuple[str, float]]) -> list:
+        """The first rows of these languages, of those that have a hash below the rate."""
+        those = F.broadcast(docs.sparkSession.createDataFrame(rates, "lang string, rate double"))
+        few = rows.withColumn("hash", hashed).join(those, "lang")
+        few = few.filter(F.pmod("hash", F.lit(1 << 30)) < F.col("rate") * F.lit(float(1 << 30)))
+        few = few.select("lang", "hash", F.substring("text", start.cast("int"), F.lit(4000)).alias("text"))
+        return few.withColumn("rank", rank).filter(F.col("rank") <= wanted).select("lang", "text").collect()
+
+    # Most rows are left out before they are ranked; where few are left, as rows repeat, none is.
+    sample = drawn([(k, min(1.0, (2 * wanted + 50) / n)) for k, n in sorted(counts.items())])
+    seen = Counter(r.lang for r in sample)
+    short = {k for k, n in counts.items() if 2 * seen[k] < min(wanted, n)}
+    if short:
+        sample = [r for r in sample if r.lang not in short] + drawn([(k, 1.0) for k in sorted(short)])
+    found = sorted((r.text, r.lang) for r in sample)
     return train([t for t, _ in found], [x for _, x in found])
 
 
