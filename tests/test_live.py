@@ -164,7 +164,7 @@ def test_manifests(spark, path):
 
 def test_only_loads_that_may_have_run_look_for_their_rows(spark, path, put, monkeypatch):
     looked = []
-    monkeypatch.setattr("tillstream.sinks.zones.take_out", lambda s, p, c, load: looked.append(load))
+    monkeypatch.setattr("tillstream.plans.load.take_out", lambda s, p, c, load: looked.append(load))
     put("0", "a")
     assert not looked
     put("0", "a")

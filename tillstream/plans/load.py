@@ -18,7 +18,7 @@ from ..settings import Rules
 from ..sinks.zones import write_processed
 from ..sources.files import exists
 from ..sources.ledger import enter, next_load, read_ledger
-from ..sources.live import begin_load, end_loads
+from ..sources.live import begin_load, end_loads, take_out
 from ..sources.marks import EPOCH, read_mark, write_mark
 from ..sources.seen import keep_ids, kept_ids, loaded_before, write_ids
 from ..sources.zones import (
@@ -115,17 +115,20 @@ def load_batch(
     spark = raw.sparkSession
     days = summarise(raw, rules).days if days is None else days
     again = not begin_load(spark, processed_path, load_id)
+    if again:
+        # Before earlier rows are listed: its own are not among them.
+        take_out(spark, processed_path, "transaction_date", load_id)
     rows = dedupe_transactions(processed(split_bad(raw)[0], rules))
     if unique_within == TABLE:
         keep_ids(spark, processed_path)
         with parsed_once(rows) as rows:
             repeats = loaded_before(rows, processed_path, load_id)
-            write_processed(rows if repeats is None else not_seen_in(rows, repeats), processed_path, load_id, again)
+            write_processed(rows if repeats is None else not_seen_in(rows, repeats), processed_path, load_id, False)
     else:
         if unique_within == DAY:
             earlier = read_processed(spark, processed_path, days)
             rows = _new_rows(rows, earlier, load_id, "transaction_date")
-        write_processed(rows, processed_path, load_id, again)
+        write_processed(rows, processed_path, load_id, False)
     written = read_load(spark, processed_path, load_id, days)
     if kept_ids(spark, processed_path):
         ids = written if written is not None else spark.createDataFrame([], PROCESSED)
