@@ -41,7 +41,7 @@ IN_MEMORY, MOST_GROUPS = "spark.sql.objectHashAggregate.sortBased.fallbackThresh
 MOST_NAMED = 20_000
 FREQUENT = 150_000
 # A block has about as many documents, and gets them in runs of so many.
-ROWS_PER_BLOCK = 2_000
+ROWS_PER_BLOCK = 4_000
 RUN = 200
 # A character that is in no piece costs so much more than the worst piece.
 UNKNOWN_COST = 10.0
