@@ -5,6 +5,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import documents, syllables, words_of
+from tillstream.llm import decontamination
 from tillstream.llm.decontamination import contamination, near_places, phrase_places
 
 
@@ -56,6 +57,27 @@ def test_equals_brute_force(spark):
     assert result(got) == brute(docs, items)
 
 
+def test_windows_that_many_items_share(spark):
+    """Items are listed once for each combination of sets of items, whatever windows they hold."""
+    shared, other = syllables(5, 12), syllables(6, 11)
+    items = [(k, " ".join([*shared, *syllables(100 + k, 3)]), "x") for k in range(60)]
+    items += [(100 + k, " ".join([*other, *shared[:10]]), "x") for k in range(3)]
+    items += [(200, " ".join(other), "x"), (None, " ".join(other), "x")]
+    body = syllables(7, 30)
+    docs = [
+        (1, " ".join(body + shared)), (2, " ".join(shared + body)), (3, " ".join(shared[:10])),
+        (4, " ".join(other)), (5, " ".join(other + shared)), (6, " ".join(body)),
+        (7, " ".join([*shared, *syllables(103, 3), *body])),
+    ]
+    got = contamination(documents(spark, docs, "n_hit"), items_frame(spark, items))
+    assert result(got) == brute(docs, items)
+    held = decontamination.item_windows(items_frame(spark, items))
+    windows = decontamination.test_windows(held)
+    sizes = [r["count"] for r in decontamination.set_members(held, windows).groupBy("sid").count().collect()]
+    # All 60 or 63 at once, one item for each window of its own, and the sets of the others.
+    assert max(sizes) == 63 and sum(sizes) < 63 + 60 + 60 + 10
+
+
 def test_nothing_to_find(spark):
     docs = documents(spark, [(1, "a b"), (2, None)])
     none = items_frame(spark, [])

@@ -52,8 +52,8 @@ def _key(word: Column) -> Column:
     return F.xxhash64(F.lower(word))
 
 
-def test_windows(items: DataFrame, length: int = WINDOW) -> DataFrame:
-    """``wid``, ``phrase``, ``len``, ``items`` of every distinct window of the items.
+def item_windows(items: DataFrame, length: int = WINDOW) -> DataFrame:
+    """``item``, ``wid``, ``window`` of each distinct window of each item.
 
     A window is ``length`` words in a row; an item of fewer, but not none, is one window.
     An item without an id marks words but is not listed.
@@ -65,12 +65,41 @@ def test_windows(items: DataFrame, length: int = WINDOW) -> DataFrame:
     windows = words.select("item", "words", F.explode(starts).alias("at")).select(
         "item", F.slice("words", F.col("at"), length).alias("window")
     )
-    return windows.groupBy("window").agg(F.collect_set("item").alias("items")).select(
-        F.md5(F.concat_ws(" ", "window")).alias("wid"),
-        F.concat_ws(" ", "window").alias("phrase"),
-        F.size("window").alias("len"),
-        "items",
-        "window",
+    return windows.select("item", F.md5(F.concat_ws(" ", "window")).alias("wid"), "window").distinct()
+
+
+def test_windows(held: DataFrame) -> DataFrame:
+    """``wid``, ``phrase``, ``len``, ``sid``, ``window`` of every distinct window of ``held``.
+
+    ``sid`` names the set of items that hold the window, whatever their order and number: it is
+    made of sums and XORs of their hashes, so no list of items is ever put together here.
+    """
+    named = F.xxhash64("item")
+    again = F.xxhash64("item", F.lit("again"))
+    sums = (F.count("item"), F.bit_xor(named), F.bit_xor(again), F.sum(F.shiftright(named, 40)))
+    return held.groupBy("wid").agg(
+        F.first("window").alias("window"), F.concat_ws(",", *(x.cast("string") for x in sums)).alias("sid")
+    ).select("wid", F.concat_ws(" ", "window").alias("phrase"), F.size("window").alias("len"), "sid", "window")
+
+
+def set_members(held: DataFrame, windows: DataFrame) -> DataFrame:
+    """``sid``, ``item``: the items of each set, from one of the windows that it holds."""
+    one = windows.groupBy("sid").agg(F.min("wid").alias("wid"))
+    return held.filter("item is not null").select("wid", "item").join(one, "wid").select("sid", "item")
+
+
+def listed(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """``combination``, ``n_items``, ``items_sha256`` for each distinct combination of sets in
+    ``sets``, which has ``combination`` and ``sids``.
+
+    Items are listed once for each combination, not for each text that has it.
+    """
+    wanted = sets.dropDuplicates(["combination"]).select("combination", F.explode("sids").alias("sid"))
+    names = F.sort_array(F.collect_set("item"))
+    return wanted.join(members, "sid").groupBy("combination").agg(names.alias("names")).select(
+        "combination",
+        F.size("names").cast("long").alias("n_items"),
+        F.sha2(F.array_join("names", ","), 256).alias("items_sha256"),
     )
 
 
@@ -162,19 +191,20 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> Da
 def judged(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> DataFrame:
     """The columns of ``contamination``, and ``id`` and ``h`` of ``keyed`` for each row."""
     docs = docs.select("doc_id", "text")
-    windows = kept(test_windows(items, length), "windows")
+    held = kept(item_windows(items, length), "item-windows")
+    windows = kept(test_windows(held), "windows")
     terms = window_terms(windows)
     texts = keyed(docs)
     index = kept(postings(texts, terms), "postings")
     lists = kept(_lists(index, terms), "lists")
 
-    shape = windows.select("wid", "phrase", "len", "items")
+    shape = windows.select("wid", "phrase", "len", "sid")
     places = phrase_places(lists).join(
         F.broadcast(shape) if small(shape, 100_000) else shape, "wid"
     )
     candidates = kept(
         places.groupBy("id", "h").agg(
-            F.sort_array(F.collect_list(F.struct("start", "len", "phrase", "items"))).alias("places")
+            F.sort_array(F.collect_list(F.struct("start", "len", "phrase", "sid"))).alias("places")
         ),
         "places",
     )
@@ -214,8 +244,12 @@ def judged(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> DataFrame
         ),
         lambda s: s["total"],
     )
-    names = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda p: p["items"]))))
-    found = found.select("id", "h", covered.alias("n_hit"), names.alias("names"))
+    sids = F.sort_array(F.array_distinct(F.transform("hits", lambda p: p["sid"])))
+    found = found.select("id", "h", covered.alias("n_hit"), sids.alias("sids"))
+    found = kept(found.withColumn("combination", F.md5(F.array_join("sids", ";"))), "found")
+    names = kept(listed(found, set_members(held, windows)), "listed")
+    found = found.join(F.broadcast(names) if small(names) else names, "combination", "left")
+    found = found.select("id", "h", "n_hit", "n_items", "items_sha256")
     near = near_places(lists).groupBy("id", "h").agg(F.count(F.lit(1)).alias("n_near"))
 
     counted = docs.select(
@@ -231,8 +265,8 @@ def judged(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> DataFrame
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
-        F.coalesce(F.array_size("names").cast("long"), F.lit(0).cast("long")).alias("n_items"),
-        F.sha2(F.coalesce(F.array_join("names", ","), F.lit("")), 256).alias("items_sha256"),
+        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
         F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
     )
