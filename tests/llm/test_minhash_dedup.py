@@ -9,7 +9,7 @@ import pytest
 from tests.llm.helpers import documents, lowered, syllables
 from tillstream.llm import minhash_dedup
 from tillstream.llm.common import LOWER, table
-from tillstream.llm.components import components
+from tillstream.llm.components import components, merged
 from tillstream.llm.minhash_dedup import near_duplicates, packed, shingles
 
 
@@ -78,6 +78,48 @@ def test_groups_at_the_threshold(spark, monkeypatch, rounds):
     assert result(near_duplicates(documents(spark, rows))) == brute(rows)
 
 
+@pytest.mark.parametrize("asked", [0, 200_000])
+def test_hubs_are_confirmed_in_parts(spark, monkeypatch, asked):
+    """One text in most pairs, at either end of them, and pairs that are no links."""
+    monkeypatch.setattr(minhash_dedup, "PER_PART", 4)
+    monkeypatch.setattr(minhash_dedup, "MOST_WANTED", asked)
+    draw = random.Random(9)
+    base = syllables(3, 80)
+    rows = [(0, " ".join(base)), (99, " ".join(base))]
+    rows += [(k, " ".join(edited(base, draw.randint(0, 3), draw))) for k in range(1, 40)]
+    pairs = {(0, k) for k in range(1, 40)} | {(k, 99) for k in range(30)} | {(5, 6), (7, 9)}
+    frame = spark.createDataFrame(sorted(pairs), "a long, b long")
+    wanted = minhash_dedup._wanted(frame).collect()
+    texts = [(r.hub, r.part) for r in wanted if r.id == r.hub]
+    assert len(texts) == len(set(texts)) and len(wanted) - len(texts) == len(pairs)
+    assert 10 <= sum(hub == 0 for hub, _ in texts) <= 11
+    got = minhash_dedup.confirmed(frame, documents(spark, rows).select("doc_id", "text"), 5, 75).collect()
+    sets = sets_of(rows)
+    expected = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert expected < pairs
+    assert sorted(map(tuple, got)) == sorted(expected)
+
+
+def test_hot_shingles_keep_their_counts(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "HOT_HOLDERS", 5)
+    rows = [(1, k, 0) for k in range(30)] + [(2, k, 0) for k in range(5)] + [(3, 1, 0), (4, 2, 0), (4, 3, 0)]
+    grams = spark.createDataFrame(rows, "shingle long, doc_id long, component long")
+    holders = grams.groupBy("shingle").count().withColumnRenamed("count", "holders")
+    got = minhash_dedup._with_holders(grams, holders).select(*grams.columns, "holders").collect()
+    n = {1: 30, 2: 5, 3: 1, 4: 2}
+    assert sorted(map(tuple, got)) == sorted((*r, n[r[0]]) for r in rows)
+
+
+def test_labels_grow_with_links(spark):
+    draw = random.Random(11)
+    links = [(draw.randrange(80), draw.randrange(80)) for _ in range(60)]
+    label = None
+    for k in range(0, 60, 15):
+        label = merged(label, spark.createDataFrame(links[k : k + 15], "a long, b long"))
+    whole = components(spark.createDataFrame(links, "a long, b long"))
+    assert sorted(map(tuple, label.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_odd_rows(spark):
     long = " ".join(syllables(1, 30_000))
     rows = [

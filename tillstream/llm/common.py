@@ -65,11 +65,6 @@ def even_keys(spark: SparkSession, n: int) -> list[int]:
     return [first[p] if p in first else next(spare) for p in range(n)]
 
 
-def semi(left: DataFrame, ids: DataFrame, on: str) -> DataFrame:
-    """Rows of ``left`` whose ``on`` is in ``ids``; broadcasts ``ids`` if few, else shuffles."""
-    return left.join(F.broadcast(ids) if small(ids) else ids, on, "left_semi")
-
-
 def anti(left: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``left`` whose ``on`` is not in ``ids``; broadcasts ``ids`` if few, else shuffles."""
     return left.join(F.broadcast(ids) if small(ids) else ids, on, "left_anti")

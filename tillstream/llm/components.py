@@ -41,12 +41,31 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         )
         edges = kept(smaller, "edges")
         # Done when every vertex has one edge, to a vertex that has none upwards.
-        loose = edges.groupBy("v").count().filter("count > 1").select("v")
-        loose = loose.unionByName(
-            edges.select(F.col("m").alias("v")).join(edges.select("v"), "v", "left_semi")
+        roles = edges.select("v", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            edges.select(F.col("m").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down"))
         )
+        roles = roles.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        loose = roles.filter("up > 1 or (up > 0 and down > 0)")
         if loose.isEmpty():
             return edges.select("v", F.col("m").alias("component")).unionByName(
                 edges.select(F.col("m").alias("v"), F.col("m").alias("component")).distinct()
             )
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+
+
+def merged(label: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``v``, ``component`` of the graph that ``label`` names the components of, with ``links``.
+
+    Only components are linked anew: what was found before is not gone through again.
+    ``label`` is None where nothing is linked yet.
+    """
+    if label is None:
+        return kept(components(links), "labels")
+
+    for x in "ab":
+        named = label.select(F.col("v").alias(x), F.col("component").alias("of"))
+        links = links.join(named, x, "left").withColumn(x, F.coalesce("of", x)).drop("of")
+    joined = kept(components(links), "joined-components")
+    old = label.join(joined.select(F.col("v").alias("component"), F.col("component").alias("to")), "component", "left")
+    old = old.select("v", F.coalesce("to", "component").alias("component"))
+    return kept(old.unionByName(joined.join(label, "v", "left_anti")), "labels")

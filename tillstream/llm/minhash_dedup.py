@@ -37,12 +37,11 @@ from tillstream.llm.common import (
     kept,
     mixed,
     one_row_per_id,
-    semi,
     small,
     word_hashes,
     word_spans,
 )
-from tillstream.llm.components import components
+from tillstream.llm.components import merged
 
 WORDS = 5
 PERCENT = 75
@@ -52,6 +51,12 @@ BITS = 4
 MARGIN = 0.2
 # Rounds in which each document is tried once.
 ROUNDS = 3
+# Pairs that one copy of a document's text confirms.
+PER_PART = 64
+# Texts are asked for by broadcast up to this many rows of three numbers.
+MOST_WANTED = 200_000
+# A shingle that more members hold is hot: its rows are spread by document.
+HOT_HOLDERS = 1_000
 
 _LANES = 64 // BITS
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -170,39 +175,60 @@ def estimate(a: Column, b: Column) -> Column:
 
 
 def _confirm(words: int, percent: int):
-    """Pairs whose full sets are similar enough."""
+    """Pairs whose full sets are similar enough; a hub's row comes before those it is compared with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_id, last_set = None, None
+        hub, own = None, np.empty(0, np.uint64)
         for batch in batches:
-            for rows, data, offsets in blocks(iter([batch]), "text_b"):
-                right = shingles(data, offsets, words)
-                kept_rows = []
-                for i, (a, text) in enumerate(
-                    zip(rows.column("a").to_pylist(), rows.column("text_a"), strict=True)
-                ):
-                    if a != last_id:
-                        raw = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-                        ends = np.array([0, len(raw)])
-                        last_id, last_set = a, shingles(raw, ends, words)[0]
-                    both = len(np.intersect1d(last_set, right[i], assume_unique=True))
-                    union = len(last_set) + len(right[i]) - both
-                    kept_rows.append(100 * both >= percent * union and both > 0)
-                yield pa.record_batch(
-                    [rows.column("a"), rows.column("b")], names=["a", "b"]
-                ).filter(pa.array(kept_rows, pa.bool_()))
+            for rows, data, offsets in blocks(iter([batch]), "text"):
+                names = zip(rows.column("hub").to_pylist(), rows.column("id").to_pylist(), strict=True)
+                found = []
+                for (at, doc_id), other in zip(names, shingles(data, offsets, words), strict=True):
+                    if at == doc_id:
+                        hub, own = at, other
+                        continue
+                    if at != hub:
+                        raise ValueError(f"document {at} has no text")
+                    both = len(np.intersect1d(own, other, assume_unique=True))
+                    if both and 100 * both >= percent * (len(own) + len(other) - both):
+                        found.append((min(at, doc_id), max(at, doc_id)))
+                pairs = np.array(found, np.int64).reshape(-1, 2)
+                yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     return run
 
 
+def _wanted(pairs: DataFrame) -> DataFrame:
+    """``hub``, ``part``, ``id``: the texts that confirming ``pairs`` takes, a hub's once a part.
+
+    The end with more pairs is the pair's hub. Its pairs are dealt to parts of about
+    ``PER_PART``, so its text is sent once for so many, and no part grows with a group.
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end"))
+    hubs = ends.groupBy("end").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > PER_PART)
+    hubs = F.broadcast(hubs) if small(hubs) else hubs
+    for x in "ab":
+        pairs = pairs.join(hubs.select(F.col("end").alias(x), F.col("n").alias(f"n_{x}")), x, "left")
+    n_a, n_b = (F.coalesce(f"n_{x}", F.lit(0)) for x in "ab")
+    sides = pairs.select(
+        F.when(n_a >= n_b, F.col("a")).otherwise(F.col("b")).alias("hub"),
+        F.when(n_a >= n_b, F.col("b")).otherwise(F.col("a")).alias("id"),
+        F.ceil(F.greatest(n_a, n_b, F.lit(1)) / PER_PART).alias("parts"),
+    )
+    others = sides.select("hub", F.pmod(F.xxhash64("id"), "parts").alias("part"), "id")
+    return others.unionByName(others.select("hub", "part", F.col("hub").alias("id")).distinct())
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of the pairs ``a``, ``b``, those that are linked on their full sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = kept(semi(docs, kept(ids, "pair-ids"), "doc_id"), "pair-texts")
+    """Of the distinct pairs ``a``, ``b``, those that are linked on their full sets."""
+    wanted = _wanted(pairs)
+    few = F.broadcast(wanted) if small(wanted, MOST_WANTED) else wanted
+    texts = docs.withColumnRenamed("doc_id", "id").join(few, "id")
+    first = (F.col("id") != F.col("hub")).alias("other")
     return (
-        pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        .select("a", "text_a", "b", "text_b")
+        texts.repartition("hub", "part")
+        .sortWithinPartitions("hub", "part", first)
+        .select("hub", "id", "text")
         .mapInArrow(_confirm(words, percent), "a long, b long")
     )
 
@@ -251,7 +277,7 @@ def _sharing(members: DataFrame, sets: DataFrame, docs: DataFrame, words: int, p
     holders = kept(grams.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")), "holders")
     order = Window.partitionBy("doc_id").orderBy("holders", "shingle")
     rarest = kept(
-        grams.join(holders, "shingle")
+        _with_holders(grams, holders)
         .withColumn("rank", F.row_number().over(order))
         .join(few.select("doc_id", "n_shingles", "prefix"), "doc_id")
         .filter("rank <= prefix and holders > 1")
@@ -276,6 +302,26 @@ def _sharing(members: DataFrame, sets: DataFrame, docs: DataFrame, words: int, p
     return one.join(two, "shingle").filter("a < b and ca <> cb").filter(near).select("a", "b").distinct()
 
 
+def _with_holders(grams: DataFrame, holders: DataFrame) -> DataFrame:
+    """``grams`` with ``holders``, the number of members that hold the shingle.
+
+    Those of hot shingles are broadcast, one row for at least ``HOT_HOLDERS`` of ``grams``, and
+    the rows of hot shingles go through the join's shuffle by document.
+    """
+    hot = holders.filter(F.col("holders") > HOT_HOLDERS).withColumnRenamed("holders", "many")
+    if not small(hot):
+        return grams.join(holders, "shingle")
+    salted = grams.join(F.broadcast(hot), "shingle", "left").withColumn(
+        "salt", F.when(F.col("many").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) + 1)
+    )
+    others = holders.filter(F.col("holders") <= HOT_HOLDERS).withColumn("salt", F.lit(0).cast("long"))
+    return (
+        salted.join(others, ["shingle", "salt"], "left")
+        .withColumn("holders", F.coalesce("many", "holders"))
+        .drop("salt", "many")
+    )
+
+
 def _across(rows: DataFrame, key: str = "key") -> DataFrame:
     """Rows whose ``key`` occurs in more than one component."""
     spread = rows.groupBy(key).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -330,7 +376,7 @@ def near_duplicates(
         "sets",
     )
     buckets = sets.select(F.explode("bands").alias("key"), "doc_id")
-    edges = label = tried = None
+    label = tried = None
 
     def with_component(members: DataFrame) -> DataFrame:
         if label is None:
@@ -345,7 +391,7 @@ def near_duplicates(
 
         With ``best_of``, only the likeliest pair of each ``own`` document is tried.
         """
-        nonlocal edges, label, tried
+        nonlocal label, tried
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = _likely(pairs, sets, percent)
@@ -358,8 +404,7 @@ def near_duplicates(
         found = kept(confirmed(pairs, named, words, percent), "links")
         if found.isEmpty():
             return False
-        edges = found if edges is None else edges.unionByName(found)
-        label = components(edges)
+        label = merged(label, found)
         return True
 
     members = kept(_across(with_component(buckets)), "members")
