@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +53,16 @@ def dropped(spark: SparkSession, *paths: str) -> None:
         drop_path(spark, path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark drop the shuffles and broadcasts of plans that are done.
+
+    Its cleaner does so when the driver's JVM collects the plans, which a driver with memory
+    left puts off: after many small jobs they would add up there and on the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``limit`` rows; counts no further than that."""
     return df.limit(limit + 1).count() <= limit

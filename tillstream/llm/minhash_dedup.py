@@ -37,6 +37,7 @@ from tillstream.llm.common import (
     kept,
     mixed,
     one_row_per_id,
+    released,
     small,
     word_hashes,
     word_spans,
@@ -427,6 +428,7 @@ def near_duplicates(
         members = kept(_across(with_component(members.drop("component"))), "members")
     if not members.isEmpty():
         link(_sharing(members, sets, named, words, percent))
+    released(docs.sparkSession)
 
     of_set = with_component(sets.select("digest", "doc_id")).select(
         "digest", F.col("component").alias("component_id")

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import blocks, even_keys, kept, mixed, row_key
+from tillstream.llm.common import blocks, even_keys, kept, mixed, released, row_key
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Units longer than this many bytes are cut, between pieces of their best path, into units of
@@ -560,6 +560,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     frequent = spark.sparkContext.broadcast((known.hashes, known.offsets, known.ids))
     del known
     pa.default_memory_pool().release_unused()
+    released(spark)
 
     # A task has the units of one block or so, so they can be grouped in memory; by default Spark
     # sorts their edges when there are more than 128 of them.
