@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import documents, syllables
 from tillstream.llm import fingerprints as fp
@@ -73,6 +74,13 @@ def test_few_rows(spark, rows):
     assert sorted((tuple(r) for r in got), key=str) == brute(rows)
 
 
+def test_each_part_is_a_task_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(fp, "ROWS_PER_PART", 50)
+    got = fingerprints(documents(spark, [(i, f"text {i} of many") for i in range(1500)]))
+    rows = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(rows) == 30 and sum(rows) == 1500 and max(rows) <= 100
+
+
 def test_edited():
     assert edited("abcdefgh", "XYZ") == "abcdefXY"
     assert edited("abcdefgh", "X") == "abcdefX"

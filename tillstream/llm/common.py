@@ -17,6 +17,9 @@ from tillstream.sources.files import drop_path
 # Broadcasts are only asked for below this many rows of a few numbers each.
 BROADCAST_ROWS = 500_000
 
+# Rows of texts that go to Python together.
+_BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # Bytes that part words: of text in general, and of what is matched by letters and digits.
@@ -63,6 +66,16 @@ def released(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Send texts to Python ``BATCH_ROWS`` rows at a time where the session has Spark's default.
+
+    Spark bounds a batch by rows only; with 10,000 whole texts, both its copy and Python's would
+    hold as many for each task at a time.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``limit`` rows; counts no further than that."""
     return df.limit(limit + 1).count() <= limit

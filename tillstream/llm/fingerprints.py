@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.llm.common import mixed, word_hashes
+from tillstream.llm.common import bounded_batches, even_keys, mixed, word_hashes
 
 LEAST, NORMAL, MOST = 8, 24, 96
 _SPAN = 16  # bytes that a 16-bit gear hash remembers
@@ -206,9 +206,10 @@ def fingerprints(docs: DataFrame, most: int = 1 << 20) -> DataFrame:
 
     Ids are cut into parts of about ``ROWS_PER_PART`` rows, at most ``MOST_PARTS`` of
     them. A part is read in order as a stream, so memory is bounded by a block of ``most``
-    characters or one text. Each part's first row is also sent to the part before it;
-    that is the only text that is moved twice.
+    characters or one text. Each part is a task of its own. Each part's first row is also
+    sent to the part before it; that is the only text that is moved twice.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named = rows.filter("doc_id is not null")
     alone = rows.filter("doc_id is null").mapInArrow(_alone(most), _RESULT)
@@ -234,16 +235,24 @@ def fingerprints(docs: DataFrame, most: int = 1 << 20) -> DataFrame:
     )
     head_ids = np.array([r["head"] for r in heads], np.int64)
     head_parts = np.array([r["part"] for r in heads], np.int32)
+    # By part, a number that Spark's hash deals to a partition of its own.
+    numbers = np.zeros(head_parts.max() + 1, np.int64)
+    numbers[head_parts] = even_keys(docs.sparkSession, len(heads))
 
-    @F.arrow_udf("int")
+    @F.arrow_udf("long")
+    def home(doc_id: pa.Array) -> pa.Array:
+        found = np.searchsorted(bounds, doc_id.to_numpy(zero_copy_only=False), "right")
+        return pa.array(numbers[found])
+
+    @F.arrow_udf("long")
     def guest_in(doc_id: pa.Array) -> pa.Array:
         """The part that needs this row as the one after its last; none for most rows."""
         wanted = doc_id.to_numpy(zero_copy_only=False)
         at = np.minimum(np.searchsorted(head_ids, wanted), len(head_ids) - 1)
-        return pa.array(head_parts[at - 1], mask=head_ids[at] != wanted)
+        return pa.array(numbers[head_parts[at - 1]], mask=head_ids[at] != wanted)
 
     routed = named.select(
-        "doc_id", "text", part_of("doc_id").alias("part"), guest_in("doc_id").alias("guest_in")
+        "doc_id", "text", home("doc_id").alias("part"), guest_in("doc_id").alias("guest_in")
     )
     places = F.array(
         F.struct(F.col("part"), F.lit(0).alias("guest")),
