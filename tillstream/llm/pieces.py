@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import blocks, even_keys, kept, mixed, released, row_key
+from tillstream.llm.common import blocks, bounded_batches, even_keys, kept, mixed, released, row_key
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Units longer than this many bytes are cut, between pieces of their best path, into units of
@@ -318,7 +318,7 @@ class Encoded:
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The row of each hash, or -1."""
-        out = np.full(len(hashes), -1)
+        out = np.full(len(hashes), -1, np.int32)
         if not len(self.hashes):
             return out
         lead = (hashes >> self.shift).astype(np.int64)
@@ -551,6 +551,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     columns are not looked at. A block of texts and its units are one task's, whatever they are.
     """
     spark, joined = docs.sparkSession, vocabulary.joined()
+    bounded_batches(spark)
     lattice = spark.sparkContext.broadcast(vocabulary.lattice())
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sample = docs.select(*row_key(), "text")
