@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import anti, kept, row_key, small, table
+from tillstream.llm.common import anti, bounded_batches, kept, row_key, small, table
 from tillstream.llm.decontamination import judged
 from tillstream.llm.language_id import UNKNOWN, identify, learn
 from tillstream.llm.minhash_dedup import near_duplicates
@@ -24,6 +24,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     The network learns from the labelled documents of the corpus itself.
     """
+    bounded_batches(spark)
     guessed = identify(docs.select(F.struct(*docs.columns).alias("row"), "text"), learn(docs))
     sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
     return guessed.filter(sure).select("row.*")
