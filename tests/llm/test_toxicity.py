@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import math
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,6 +24,11 @@ def sparse(rng, n, terms, most):
     return Vectors(np.concatenate([[0], np.cumsum(sizes)]), np.concatenate([*cols, np.empty(0, int)]).astype(int), weights)
 
 
+def as_bytes(texts):
+    """The bytes of a block of texts and their offsets."""
+    return np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *map(len, texts)])
+
+
 def scan(index_vectors, queries, k):
     """Every example compared with every query."""
     numbers, cosines = [], []
@@ -52,6 +59,33 @@ def test_search_equals_a_scan(monkeypatch, n, terms, most, k, cells):
         assert cosines[q][there].tolist() == expected[q] and numbers[q][there].tolist() == expected_numbers[q]
 
 
+def test_cosines_closer_than_single_precision_are_told_apart():
+    rng = np.random.default_rng(5)
+    n = 3 * BLOCK
+    weights = np.stack([np.full(n, 0.6), 0.8 - rng.permutation(n) * 1e-12], axis=1)
+    examples = Vectors(np.arange(n + 1) * 2, np.tile([1, 4], n), weights.ravel())
+    queries = Vectors(np.array([0, 2, 2, 3]), np.array([1, 4, 4]), np.array([0.6, 0.8, 1.0]))
+    numbers, cosines = BlockMaxIndex(examples, 6).nearest(queries, 25)
+    expected_numbers, expected = scan(examples, queries, 25)
+    assert numbers[[0, 2]].tolist() == [expected_numbers[0], expected_numbers[2]] and not cosines[1].any()
+    assert cosines[[0, 2]].tolist() == [expected[0], expected[2]]
+
+
+def test_texts_of_a_batch_are_searched_for_together(monkeypatch):
+    """By blocks of texts, each block of the index would meet only a few queries at a time."""
+    vocabulary = np.unique(term_counts(*as_bytes(["dolt oaf"]))[1])
+    examples = Vectors.of(np.arange(4), np.array([0, 1, 0, 1]), np.ones(4, int), np.ones(2), 4)
+    model = toxicity.Toxicity(vocabulary, np.ones(2), BlockMaxIndex(examples, 2), np.arange(4), np.array([1, 0, 1, 0]), np.ones(4), 0.5)
+    searched, nearest = [], BlockMaxIndex.nearest
+    monkeypatch.setattr(BlockMaxIndex, "nearest", lambda self, q, k: searched.append(len(q)) or nearest(self, q, k))
+    texts = [("dolt" + " x" * 100_000, "oaf" + " x" * 100_000, "", None)[i % 4] for i in range(40)]
+    batch = pa.record_batch([pa.array(range(40)), pa.array(texts)], names=["doc_id", "text"])
+    got = pa.Table.from_batches(toxicity._scored(SimpleNamespace(value=model), 3)(iter([batch, batch.slice(0, 0)])))
+    assert searched == [40] and got["doc_id"].to_pylist() == list(range(40))
+    shown = [[e["label"] for e in r] for r in got["evidence"].to_pylist()]
+    assert shown == [[[1, 1], [0, 0], [], []][i % 4] for i in range(40)]
+
+
 def test_queries_without_terms():
     rng = np.random.default_rng(3)
     index = BlockMaxIndex(sparse(rng, 20, 4, 3), 4)
