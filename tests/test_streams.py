@@ -84,6 +84,16 @@ def test_ingest_writes_hourly_json_once(spark, path, topic):
     assert run().count() == 4
 
 
+def test_raw_files_on_local_disks_have_no_checksum_files(spark, path, topic):
+    """Each would take Hadoop a process more; no setting stays behind."""
+    topic.publish(*[txn(transaction_id=str(k)) for k in range(5)])
+    ingest(topic.open(), path("raw"), path("ck"), max_records_per_file=2).awaitTermination()
+    assert len(glob.glob(path("raw") + "/year=*/month=*/day=*/hour=*/*.json")) >= 3
+    assert glob.glob(path("raw") + "/year=*/month=*/day=*/hour=*/.*.crc") == []
+    assert {r.transaction_id for r in read_raw(spark, path("raw")).collect()} == set("01234")
+    assert spark.conf.get("fs.file.impl", None) is None and spark.conf.get("fs.file.impl.disable.cache", None) is None
+
+
 def test_alert_stream_equals_the_batch_and_replays_in_place(spark, path, topic):
     master = spark.createDataFrame(
         [("AC100001", "Asha", "a@example.com")], "account_id string, user_name string, user_email string"

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import EVENT
 from ..sources.codec import decode
-from .start import start
+from .start import plain_local_files, start
 
 # The name of what an ingest stream counts while it writes; see ``streaming.progress``.
 OBSERVED = "ingest"
@@ -50,6 +50,7 @@ def ingest(
 
     The size of a micro-batch is an option of the source; the last, smaller one is
     written like any other. Rows and unreadable messages are observed as ``OBSERVED``.
+    Files on local disks get no checksum files; see ``plain_local_files``.
     """
     counts = F.count("*").alias("rows"), F.count("_bad_value").alias("bad_rows")
     writer = (
@@ -63,4 +64,5 @@ def ingest(
     )
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    return start(writer, checkpoint, every)
+    with plain_local_files(messages.sparkSession):
+        return start(writer, checkpoint, every)
