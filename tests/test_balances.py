@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.rows import frame, raw
+from tillstream.operators import balances
 from tillstream.operators.balances import current_balance, running_balance
 from tillstream.operators.cleaning import typed
 
@@ -73,3 +74,20 @@ def test_slices_survive_in_the_shared_folder(spark):
 
     running_balance(typed(frame(spark, events(spark))), F.lit(0), ORDER, split_rows=50).count()
     assert glob.glob(spark.conf.get("spark.checkpoint.dir") + "/balance-slices-*/*.parquet")
+
+
+@pytest.mark.parametrize("range_rows,files", [(1_000_000, 1), (40, None)])
+def test_small_slices_share_a_task_and_a_file(spark, monkeypatch, range_rows, files):
+    import glob
+
+    monkeypatch.setattr(balances, "RANGE_ROWS", range_rows)
+    found = spark.conf.get("spark.checkpoint.dir") + "/balance-slices-*"
+    rows, old = events(spark), set(glob.glob(found))
+    got = running_balance(typed(frame(spark, rows)), F.lit(500_00), ORDER, split_rows=3)
+    result = {r.transaction_id: r.balance_after_transaction for r in got.collect()}
+    assert result == expected(rows, 500_00)[0]
+    (folder,) = set(glob.glob(found)) - old
+    sizes = [r["count"] for r in spark.read.parquet(folder).groupBy("_slice").count().collect()]
+    assert max(sizes) == 3 and len(sizes) >= sum(sizes) / 3 > 10
+    written = len(glob.glob(folder + "/*.parquet"))
+    assert written == files if files else 1 < written < len(sizes)

@@ -14,6 +14,8 @@ from ..settings import Rules
 from .keys import hot_keys, split_hot
 
 SPLIT_ROWS = 5_000_000
+# Slices are cut by tasks of at least about so many rows.
+RANGE_ROWS = 50_000
 
 
 def signed_cents(rules: Rules = Rules()) -> Column:
@@ -47,8 +49,8 @@ def running_balance(
     """Add each event's balance after it: opening cents + all moves up to the event.
 
     An account with up to ``split_rows`` events is summed in one window. A longer
-    one is cut into consecutive slices that are summed apart, and each slice adds
-    the total of those before it. ``order`` must be unique within an account.
+    one is cut into consecutive slices of at most as many that are summed apart, and each
+    slice adds the total of those before it. ``order`` must be unique within an account.
     """
     key = "account_id"
     df = df.withColumn("_moved", signed_cents(rules))
@@ -57,9 +59,9 @@ def running_balance(
         summed = _in_one_window(df, key, order)
     else:
         long, short = split_hot(df, key, hot)
-        slices = math.ceil(sum(r["n"] for r in hot) / split_rows)
+        rows = sum(r["n"] for r in hot)
         summed = _in_one_window(short, key, order).unionByName(
-            _in_slices(long, key, order, slices)
+            _in_slices(long, key, order, rows, split_rows)
         )
     balance = (opening + F.col("_sum")).cast("double") / 100
     return summed.withColumn(out, balance).drop("_moved", "_sum")
@@ -70,13 +72,19 @@ def _in_one_window(df: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame
     return df.withColumn("_sum", F.sum("_moved").over(so_far))
 
 
-def _in_slices(df: DataFrame, key: str, order: tuple[str, ...], slices: int) -> DataFrame:
-    # Slices are range partitions. They are written out because their number is
-    # read twice below and must be the same both times, also after a lost executor.
+def _in_slices(df: DataFrame, key: str, order: tuple[str, ...], rows: int, split_rows: int) -> DataFrame:
+    # Slices are runs of rows of a sorted range partition, which is a task and a file and so
+    # holds many small slices. They are written out because their number is read
+    # twice below and must be the same both times, also after a lost executor.
     path = scratch(df.sparkSession, "balance-slices")
+    ranges = math.ceil(rows / max(split_rows, RANGE_ROWS))
+    # The partition's number above 33 bits, the row's in it below.
+    place = F.monotonically_increasing_id()
+    row = place.bitwiseAND((1 << 33) - 1)
     (
-        df.repartitionByRange(slices, key, *order)
-        .withColumn("_slice", F.spark_partition_id())
+        df.repartitionByRange(ranges, key, *order)
+        .sortWithinPartitions(key, *order)
+        .withColumn("_slice", place - row + F.floor(row / split_rows))
         .write.parquet(path)
     )
     cut = df.sparkSession.read.parquet(path)
